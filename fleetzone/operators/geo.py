@@ -135,13 +135,16 @@ class EdgeCells:
 
 
 def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | None = None,
-               band_deg: float = 0.5, broadcast_limit: int = 2_000_000) -> EdgeCells:
+               band_deg: float = 0.5, broadcast_limit: int = 2_000_000,
+               local_limit: int = 250_000) -> EdgeCells:
     """Build the distance-cell and ray-cell tables for ``edges``.
 
     The tables are small (zones x edges x cells).  Their total number of
     edge entries is counted once; they are broadcast only when that count
     is within ``broadcast_limit``, otherwise the joins in ``classify`` are
-    plain shuffle joins.
+    plain shuffle joins.  Up to ``local_limit`` entries the tables are also
+    materialised once as local relations (a zone layer of a few thousand
+    edges), so later plans do not re-run the explode and group steps.
     """
     cell_m = float(cell_m or max(distance_m, 1000.0))
     d = _lit(distance_m)
@@ -175,10 +178,18 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
     ray_cells = ray.groupBy("rlat", "rlon").agg(
         F.collect_list(F.struct("zone_id", "x1", "y1", "x2", "y2")).alias("r_edges"))
 
-    sizes = (dist.agg(F.count(F.lit(1)).alias("n")).union(ray.agg(F.count(F.lit(1)).alias("n")))
-             .agg(F.sum("n")).first()[0]) or 0
+    n_entries = (dist.agg(F.count(F.lit(1)).alias("n"))
+                 .union(ray.agg(F.count(F.lit(1)).alias("n"))).agg(F.sum("n")).first()[0]) or 0
+    small = n_entries <= broadcast_limit
+    if n_entries <= local_limit:
+        # Proven small (counted above): materialise once as local tables so
+        # every query that joins them broadcasts a ready relation instead of
+        # re-running the explode/group jobs.
+        spark = edges.sparkSession
+        dist_cells = spark.createDataFrame(dist_cells.collect(), dist_cells.schema)
+        ray_cells = spark.createDataFrame(ray_cells.collect(), ray_cells.schema)
     return EdgeCells(dist_cells, ray_cells, float(distance_m), cell_m, float(band_deg),
-                     broadcast=sizes <= broadcast_limit)
+                     broadcast=small)
 
 
 # --------------------------------------------------------------------------

@@ -7,6 +7,7 @@ not depend on row order; callers cast to DOUBLE only at the very end.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.na import (fill_missing, n_distinct, n_distinct_where, share,
@@ -56,6 +57,35 @@ def trips_sets_report(tagged: DataFrame, vessel: str = "VESSEL_ID", date: str =
     return fill_missing(out)
 
 
+def trips_sets_report_from_rows(rows: DataFrame, vessel: str = "VESSEL_ID",
+                                date: str = "LANDING_DATE", trip: str = "SCHEDULE_NUMBER",
+                                set_key: str = "ORIGINAL_BATCH_SEQUENCE_NUMBER",
+                                within: str = "within") -> DataFrame:
+    """``trips_sets_report`` straight from per-row zone flags.
+
+    Same result as tagging every row at set-key grain and then reporting,
+    with less data moved:
+
+    1. one row per (vessel, year, trip, set) with "any row within"
+       (partial aggregation collapses repeated rows, hot keys included,
+       before the shuffle);
+    2. per set key, "any row within" as a window maximum over step 1
+       (step 1 holds one row per trip a set key occurs in, so even a set key
+       shared by many trips is a small window partition);
+    3. the four distinct counts per (vessel, year), shares, fill.
+
+    Duplicate rows never change a distinct count or an "any" flag, so the
+    input need not be DISTINCT.
+    """
+    g1 = rows.groupBy(F.col(vessel).alias("VESSEL_ID"), year_text(date).alias("YEAR"),
+                      F.col(trip).alias("__t"), F.col(set_key).alias("__s")).agg(
+        F.max(F.coalesce(F.col(within), F.lit(False)).cast("int")).alias("__w"))
+    any_in_key = F.max("__w").over(Window.partitionBy("__s"))
+    flagged = g1.withColumn("in_buffer", F.when(any_in_key == 1, F.lit("Y")).otherwise(F.lit("N")))
+    return trips_sets_report(flagged, vessel="VESSEL_ID", date="YEAR", trip="__t", set_key="__s",
+                             flag="in_buffer")
+
+
 def landings_summary(df: DataFrame, keys: dict[str, str], flag: str, dw: Column,
                      revenue: Column) -> DataFrame:
     """Sum pounds and revenue by keys and in/out flag, pivoted with fill 0.

@@ -33,6 +33,12 @@ EXTRACT_COLUMNS = [
     "SCIENTIFIC_NAME", "SPECIES_ITIS", "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS",
     "DISPOSITION_STATUS"]
 
+# Columns a trip/set report needs (trip, set, vessel, dates, position).
+TRIP_SET_COLUMNS = ["LOGBOOK_KEY", "BATCH_NUMBER", SET_KEY, "SCHEDULE_NUMBER", "VESSEL_ID",
+                    "LANDING_DATE", "SET_DATE", "LATITUDE_DEGREES", "LATITUDE_MINUTES",
+                    "LATITUDE_HEMISPHERE", "LONGITUDE_DEGREES", "LONGITUDE_MINUTES",
+                    "LONGITUDE_HEMISPHERE"]
+
 
 # --------------------------------------------------------------------------
 # M1 / M2: extracts
@@ -40,7 +46,8 @@ EXTRACT_COLUMNS = [
 
 def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
                  species_codes: DataFrame, trip_qc: DataFrame, landed_after: str,
-                 fleet=None, date_format: str = "dd-MMM-yyyy") -> DataFrame:
+                 fleet=None, date_format: str = "dd-MMM-yyyy",
+                 lookups: bool = True) -> DataFrame:
     """The logbook extract before its DISTINCT and ORDER BY.
 
     trips LEFT JOIN activities LEFT JOIN gear codes LEFT JOIN species
@@ -48,7 +55,11 @@ def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
     ``landed_after`` (text in ``date_format``), vessel in ``fleet`` (a list
     or a DataFrame of ids; ``None`` keeps all).
 
-    Lookups that add no output column are not joined at all.  The QC
+    Lookups that add no output column are not joined at all; with
+    ``lookups=False`` the gear and species lookups are skipped too and only
+    trip, set and position columns are returned (for consumers that only
+    count distinct values or test "any row", which a left join to a lookup
+    cannot change).  The QC
     condition ("left join QC, keep QC.DELETED_DATE IS NULL") is applied as
     an anti join on the trips whose QC rows are all deleted, which gives the
     same rows once the caller takes DISTINCT (see
@@ -60,6 +71,8 @@ def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
     t = extract.drop_all_flagged(t, trip_qc, "SCHEDULE_NUMBER", "DELETED_DATE")
     a = activities
     j = t.join(a, "LOGBOOK_KEY", "left")
+    if not lookups:
+        return j.select(*[c for c in EXTRACT_COLUMNS if c in TRIP_SET_COLUMNS])
     j = j.join(gear_codes, "GEAR_CODE_NMFS", "left")
     j = j.join(species_codes, "SPECIES_CODE_NMFS", "left")
     return j.select(*EXTRACT_COLUMNS)
@@ -124,8 +137,10 @@ def tag_by_key(classified: DataFrame, key: str = SET_KEY, flag: str = "in_buffer
 # M4 / M5: trips and sets reports
 # --------------------------------------------------------------------------
 
-def final_trips_sets(tagged_sets: DataFrame) -> DataFrame:
-    return rollup.trips_sets_report(tagged_sets)
+def final_trips_sets(classified_rows: DataFrame) -> DataFrame:
+    """The trips-and-sets report from per-row zone flags (rows need not be
+    DISTINCT: see ``rollup.trips_sets_report_from_rows``)."""
+    return rollup.trips_sets_report_from_rows(classified_rows)
 
 
 def counts_by_year(sets: DataFrame, col: str, name: str) -> DataFrame:

@@ -228,12 +228,12 @@ LANDINGS = {
     "dated_keys": """SELECT ks.VESSEL_ID, ks.LANDING_DATE, ks.SCHEDULE_NUMBER,
         CASE WHEN ks.SCHEDULE_NUMBER IS NULL THEN NULL WHEN o.k IS NOT NULL THEN o.d ELSE ks.LANDING_DATE END AS dealer_date
         FROM tkeys ks LEFT JOIN overrides o ON ks.SCHEDULE_NUMBER = o.k""",
-    "dealer_mon": """SELECT d.*, CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
+    "dealer_mon": """SELECT d.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
         WHERE k.VESSEL_ID IS NOT DISTINCT FROM d.SUPPLIER_VESSEL_ID
-          AND k.dealer_date IS NOT DISTINCT FROM d.DATE_LANDED) THEN 1 ELSE 0 END AS monument FROM dealer d""",
-    "second_mon": """SELECT s.*, CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
+          AND k.dealer_date IS NOT DISTINCT FROM d.DATE_LANDED) THEN 1 ELSE 0 END AS BIGINT) AS monument FROM dealer d""",
+    "second_mon": """SELECT s.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
         WHERE k.VESSEL_ID IS NOT DISTINCT FROM s.COAST_GUARD_NBR
-          AND k.dealer_date IS NOT DISTINCT FROM s.LANDING_DATE) THEN 1 ELSE 0 END AS monument,
+          AND k.dealer_date IS NOT DISTINCT FROM s.LANDING_DATE) THEN 1 ELSE 0 END AS BIGINT) AS monument,
         CASE WHEN UNIT IS NULL THEN NULL WHEN UNIT = 'ROUND' THEN REPORTED_QUANTITY * CAST(0.8 AS DECIMAL(2,1))
              ELSE REPORTED_QUANTITY END AS dw_lb FROM ledger2 s""",
     "edlr_g": f"""SELECT SUPPLIER_VESSEL_ID AS VESSEL_ID, YEAR_OF_LANDING AS YEAR,
@@ -339,7 +339,7 @@ def _flag_either() -> str:
         CASE WHEN EXISTS (SELECT 1 FROM tkeys k WHERE k.VESSEL_ID IS NOT DISTINCT FROM d.SUPPLIER_VESSEL_ID
                           AND k.LANDING_DATE IS NOT DISTINCT FROM d.DATE_LANDED)
                OR EXISTS (SELECT 1 FROM tkeys k WHERE k.SCHEDULE_NUMBER IS NOT DISTINCT FROM d.TRIP_ID)
-             THEN 1 ELSE 0 END AS mon_activity FROM dealer d"""
+             THEN 1 ELSE 0 END::BIGINT AS mon_activity FROM dealer d"""
 
 
 def _counts(src: str, col: str, name: str, where: str = "") -> str:
@@ -469,7 +469,7 @@ SQL: dict[str, str] = {
     "trip_keys": "SELECT * FROM tkeys",
     "flag_single_key": """SELECT VESSEL_ID, LANDING_DATE, SCHEDULE_NUMBER,
         CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.TRIP_ID IS NOT DISTINCT FROM k.SCHEDULE_NUMBER)
-             THEN 1 ELSE 0 END AS sch_in_edlr FROM tkeys k""",
+             THEN 1 ELSE 0 END::BIGINT AS sch_in_edlr FROM tkeys k""",
     "flag_composite_key": "SELECT unique_report_no, SUPPLIER_VESSEL_ID, DATE_LANDED, monument FROM dealer_mon",
     "flag_either_key": _flag_either(),
     "flagged_trip_ids": f"SELECT DISTINCT TRIP_ID FROM ({_flag_either()}) WHERE mon_activity = 1",
@@ -505,7 +505,7 @@ SQL: dict[str, str] = {
         CAST({strict_sum('REPORTED_QUANTITY')} AS DOUBLE) AS BFT_Landings,
         CAST({strict_sum('DOLLARS')} AS DOUBLE) AS Total_Dollars FROM ledger2 GROUP BY ALL""",
     "animals_by_disposition": f"""SELECT SCHEDULE_NUMBER, NMFS_COMMON, DISPOSITION_STATUS,
-        {strict_sum('NUMBER_OF_INDIVIDUALS')} AS n_animals FROM logbook l
+        CAST({strict_sum('NUMBER_OF_INDIVIDUALS')} AS BIGINT) AS n_animals FROM logbook l
         WHERE EXISTS (SELECT 1 FROM tkeys k WHERE k.VESSEL_ID IS NOT DISTINCT FROM l.VESSEL_ID
                       AND k.LANDING_DATE IS NOT DISTINCT FROM l.LANDING_DATE
                       AND NOT EXISTS (SELECT 1 FROM ledger2 s WHERE s.COAST_GUARD_NBR IS NOT DISTINCT FROM k.VESSEL_ID

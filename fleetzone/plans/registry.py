@@ -119,7 +119,10 @@ def _money(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 def q_final_trips_sets(c: Ctx) -> DataFrame:
-    return jobs.final_trips_sets(c.tagged())
+    tb = c.tb
+    rows = jobs.logbook_rows(tb.trips(), tb.activities(), tb.gear_codes(), tb.species_codes(),
+                             tb.trip_qc(), LANDED_AFTER, lookups=False)
+    return jobs.final_trips_sets(jobs.classify_sets(rows, c.cells()))
 
 
 def q_extract_logbook(c: Ctx) -> DataFrame:
@@ -444,7 +447,19 @@ QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
 }
 
 
+def normalise_types(df: DataFrame) -> DataFrame:
+    """Integers as BIGINT, DECIMAL and FLOAT as DOUBLE (one final projection)."""
+    def conv(f):
+        t = f.dataType
+        if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
+            return F.col(f"`{f.name}`").cast("bigint").alias(f.name)
+        if isinstance(t, (T.DecimalType, T.FloatType)):
+            return F.col(f"`{f.name}`").cast("double").alias(f.name)
+        return F.col(f"`{f.name}`")
+    return df.select(*[conv(f) for f in df.schema.fields])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Ctx(spark, sf_dir))
+        return lambda spark, sf_dir: normalise_types(fn(Ctx(spark, sf_dir)))
     return {k: bind(fn) for k, fn in QUERIES.items()}
