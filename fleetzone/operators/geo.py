@@ -12,7 +12,8 @@ Layout
   look at:
 
   - *distance cells* (projected metres, side ``cell_m``): every edge whose
-    bounding box grown by the distance touches the cell;
+    bounding box grown by the distance touches the cell, or just the flag
+    ``all_within`` when the whole cell lies inside one edge's buffer;
   - *ray cells* (degrees, side ``band_deg``): for the ray-parity test, an
     edge is listed in every cell of the latitude bands it spans, from the
     western edge of its zone's bounding box to the edge's own eastern end.
@@ -126,8 +127,8 @@ def zone_edges(zones: DataFrame) -> DataFrame:
 class EdgeCells:
     """The two cell lookup tables plus the parameters they were built with."""
 
-    dist_cells: DataFrame   # dcx, dcy, d_edges
-    ray_cells: DataFrame    # rlat, rlon, r_edges
+    dist_cells: DataFrame   # dcx, dcy, all_within, d_edges
+    ray_cells: DataFrame    # rlat, rlon, r_zones (per zone: its edges)
     distance_m: float
     cell_m: float
     band_deg: float
@@ -143,10 +144,10 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
     edge entries is counted once; they are broadcast only when that count
     is within ``broadcast_limit``, otherwise the joins in ``classify`` are
     plain shuffle joins.  Up to ``local_limit`` entries the tables are also
-    materialised once as local relations (a zone layer of a few thousand
-    edges), so later plans do not re-run the explode and group steps.
+    cached once (a zone layer of a few thousand edges), so later plans do
+    not re-run the explode and group steps.
     """
-    cell_m = float(cell_m or max(distance_m, 1000.0))
+    cell_m = float(cell_m or max(distance_m / 4.0, 1000.0))
     d = _lit(distance_m)
     # Distance cells: edge bounding box in projected metres grown by d.
     dist = edges.select(
@@ -158,10 +159,27 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
     dist = dist.select("*", F.explode("ys").alias("dcy")).drop("ys")
     dx, dy = F.col("px2") - F.col("px1"), F.col("py2") - F.col("py1")
     len2 = dx * dx + dy * dy
-    dist_cells = dist.groupBy("dcx", "dcy").agg(F.collect_list(F.struct(
-        "zone_id", "px1", "py1", dx.alias("dx"), dy.alias("dy"),
+    dist = dist.select("dcx", "dcy", F.struct(
+        "zone_id", "px1", "py1", dx.alias("dx"), dy.alias("dy"), len2.alias("len2"),
         F.when(len2 > 0, _lit(1.0) / F.when(len2 > 0, len2)).otherwise(_lit(0.0)).alias("inv_len2"),
-    )).alias("d_edges"))
+    ).alias("e"))
+    # A cell whose four corners are all within (d - 1 m) of one edge lies
+    # wholly inside that edge's buffer (distance to a segment is convex), so
+    # its points need no edge test at all.
+    inner2 = _lit(max(distance_m - 1.0, 0.0) ** 2)
+    corners = [(F.col("dcx") + i) * _lit(cell_m) for i in (0, 1)]
+    rows_ = [(F.col("dcy") + i) * _lit(cell_m) for i in (0, 1)]
+    covers = None
+    for cx in corners:
+        for cy in rows_:
+            c = _seg_dist2(F.col("e"), cx, cy) <= inner2
+            covers = c if covers is None else covers & c
+    dist_cells = dist.groupBy("dcx", "dcy").agg(
+        F.max(covers).alias("all_within"), F.collect_list("e").alias("d_edges"))
+    dist_cells = dist_cells.select(
+        "dcx", "dcy", "all_within",
+        F.when(F.col("all_within"), F.array().cast(dist_cells.schema["d_edges"].dataType))
+         .otherwise(F.col("d_edges")).alias("d_edges"))
 
     # Ray cells: latitude bands spanned by the edge, longitude bands from the
     # zone's western box edge to the edge's eastern end.
@@ -175,19 +193,21 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
         F.sequence(F.floor(F.col("zone_xmin") / b),
                    F.floor(F.greatest("x1", "x2") / b)).alias("xs"))
     ray = ray.select("*", F.explode("xs").alias("rlon")).drop("xs")
-    ray_cells = ray.groupBy("rlat", "rlon").agg(
-        F.collect_list(F.struct("zone_id", "x1", "y1", "x2", "y2")).alias("r_edges"))
+    per_zone = ray.groupBy("rlat", "rlon", "zone_id").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    ray_cells = per_zone.groupBy("rlat", "rlon").agg(
+        F.array_sort(F.collect_list(F.struct("zone_id", "edges"))).alias("r_zones"))
 
     n_entries = (dist.agg(F.count(F.lit(1)).alias("n"))
                  .union(ray.agg(F.count(F.lit(1)).alias("n"))).agg(F.sum("n")).first()[0]) or 0
     small = n_entries <= broadcast_limit
     if n_entries <= local_limit:
-        # Proven small (counted above): materialise once as local tables so
-        # every query that joins them broadcasts a ready relation instead of
-        # re-running the explode/group jobs.
-        spark = edges.sparkSession
-        dist_cells = spark.createDataFrame(dist_cells.collect(), dist_cells.schema)
-        ray_cells = spark.createDataFrame(ray_cells.collect(), ray_cells.schema)
+        # Proven small (counted above): keep them cached so every plan that
+        # joins them broadcasts a ready relation instead of re-running the
+        # explode and group jobs (a lost cache block is rebuilt from lineage).
+        dist_cells, ray_cells = dist_cells.cache(), ray_cells.cache()
+        dist_cells.count()
+        ray_cells.count()
     return EdgeCells(dist_cells, ray_cells, float(distance_m), cell_m, float(band_deg),
                      broadcast=small)
 
@@ -199,16 +219,20 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
 def _seg_dist2(e, px: Column, py: Column) -> Column:
     """Squared distance from (px, py) to the projected segment of edge ``e``.
 
-    ``e`` carries the edge start (``px1, py1``), its direction (``dx, dy``)
-    and ``inv_len2`` (1 / squared length, 0 for a zero-length edge).  The
-    clamped foot parameter is computed once per edge in an inner transform.
+    ``e`` carries the edge start (``px1, py1``), its direction (``dx, dy``),
+    squared length ``len2`` and ``inv_len2`` (0 for a zero-length edge).
+    Before the start or past the end the nearest point is an end point;
+    otherwise the distance to the line is |cross| / length.
     """
     ax = px - e["px1"]
     ay = py - e["py1"]
-    t = F.least(F.greatest((ax * e["dx"] + ay * e["dy"]) * e["inv_len2"], _lit(0.0)), _lit(1.0))
-    foot = F.transform(F.array(t), lambda tt: F.struct(
-        (ax - tt * e["dx"]).alias("ex"), (ay - tt * e["dy"]).alias("ey")))[0]
-    return foot["ex"] * foot["ex"] + foot["ey"] * foot["ey"]
+    dot = ax * e["dx"] + ay * e["dy"]
+    cross = ax * e["dy"] - ay * e["dx"]
+    bx = ax - e["dx"]
+    by = ay - e["dy"]
+    return (F.when(dot <= _lit(0.0), ax * ax + ay * ay)
+             .when(dot >= e["len2"], bx * bx + by * by)
+             .otherwise(cross * cross * e["inv_len2"]))
 
 
 def _crosses(e, lon: Column, lat: Column) -> Column:
@@ -242,8 +266,8 @@ def classify(df: DataFrame, lon: str, lat: str, cells: EdgeCells,
         F.floor(lat_c / _lit(cells.band_deg)).alias("__rlat"),
         F.floor(lon_c / _lit(cells.band_deg)).alias("__rlon"),
         px.alias("__px"), py.alias("__py"))
-    dcells = cells.dist_cells.toDF("__dcx", "__dcy", "__d_edges")
-    rcells = cells.ray_cells.toDF("__rlat", "__rlon", "__r_edges")
+    dcells = cells.dist_cells.toDF("__dcx", "__dcy", "__all_within", "__d_edges")
+    rcells = cells.ray_cells.toDF("__rlat", "__rlon", "__r_zones")
     if cells.broadcast:
         dcells, rcells = F.broadcast(dcells), F.broadcast(rcells)
     j = (keyed.join(dcells, ["__dcx", "__dcy"], "left")
@@ -251,17 +275,18 @@ def classify(df: DataFrame, lon: str, lat: str, cells: EdgeCells,
 
     pxc, pyc = F.col("__px"), F.col("__py")
     d2 = _lit(cells.distance_m * cells.distance_m)
-    near = F.coalesce(F.exists("__d_edges", lambda e: _seg_dist2(e, pxc, pyc) <= d2), F.lit(False))
-    r_edges = F.coalesce(F.col("__r_edges"), F.array().cast(
-        "array<struct<zone_id:string,x1:double,y1:double,x2:double,y2:double>>"))
-    zone_ids = F.array_distinct(F.transform(r_edges, lambda e: e["zone_id"]))
+    near = F.coalesce(F.col("__all_within"), F.lit(False)) | F.coalesce(
+        F.exists("__d_edges", lambda e: _seg_dist2(e, pxc, pyc) <= d2), F.lit(False))
 
     def inside(z):
-        mine = F.filter(r_edges, lambda e: e["zone_id"] == z)
-        n_cross = F.size(F.filter(mine, lambda e: _crosses(e, lon_c, lat_c)))
-        return ((n_cross % 2) == 1) | F.exists(mine, lambda e: _on_edge(e, lon_c, lat_c))
-
-    zones_in = F.array_sort(F.filter(zone_ids, inside))
+        n_cross = F.aggregate(z["edges"], F.lit(0),
+                              lambda acc, e: acc + _crosses(e, lon_c, lat_c).cast("int"))
+        return ((n_cross % 2) == 1) | F.exists(z["edges"], lambda e: _on_edge(e, lon_c, lat_c))
+
+    # r_zones is sorted by zone id when built, so zones_in comes out sorted.
+    zones_in = F.coalesce(
+        F.transform(F.filter("__r_zones", inside), lambda z: z["zone_id"]),
+        F.array().cast("array<string>"))
     out = j.select(
         *[F.col(c) for c in df.columns],
         zones_in.alias(f"{prefix}zones_in"),

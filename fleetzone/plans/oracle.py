@@ -192,6 +192,7 @@ def geo_ctes(src: str, prefix: str = "g") -> dict[str, str]:
         f"{prefix}_e0": f"SELECT * FROM (VALUES {_edges_values()}) v(zone_id, name, edge_id, x1, y1, x2, y2)",
         f"{prefix}_e1": f"SELECT *, {px1} AS px1, {py1} AS py1, {px2} AS px2, {py2} AS py2 FROM {prefix}_e0",
         f"{prefix}_e": f"""SELECT *, px2 - px1 AS dx, py2 - py1 AS dy,
+            (px2 - px1) * (px2 - px1) + (py2 - py1) * (py2 - py1) AS len2,
             CASE WHEN (px2 - px1) * (px2 - px1) + (py2 - py1) * (py2 - py1) > 0
                  THEN {_d(1.0)} / ((px2 - px1) * (px2 - px1) + (py2 - py1) * (py2 - py1)) ELSE {_d(0.0)} END AS inv_len2
             FROM {prefix}_e1""",
@@ -203,12 +204,13 @@ def geo_ctes(src: str, prefix: str = "g") -> dict[str, str]:
             CASE WHEN (e.x2 - e.x1) * (p.lat - e.y1) - (e.y2 - e.y1) * (p.lon - e.x1) = 0
                   AND p.lon >= least(e.x1, e.x2) AND p.lon <= greatest(e.x1, e.x2)
                   AND p.lat >= least(e.y1, e.y2) AND p.lat <= greatest(e.y1, e.y2) THEN 1 ELSE 0 END AS on_edge,
-            p.px - e.px1 AS ax, p.py - e.py1 AS ay, e.dx, e.dy, e.inv_len2
+            p.px - e.px1 AS ax, p.py - e.py1 AS ay, e.dx, e.dy, e.len2, e.inv_len2
             FROM {prefix}_p p CROSS JOIN {prefix}_e e""",
-        f"{prefix}_pe1": f"""SELECT *, least(greatest((ax * dx + ay * dy) * inv_len2, {_d(0.0)}), {_d(1.0)}) AS t
-            FROM {prefix}_pe0""",
         f"{prefix}_pe": f"""SELECT lon, lat, zone_id, crosses, on_edge,
-            (ax - t * dx) * (ax - t * dx) + (ay - t * dy) * (ay - t * dy) AS d2 FROM {prefix}_pe1""",
+            CASE WHEN ax * dx + ay * dy <= {_d(0.0)} THEN ax * ax + ay * ay
+                 WHEN ax * dx + ay * dy >= len2 THEN (ax - dx) * (ax - dx) + (ay - dy) * (ay - dy)
+                 ELSE (ax * dy - ay * dx) * (ax * dy - ay * dx) * inv_len2 END AS d2
+            FROM {prefix}_pe0""",
         f"{prefix}_pz": f"""SELECT lon, lat, zone_id, (sum(crosses) % 2 = 1 OR max(on_edge) = 1) AS inside,
             min(d2) AS d2 FROM {prefix}_pe GROUP BY lon, lat, zone_id""",
         f"{prefix}_tag": f"""SELECT lon, lat, bool_or(inside) AS in_zone,

@@ -22,6 +22,7 @@ from ..functions.text import clean_column_names, first_part, label, year_text
 from ..operators import extract, geo, match, profile, reshape, rollup
 from ..session import work_path
 from ..sources import files
+from ..sources.literal import literal_table
 from ..sources.testbed import Testbed
 from ..sources.zones import zones_from_rows
 from . import jobs
@@ -35,6 +36,9 @@ OBS_VESSEL = "BUILDING"
 OVERRIDES = [("7", "1996-02-01"), ("100", "1997-03-04"), ("2021", "1999-09-09")]
 
 
+_CELLS: dict = {}
+
+
 class Ctx:
     """Lazily built, shared intermediate plans for one (spark, sf_dir)."""
 
@@ -48,9 +52,12 @@ class Ctx:
         return zones_from_rows(self.spark)
 
     def cells(self) -> geo.EdgeCells:
-        if self._cells is None:
-            self._cells = geo.edge_cells(geo.zone_edges(self.zones()))
-        return self._cells
+        """Edge cells of the zone layer, built once per session (the layer is
+        fixed; its size is checked inside ``edge_cells``)."""
+        key = (self.spark.sparkContext.applicationId, id(self.spark))
+        if key not in _CELLS:
+            _CELLS[key] = geo.edge_cells(geo.zone_edges(self.zones()))
+        return _CELLS[key]
 
     # logbook -----------------------------------------------------------
     def logbook_rows(self) -> DataFrame:
@@ -72,12 +79,19 @@ class Ctx:
         return jobs.tag_by_key(self.classified())
 
     def trip_keys(self) -> DataFrame:
-        return jobs.trip_keys(self.classified())
+        """Trips with a set within the buffer.  Built from the narrow
+        logbook chain (no lookups, no set-level DISTINCT): the distinct
+        (vessel, landing date, trip) of the rows within is the same."""
+        return jobs.trip_keys(jobs.classify_sets(self.narrow_rows(), self.cells()))
+
+    def narrow_rows(self) -> DataFrame:
+        tb = self.tb
+        return jobs.logbook_rows(tb.trips(), tb.activities(), tb.gear_codes(), tb.species_codes(),
+                                 tb.trip_qc(), LANDED_AFTER, lookups=False)
 
     def overrides(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(k, dt.date.fromisoformat(d)) for k, d in OVERRIDES],
-            "SCHEDULE_NUMBER string, dealer_date date")
+        return literal_table(self.spark, "SCHEDULE_NUMBER string, dealer_date date",
+                             [(k, dt.date.fromisoformat(d)) for k, d in OVERRIDES])
 
     def dated_keys(self) -> DataFrame:
         return jobs.with_dealer_date(self.trip_keys(), self.overrides())
@@ -119,10 +133,7 @@ def _money(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 def q_final_trips_sets(c: Ctx) -> DataFrame:
-    tb = c.tb
-    rows = jobs.logbook_rows(tb.trips(), tb.activities(), tb.gear_codes(), tb.species_codes(),
-                             tb.trip_qc(), LANDED_AFTER, lookups=False)
-    return jobs.final_trips_sets(jobs.classify_sets(rows, c.cells()))
+    return jobs.final_trips_sets(jobs.classify_sets(c.narrow_rows(), c.cells()))
 
 
 def q_extract_logbook(c: Ctx) -> DataFrame:

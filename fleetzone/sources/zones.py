@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .literal import literal_table
+
 ZONE_SCHEMA = T.StructType([
     T.StructField("zone_id", T.StringType(), False),
     T.StructField("name", T.StringType(), True),
@@ -28,8 +30,8 @@ TEST_ZONES = [
 def zones_from_rows(spark: SparkSession, rows=None) -> DataFrame:
     """A zones table from ``(zone_id, name, [(lon, lat), ...])`` tuples."""
     rows = TEST_ZONES if rows is None else rows
-    data = [(z, n, [{"lon": float(x), "lat": float(y)} for x, y in ring]) for z, n, ring in rows]
-    return spark.createDataFrame(data, ZONE_SCHEMA)
+    data = [(z, n, [(float(x), float(y)) for x, y in ring]) for z, n, ring in rows]
+    return literal_table(spark, ZONE_SCHEMA, data)
 
 
 def read_zones(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

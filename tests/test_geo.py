@@ -38,7 +38,7 @@ def unproj(x, y):
     return lon, phi / geo.RAD
 
 
-def seg_dist(px, py, a, b):
+def seg_dist_old(px, py, a, b):
     (x1, y1), (x2, y2) = a, b
     dx, dy = x2 - x1, y2 - y1
     l2 = dx * dx + dy * dy
@@ -46,6 +46,19 @@ def seg_dist(px, py, a, b):
     return math.hypot(px - x1 - t * dx, py - y1 - t * dy)
 
 
+def seg_dist(px, py, a, b):
+    (x1, y1), (x2, y2) = a, b
+    ax, ay, dx, dy = px - x1, py - y1, x2 - x1, y2 - y1
+    l2 = dx * dx + dy * dy
+    dot = ax * dx + ay * dy
+    if dot <= 0:
+        return math.sqrt(ax * ax + ay * ay)
+    if dot >= l2:
+        return math.hypot(ax - dx, ay - dy)
+    cross = ax * dy - ay * dx
+    return math.sqrt(cross * cross / l2)
+
+
 def brute(lon, lat, zones, d=geo.BUFFER_M):
     inside = []
     best = math.inf
