@@ -66,3 +66,22 @@ def drop_all_flagged(left: DataFrame, right: DataFrame, on: str, null_col: str)
 def distinct_keys(df: DataFrame, col: str) -> DataFrame:
     """The distinct key set of one column (feeds ``semi_join``)."""
     return df.select(col).distinct()
+
+
+def left_join_split(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """``left LEFT JOIN right USING (on)`` written so a hot key can be split.
+
+    Spark's adaptive skew handling can split either side of an inner join
+    but only the left side of a left outer join; when the many-rows side is
+    the right one (activities per trip), a key holding a large share of the
+    rows would land in a single task.  So the result is built as
+
+        inner join  UNION ALL  (left rows with no right row, right columns NULL)
+
+    where the second part is an anti join against the right side's distinct
+    keys (a map-side-combined aggregate, small even for a hot key).
+    """
+    inner = left.join(right, on, "inner")
+    keys = right.select(on).distinct()
+    lonely = left.join(keys, on, "left_anti")
+    return inner.unionByName(lonely, allowMissingColumns=True)

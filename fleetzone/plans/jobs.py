@@ -47,7 +47,7 @@ TRIP_SET_COLUMNS = ["LOGBOOK_KEY", "BATCH_NUMBER", SET_KEY, "SCHEDULE_NUMBER", "
 def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
                  species_codes: DataFrame, trip_qc: DataFrame, landed_after: str,
                  fleet=None, date_format: str = "dd-MMM-yyyy",
-                 lookups: bool = True) -> DataFrame:
+                 lookups: bool = True, split_hot_trips: bool = True) -> DataFrame:
     """The logbook extract before its DISTINCT and ORDER BY.
 
     trips LEFT JOIN activities LEFT JOIN gear codes LEFT JOIN species
@@ -69,8 +69,10 @@ def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
     if fleet is not None:
         t = extract.keep_ids(t, "VESSEL_ID", fleet)
     t = extract.drop_all_flagged(t, trip_qc, "SCHEDULE_NUMBER", "DELETED_DATE")
-    a = activities
-    j = t.join(a, "LOGBOOK_KEY", "left")
+    if split_hot_trips:
+        j = extract.left_join_split(t, activities, "LOGBOOK_KEY")
+    else:
+        j = t.join(activities, "LOGBOOK_KEY", "left")
     if not lookups:
         return j.select(*[c for c in EXTRACT_COLUMNS if c in TRIP_SET_COLUMNS])
     j = j.join(gear_codes, "GEAR_CODE_NMFS", "left")

@@ -48,7 +48,7 @@ def _dec(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
-class Testbed:
+class StandIns:
     """Lazily built stand-in tables over one ``sf_dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
