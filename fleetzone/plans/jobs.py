@@ -217,22 +217,22 @@ def match_audit(keys: DataFrame, dealer: DataFrame, second: DataFrame) -> DataFr
 
 
 def dealer_activity_flag(dealer: DataFrame, keys: DataFrame) -> DataFrame:
-    """Dealer rows with ``mon_activity`` (1/0): matched by (vessel, landing
+    """Dealer rows with ``area_activity`` (1/0): matched by (vessel, landing
     date) or by trip id, using the uncorrected dates."""
     vd = keys.select("VESSEL_ID", "LANDING_DATE")
     tid = keys.select("SCHEDULE_NUMBER")
     out = match.either_flag(dealer, vd, [("SUPPLIER_VESSEL_ID", "VESSEL_ID"),
                                          ("DATE_LANDED", "LANDING_DATE")],
                             tid, [("TRIP_ID", "SCHEDULE_NUMBER")], "__m")
-    return out.withColumn("mon_activity", F.col("__m").cast("int")).drop("__m")
+    return out.withColumn("area_activity", F.col("__m").cast("int")).drop("__m")
 
 
-def monument_flag(ledger: DataFrame, vessel: str, date: str, dated_keys: DataFrame) -> DataFrame:
-    """Ledger rows with ``monument`` (1/0): (vessel, date) matches a trip's
+def area_flag(ledger: DataFrame, vessel: str, date: str, dated_keys: DataFrame) -> DataFrame:
+    """Ledger rows with ``in_area`` (1/0): (vessel, date) matches a trip's
     (VESSEL_ID, dealer_date)."""
     k = dated_keys.select("VESSEL_ID", "dealer_date")
     out = match.exists_flag(ledger, k, [(vessel, "VESSEL_ID"), (date, "dealer_date")], "__m")
-    return out.withColumn("monument", F.col("__m").cast("int")).drop("__m")
+    return out.withColumn("in_area", F.col("__m").cast("int")).drop("__m")
 
 
 def dressed_weight(quantity: str = "REPORTED_QUANTITY", unit: str = "UNIT",
@@ -254,7 +254,7 @@ def dealer_summary(dealer_flagged: DataFrame) -> DataFrame:
     d = dealer_flagged.where(F.col("not_included").isNull())
     return rollup.landings_summary(
         d, {"VESSEL_ID": "SUPPLIER_VESSEL_ID", "YEAR": "YEAR_OF_LANDING",
-            "COMMON_NAME": "COMMON_NAME_AS_REPORTED"}, "monument",
+            "COMMON_NAME": "COMMON_NAME_AS_REPORTED"}, "in_area",
         dw=lambda t: sum_strict_where(t, "converted_dw"),
         revenue=lambda t: sum_skip_where(t, "TOTAL_DOLLARS"))
 
@@ -265,7 +265,7 @@ def second_summary(second_flagged: DataFrame, species: str = "Bluefin") -> DataF
     s = second_flagged.withColumns({"COMMON_NAME": F.lit(species), "dw_lb": dressed_weight()})
     return rollup.landings_summary(
         s, {"VESSEL_ID": "COAST_GUARD_NBR", "YEAR": "LANDING_YEAR", "COMMON_NAME": "COMMON_NAME"},
-        "monument",
+        "in_area",
         dw=lambda t: sum_strict_where(t, "dw_lb"),
         revenue=lambda t: sum_strict_where(t, "DOLLARS"))
 

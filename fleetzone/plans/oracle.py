@@ -230,27 +230,27 @@ LANDINGS = {
     "dated_keys": """SELECT ks.VESSEL_ID, ks.LANDING_DATE, ks.SCHEDULE_NUMBER,
         CASE WHEN ks.SCHEDULE_NUMBER IS NULL THEN NULL WHEN o.k IS NOT NULL THEN o.d ELSE ks.LANDING_DATE END AS dealer_date
         FROM tkeys ks LEFT JOIN overrides o ON ks.SCHEDULE_NUMBER = o.k""",
-    "dealer_mon": """SELECT d.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
+    "dealer_flagged": """SELECT d.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
         WHERE k.VESSEL_ID IS NOT DISTINCT FROM d.SUPPLIER_VESSEL_ID
-          AND k.dealer_date IS NOT DISTINCT FROM d.DATE_LANDED) THEN 1 ELSE 0 END AS BIGINT) AS monument FROM dealer d""",
-    "second_mon": """SELECT s.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
+          AND k.dealer_date IS NOT DISTINCT FROM d.DATE_LANDED) THEN 1 ELSE 0 END AS BIGINT) AS in_area FROM dealer d""",
+    "ledger2_flagged": """SELECT s.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM dated_keys k
         WHERE k.VESSEL_ID IS NOT DISTINCT FROM s.COAST_GUARD_NBR
-          AND k.dealer_date IS NOT DISTINCT FROM s.LANDING_DATE) THEN 1 ELSE 0 END AS BIGINT) AS monument,
+          AND k.dealer_date IS NOT DISTINCT FROM s.LANDING_DATE) THEN 1 ELSE 0 END AS BIGINT) AS in_area,
         CASE WHEN UNIT IS NULL THEN NULL WHEN UNIT = 'ROUND' THEN REPORTED_QUANTITY * CAST(0.8 AS DECIMAL(2,1))
              ELSE REPORTED_QUANTITY END AS dw_lb FROM ledger2 s""",
     "edlr_g": f"""SELECT SUPPLIER_VESSEL_ID AS VESSEL_ID, YEAR_OF_LANDING AS YEAR,
-        COMMON_NAME_AS_REPORTED AS COMMON_NAME, monument,
+        COMMON_NAME_AS_REPORTED AS COMMON_NAME, in_area,
         {strict_sum('converted_dw')} AS dw_lb, coalesce(sum(TOTAL_DOLLARS), 0) AS revenue
-        FROM dealer_mon WHERE not_included IS NULL GROUP BY ALL""",
-    "bft_g": f"""SELECT COAST_GUARD_NBR AS VESSEL_ID, LANDING_YEAR AS YEAR, 'Bluefin' AS COMMON_NAME, monument,
-        {strict_sum('dw_lb')} AS dw_lb, {strict_sum('DOLLARS')} AS revenue FROM second_mon GROUP BY ALL""",
+        FROM dealer_flagged WHERE not_included IS NULL GROUP BY ALL""",
+    "bft_g": f"""SELECT COAST_GUARD_NBR AS VESSEL_ID, LANDING_YEAR AS YEAR, 'Bluefin' AS COMMON_NAME, in_area,
+        {strict_sum('dw_lb')} AS dw_lb, {strict_sum('DOLLARS')} AS revenue FROM ledger2_flagged GROUP BY ALL""",
 }
 
 
 def _pivot(src: str) -> str:
     def cell(measure, level):
-        return (f"CASE WHEN count(*) FILTER (WHERE monument = {level}) = 0 THEN 0 "
-                f"ELSE max({measure}) FILTER (WHERE monument = {level}) END")
+        return (f"CASE WHEN count(*) FILTER (WHERE in_area = {level}) = 0 THEN 0 "
+                f"ELSE max({measure}) FILTER (WHERE in_area = {level}) END")
     return (f"SELECT VESSEL_ID, YEAR, COMMON_NAME, {cell('dw_lb', 0)} AS DW_LBS_OUT, {cell('dw_lb', 1)} AS DW_LBS_IN, "
             f"{cell('revenue', 0)} AS REVENUE_OUT, {cell('revenue', 1)} AS REVENUE_IN FROM {src} GROUP BY ALL")
 
@@ -341,7 +341,7 @@ def _flag_either() -> str:
         CASE WHEN EXISTS (SELECT 1 FROM tkeys k WHERE k.VESSEL_ID IS NOT DISTINCT FROM d.SUPPLIER_VESSEL_ID
                           AND k.LANDING_DATE IS NOT DISTINCT FROM d.DATE_LANDED)
                OR EXISTS (SELECT 1 FROM tkeys k WHERE k.SCHEDULE_NUMBER IS NOT DISTINCT FROM d.TRIP_ID)
-             THEN 1 ELSE 0 END::BIGINT AS mon_activity FROM dealer d"""
+             THEN 1 ELSE 0 END::BIGINT AS area_activity FROM dealer d"""
 
 
 def _counts(src: str, col: str, name: str, where: str = "") -> str:
@@ -467,14 +467,14 @@ SQL: dict[str, str] = {
     "null_profile": _null_profile(),
     "hemisphere_tally": _hemi_tally(),
     "unit_conversion": """SELECT DEALER_RPT_ID, UNIT, CAST(REPORTED_QUANTITY AS DOUBLE) AS REPORTED_QUANTITY,
-        CAST(dw_lb AS DOUBLE) AS dw_lb FROM second_mon""",
+        CAST(dw_lb AS DOUBLE) AS dw_lb FROM ledger2_flagged""",
     "trip_keys": "SELECT * FROM tkeys",
     "flag_single_key": """SELECT VESSEL_ID, LANDING_DATE, SCHEDULE_NUMBER,
         CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.TRIP_ID IS NOT DISTINCT FROM k.SCHEDULE_NUMBER)
              THEN 1 ELSE 0 END::BIGINT AS sch_in_edlr FROM tkeys k""",
-    "flag_composite_key": "SELECT unique_report_no, SUPPLIER_VESSEL_ID, DATE_LANDED, monument FROM dealer_mon",
+    "flag_composite_key": "SELECT unique_report_no, SUPPLIER_VESSEL_ID, DATE_LANDED, in_area FROM dealer_flagged",
     "flag_either_key": _flag_either(),
-    "flagged_trip_ids": f"SELECT DISTINCT TRIP_ID FROM ({_flag_either()}) WHERE mon_activity = 1",
+    "flagged_trip_ids": f"SELECT DISTINCT TRIP_ID FROM ({_flag_either()}) WHERE area_activity = 1",
     "match_audit": """SELECT VESSEL_ID, LANDING_DATE, SCHEDULE_NUMBER,
         CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.TRIP_ID IS NOT DISTINCT FROM k.SCHEDULE_NUMBER)
              THEN 'x' END AS sch_in_edlr,
@@ -486,12 +486,12 @@ SQL: dict[str, str] = {
     "date_override": "SELECT * FROM dated_keys",
     "trip_lookup": _money(f"SELECT * FROM dealer WHERE TRIP_ID IN ({', '.join(repr(k) for k, _ in R.OVERRIDES)})",
                           _DEALER_MONEY, _DEALER_ALL),
-    "landings_dealer": """SELECT SUPPLIER_VESSEL_ID, YEAR_OF_LANDING, COMMON_NAME_AS_REPORTED, monument,
+    "landings_dealer": """SELECT SUPPLIER_VESSEL_ID, YEAR_OF_LANDING, COMMON_NAME_AS_REPORTED, in_area,
         CAST(dw_lb AS DOUBLE) AS dw_lb, CAST(revenue AS DOUBLE) AS revenue FROM
-        (SELECT SUPPLIER_VESSEL_ID, YEAR_OF_LANDING, COMMON_NAME_AS_REPORTED, monument,
+        (SELECT SUPPLIER_VESSEL_ID, YEAR_OF_LANDING, COMMON_NAME_AS_REPORTED, in_area,
                 CASE WHEN count(converted_dw) = count(*) THEN sum(converted_dw) END AS dw_lb,
                 coalesce(sum(TOTAL_DOLLARS), 0) AS revenue
-         FROM dealer_mon WHERE not_included IS NULL GROUP BY ALL)""",
+         FROM dealer_flagged WHERE not_included IS NULL GROUP BY ALL)""",
     "pivot_in_out": _money("SELECT * FROM edlr_summary", _SP_MONEY[:4], _SP_COLS),
     "landings_union": _money("SELECT * FROM f_summary", _SP_MONEY[:4], _SP_COLS),
     "rollup_vessel_year_species": _money("SELECT * FROM f_summary_sp", _SP_MONEY,

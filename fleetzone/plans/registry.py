@@ -104,11 +104,11 @@ class Ctx:
         return jobs.second_ledger_since(self.tb.second_ledger(), SECOND_AFTER_YEAR)
 
     def dealer_summary(self) -> DataFrame:
-        return jobs.dealer_summary(jobs.monument_flag(self.dealer(), "SUPPLIER_VESSEL_ID",
+        return jobs.dealer_summary(jobs.area_flag(self.dealer(), "SUPPLIER_VESSEL_ID",
                                                       "DATE_LANDED", self.dated_keys()))
 
     def second_summary(self) -> DataFrame:
-        return jobs.second_summary(jobs.monument_flag(self.second(), "COAST_GUARD_NBR",
+        return jobs.second_summary(jobs.area_flag(self.second(), "COAST_GUARD_NBR",
                                                       "LANDING_DATE", self.dated_keys()))
 
     def landings(self) -> DataFrame:
@@ -285,18 +285,18 @@ def q_flag_single_key(c: Ctx) -> DataFrame:
 
 
 def q_flag_composite_key(c: Ctx) -> DataFrame:
-    out = jobs.monument_flag(c.dealer(), "SUPPLIER_VESSEL_ID", "DATE_LANDED", c.dated_keys())
-    return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "monument")
+    out = jobs.area_flag(c.dealer(), "SUPPLIER_VESSEL_ID", "DATE_LANDED", c.dated_keys())
+    return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "in_area")
 
 
 def q_flag_either_key(c: Ctx) -> DataFrame:
     out = jobs.dealer_activity_flag(c.dealer(), c.trip_keys())
-    return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID", "mon_activity")
+    return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID", "area_activity")
 
 
 def q_flagged_trip_ids(c: Ctx) -> DataFrame:
     out = jobs.dealer_activity_flag(c.dealer(), c.trip_keys())
-    return out.where(F.col("mon_activity") == 1).select("TRIP_ID").distinct()
+    return out.where(F.col("area_activity") == 1).select("TRIP_ID").distinct()
 
 
 def q_match_audit(c: Ctx) -> DataFrame:
@@ -314,9 +314,9 @@ def q_trip_lookup(c: Ctx) -> DataFrame:
 
 
 def q_landings_dealer(c: Ctx) -> DataFrame:
-    d = jobs.monument_flag(c.dealer(), "SUPPLIER_VESSEL_ID", "DATE_LANDED", c.dated_keys())
+    d = jobs.area_flag(c.dealer(), "SUPPLIER_VESSEL_ID", "DATE_LANDED", c.dated_keys())
     d = d.where(F.col("not_included").isNull())
-    g = d.groupBy("SUPPLIER_VESSEL_ID", "YEAR_OF_LANDING", "COMMON_NAME_AS_REPORTED", "monument").agg(
+    g = d.groupBy("SUPPLIER_VESSEL_ID", "YEAR_OF_LANDING", "COMMON_NAME_AS_REPORTED", "in_area").agg(
         na.sum_strict("converted_dw").alias("dw_lb"), na.sum_skip("TOTAL_DOLLARS").alias("revenue"))
     return _money(g)
 
