@@ -287,13 +287,12 @@ def classify(df: DataFrame, lon: str, lat: str, cells: EdgeCells,
     zones_in = F.coalesce(
         F.transform(F.filter("__r_zones", inside), lambda z: z["zone_id"]),
         F.array().cast("array<string>"))
-    out = j.select(
-        *[F.col(c) for c in df.columns],
-        zones_in.alias(f"{prefix}zones_in"),
-        near.alias("__near"))
+    out = j.select(*[F.col(c) for c in df.columns], zones_in.alias(f"{prefix}zones_in"),
+                   *[F.col(c) for c in ("__all_within", "__d_edges", "__px", "__py")])
     out = out.withColumn(f"{prefix}in_zone", F.size(F.col(f"{prefix}zones_in")) > 0)
-    out = out.withColumn(f"{prefix}within", F.col(f"{prefix}in_zone") | F.col("__near"))
-    return out.drop("__near")
+    # distance tests only for rows not already inside a zone
+    out = out.withColumn(f"{prefix}within", F.when(F.col(f"{prefix}in_zone"), F.lit(True)).otherwise(near))
+    return out.drop("__all_within", "__d_edges", "__px", "__py")
 
 
 def position_ok(lon: str, lat: str) -> Column:
