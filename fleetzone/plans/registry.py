@@ -20,7 +20,7 @@ from ..functions import na
 from ..functions.coords import lat_dd, lon_dd
 from ..functions.text import clean_column_names, first_part, label, year_text
 from ..operators import extract, geo, match, profile, reshape, rollup
-from ..session import work_path
+from ..session import ensure_work_dir, work_path
 from ..sources import files
 from ..sources.literal import literal_table
 from ..sources.testbed import StandIns
@@ -45,7 +45,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tb = StandIns(spark, sf_dir)
-        self._cells = None
+        self._dated = None
 
     # zones -----------------------------------------------------------
     def zones(self) -> DataFrame:
@@ -94,7 +94,13 @@ class Ctx:
                              [(k, dt.date.fromisoformat(d)) for k, d in OVERRIDES])
 
     def dated_keys(self) -> DataFrame:
-        return jobs.with_dealer_date(self.trip_keys(), self.overrides())
+        """In-zone trips with their ledger date.  Both ledgers are matched
+        against them, so they are written once to the shared checkpoint
+        folder (reliable, lineage cut) instead of being rebuilt per ledger."""
+        if self._dated is None:
+            ensure_work_dir(self.spark)
+            self._dated = jobs.with_dealer_date(self.trip_keys(), self.overrides()).checkpoint(eager=True)
+        return self._dated
 
     # ledgers -----------------------------------------------------------
     def dealer(self) -> DataFrame:
@@ -438,7 +444,12 @@ def q_clean_column_names(c: Ctx) -> DataFrame:
 
 def q_report_tables(c: Ctx) -> DataFrame:
     base = _scratch(c, "report")
-    sp = c.landings_sp()
+    # The per-species summary is computed once and written to the shared
+    # folder; all three sheets are derived from that written table, so the
+    # landings pipeline runs once and the lineage is cut there.
+    stage = f"{base}/_stage/VesselYearSpecies"
+    c.landings_sp().write.mode("overwrite").parquet(stage)
+    sp = c.spark.read.parquet(stage)
     tables = {"VesselYearSpecies": _money(sp),
               "VesselYear": _money(rollup.rollup(sp, ["VESSEL_ID", "YEAR"])),
               "Vessel": _money(rollup.rollup(sp, ["VESSEL_ID"]))}

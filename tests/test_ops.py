@@ -133,3 +133,20 @@ def test_csv_roundtrip_and_newest_file(spark):
     assert found["obs_hauls"].endswith("run_date=2022-12-05")
     back = files.read_csv(spark, found["obs_hauls"], df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_left_join_split_equals_left_join(spark):
+    t = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, tv int")
+    a = spark.createDataFrame([("a", 10), ("a", 11), ("c", 30), ("z", 99), (None, 0)], "k string, av int")
+    want = sorted(map(tuple, t.join(a, "k", "left").select("k", "tv", "av").collect()), key=str)
+    got = sorted(map(tuple, extract.left_join_split(t, a, "k").select("k", "tv", "av").collect()), key=str)
+    assert got == want
+
+
+def test_literal_table_is_jvm_side(spark):
+    from fleetzone.sources.literal import literal_table
+    df = literal_table(spark, "k string, d date, xs array<double>",
+                       [("a", dt.date(2020, 1, 2), [1.0, 2.0]), (None, None, None)])
+    assert [tuple(r) for r in df.collect()] == [("a", dt.date(2020, 1, 2), [1.0, 2.0]), (None, None, None)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PythonRDD" not in plan and "ExistingRDD" not in plan
