@@ -64,3 +64,25 @@ def ensure_work_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared work folder."""
     return os.path.join(ensure_work_dir(spark), *parts)
+
+
+def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.5,
+                 partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a cluster run, sized from the bytes the jobs read.
+
+    Shuffle partitions are sized so that the largest shuffle (taken as
+    ``shuffle_fraction`` of the input) lands near ``partition_bytes`` per
+    partition; AQE then coalesces small partitions and splits skewed ones.
+    Scan splits use the same target.  The checkpoint folder is left to the
+    cluster (``spark.checkpoint.dir``).
+    """
+    parts = max(200, int(input_bytes * shuffle_fraction // partition_bytes) + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
