@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coords import lat_dd, lon_dd
-from ..functions.na import (if_else, n_distinct, sum_skip_where, sum_strict,
-                            sum_strict_where)
-from ..functions.text import first_part, label
+from ..functions.na import if_else, n_distinct_where, sum_skip_where, sum_strict, sum_strict_where
+from ..functions.text import first_part, label, year_text
 from ..operators import extract, geo, match, reshape, rollup
 
 SET_KEY = "ORIGINAL_BATCH_SEQUENCE_NUMBER"
@@ -147,7 +146,6 @@ def final_trips_sets(classified_rows: DataFrame) -> DataFrame:
 
 def counts_by_year(sets: DataFrame, col: str, name: str) -> DataFrame:
     """``n_distinct(col)`` per (VESSEL_ID, YEAR)."""
-    from ..functions.text import year_text
     return rollup.distinct_count_by(sets, ["VESSEL_ID", year_text("LANDING_DATE").alias("YEAR")],
                                     col, name)
 
@@ -161,7 +159,6 @@ def merge_counts(sets: DataFrame, tagged: DataFrame) -> DataFrame:
     """Four count tables merged by three full outer joins on (VESSEL_ID, YEAR),
     keys matched null-safely, ordered by key.  (``final_trips_sets`` fuses
     the same counts into one aggregate; this is the literal merge.)"""
-    from ..functions.text import year_text
     y = year_text("LANDING_DATE").alias("YEAR")
     parts = [
         rollup.distinct_count_by(sets, ["VESSEL_ID", y], "SCHEDULE_NUMBER", "n_trips"),
@@ -338,7 +335,6 @@ def inside_outside_counts(positions: DataFrame, cells: geo.EdgeCells) -> DataFra
     c = geo.classify(positions, "lon_dd", "lat_dd", cells)
     trip = first_part("trip_haul", ".")
     inside, outside = F.col("within"), ~F.col("within")
-    from ..functions.na import n_distinct_where
     return c.agg(
         n_distinct_where(inside, "trip_haul").alias("n_hauls_in"),
         n_distinct_where(inside, trip).alias("n_trips_in"),

@@ -369,7 +369,7 @@ def _merge() -> str:
         ON a.VESSEL_ID IS NOT DISTINCT FROM b.VESSEL_ID AND a.YEAR IS NOT DISTINCT FROM b.YEAR)"""
 
 
-YEARS = [str(y) for y in range(1996, 2002)]
+YEARS = R.YEARS
 
 
 def _wide(col: str, name: str) -> str:
@@ -563,8 +563,34 @@ _A_POS = {"a_pos": f"""SELECT {dms('LATITUDE_DEGREES', 'LATITUDE_MINUTES', 'LATI
 _A_POS.update({k: v for k, v in geo_ctes("a_pos", "a").items() if k == "a_p"})
 
 
+# Date columns in each query's output.  Results carry dates as ISO text
+# (Spark side: ``registry.normalise_types``) so they compare the same
+# however a checker turns rows into values.
+DATE_OUTPUTS = {
+    "clean_column_names": ["LANDING_DATE"],
+    "csv_roundtrip": ["LANDING_DATE", "SET_DATE"],
+    "date_override": ["LANDING_DATE", "dealer_date"],
+    "extract_logbook": ["LANDING_DATE", "SET_DATE"],
+    "flag_composite_key": ["DATE_LANDED"],
+    "flag_either_key": ["DATE_LANDED"],
+    "flag_single_key": ["LANDING_DATE"],
+    "left_join_isnull": ["LANDING_DATE"],
+    "match_audit": ["LANDING_DATE"],
+    "preview_head": ["LANDING_DATE", "SET_DATE"],
+    "set_level": ["LANDING_DATE", "SET_DATE"],
+    "tag_sets": ["LANDING_DATE"],
+    "trip_keys": ["LANDING_DATE"],
+    "trip_lookup": ["DATE_LANDED"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in SQL.items():
-        out[name] = with_ctes(body, LOGBOOK, OBSERVER, _A_POS)
+        sql = with_ctes(body, LOGBOOK, OBSERVER, _A_POS)
+        repl = [f"CAST({c} AS VARCHAR) AS {c}" for c in DATE_OUTPUTS.get(name, [])]
+        repl += [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in R.DOUBLE_OUTPUTS.get(name, [])]
+        if repl:
+            sql = f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql})"
+        out[name] = sql
     return out
