@@ -44,7 +44,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tb = StandIns(spark, sf_dir)
-        self._dated = None
+        self._keys = None
 
     # zones -----------------------------------------------------------
     def zones(self) -> DataFrame:
@@ -80,8 +80,15 @@ class Ctx:
     def trip_keys(self) -> DataFrame:
         """Trips with a set within the buffer.  Built from the narrow
         logbook chain (no lookups, no set-level DISTINCT): the distinct
-        (vessel, landing date, trip) of the rows within is the same."""
-        return jobs.trip_keys(jobs.classify_sets(self.narrow_rows(), self.cells()))
+        (vessel, landing date, trip) of the rows within is the same.  Most
+        landings queries match against these keys more than once, so they
+        are written once to the shared checkpoint folder (reliable, lineage
+        cut) and read back from there."""
+        if self._keys is None:
+            ensure_work_dir(self.spark)
+            keys = jobs.trip_keys(jobs.classify_sets(self.narrow_rows(), self.cells()))
+            self._keys = keys.checkpoint(eager=True)
+        return self._keys
 
     def narrow_rows(self) -> DataFrame:
         tb = self.tb
@@ -93,13 +100,9 @@ class Ctx:
                              [(k, dt.date.fromisoformat(d)) for k, d in OVERRIDES])
 
     def dated_keys(self) -> DataFrame:
-        """In-zone trips with their ledger date.  Both ledgers are matched
-        against them, so they are written once to the shared checkpoint
-        folder (reliable, lineage cut) instead of being rebuilt per ledger."""
-        if self._dated is None:
-            ensure_work_dir(self.spark)
-            self._dated = jobs.with_dealer_date(self.trip_keys(), self.overrides()).checkpoint(eager=True)
-        return self._dated
+        """In-zone trips with their ledger date (a small broadcast join on
+        the checkpointed trip keys)."""
+        return jobs.with_dealer_date(self.trip_keys(), self.overrides())
 
     # ledgers -----------------------------------------------------------
     def dealer(self) -> DataFrame:
