@@ -164,3 +164,26 @@ def test_classify_plan_has_no_nested_loop_or_cartesian(spark):
     plan = geo.classify(df, "lon", "lat", cells)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_hot_position_and_key_give_whole_results(spark):
+    """A third of all rows at one position with one set key: same report as
+    computing each row on its own (nothing dropped or capped)."""
+    from fleetzone.operators import rollup
+    n = 3000
+    df = spark.range(n).select(
+        (F.col("id") % 50).cast("string").alias("VESSEL_ID"),
+        F.lit("2020-01-01").alias("LANDING_DATE"),
+        F.when(F.col("id") < n // 3, F.lit("HOT")).otherwise((F.col("id") % 400).cast("string")).alias("SCHEDULE_NUMBER"),
+        F.when(F.col("id") < n // 3, F.lit("HOT-1")).otherwise(F.col("id").cast("string")).alias("SET"),
+        F.when(F.col("id") < n // 3, F.lit(-67.5)).otherwise(F.lit(-70.0) + (F.col("id") % 97) / 10).alias("lon"),
+        F.when(F.col("id") < n // 3, F.lit(40.5)).otherwise(F.lit(37.0) + (F.col("id") % 89) / 17).alias("lat"))
+    cells = geo.edge_cells(geo.zone_edges(zones_from_rows(spark)))
+    cl = geo.classify(df, "lon", "lat", cells)
+    assert cl.count() == n
+    hot = cl.where(F.col("SET") == "HOT-1").agg(F.min(F.col("within").cast("int"))).first()[0]
+    assert hot == 1
+    rep = rollup.trips_sets_report_from_rows(cl, set_key="SET")
+    total_sets = rep.agg(F.sum("n_sets")).first()[0]
+    want = df.select("VESSEL_ID", "SET").distinct().count()
+    assert total_sets == want

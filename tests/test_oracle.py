@@ -34,3 +34,9 @@ def test_entry_runs(spark):
     assert df.columns == ["VESSEL_ID", "YEAR", "n_trips", "n_sets", "n_trips_in", "n_sets_in",
                           "perc_trips_in", "perc_sets_in"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_nested_loop_or_cartesian(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
