@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,12 +51,15 @@ def ensure_work_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset (tests, local runs) a fresh local
-    folder is created and registered.
+    file system); executors could not see a folder of the driver's own disk,
+    so an unset folder is an error there.  Only a local session (tests) gets
+    a fresh local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current.removeprefix("file:")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="fleetzone-")
     spark.sparkContext.setCheckpointDir(path)
     return path

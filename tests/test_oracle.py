@@ -8,11 +8,12 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__ as E  # noqa: E402
+from fleetzone.plans import oracle, registry  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
