@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name under the shared work folder."""
+    return work_path(spark, "tables", f"{label}-{uuid.uuid4().hex}")
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written under the shared work folder and read back.
 
@@ -22,7 +27,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     a lost executor.
     """
     spark = df.sparkSession
-    path = work_path(spark, "tables", f"{label}-{uuid.uuid4().hex}")
+    path = work_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
