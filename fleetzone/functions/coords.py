@@ -14,19 +14,17 @@ def dms_to_decimal(degrees, minutes, hemisphere, axis: str) -> Column:
     """Signed decimal degrees from degrees, minutes and a hemisphere letter.
 
     ``axis`` is ``"lat"`` or ``"lon"``.  S and W are negative.  A missing
-    hemisphere is read as the usual one for the survey area (N for
+    or empty hemisphere is read as the usual one for the survey area (N for
     latitude, W for longitude), so N/W data gives the same numbers as the
-    hemisphere-blind formula.  The sign comes from the hemisphere column,
-    never from a column name.
+    hemisphere-blind formula; any other letter gives NULL.  The sign comes
+    from the hemisphere column, never from a column name.
     """
     if axis not in ("lat", "lon"):
         raise ValueError("axis must be 'lat' or 'lon'")
-    negative = "S" if axis == "lat" else "W"
-    default_negative = axis == "lon"
-    h = F.upper(F.trim(_c(hemisphere)))
-    is_negative = F.when(h.isNull(), F.lit(default_negative)).otherwise(h == negative)
+    positive, negative, usual = ("N", "S", "N") if axis == "lat" else ("E", "W", "W")
+    h = F.coalesce(F.nullif(F.upper(F.trim(_c(hemisphere))), F.lit("")), F.lit(usual))
     value = _c(degrees) + _c(minutes) / F.lit(60.0)
-    return F.when(is_negative, -value).otherwise(value)
+    return F.when(h == negative, -value).when(h == positive, value)
 
 
 def lat_dd(degrees, minutes, hemisphere) -> Column:

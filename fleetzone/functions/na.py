@@ -101,11 +101,6 @@ def fill_missing(df: DataFrame) -> DataFrame:
     return df.na.fill(0).na.fill("0")
 
 
-def non_null(col: Column | str) -> Column:
-    """Filter used before a frequency tally: missing values are left out."""
-    return _c(col).isNotNull()
-
-
 def sum_strict_where(test: Column, col: Column | str) -> Column:
     """``sum_strict`` over the rows where ``test`` is true."""
     c = _c(col)

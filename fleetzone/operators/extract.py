@@ -11,7 +11,7 @@ def keep_ids(df: DataFrame, col: str, ids) -> DataFrame:
 
     A short literal list becomes an ``IN`` filter (pushed into the scan);
     a DataFrame of ids becomes a left-semi join.  Ids are compared as
-    STRING, so ``'NJ0746GN'`` and ``'1026595'`` sit side by side.
+    STRING, so ``'QX0001ZZ'`` and ``'1000001'`` sit side by side.
     """
     if isinstance(ids, DataFrame):
         key = ids.columns[0]

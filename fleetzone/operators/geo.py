@@ -12,8 +12,9 @@ Layout
   look at:
 
   - *distance cells* (projected metres, side ``cell_m``): every edge whose
-    bounding box grown by the distance touches the cell, or just the flag
-    ``all_within`` when the whole cell lies inside one edge's buffer;
+    bounding box grown by the distance touches the cell and that can be the
+    nearest edge of one of its points, or just the flag ``all_within`` when
+    the whole cell lies inside one edge's buffer;
   - *ray cells* (degrees, side ``band_deg``): for the ray-parity test, an
     edge is listed in every cell of the latitude bands it spans, from the
     western edge of its zone's bounding box to the edge's own eastern end.
@@ -22,8 +23,8 @@ Layout
     listed there, so the parity is exact.
 
 * ``classify(df, lon, lat, cells)``: joins each row to its two cells
-  (broadcast hash joins when the cell tables are within the checked size
-  bound, shuffle joins otherwise) and computes, per row, with higher-order
+  (Spark broadcasts a cell table while its size is under the session's
+  threshold and shuffles beyond) and computes, per row, with higher-order
   array functions over the few candidate edges:
 
   - ``in_zone``: inside (or on the boundary of) at least one zone;
@@ -48,6 +49,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_table
+
 # Projection parameters (ESRI:102005, public registry).
 GRS80_A = 6378137.0
 GRS80_INV_F = 298.257222101
@@ -132,20 +135,19 @@ class EdgeCells:
     distance_m: float
     cell_m: float
     band_deg: float
-    broadcast: bool
 
 
 def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | None = None,
-               band_deg: float = 0.5, broadcast_limit: int = 2_000_000,
-               local_limit: int = 250_000) -> EdgeCells:
+               band_deg: float = 0.5) -> EdgeCells:
     """Build the distance-cell and ray-cell tables for ``edges``.
 
-    The tables are small (zones x edges x cells).  Their total number of
-    edge entries is counted once; they are broadcast only when that count
-    is within ``broadcast_limit``, otherwise the joins in ``classify`` are
-    plain shuffle joins.  Up to ``local_limit`` entries the tables are also
-    cached once (a zone layer of a few thousand edges), so later plans do
-    not re-run the explode and group steps.
+    Both are written once under the shared work folder, so every plan that
+    joins them reads a table of known size: Spark broadcasts it while it is
+    under the session's broadcast threshold and shuffles it beyond.
+
+    A distance cell that lies wholly inside one edge's buffer needs no edges
+    at all; that is decided before any are collected.  Of the others only
+    edges that can be the nearest one for some point of the cell are kept.
     """
     cell_m = float(cell_m or max(distance_m / 4.0, 1000.0))
     d = _lit(distance_m)
@@ -167,26 +169,33 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
     # wholly inside that edge's buffer (distance to a segment is convex), so
     # its points need no edge test at all.
     inner2 = _lit(max(distance_m - 1.0, 0.0) ** 2)
-    corners = [(F.col("dcx") + i) * _lit(cell_m) for i in (0, 1)]
-    rows_ = [(F.col("dcy") + i) * _lit(cell_m) for i in (0, 1)]
     covers = None
-    for cx in corners:
-        for cy in rows_:
-            c = _seg_dist2(F.col("e"), cx, cy) <= inner2
+    for i in (0, 1):
+        for k in (0, 1):
+            c = _seg_dist2(F.col("e"), (F.col("dcx") + i) * _lit(cell_m), (F.col("dcy") + k) * _lit(cell_m)) <= inner2
             covers = c if covers is None else covers & c
-    dist_cells = dist.groupBy("dcx", "dcy").agg(
-        F.max(covers).alias("all_within"), F.collect_list("e").alias("d_edges"))
-    dist_cells = dist_cells.select(
-        "dcx", "dcy", "all_within",
-        F.when(F.col("all_within"), F.array().cast(dist_cells.schema["d_edges"].dataType))
-         .otherwise(F.col("d_edges")).alias("d_edges"))
+    half = F.lit(0.5)
+    centre = F.sqrt(_seg_dist2(F.col("e"), (F.col("dcx") + half) * _lit(cell_m), (F.col("dcy") + half) * _lit(cell_m)))
+    dist = dist.withColumns({"covers": covers, "centre": centre})
+    limits = dist.groupBy("dcx", "dcy").agg(F.max("covers").alias("all_within"), F.min("centre").alias("nearest"))
+    # With r the cell's half diagonal, a point is at most nearest + r from
+    # the closest edge and at least centre - r from this one.
+    r = _lit(cell_m * math.sqrt(0.5))
+    slack = _lit(1.0)
+    kept = (dist.join(limits.where(~F.col("all_within")), ["dcx", "dcy"])
+                .where(F.col("centre") - r <= F.least(d, F.col("nearest") + r) + slack)
+                .groupBy("dcx", "dcy").agg(F.collect_list("e").alias("d_edges")))
+    whole = limits.where("all_within").select(
+        "dcx", "dcy", F.lit(True).alias("all_within"),
+        F.array().cast(kept.schema["d_edges"].dataType).alias("d_edges"))
+    dist_cells = kept.select("dcx", "dcy", F.lit(False).alias("all_within"), "d_edges").unionByName(whole)
 
     # Ray cells: latitude bands spanned by the edge, longitude bands from the
     # zone's western box edge to the edge's eastern end.
     zone_west = edges.groupBy("zone_id").agg(
         F.least(F.min("x1"), F.min("x2")).alias("zone_xmin"))
     b = _lit(band_deg)
-    ray = edges.join(F.broadcast(zone_west), "zone_id").select(
+    ray = edges.join(zone_west, "zone_id").select(
         "zone_id", "edge_id", "x1", "y1", "x2", "y2",
         F.explode(F.sequence(F.floor(F.least("y1", "y2") / b),
                              F.floor(F.greatest("y1", "y2") / b))).alias("rlat"),
@@ -197,19 +206,8 @@ def edge_cells(edges: DataFrame, distance_m: float = BUFFER_M, cell_m: float | N
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
     ray_cells = per_zone.groupBy("rlat", "rlon").agg(
         F.array_sort(F.collect_list(F.struct("zone_id", "edges"))).alias("r_zones"))
-
-    n_entries = (dist.agg(F.count(F.lit(1)).alias("n"))
-                 .union(ray.agg(F.count(F.lit(1)).alias("n"))).agg(F.sum("n")).first()[0]) or 0
-    small = n_entries <= broadcast_limit
-    if n_entries <= local_limit:
-        # Proven small (counted above): keep them cached so every plan that
-        # joins them broadcasts a ready relation instead of re-running the
-        # explode and group jobs (a lost cache block is rebuilt from lineage).
-        dist_cells, ray_cells = dist_cells.cache(), ray_cells.cache()
-        dist_cells.count()
-        ray_cells.count()
-    return EdgeCells(dist_cells, ray_cells, float(distance_m), cell_m, float(band_deg),
-                     broadcast=small)
+    return EdgeCells(write_table(dist_cells, "distance-cells"), write_table(ray_cells, "ray-cells"),
+                     float(distance_m), cell_m, float(band_deg))
 
 
 # --------------------------------------------------------------------------
@@ -268,8 +266,6 @@ def classify(df: DataFrame, lon: str, lat: str, cells: EdgeCells,
         px.alias("__px"), py.alias("__py"))
     dcells = cells.dist_cells.toDF("__dcx", "__dcy", "__all_within", "__d_edges")
     rcells = cells.ray_cells.toDF("__rlat", "__rlon", "__r_zones")
-    if cells.broadcast:
-        dcells, rcells = F.broadcast(dcells), F.broadcast(rcells)
     j = (keyed.join(dcells, ["__dcx", "__dcy"], "left")
               .join(rcells, ["__rlat", "__rlon"], "left"))
 

@@ -63,18 +63,18 @@ def as_int(flag: Column | str) -> Column:
 
 
 def apply_override(df: DataFrame, overrides: DataFrame, key: str, value: str,
-                   out: str, max_rows: int = 1_000_000) -> DataFrame:
+                   out: str) -> DataFrame:
     """``out = overrides.value`` for keys in ``overrides``, else ``df.value``.
 
     A NULL key gives NULL (the test ``key == k`` is unknown).
 
-    ``overrides(key, new_value)`` is a correction table.  It is broadcast
-    only when its row count is within ``max_rows`` (checked here).
+    ``overrides(key, new_value)`` is a correction table.  Of several
+    corrections of one key the largest value (the newest date) counts, so no
+    row is ever repeated.  Spark picks the join by the table's size.
     """
     okey, oval = overrides.columns[:2]
-    o = overrides.select(F.col(okey).alias("__ok"), F.col(oval).alias("__ov")).distinct()
-    if o.count() <= max_rows:
-        o = F.broadcast(o)
+    o = (overrides.where(F.col(okey).isNotNull()).groupBy(F.col(okey).alias("__ok"))
+                  .agg(F.max(oval).alias("__ov")))
     j = df.join(o, df[key] == F.col("__ok"), "left")
     return j.select(*[df[c] for c in df.columns],
                     F.when(df[key].isNull(), F.lit(None).cast(df.schema[value].dataType))

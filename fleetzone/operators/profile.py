@@ -63,8 +63,3 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, measures: list[str])
 def preview(df: DataFrame, order_by: list[str], n: int = 6) -> DataFrame:
     """First ``n`` rows in a stated order (a top-n, never a bare ``limit``)."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
-
-
-def distinct_count(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Whole-table distinct count (NULL counted as a value)."""
-    return df.agg(n_distinct(col).alias(name))

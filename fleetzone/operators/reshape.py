@@ -2,46 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def pivot_wide(df: DataFrame, id_cols: list[str], names_from: str, values_from: str,
                names: list) -> DataFrame:
-    """One column per value of ``names_from`` (given list: no extra job, fixed
-    order).  Missing cells stay NULL."""
-    return (df.groupBy(*id_cols).pivot(names_from, names)
-              .agg(F.first(values_from, ignorenulls=False)))
-
-
-def pivot_flag(df: DataFrame, id_cols: list[str], flag: str, measures: dict[str, Column],
-               levels=(0, 1)) -> DataFrame:
-    """Pivot several measures over a 0/1 flag with fill 0 for absent cells.
+    """One column per value of ``names_from``, in the order of ``names``.
 
-    ``measures`` maps an output stem to an aggregate Column; the output has
-    ``{stem}_{level}`` columns selected by name.  A cell with no input row
-    becomes 0; a cell whose aggregate is NULL stays NULL.  Done as one
-    aggregate with conditional measures (no pivot job, no column-order
-    surprises).
+    ``names`` must be given: a pivot without them would run ``df`` once more
+    to find them.  Missing cells stay NULL.
     """
-    aggs = []
-    for level in levels:
-        present = F.max(F.when(F.col(flag) == level, F.lit(1)))
-        aggs.append(present.alias(f"__n_{level}"))
-    grouped = df.groupBy(*id_cols).agg(*aggs, *[
-        m.alias(f"{stem}_{level}")
-        for level in levels for stem, m in _conditional(measures, flag, level).items()])
-    cols = [F.col(c) for c in id_cols]
-    for stem in measures:
-        for level in levels:
-            cols.append(F.when(F.col(f"__n_{level}").isNull(), F.lit(0))
-                         .otherwise(F.col(f"{stem}_{level}")).alias(f"{stem}_{level}"))
-    return grouped.select(*cols)
-
-
-def _conditional(measures: dict, flag: str, level) -> dict:
-    """Measures are callables taking a row filter Column -> aggregate Column."""
-    return {stem: fn(F.col(flag) == level) for stem, fn in measures.items()}
+    return (df.groupBy(*id_cols).pivot(names_from, names)
+              .agg(F.first(values_from, ignorenulls=False)))
 
 
 def unpivot_positions(df: DataFrame, id_col: str, pairs: dict[str, tuple[str, str]],

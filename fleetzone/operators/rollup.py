@@ -7,14 +7,14 @@ not depend on row order; callers cast to DOUBLE only at the very end.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.na import (fill_missing, n_distinct, n_distinct_where, share,
                             sum_strict)
 from ..functions.text import year_text
 
-MEASURES = ["DW_LBS_OUT", "DW_LBS_IN", "REVENUE_OUT", "REVENUE_IN"]
+# Join keys that rows without a set key are spread over.
+NULL_SPREAD = 64
 
 
 def distinct_count_by(df: DataFrame, keys: list, col: str, name: str) -> DataFrame:
@@ -57,6 +57,38 @@ def trips_sets_report(tagged: DataFrame, vessel: str = "VESSEL_ID", date: str =
     return fill_missing(out)
 
 
+def flagged_sets(rows: DataFrame, vessel: str = "VESSEL_ID", date: str = "LANDING_DATE",
+                 trip: str = "SCHEDULE_NUMBER", set_key: str = "ORIGINAL_BATCH_SEQUENCE_NUMBER",
+                 within: str = "within") -> DataFrame:
+    """One row per (VESSEL_ID, YEAR, trip ``__t``, set ``__s``) with ``in_buffer``.
+
+    ``in_buffer`` is "Y" when any row of the set key is within the buffer,
+    on every row of that key; a missing key is one key.
+
+    1. "any row within" per (vessel, year, trip, set): partial aggregation
+       collapses repeated rows, hot keys included, before the shuffle;
+    2. the hit keys: a map-side-combined maximum per set key over step 1,
+       of which only the keys with a hit are kept;
+    3. step 1 left-joined to the hit keys, null-safely.  A set key shared by
+       many vessels is a skewed left side, which AQE splits; rows without a
+       set key are spread over ``NULL_SPREAD`` join keys and the one hit row
+       of the missing key is repeated for each.
+    """
+    g1 = rows.groupBy(F.col(vessel).alias("VESSEL_ID"), year_text(date).alias("YEAR"),
+                      F.col(trip).alias("__t"), F.col(set_key).alias("__s")).agg(
+        F.max(F.coalesce(F.col(within), F.lit(False)).cast("int")).alias("__w"))
+    hits = (g1.groupBy("__s").agg(F.max("__w").alias("__w")).where("__w = 1")
+              .select(F.col("__s").alias("__k"), F.explode(
+                  F.when(F.col("__s").isNull(), F.sequence(F.lit(0), F.lit(NULL_SPREAD - 1)))
+                   .otherwise(F.array(F.lit(0)))).alias("__n"), F.lit(True).alias("__hit")))
+    spread = F.when(F.col("__s").isNull(), F.pmod(F.hash("VESSEL_ID", "YEAR", "__t"), F.lit(NULL_SPREAD))
+                    ).otherwise(F.lit(0))
+    g1 = g1.withColumn("__p", spread)
+    j = g1.join(hits, g1["__s"].eqNullSafe(hits["__k"]) & (g1["__p"] == hits["__n"]), "left")
+    return j.select("VESSEL_ID", "YEAR", "__t", "__s",
+                    F.when(F.col("__hit"), F.lit("Y")).otherwise(F.lit("N")).alias("in_buffer"))
+
+
 def trips_sets_report_from_rows(rows: DataFrame, vessel: str = "VESSEL_ID",
                                 date: str = "LANDING_DATE", trip: str = "SCHEDULE_NUMBER",
                                 set_key: str = "ORIGINAL_BATCH_SEQUENCE_NUMBER",
@@ -64,26 +96,12 @@ def trips_sets_report_from_rows(rows: DataFrame, vessel: str = "VESSEL_ID",
     """``trips_sets_report`` straight from per-row zone flags.
 
     Same result as tagging every row at set-key grain and then reporting,
-    with less data moved:
-
-    1. one row per (vessel, year, trip, set) with "any row within"
-       (partial aggregation collapses repeated rows, hot keys included,
-       before the shuffle);
-    2. per set key, "any row within" as a window maximum over step 1
-       (step 1 holds one row per trip a set key occurs in, so even a set key
-       shared by many trips is a small window partition);
-    3. the four distinct counts per (vessel, year), shares, fill.
-
-    Duplicate rows never change a distinct count or an "any" flag, so the
-    input need not be DISTINCT.
+    with less data moved (see ``flagged_sets``).  Duplicate rows never
+    change a distinct count or an "any" flag, so the input need not be
+    DISTINCT.
     """
-    g1 = rows.groupBy(F.col(vessel).alias("VESSEL_ID"), year_text(date).alias("YEAR"),
-                      F.col(trip).alias("__t"), F.col(set_key).alias("__s")).agg(
-        F.max(F.coalesce(F.col(within), F.lit(False)).cast("int")).alias("__w"))
-    any_in_key = F.max("__w").over(Window.partitionBy("__s"))
-    flagged = g1.withColumn("in_buffer", F.when(any_in_key == 1, F.lit("Y")).otherwise(F.lit("N")))
-    return trips_sets_report(flagged, vessel="VESSEL_ID", date="YEAR", trip="__t", set_key="__s",
-                             flag="in_buffer")
+    return trips_sets_report(flagged_sets(rows, vessel, date, trip, set_key, within), vessel="VESSEL_ID",
+                             date="YEAR", trip="__t", set_key="__s", flag="in_buffer")
 
 
 def landings_summary(df: DataFrame, keys: dict[str, str], flag: str, dw: Column,

@@ -19,71 +19,90 @@ from ..operators import extract, geo, match, reshape, rollup
 
 SET_KEY = "ORIGINAL_BATCH_SEQUENCE_NUMBER"
 
-# Catch-level columns dropped to get one row per set.
-CATCH_COLUMNS = ["NMFS_COMMON", "SPECIES_CODE_NMFS", "SCIENTIFIC_NAME", "SPECIES_ITIS",
-                 "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS", "DISPOSITION_STATUS",
-                 "AREA_FISHED"]
-
+# The logbook extract's columns, in their order.
 EXTRACT_COLUMNS = [
-    "LOGBOOK_KEY", "BATCH_NUMBER", SET_KEY, "SCHEDULE_NUMBER", "VESSEL_ID", "LANDING_DATE",
-    "SET_DATE", "LATITUDE_DEGREES", "LATITUDE_MINUTES", "LATITUDE_HEMISPHERE",
-    "LONGITUDE_DEGREES", "LONGITUDE_MINUTES", "LONGITUDE_HEMISPHERE", "AREA_FISHED",
-    "GEAR_CODE_NMFS", "GEAR_NAME", "GEAR_CLASS", "SPECIES_CODE_NMFS", "NMFS_COMMON",
+    "LOGBOOK_KEY", "BATCH_NUMBER", "ORIGINAL_BATCH_SEQUENCE_NUMBER", "SCHEDULE_NUMBER", "VESSEL_ID",
+    "LANDING_DATE", "SET_DATE", "BEGIN_SET_TIME", "BEGIN_SET_MERIDIAN", "END_SET_TIME",
+    "END_SET_MERIDIAN", "HAULBACK_DATE", "BEGIN_HAULBACK_TIME", "BEGIN_HAULBACK_MERIDIAN",
+    "END_HAULBACK_TIME", "END_HAULBACK_MERIDIAN", "LATITUDE_DEGREES", "LATITUDE_MINUTES",
+    "LATITUDE_HEMISPHERE", "LONGITUDE_DEGREES", "LONGITUDE_MINUTES", "LONGITUDE_HEMISPHERE",
+    "AREA_FISHED", "GEAR_CODE_NMFS", "GEAR_NAME", "GEAR_CLASS", "SPECIES_CODE_NMFS", "NMFS_COMMON",
     "SCIENTIFIC_NAME", "SPECIES_ITIS", "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS",
     "DISPOSITION_STATUS"]
 
-# Columns a trip/set report needs (trip, set, vessel, dates, position).
-TRIP_SET_COLUMNS = ["LOGBOOK_KEY", "BATCH_NUMBER", SET_KEY, "SCHEDULE_NUMBER", "VESSEL_ID",
-                    "LANDING_DATE", "SET_DATE", "LATITUDE_DEGREES", "LATITUDE_MINUTES",
-                    "LATITUDE_HEMISPHERE", "LONGITUDE_DEGREES", "LONGITUDE_MINUTES",
-                    "LONGITUDE_HEMISPHERE"]
+# Catch-level columns dropped to get one row per set.
+CATCH_COLUMNS = ["NMFS_COMMON", "SPECIES_CODE_NMFS", "SCIENTIFIC_NAME", "SPECIES_ITIS",
+                 "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS", "DISPOSITION_STATUS",
+                 "AREA_FISHED"]
+
+# The observer haul extract's columns, in their order.
+HAUL_COLUMNS = """HAUL_LOG_KEY GEAR_LOG_KEY HAUL_NUMBER GEAR_CODE WAS_HAUL_OBSERVED WAS_CATCH GEAR_CONDITION
+GEAR_CONDITION_DESC MAINLINE_LENGTH BOTTOM_DEPTH_MINIMUM BOTTOM_DEPTH_MAXIMUM HOOK_DEPTH_MINIMUM
+HOOK_DEPTH_MAXIMUM TARGET_SPECIES SOAK_DURATION NUMBER_HOOKS_SET BEGIN_SET_DATE BEGIN_SET_TIME END_SET_DATE
+END_SET_TIME BEGIN_HAUL_DATE BEGIN_HAUL_TIME END_HAUL_DATE END_HAUL_TIME BEGIN_SET_LATITUDE
+BEGIN_SET_LATITUDE_MINUTES BEGIN_SET_LATITUDE_HEMISPHERE END_SET_LATITUDE END_SET_LATITUDE_MINUTES
+END_SET_LATITUDE_HEMISPHERE BEGIN_HAUL_LATITUDE BEGIN_HAUL_LATITUDE_MINUTES BEGIN_HAUL_LATITUDE_HEMISPHERE
+END_HAUL_LATITUDE END_HAUL_LATITUDE_MINUTES END_HAUL_LATITUDE_HEMISPHERE BEGIN_SET_LONGITUDE
+BEGIN_SET_LONGITUDE_MINUTES BEGIN_SET_LONGITUDE_HEMISPHERE END_SET_LONGITUDE END_SET_LONGITUDE_MINUTES
+END_SET_LONGITUDE_HEMISPHERE BEGIN_HAUL_LONGITUDE BEGIN_HAUL_LONGITUDE_MINUTES BEGIN_HAUL_LONGITUDE_HEMISPHER
+END_HAUL_LONGITUDE END_HAUL_LONGITUDE_MINUTES END_HAUL_LONGITUDE_HEMISPHERE HAUL_DURATION FISHING_AREA
+IS_EXPERIMENT TRIP_NUMBER""".split()
+
+# The observer animal extract's columns, in their order.
+ANIMAL_COLUMNS = """ANIMAL_LOG_KEY HAUL_LOG_KEY CARCASS_TAG_NUMBER ALPHA_SPECIES_CODE SPECIES_NAME
+LENGTH_MEASUREMENT_ONE LENGTH_TYPE_ONE LENGTH_MEASUREMENT_TAKEN_CODE LENGTH_MEASURE_TAKEN_CODE_D DRESSED_WEIGHT
+TAG_NUMBER BOARDING_STATUS BOARDING_STATUS_DESC KEPT_OR_RELEASED KEPT_OR_RELEASED_DESC ESTIMATED_WEIGHT
+TRIP_NUMBER HAUL_NUMBER BEGIN_HAUL_DATE""".split()
+
+# Trip and activity columns: those before the first gear or catch column.
+TRIP_SET_COLUMNS = EXTRACT_COLUMNS[:EXTRACT_COLUMNS.index("AREA_FISHED")]
 
 
 # --------------------------------------------------------------------------
 # M1 / M2: extracts
 # --------------------------------------------------------------------------
 
-def logbook_rows(trips: DataFrame, activities: DataFrame, gear_codes: DataFrame,
-                 species_codes: DataFrame, trip_qc: DataFrame, landed_after: str,
-                 fleet=None, date_format: str = "dd-MMM-yyyy",
-                 lookups: bool = True, split_hot_trips: bool = True) -> DataFrame:
+def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
+                 date_format: str = "dd-MMM-yyyy", level: str = "catches") -> DataFrame:
     """The logbook extract before its DISTINCT and ORDER BY.
 
-    trips LEFT JOIN activities LEFT JOIN gear codes LEFT JOIN species
-    codes, trips whose QC rows are all deleted removed, landing date after
-    ``landed_after`` (text in ``date_format``), vessel in ``fleet`` (a list
-    or a DataFrame of ids; ``None`` keeps all).
-
-    Lookups that add no output column are not joined at all; with
-    ``lookups=False`` the gear and species lookups are skipped too and only
-    trip, set and position columns are returned (for consumers that only
-    count distinct values or test "any row", which a left join to a lookup
-    cannot change).  The QC
-    condition ("left join QC, keep QC.DELETED_DATE IS NULL") is applied as
-    an anti join on the trips whose QC rows are all deleted, which gives the
-    same rows once the caller takes DISTINCT (see
+    trips LEFT JOIN activities LEFT JOIN gears fished (with gear codes) LEFT
+    JOIN catches (with species codes) LEFT JOIN catch details, trips whose
+    QC rows are all deleted removed, landing date after ``landed_after``
+    (text in ``date_format``), vessel in ``fleet`` (a list or a DataFrame of
+    ids; ``None`` keeps all).
+
+    ``level`` is how far down the chain goes: "sets" stops at the
+    activities, "gears" at the gears, "catches" takes everything.  A left
+    join only repeats rows, so consumers that take distinct rows, count
+    distinct values or test "any row" of upper columns need no lower table.
+    The gear description and parameter tables add no output column and are
+    never joined.  The QC condition ("left join QC, keep QC.DELETED_DATE IS
+    NULL") is an anti join on the trips whose QC rows are all deleted, which
+    gives the same rows once the caller takes DISTINCT (see
     ``extract.drop_all_flagged``).
     """
-    t = trips.where(F.col("LANDING_DATE") > F.to_date(F.lit(landed_after), date_format))
+    t = tables["trips"].where(F.col("LANDING_DATE") > F.to_date(F.lit(landed_after), date_format))
     if fleet is not None:
         t = extract.keep_ids(t, "VESSEL_ID", fleet)
-    t = extract.drop_all_flagged(t, trip_qc, "SCHEDULE_NUMBER", "DELETED_DATE")
-    if split_hot_trips:
-        j = extract.left_join_split(t, activities, "LOGBOOK_KEY")
-    else:
-        j = t.join(activities, "LOGBOOK_KEY", "left")
-    if not lookups:
-        return j.select(*[c for c in EXTRACT_COLUMNS if c in TRIP_SET_COLUMNS])
-    j = j.join(gear_codes, "GEAR_CODE_NMFS", "left")
-    j = j.join(species_codes, "SPECIES_CODE_NMFS", "left")
+    t = extract.drop_all_flagged(t, tables["trip_qc"], "SCHEDULE_NUMBER", "DELETED_DATE")
+    j = extract.left_join_split(t, tables["activities"], "LOGBOOK_KEY")
+    if level == "sets":
+        return j.select(*TRIP_SET_COLUMNS)
+    j = (j.join(tables["gears"], "FISHING_ACTIVITY_KEY", "left")
+          .join(tables["gear_codes"], "GEAR_CODE_NMFS", "left"))
+    if level == "gears":
+        return j.select(*[c for c in EXTRACT_COLUMNS if c not in CATCH_COLUMNS])
+    j = (j.join(tables["catches"], "GEAR_FISHED_KEY", "left")
+          .join(tables["species_codes"], "SPECIES_CODE_NMFS", "left")
+          .join(tables["catch_details"], "CATCH_KEY", "left"))
     return j.select(*EXTRACT_COLUMNS)
 
 
-def extract_logbook(trips, activities, gear_codes, species_codes, trip_qc, landed_after,
-                    fleet=None, order: bool = True) -> DataFrame:
+def extract_logbook(tables: dict[str, DataFrame], landed_after: str, fleet=None,
+                    order: bool = True) -> DataFrame:
     """The logbook extract: distinct rows, ordered by batch and schedule."""
-    out = logbook_rows(trips, activities, gear_codes, species_codes, trip_qc,
-                       landed_after, fleet).distinct()
+    out = logbook_rows(tables, landed_after, fleet).distinct()
     return out.orderBy("BATCH_NUMBER", "SCHEDULE_NUMBER") if order else out
 
 
@@ -93,12 +112,13 @@ def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFr
 
     Trip and haul rows are kept by a semi join on the vessel's trip numbers;
     animals by a semi join on the extracted hauls' keys (the key set stays on
-    the cluster, however many keys there are).
+    the cluster, however many keys there are).  Hauls and animals come out
+    with their named columns, so a wide source is pruned at the scan.
     """
     keys = trip_summary.where(F.col("VESSEL_ID") == vessel).select("TRIP_NUMBER")
     t = extract.semi_join(trip_log, keys, "TRIP_NUMBER")
-    h = extract.semi_join(hauls, keys, "TRIP_NUMBER")
-    a = extract.semi_join(animals, extract.distinct_keys(h, "HAUL_LOG_KEY"), "HAUL_LOG_KEY")
+    h = extract.semi_join(hauls.select(*HAUL_COLUMNS), keys, "TRIP_NUMBER")
+    a = extract.semi_join(animals.select(*ANIMAL_COLUMNS), extract.distinct_keys(h, "HAUL_LOG_KEY"), "HAUL_LOG_KEY")
     return {"trip": t, "haul": h, "animal": a}
 
 
@@ -114,7 +134,11 @@ def with_positions(df: DataFrame) -> DataFrame:
 
 
 def set_level(extract_rows: DataFrame) -> DataFrame:
-    """One row per distinct set record: catch columns dropped, DISTINCT."""
+    """One row per distinct set record: catch columns dropped, DISTINCT.
+
+    Rows of ``logbook_rows(level="gears")`` give the same sets without the
+    catch tables.
+    """
     return extract_rows.drop(*CATCH_COLUMNS).distinct()
 
 
@@ -123,13 +147,16 @@ def classify_sets(sets: DataFrame, cells: geo.EdgeCells) -> DataFrame:
     return geo.classify(with_positions(sets), "lon_dd", "lat_dd", cells)
 
 
-def tag_by_key(classified: DataFrame, key: str = SET_KEY, flag: str = "in_buffer") -> DataFrame:
-    """``flag = "Y"`` for every row whose key has any row within the buffer.
+def tag_by_key(classified: DataFrame, hits: DataFrame, key: str = SET_KEY,
+               flag: str = "in_buffer") -> DataFrame:
+    """``flag = "Y"`` for every row whose key is in ``hits``.
 
+    ``hits`` are the rows of any extract of the same sets that are within
+    the buffer; the narrow one (trips and activities only) is enough.
     Tagging is at key grain: a key seen both inside and outside is "Y" on
     all its rows.
     """
-    hits = classified.where("within").select(key)
+    hits = hits.where("within").select(key)
     out = match.exists_flag(classified, hits, key, "__hit")
     return out.withColumn(flag, F.when(F.col("__hit"), F.lit("Y")).otherwise(F.lit("N"))).drop("__hit")
 
@@ -150,23 +177,26 @@ def counts_by_year(sets: DataFrame, col: str, name: str) -> DataFrame:
                                     col, name)
 
 
-def wide_by_year(counts: DataFrame, name: str, years=None) -> DataFrame:
+def wide_by_year(counts: DataFrame, name: str, years: list[str]) -> DataFrame:
     """One row per vessel, one column per year (missing stays NULL)."""
     return reshape.pivot_wide(counts, ["VESSEL_ID"], "YEAR", name, years)
 
 
-def merge_counts(sets: DataFrame, tagged: DataFrame) -> DataFrame:
+def merge_counts(flagged: DataFrame) -> DataFrame:
     """Four count tables merged by three full outer joins on (VESSEL_ID, YEAR),
     keys matched null-safely, ordered by key.  (``final_trips_sets`` fuses
-    the same counts into one aggregate; this is the literal merge.)"""
-    y = year_text("LANDING_DATE").alias("YEAR")
+    the same counts into one aggregate; this is the literal merge.)
+
+    ``flagged`` is one row per (vessel, year, trip, set) with its flag
+    (``rollup.flagged_sets``), a written table since it is read four times.
+    """
+    inside = flagged.where(F.col("in_buffer") == "Y")
+    keys = ["VESSEL_ID", "YEAR"]
     parts = [
-        rollup.distinct_count_by(sets, ["VESSEL_ID", y], "SCHEDULE_NUMBER", "n_trips"),
-        rollup.distinct_count_by(sets, ["VESSEL_ID", y], SET_KEY, "n_sets"),
-        rollup.distinct_count_by(tagged.where(F.col("in_buffer") == "Y"), ["VESSEL_ID", y],
-                                 "SCHEDULE_NUMBER", "n_trips_in"),
-        rollup.distinct_count_by(tagged.where(F.col("in_buffer") == "Y"), ["VESSEL_ID", y],
-                                 SET_KEY, "n_sets_in"),
+        rollup.distinct_count_by(flagged, keys, "__t", "n_trips"),
+        rollup.distinct_count_by(flagged, keys, "__s", "n_sets"),
+        rollup.distinct_count_by(inside, keys, "__t", "n_trips_in"),
+        rollup.distinct_count_by(inside, keys, "__s", "n_sets_in"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -288,16 +318,34 @@ def second_totals(second: DataFrame) -> DataFrame:
         sum_strict("DOLLARS").alias("Total_Dollars"))
 
 
-def unmatched_catch(logbook: DataFrame, keys: DataFrame, second: DataFrame) -> DataFrame:
-    """Individuals by trip, species and disposition for the in-zone trips
-    whose (vessel, landing date) the second ledger does not have."""
+def match_tally(audit: DataFrame) -> DataFrame:
+    """(test, matched, n): how many trips each test of ``match_audit`` found or not."""
+    tests = ["sch_in_edlr", "ves_date_in_edlr", "ves_date_in_bft"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(t).alias("test"), F.col(t).isNotNull().alias("matched")) for t in tests]))
+    return audit.select(pairs.alias("x")).groupBy("x.test", "x.matched").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unmatched_trips(keys: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct (VESSEL_ID, LANDING_DATE) of the in-zone trips that the
+    second ledger does not have."""
     s_vd = second.select(F.col("COAST_GUARD_NBR").alias("VESSEL_ID"), "LANDING_DATE")
     flagged = match.exists_flag(keys.select("VESSEL_ID", "LANDING_DATE"), s_vd,
                                 ["VESSEL_ID", "LANDING_DATE"], "__in_second")
-    missing = flagged.where(~F.col("__in_second")).select("VESSEL_ID", "LANDING_DATE")
-    rows = match.exists_flag(logbook, missing, ["VESSEL_ID", "LANDING_DATE"], "__pick")
-    return (rows.where("__pick").groupBy("SCHEDULE_NUMBER", "NMFS_COMMON", "DISPOSITION_STATUS")
-                .agg(sum_strict("NUMBER_OF_INDIVIDUALS").alias("n_animals")))
+    return flagged.where(~F.col("__in_second")).select("VESSEL_ID", "LANDING_DATE").distinct()
+
+
+def trips_of(trips: DataFrame, picked: DataFrame) -> DataFrame:
+    """The trips whose (vessel, landing date) is picked, null-safely (a semi
+    join on the narrow trips, before anything is joined to them)."""
+    p = picked.select(F.col("VESSEL_ID").alias("__v"), F.col("LANDING_DATE").alias("__d"))
+    return trips.join(p, trips["VESSEL_ID"].eqNullSafe(p["__v"]) & trips["LANDING_DATE"].eqNullSafe(p["__d"]),
+                      "left_semi")
+
+
+def catch_by_disposition(logbook: DataFrame) -> DataFrame:
+    """Individuals by trip, species and disposition over distinct logbook rows."""
+    return (logbook.distinct().groupBy("SCHEDULE_NUMBER", "NMFS_COMMON", "DISPOSITION_STATUS")
+                   .agg(sum_strict("NUMBER_OF_INDIVIDUALS").alias("n_animals")))
 
 
 # --------------------------------------------------------------------------

@@ -10,6 +10,7 @@ rather than repeating them.
 from __future__ import annotations
 
 from ..operators import geo
+from ..sources import testbed
 from ..sources.zones import TEST_ZONES
 from . import registry as R
 
@@ -49,33 +50,49 @@ def strict_sum(col: str) -> str:
 
 
 def dms(deg: str, mins: str, hemi: str, axis: str) -> str:
-    neg, default_neg = ("S", "false") if axis == "lat" else ("W", "true")
+    pos, neg, usual = ("N", "S", "N") if axis == "lat" else ("E", "W", "W")
     val = f"({deg} + {mins} / {_d(60.0)})"
-    return (f"(CASE WHEN (CASE WHEN {hemi} IS NULL THEN {default_neg} ELSE upper(trim({hemi})) = '{neg}' END)"
-            f" THEN -{val} ELSE {val} END)")
+    letter = f"CASE WHEN {hemi} IS NULL OR trim({hemi}) = '' THEN '{usual}' ELSE upper(trim({hemi})) END"
+    return f"(CASE {letter} WHEN '{neg}' THEN -{val} WHEN '{pos}' THEN {val} END)"
 
 
 # --------------------------------------------------------------------------
 # Stand-in tables
 # --------------------------------------------------------------------------
 
+_SET = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
+_ACT = f"{_SET} || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)"
+_TWICE = "(VALUES (1), (2)) twice(n)"
+
+
+def _named(columns: dict[str, str]) -> str:
+    return ", ".join(f"{e} AS {c}" for c, e in columns.items())
+
+
 BASE = {
     "trips": """SELECT CAST(o_orderkey AS VARCHAR) AS LOGBOOK_KEY, strftime(o_orderdate, '%Y%m') AS BATCH_NUMBER,
         CAST(o_orderkey AS VARCHAR) AS SCHEDULE_NUMBER, CAST(o_custkey AS VARCHAR) AS VESSEL_ID,
         CAST(o_orderdate AS DATE) AS LANDING_DATE FROM orders""",
-    "activities": """SELECT CAST(l_orderkey AS VARCHAR) AS LOGBOOK_KEY,
-        CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ORIGINAL_BATCH_SEQUENCE_NUMBER,
-        CAST(l_shipdate AS DATE) AS SET_DATE,
+    "activities": f"""SELECT CAST(l_orderkey AS VARCHAR) AS LOGBOOK_KEY,
+        {_ACT} AS FISHING_ACTIVITY_KEY, {_SET} AS ORIGINAL_BATCH_SEQUENCE_NUMBER,
+        CAST(l_shipdate AS DATE) AS SET_DATE, {_named(testbed.ACTIVITY_TIMES)},
         CAST(38 + l_orderkey % 4 AS DOUBLE) AS LATITUDE_DEGREES,
         CAST(NULLIF((l_partkey * 7) % 60, 0) AS DOUBLE) AS LATITUDE_MINUTES,
         CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE 'N' END AS LATITUDE_HEMISPHERE,
         CAST(64 + l_linenumber AS DOUBLE) AS LONGITUDE_DEGREES,
         CAST((l_suppkey * 13) % 60 AS DOUBLE) AS LONGITUDE_MINUTES,
-        CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE 'W' END AS LONGITUDE_HEMISPHERE,
-        l_returnflag AS AREA_FISHED, CAST(l_suppkey AS VARCHAR) AS GEAR_CODE_NMFS,
-        CAST(l_partkey AS VARCHAR) AS SPECIES_CODE_NMFS,
-        CAST(NULLIF(l_partkey % 5, 0) AS BIGINT) AS NUMBER_OF_INDIVIDUALS,
-        l_quantity AS TOTAL_WHOLE_POUNDS, l_linestatus AS DISPOSITION_STATUS FROM lineitem""",
+        CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE 'W' END AS LONGITUDE_HEMISPHERE FROM lineitem""",
+    "gears": f"""SELECT {_ACT} AS FISHING_ACTIVITY_KEY, {_ACT} || '-' || CAST(n AS VARCHAR) AS GEAR_FISHED_KEY,
+        CAST(l_suppkey + n - 1 AS VARCHAR) AS GEAR_CODE_NMFS FROM lineitem, {_TWICE}
+        WHERE l_suppkey % 11 <> 3 AND (n = 1 OR l_suppkey % 10 = 0)""",
+    "catches": f"""SELECT {_ACT} || '-1' AS GEAR_FISHED_KEY, {_ACT} || '-1-' || CAST(n AS VARCHAR) AS CATCH_KEY,
+        l_returnflag AS AREA_FISHED, CAST(l_partkey + n - 1 AS VARCHAR) AS SPECIES_CODE_NMFS,
+        l_quantity AS TOTAL_WHOLE_POUNDS FROM lineitem, {_TWICE}
+        WHERE l_suppkey % 11 <> 3 AND l_partkey % 9 <> 4 AND (n = 1 OR l_partkey % 10 = 0)""",
+    "catch_details": f"""SELECT {_ACT} || '-1-1' AS CATCH_KEY,
+        CAST(NULLIF(l_partkey % 5, 0) + n - 1 AS BIGINT) AS NUMBER_OF_INDIVIDUALS,
+        CASE WHEN n = 1 THEN l_linestatus ELSE 'X' END AS DISPOSITION_STATUS FROM lineitem, {_TWICE}
+        WHERE n = 1 OR l_partkey % 7 = 0""",
     "gear_codes": """SELECT CAST(s_suppkey AS VARCHAR) AS GEAR_CODE_NMFS, s_name AS GEAR_NAME,
         CAST(s_nationkey AS VARCHAR) AS GEAR_CLASS FROM supplier""",
     "species_codes": """SELECT CAST(p_partkey AS VARCHAR) AS SPECIES_CODE_NMFS, p_type AS NMFS_COMMON,
@@ -111,7 +128,7 @@ BASE = {
     "obs_trip_log": """SELECT CAST(c_custkey AS VARCHAR) AS TRIP_NUMBER, c_name AS TRIP_NAME,
         CAST(c_nationkey AS VARCHAR) AS PORT_CODE, c_acctbal AS TRIP_COST FROM customer""",
     "obs_trip_summary": """SELECT CAST(c_custkey AS VARCHAR) AS TRIP_NUMBER, c_mktsegment AS VESSEL_ID FROM customer""",
-    "obs_hauls": """SELECT CAST(event_id AS VARCHAR) AS HAUL_LOG_KEY, event_type AS GEAR_CODE,
+    "obs_hauls": f"""SELECT CAST(event_id AS VARCHAR) AS HAUL_LOG_KEY, event_type AS GEAR_CODE,
         event_id AS HAUL_NUMBER, value AS SOAK_DURATION,
         CAST(36 + event_id % 7 AS DOUBLE) AS BEGIN_SET_LATITUDE,
         CAST((event_id * 7) % 60 AS DOUBLE) AS BEGIN_SET_LATITUDE_MINUTES,
@@ -137,19 +154,21 @@ BASE = {
         CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(65 + event_id % 4 AS DOUBLE) END AS END_HAUL_LONGITUDE,
         CAST((event_id * 29) % 60 AS DOUBLE) AS END_HAUL_LONGITUDE_MINUTES,
         'W' AS END_HAUL_LONGITUDE_HEMISPHERE,
-        props AS FISHING_AREA, CAST(user_id AS VARCHAR) AS TRIP_NUMBER FROM events""",
-    "obs_animals": """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ANIMAL_LOG_KEY,
+        props AS FISHING_AREA, CAST(user_id AS VARCHAR) AS TRIP_NUMBER, {_named(testbed.HAUL_EXTRA)} FROM events""",
+    "obs_animals": f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS ANIMAL_LOG_KEY,
         CAST(l_orderkey AS VARCHAR) AS HAUL_LOG_KEY, CAST(l_partkey AS VARCHAR) AS ALPHA_SPECIES_CODE,
         l_linestatus AS KEPT_OR_RELEASED, l_quantity AS ESTIMATED_WEIGHT,
-        CAST(l_suppkey AS VARCHAR) AS TAG_NUMBER FROM lineitem""",
+        CAST(l_suppkey AS VARCHAR) AS TAG_NUMBER, {_named(testbed.ANIMAL_EXTRA)} FROM lineitem""",
 }
 
 SET_COLS = [c for c in R.jobs.EXTRACT_COLUMNS if c not in R.jobs.CATCH_COLUMNS]
-EXTRACT_SELECT = ", ".join(
-    ("t." if c in ("LOGBOOK_KEY", "BATCH_NUMBER", "SCHEDULE_NUMBER", "VESSEL_ID", "LANDING_DATE")
-     else "gc." if c in ("GEAR_NAME", "GEAR_CLASS")
-     else "sc." if c in ("NMFS_COMMON", "SCIENTIFIC_NAME", "SPECIES_ITIS") else "a.") + c
-    for c in R.jobs.EXTRACT_COLUMNS)
+_SOURCE = {"t": ["LOGBOOK_KEY", "BATCH_NUMBER", "SCHEDULE_NUMBER", "VESSEL_ID", "LANDING_DATE"],
+           "g": ["GEAR_CODE_NMFS"], "gc": ["GEAR_NAME", "GEAR_CLASS"],
+           "c": ["AREA_FISHED", "SPECIES_CODE_NMFS", "TOTAL_WHOLE_POUNDS"],
+           "sc": ["NMFS_COMMON", "SCIENTIFIC_NAME", "SPECIES_ITIS"],
+           "cd": ["NUMBER_OF_INDIVIDUALS", "DISPOSITION_STATUS"]}
+EXTRACT_SELECT = ", ".join(next((t for t, cols in _SOURCE.items() if c in cols), "a") + "." + c
+                           for c in R.jobs.EXTRACT_COLUMNS)
 _D, _M, _Y = R.LANDED_AFTER.split("-")
 _MONTHS = {m: i + 1 for i, m in enumerate(
     ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"])}
@@ -158,9 +177,12 @@ LANDED_AFTER_ISO = f"{_Y}-{_MONTHS[_M.upper()]:02d}-{int(_D):02d}"
 DERIVED = {
     "logbook": f"""SELECT DISTINCT {EXTRACT_SELECT}
         FROM trips t LEFT JOIN activities a ON t.LOGBOOK_KEY = a.LOGBOOK_KEY
-        LEFT JOIN gear_codes gc ON a.GEAR_CODE_NMFS = gc.GEAR_CODE_NMFS
+        LEFT JOIN gears g ON a.FISHING_ACTIVITY_KEY = g.FISHING_ACTIVITY_KEY
+        LEFT JOIN catches c ON g.GEAR_FISHED_KEY = c.GEAR_FISHED_KEY
+        LEFT JOIN gear_codes gc ON g.GEAR_CODE_NMFS = gc.GEAR_CODE_NMFS
         LEFT JOIN trip_qc qc ON t.SCHEDULE_NUMBER = qc.SCHEDULE_NUMBER
-        LEFT JOIN species_codes sc ON a.SPECIES_CODE_NMFS = sc.SPECIES_CODE_NMFS
+        LEFT JOIN species_codes sc ON c.SPECIES_CODE_NMFS = sc.SPECIES_CODE_NMFS
+        LEFT JOIN catch_details cd ON c.CATCH_KEY = cd.CATCH_KEY
         WHERE t.LANDING_DATE > DATE '{LANDED_AFTER_ISO}' AND qc.DELETED_DATE IS NULL""",
     "sets": f"SELECT DISTINCT {', '.join(SET_COLS)} FROM logbook",
     "setpos": f"""SELECT *, {dms('LATITUDE_DEGREES', 'LATITUDE_MINUTES', 'LATITUDE_HEMISPHERE', 'lat')} AS lat_dd,
@@ -369,7 +391,7 @@ def _merge() -> str:
         ON a.VESSEL_ID IS NOT DISTINCT FROM b.VESSEL_ID AND a.YEAR IS NOT DISTINCT FROM b.YEAR)"""
 
 
-YEARS = R.YEARS
+YEARS = [str(y) for y in range(1996, 2002)]  # landing years of the test tables
 
 
 def _wide(col: str, name: str) -> str:
@@ -410,13 +432,24 @@ _SP_COLS = "VESSEL_ID, YEAR, COMMON_NAME"
 _SP_MONEY = ["DW_LBS_OUT", "DW_LBS_IN", "REVENUE_OUT", "REVENUE_IN", "TOT_DW_LBS", "TOT_REV"]
 
 
+_MATCH_AUDIT = """SELECT VESSEL_ID, LANDING_DATE, SCHEDULE_NUMBER,
+        CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.TRIP_ID IS NOT DISTINCT FROM k.SCHEDULE_NUMBER)
+             THEN 'x' END AS sch_in_edlr,
+        CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.SUPPLIER_VESSEL_ID IS NOT DISTINCT FROM k.VESSEL_ID
+                          AND d.DATE_LANDED IS NOT DISTINCT FROM k.LANDING_DATE) THEN 'x' END AS ves_date_in_edlr,
+        CASE WHEN EXISTS (SELECT 1 FROM ledger2 s WHERE s.COAST_GUARD_NBR IS NOT DISTINCT FROM k.VESSEL_ID
+                          AND s.LANDING_DATE IS NOT DISTINCT FROM k.LANDING_DATE) THEN 'x' END AS ves_date_in_bft
+        FROM tkeys k"""
+
+
 def _report_tables() -> str:
-    sheets = {"VesselYearSpecies": "f_summary_sp",
-              "VesselYear": f"({_rollup_sql('VESSEL_ID, YEAR')})",
-              "Vessel": f"({_rollup_sql('VESSEL_ID')})"}
-    parts = [f"SELECT '{n}' AS sheet, count(*) AS n_rows, max(CAST(DW_LBS_IN AS DOUBLE)) AS max_dw_lbs_in, "
-             f"max(REVENUE_IN_PERC) AS max_rev_in_perc FROM {src}" for n, src in sheets.items()]
-    return " UNION ALL ".join(parts)
+    shares = "DW_LBS_IN_PERC, REVENUE_IN_PERC"
+    sheets = {"VesselYearSpecies": ("f_summary_sp", _SP_COLS),
+              "VesselYear": (f"({_rollup_sql('VESSEL_ID, YEAR')})", "VESSEL_ID, YEAR"),
+              "Vessel": (f"({_rollup_sql('VESSEL_ID')})", "VESSEL_ID")}
+    return " UNION ALL BY NAME ".join(
+        f"SELECT '{n}' AS sheet, * FROM ({_money('SELECT * FROM ' + src, _SP_MONEY, keys + ', ' + shares)})"
+        for n, (src, keys) in sheets.items())
 
 
 SQL: dict[str, str] = {
@@ -428,6 +461,8 @@ SQL: dict[str, str] = {
         FROM ({_merge()})""",
     "merge_full_outer": f"SELECT * FROM ({_merge()}) ORDER BY VESSEL_ID NULLS LAST, YEAR NULLS LAST",
     "extract_logbook": "SELECT * FROM logbook ORDER BY BATCH_NUMBER, SCHEDULE_NUMBER",
+    "extract_logbook_fleet": f"""SELECT * FROM logbook WHERE VESSEL_ID IN ({_FLEET})
+        ORDER BY BATCH_NUMBER, SCHEDULE_NUMBER""",
     "extract_logbook_view": f"""SELECT * FROM logbook_view WHERE SET_YEAR > {R.VIEW_AFTER_YEAR}
         AND VESSEL_ID_NUMBER IN ({_FLEET})""",
     "extract_trips": "SELECT * FROM obs_trip_log WHERE TRIP_NUMBER IN (SELECT TRIP_NUMBER FROM obs_keys)",
@@ -475,14 +510,10 @@ SQL: dict[str, str] = {
     "flag_composite_key": "SELECT unique_report_no, SUPPLIER_VESSEL_ID, DATE_LANDED, in_area FROM dealer_flagged",
     "flag_either_key": _flag_either(),
     "flagged_trip_ids": f"SELECT DISTINCT TRIP_ID FROM ({_flag_either()}) WHERE area_activity = 1",
-    "match_audit": """SELECT VESSEL_ID, LANDING_DATE, SCHEDULE_NUMBER,
-        CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.TRIP_ID IS NOT DISTINCT FROM k.SCHEDULE_NUMBER)
-             THEN 'x' END AS sch_in_edlr,
-        CASE WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.SUPPLIER_VESSEL_ID IS NOT DISTINCT FROM k.VESSEL_ID
-                          AND d.DATE_LANDED IS NOT DISTINCT FROM k.LANDING_DATE) THEN 'x' END AS ves_date_in_edlr,
-        CASE WHEN EXISTS (SELECT 1 FROM ledger2 s WHERE s.COAST_GUARD_NBR IS NOT DISTINCT FROM k.VESSEL_ID
-                          AND s.LANDING_DATE IS NOT DISTINCT FROM k.LANDING_DATE) THEN 'x' END AS ves_date_in_bft
-        FROM tkeys k""",
+    "match_audit": _MATCH_AUDIT,
+    "match_tally": " UNION ALL ".join(
+        f"SELECT '{t}' AS test, {t} IS NOT NULL AS matched, count(*) AS n FROM ({_MATCH_AUDIT}) GROUP BY ALL"
+        for t in ("sch_in_edlr", "ves_date_in_edlr", "ves_date_in_bft")),
     "date_override": "SELECT * FROM dated_keys",
     "trip_lookup": _money(f"SELECT * FROM dealer WHERE TRIP_ID IN ({', '.join(repr(k) for k, _ in R.OVERRIDES)})",
                           _DEALER_MONEY, _DEALER_ALL),
@@ -534,6 +565,16 @@ SQL: dict[str, str] = {
         year(o_orderdate) AS LANDING_YEAR, o_orderpriority AS DEALER_NAME, o_totalprice AS X1ST_PRICE,
         o_orderstatus AS NA_ FROM orders""",
     "report_tables": _report_tables(),
+    "report_totals": f"""SELECT 'Dealer Landings' AS sheet, SUPPLIER_VESSEL_ID AS VESSEL_ID,
+            COMMON_NAME_AS_REPORTED AS COMMON_NAME, CAST({strict_sum('REPORTED_QUANTITY')} AS DOUBLE) AS Landings,
+            CAST({strict_sum('REPORTED_QUANTITY * PURCHASE_PRICE')} AS DOUBLE) AS Total_Dollars
+        FROM dealer WHERE not_included IS NULL GROUP BY ALL
+        UNION ALL BY NAME
+        SELECT 'BFT Landings' AS sheet, COAST_GUARD_NBR AS VESSEL_ID, LANDING_YEAR AS YEAR,
+            CAST({strict_sum('REPORTED_QUANTITY')} AS DOUBLE) AS Landings,
+            CAST({strict_sum('DOLLARS')} AS DOUBLE) AS Total_Dollars FROM ledger2 GROUP BY ALL""",
+    "report_wide": " UNION ALL ".join(f"SELECT '{n}' AS sheet, * FROM ({_wide(c, m)})" for n, c, m in [
+        ("TotTrips", "SCHEDULE_NUMBER", "n_trips"), ("TotSets", "ORIGINAL_BATCH_SEQUENCE_NUMBER", "n_sets")]),
     "chart_series": f"""SELECT 'dealer_pounds' AS chart, SUPPLIER_VESSEL_ID AS x, COMMON_NAME_AS_REPORTED AS series,
             CAST({strict_sum('REPORTED_QUANTITY')} AS DOUBLE) AS y FROM dealer WHERE not_included IS NULL GROUP BY ALL
         UNION ALL
@@ -568,16 +609,17 @@ _A_POS.update({k: v for k, v in geo_ctes("a_pos", "a").items() if k == "a_p"})
 # however a checker turns rows into values.
 DATE_OUTPUTS = {
     "clean_column_names": ["LANDING_DATE"],
-    "csv_roundtrip": ["LANDING_DATE", "SET_DATE"],
+    "csv_roundtrip": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
     "date_override": ["LANDING_DATE", "dealer_date"],
-    "extract_logbook": ["LANDING_DATE", "SET_DATE"],
+    "extract_logbook": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
+    "extract_logbook_fleet": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
     "flag_composite_key": ["DATE_LANDED"],
     "flag_either_key": ["DATE_LANDED"],
     "flag_single_key": ["LANDING_DATE"],
     "left_join_isnull": ["LANDING_DATE"],
     "match_audit": ["LANDING_DATE"],
-    "preview_head": ["LANDING_DATE", "SET_DATE"],
-    "set_level": ["LANDING_DATE", "SET_DATE"],
+    "preview_head": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
+    "set_level": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
     "tag_sets": ["LANDING_DATE"],
     "trip_keys": ["LANDING_DATE"],
     "trip_lookup": ["DATE_LANDED"],
@@ -590,6 +632,7 @@ def oracle_sql() -> dict[str, str]:
         sql = with_ctes(body, LOGBOOK, OBSERVER, _A_POS)
         repl = [f"CAST({c} AS VARCHAR) AS {c}" for c in DATE_OUTPUTS.get(name, [])]
         repl += [f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in R.DOUBLE_OUTPUTS.get(name, [])]
+        repl += [f'CAST("{y}" AS DOUBLE) AS "{y}"' for y in YEARS if name in R.WIDE_OUTPUTS]
         if repl:
             sql = f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql})"
         out[name] = sql

@@ -17,20 +17,20 @@ from pyspark.sql import types as T
 
 from ..functions import na
 from ..functions.coords import lat_dd, lon_dd
-from ..functions.text import clean_column_names, first_part, label
-from ..operators import extract, geo, match, profile, rollup
-from ..session import ensure_work_dir, work_path
+from ..functions.text import clean_column_names, first_part, label, year_text
+from ..operators import extract, geo, match, profile, reshape, rollup
+from ..session import work_path, write_table
 from ..sources import files
 from ..sources.literal import literal_table
 from ..sources.testbed import StandIns
-from ..sources.zones import zones_from_rows
+from ..sources.zones import zone_names, zones_from_rows
 from . import jobs
 
 # Fixed run parameters of the registered queries.
 LANDED_AFTER = "31-DEC-1995"
 VIEW_AFTER_YEAR = 1995
 SECOND_AFTER_YEAR = 1995
-FLEET = ["11", "23", "37", "101", "233", "997", "NJ0746GN"]
+FLEET = ["11", "23", "37", "101", "233", "997", "QX0001ZZ"]
 OBS_VESSEL = "BUILDING"
 OVERRIDES = [("7", "1996-02-01"), ("100", "1997-03-04"), ("2021", "1999-09-09")]
 
@@ -44,66 +44,72 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tb = StandIns(spark, sf_dir)
-        self._keys = None
+        self._keys = self._dated = None
 
     # zones -----------------------------------------------------------
     def zones(self) -> DataFrame:
         return zones_from_rows(self.spark)
 
     def cells(self) -> geo.EdgeCells:
-        """Edge cells of the zone layer, built once per session (the layer is
-        fixed; its size is checked inside ``edge_cells``)."""
+        """Edge cells of the zone layer, built and written once per session
+        (the layer is fixed)."""
         key = (self.spark.sparkContext.applicationId, id(self.spark))
         if key not in _CELLS:
             _CELLS[key] = geo.edge_cells(geo.zone_edges(self.zones()))
         return _CELLS[key]
 
     # logbook -----------------------------------------------------------
-    def logbook_rows(self) -> DataFrame:
-        tb = self.tb
-        return jobs.logbook_rows(tb.trips(), tb.activities(), tb.gear_codes(),
-                                 tb.species_codes(), tb.trip_qc(), LANDED_AFTER)
-
-    def extract(self, order: bool = False) -> DataFrame:
-        out = self.logbook_rows().distinct()
-        return out.orderBy("BATCH_NUMBER", "SCHEDULE_NUMBER") if order else out
+    def logbook_rows(self, level: str = "catches", **kw) -> DataFrame:
+        return jobs.logbook_rows(self.tb.logbook_tables(), LANDED_AFTER, level=level, **kw)
 
     def sets(self) -> DataFrame:
-        return jobs.set_level(self.logbook_rows())
+        return jobs.set_level(self.logbook_rows("gears"))
 
     def classified(self) -> DataFrame:
         return jobs.classify_sets(self.sets(), self.cells())
 
+    def narrow(self) -> DataFrame:
+        """Trip and set rows with zone flags: no lookups, no set-level
+        DISTINCT, which no distinct count or "any row" needs."""
+        return jobs.classify_sets(self.logbook_rows("sets"), self.cells())
+
     def tagged(self) -> DataFrame:
-        return jobs.tag_by_key(self.classified())
+        return jobs.tag_by_key(self.classified(), self.narrow())
+
+    def years(self) -> list[str]:
+        """Landing years of the extracted trips (narrow columns of the trips
+        and their QC rows only)."""
+        t = self.tb.trips().where(F.col("LANDING_DATE") > F.to_date(F.lit(LANDED_AFTER), "dd-MMM-yyyy"))
+        t = extract.drop_all_flagged(t, self.tb.trip_qc(), "SCHEDULE_NUMBER", "DELETED_DATE")
+        return sorted(r[0] for r in t.select(year_text("LANDING_DATE").alias("y")).distinct().collect() if r[0])
 
     def trip_keys(self) -> DataFrame:
-        """Trips with a set within the buffer.  Built from the narrow
-        logbook chain (no lookups, no set-level DISTINCT): the distinct
-        (vessel, landing date, trip) of the rows within is the same.  Most
-        landings queries match against these keys more than once, so they
-        are written once to the shared checkpoint folder (reliable, lineage
-        cut) and read back from there."""
+        """Trips with a set within the buffer, from the narrow logbook rows:
+        the distinct (vessel, landing date, trip) of the rows within is the
+        same."""
+        return jobs.trip_keys(self.narrow())
+
+    def written_keys(self) -> DataFrame:
+        """``trip_keys`` for the queries that match against them more than
+        once: written once to the shared folder and read back from there."""
         if self._keys is None:
-            ensure_work_dir(self.spark)
-            keys = jobs.trip_keys(jobs.classify_sets(self.narrow_rows(), self.cells()))
-            self._keys = keys.checkpoint(eager=True)
+            self._keys = write_table(self.trip_keys(), "trip-keys")
         return self._keys
 
-    def narrow_rows(self) -> DataFrame:
-        tb = self.tb
-        return jobs.logbook_rows(tb.trips(), tb.activities(), tb.gear_codes(), tb.species_codes(),
-                                 tb.trip_qc(), LANDED_AFTER, lookups=False)
-
     def overrides(self) -> DataFrame:
         return literal_table(self.spark, "SCHEDULE_NUMBER string, dealer_date date",
                              [(k, dt.date.fromisoformat(d)) for k, d in OVERRIDES])
 
     def dated_keys(self) -> DataFrame:
-        """In-zone trips with their ledger date (a small broadcast join on
-        the checkpointed trip keys)."""
+        """In-zone trips with their ledger date."""
         return jobs.with_dealer_date(self.trip_keys(), self.overrides())
 
+    def written_dated_keys(self) -> DataFrame:
+        """``dated_keys`` written once, for the queries over both ledgers."""
+        if self._dated is None:
+            self._dated = write_table(self.dated_keys(), "dated-keys")
+        return self._dated
+
     # ledgers -----------------------------------------------------------
     def dealer(self) -> DataFrame:
         return self.tb.dealer_ledger()
@@ -113,11 +119,11 @@ class Ctx:
 
     def dealer_summary(self) -> DataFrame:
         return jobs.dealer_summary(jobs.area_flag(self.dealer(), "SUPPLIER_VESSEL_ID",
-                                                      "DATE_LANDED", self.dated_keys()))
+                                                      "DATE_LANDED", self.written_dated_keys()))
 
     def second_summary(self) -> DataFrame:
         return jobs.second_summary(jobs.area_flag(self.second(), "COAST_GUARD_NBR",
-                                                      "LANDING_DATE", self.dated_keys()))
+                                                      "LANDING_DATE", self.written_dated_keys()))
 
     def landings(self) -> DataFrame:
         return jobs.landings_union(self.dealer_summary(), self.second_summary())
@@ -141,11 +147,15 @@ def _money(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 def q_final_trips_sets(c: Ctx) -> DataFrame:
-    return jobs.final_trips_sets(jobs.classify_sets(c.narrow_rows(), c.cells()))
+    return jobs.final_trips_sets(c.narrow())
 
 
 def q_extract_logbook(c: Ctx) -> DataFrame:
-    return c.extract(order=True)
+    return jobs.extract_logbook(c.tb.logbook_tables(), LANDED_AFTER)
+
+
+def q_extract_logbook_fleet(c: Ctx) -> DataFrame:
+    return jobs.extract_logbook(c.tb.logbook_tables(), LANDED_AFTER, fleet=FLEET)
 
 
 def q_extract_logbook_view(c: Ctx) -> DataFrame:
@@ -200,10 +210,8 @@ def _set_points(c: Ctx) -> DataFrame:
 
 def q_points_in_zone(c: Ctx) -> DataFrame:
     p = _set_points(c)
-    z = c.zones().select("zone_id", "name")
     rows = p.select(jobs.SET_KEY, "lon_dd", "lat_dd", F.explode("zones_in").alias("zone_id"))
-    # the zone layer is within the size bound checked for its edge cells
-    return rows.join(F.broadcast(z) if c.cells().broadcast else z, "zone_id").select(jobs.SET_KEY, "lon_dd", "lat_dd", "zone_id", "name")
+    return rows.join(zone_names(c.zones()), "zone_id").select(jobs.SET_KEY, "lon_dd", "lat_dd", "zone_id", "name")
 
 
 def q_points_within_distance(c: Ctx) -> DataFrame:
@@ -226,34 +234,32 @@ def q_map_markers(c: Ctx) -> DataFrame:
 
 
 def q_trips_per_vessel_year(c: Ctx) -> DataFrame:
-    return jobs.counts_by_year(c.sets(), "SCHEDULE_NUMBER", "n_trips")
+    return jobs.counts_by_year(c.logbook_rows("sets"), "SCHEDULE_NUMBER", "n_trips")
 
 
 def q_sets_per_vessel_year(c: Ctx) -> DataFrame:
-    return jobs.counts_by_year(c.sets(), jobs.SET_KEY, "n_sets")
+    return jobs.counts_by_year(c.logbook_rows("sets"), jobs.SET_KEY, "n_sets")
 
 
 def q_trips_sets_in_zone(c: Ctx) -> DataFrame:
-    g = rollup.trips_sets_counts(c.tagged(), "VESSEL_ID", "LANDING_DATE", "SCHEDULE_NUMBER",
-                                 jobs.SET_KEY, "in_buffer")
+    g = rollup.trips_sets_counts(rollup.flagged_sets(c.narrow()), "VESSEL_ID", "YEAR", "__t", "__s", "in_buffer")
     return g.where(F.col("__any_in") == 1).select("VESSEL_ID", "YEAR", "n_trips_in", "n_sets_in")
 
 
 def q_pivot_trips_by_year(c: Ctx) -> DataFrame:
-    return jobs.wide_by_year(jobs.counts_by_year(c.sets(), "SCHEDULE_NUMBER", "n_trips"), "n_trips")
+    return jobs.wide_by_year(jobs.counts_by_year(c.logbook_rows("sets"), "SCHEDULE_NUMBER", "n_trips"), "n_trips", c.years())
 
 
 def q_pivot_sets_by_year(c: Ctx) -> DataFrame:
-    return jobs.wide_by_year(jobs.counts_by_year(c.sets(), jobs.SET_KEY, "n_sets"), "n_sets")
+    return jobs.wide_by_year(jobs.counts_by_year(c.logbook_rows("sets"), jobs.SET_KEY, "n_sets"), "n_sets", c.years())
 
 
 def q_merge_full_outer(c: Ctx) -> DataFrame:
-    return jobs.merge_counts(c.sets(), c.tagged())
+    return jobs.merge_counts(write_table(rollup.flagged_sets(c.narrow()), "flagged-sets"))
 
 
 def q_share_percent(c: Ctx) -> DataFrame:
-    o = c.tb.trips().join(c.tb.table("orders").select(
-        F.col("o_orderkey").cast("string").alias("SCHEDULE_NUMBER"), "o_orderstatus"), "SCHEDULE_NUMBER")
+    o = c.tb.table("orders").select(F.col("o_custkey").cast("string").alias("VESSEL_ID"), "o_orderstatus")
     g = o.groupBy("VESSEL_ID").agg(
         F.count(F.when(F.col("o_orderstatus") == "F", F.lit(1))).alias("n_in"),
         F.count(F.lit(1)).alias("n_all"))
@@ -298,12 +304,12 @@ def q_flag_composite_key(c: Ctx) -> DataFrame:
 
 
 def q_flag_either_key(c: Ctx) -> DataFrame:
-    out = jobs.dealer_activity_flag(c.dealer(), c.trip_keys())
+    out = jobs.dealer_activity_flag(c.dealer(), c.written_keys())
     return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID", "area_activity")
 
 
 def q_flagged_trip_ids(c: Ctx) -> DataFrame:
-    out = jobs.dealer_activity_flag(c.dealer(), c.trip_keys())
+    out = jobs.dealer_activity_flag(c.dealer(), c.written_keys())
     return out.where(F.col("area_activity") == 1).select("TRIP_ID").distinct()
 
 
@@ -311,6 +317,10 @@ def q_match_audit(c: Ctx) -> DataFrame:
     return jobs.match_audit(c.trip_keys(), c.dealer(), c.second())
 
 
+def q_match_tally(c: Ctx) -> DataFrame:
+    return jobs.match_tally(jobs.match_audit(c.trip_keys(), c.dealer(), c.second()))
+
+
 def q_date_override(c: Ctx) -> DataFrame:
     return c.dated_keys()
 
@@ -376,7 +386,11 @@ def q_chart_series(c: Ctx) -> DataFrame:
 
 
 def q_animals_by_disposition(c: Ctx) -> DataFrame:
-    return jobs.unmatched_catch(c.logbook_rows().distinct(), c.trip_keys(), c.second())
+    # The picked trips are read by the trip filter of every branch of the extract: written once.
+    picked = write_table(jobs.unmatched_trips(c.trip_keys(), c.second()), "unmatched-trips")
+    tables = c.tb.logbook_tables()
+    tables["trips"] = jobs.trips_of(tables["trips"], picked)
+    return jobs.catch_by_disposition(jobs.logbook_rows(tables, LANDED_AFTER))
 
 
 def q_haul_key(c: Ctx) -> DataFrame:
@@ -394,7 +408,7 @@ def q_inside_outside_counts(c: Ctx) -> DataFrame:
 
 
 def q_reconcile_counts(c: Ctx) -> DataFrame:
-    rows = c.logbook_rows()
+    rows = c.logbook_rows("sets")
     a = rows.groupBy("VESSEL_ID").agg(na.n_distinct("SCHEDULE_NUMBER").alias("trip_count"),
                                       na.n_distinct(jobs.SET_KEY).alias("set_count"))
     v = c.tb.logbook_view().where(F.col("SET_YEAR") > VIEW_AFTER_YEAR)
@@ -456,15 +470,32 @@ def q_report_tables(c: Ctx) -> DataFrame:
               "VesselYear": _money(rollup.rollup(sp, ["VESSEL_ID", "YEAR"])),
               "Vessel": _money(rollup.rollup(sp, ["VESSEL_ID"]))}
     paths = jobs.write_report(tables, base, run_date="2022-12-05")
-    back = [c.spark.read.parquet(p).select(F.lit(n).alias("sheet"), "VESSEL_ID", "DW_LBS_IN",
-                                           "REVENUE_IN", "REVENUE_IN_PERC")
-            for n, p in paths.items()]
-    out = back[0]
-    for b in back[1:]:
-        out = out.unionByName(b)
-    return out.groupBy("sheet").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                                    F.max("DW_LBS_IN").alias("max_dw_lbs_in"),
-                                    F.max("REVENUE_IN_PERC").alias("max_rev_in_perc"))
+    return _read_back(c, paths)
+
+
+def _read_back(c: Ctx, paths: dict[str, str]) -> DataFrame:
+    """All rows of the written sheets, one ``sheet`` column and the union of their columns."""
+    sheets = [c.spark.read.parquet(p).withColumn("sheet", F.lit(n)) for n, p in paths.items()]
+    return reshape.union_by_name(*sheets)
+
+
+def q_report_totals(c: Ctx) -> DataFrame:
+    """The plain totals report: both ledgers' totals written as sheets and read back."""
+    d = jobs.dealer_totals(c.dealer()).withColumnsRenamed(
+        {"SUPPLIER_VESSEL_ID": "VESSEL_ID", "COMMON_NAME_AS_REPORTED": "COMMON_NAME", "Dealer_Landings": "Landings"})
+    s = jobs.second_totals(c.second()).withColumnsRenamed(
+        {"COAST_GUARD_NBR": "VESSEL_ID", "LANDING_YEAR": "YEAR", "BFT_Landings": "Landings"})
+    tables = {"Dealer Landings": _money(d), "BFT Landings": _money(s)}
+    return _read_back(c, jobs.write_report(tables, _scratch(c, "report_totals"), run_date="2022-12-05"))
+
+
+def q_report_wide(c: Ctx) -> DataFrame:
+    """The wide totals report: trips and sets by year written as sheets and read back."""
+    years = c.years()
+    rows = c.logbook_rows("sets")
+    tables = {"TotTrips": jobs.wide_by_year(jobs.counts_by_year(rows, "SCHEDULE_NUMBER", "n"), "n", years),
+              "TotSets": jobs.wide_by_year(jobs.counts_by_year(rows, jobs.SET_KEY, "n"), "n", years)}
+    return _read_back(c, jobs.write_report(tables, _scratch(c, "report_wide"), run_date="2022-12-05"))
 
 
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {
@@ -491,13 +522,16 @@ def normalise_types(df: DataFrame) -> DataFrame:
 # after full outer joins, pivot cells) are returned as DOUBLE, like the
 # numbers of a data frame, so a missing count compares the same in any
 # checker (pandas turns a NULL-bearing BIGINT column into floats).
-YEARS = [str(y) for y in range(1996, 2002)]
+# Queries whose every column but the named ones is such a count.
+WIDE_OUTPUTS = {"pivot_trips_by_year": ["VESSEL_ID"], "pivot_sets_by_year": ["VESSEL_ID"],
+                "report_wide": ["VESSEL_ID", "sheet"]}
 DOUBLE_OUTPUTS = {
     "animals_by_disposition": ["n_animals"],
     "extract_logbook": ["NUMBER_OF_INDIVIDUALS"],
+    "extract_logbook_fleet": ["NUMBER_OF_INDIVIDUALS"],
     "merge_full_outer": ["n_trips", "n_sets", "n_trips_in", "n_sets_in"],
-    "pivot_trips_by_year": YEARS,
-    "pivot_sets_by_year": YEARS,
+    "report_totals": ["YEAR"],
+    "report_tables": ["YEAR"],
     "reconcile_counts": ["trip_count_a", "trip_count_b", "trip_count_diff",
                          "set_count_a", "set_count_b", "set_count_diff"],
 }
@@ -508,6 +542,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         def run(spark, sf_dir):
             out = normalise_types(fn(Ctx(spark, sf_dir)))
             cols = [c for c in DOUBLE_OUTPUTS.get(name, []) if c in out.columns]
+            cols += [c for c in out.columns if name in WIDE_OUTPUTS and c not in WIDE_OUTPUTS[name]]
             return out.withColumns({c: F.col(f"`{c}`").cast("double") for c in cols}) if cols else out
         return run
     return {k: bind(k, fn) for k, fn in QUERIES.items()}

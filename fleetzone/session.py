@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  ANSI stays on (Spark 4 default): ids are
 # STRING so string/number comparisons never need an implicit cast.
@@ -18,15 +19,17 @@ _SESSION_DEFAULTS = {
 }
 
 
+# Largest table Spark may broadcast, on a cluster and in the benchmark alike.
+BROADCAST_BYTES = "1m"
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "fleetzone", broadcast_bytes: str = "1m") -> SparkSession:
+                  app: str = "fleetzone", broadcast_bytes: str = BROADCAST_BYTES) -> SparkSession:
     """A local session for tests and the benchmark (UI off, AQE on).
 
-    ``broadcast_bytes`` caps automatic broadcast joins.  The small test
-    files are single row groups, so a multi-megabyte table broadcast into a
-    scan stage pins that stage's work to one task; on a cluster such tables
-    are far above any broadcast limit and join by shuffle, which is the
-    plan measured here too.
+    Broadcast joins follow the same threshold as ``cluster_conf``, so the
+    plans measured here are the ones a cluster would choose for tables of
+    these sizes.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -70,6 +73,29 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_work_dir(spark), *parts)
 
 
+def write_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written under the shared work folder and read back.
+
+    Cuts the lineage; later plans know the table's size, and its files
+    outlive a lost executor.  ``remove_work_tables`` deletes them.
+    """
+    path = work_path(df.sparkSession, "tables", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_work_tables(spark: SparkSession) -> None:
+    """Delete what this library wrote under the shared work folder.
+
+    For the end of a job: results that still read a written table must have
+    been saved.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in ("tables", "queries"):
+        path = jvm.org.apache.hadoop.fs.Path(work_path(spark, name))
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.5,
                  partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Settings for a cluster run, sized from the bytes the jobs read.
@@ -88,5 +114,7 @@ def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.5,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": BROADCAST_BYTES,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_BYTES,
         "spark.sql.session.timeZone": "UTC",
     }

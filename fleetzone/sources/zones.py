@@ -2,12 +2,18 @@
 
 A polygon layer is stored as a table with one row per zone and its outer
 ring as an array of vertices (GeoJSON-like rings exported from a GIS file
-read this way).  Holes and multipart features are separate rows.
+read this way).
+
+A feature with several parts or holes is several rows, one per ring, that
+**share one zone_id**: insideness is the parity of ring crossings over all
+rows of the id, so a point in a hole is outside and parts must not overlap.
+``zone_names`` gives one row per zone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .literal import literal_table
@@ -34,6 +40,11 @@ def zones_from_rows(spark: SparkSession, rows=None) -> DataFrame:
     return literal_table(spark, ZONE_SCHEMA, data)
 
 
+def zone_names(zones: DataFrame) -> DataFrame:
+    """(zone_id, name), one row per zone however many rings it has."""
+    return zones.groupBy("zone_id").agg(F.min("name").alias("name"))
+
+
 def read_zones(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a stored zones table (parquet or JSON lines) with the fixed schema."""
     return spark.read.schema(ZONE_SCHEMA).format(fmt).load(path)

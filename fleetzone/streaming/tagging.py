@@ -1,7 +1,7 @@
 """Structured Streaming: tag set positions of new extract files as they land.
 
 Per-row flags (``in_zone``, ``within``, ``zones_in``) need no state: each
-micro-batch joins its rows to the (broadcast, size-checked) edge-cell
+micro-batch joins its rows to the written edge-cell
 tables, a stream-static join.  Key-grain flags and reports span batches, so
 they run as batch jobs over the tagged table this stream writes.
 """
@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import geo
 from ..plans import jobs
-from ..session import work_path
 
 
 def tagged_stream(spark: SparkSession, source: str, schema: T.StructType,
@@ -30,17 +29,17 @@ def tagged_stream(spark: SparkSession, source: str, schema: T.StructType,
 
 
 def start_tagging(spark: SparkSession, source: str, schema: T.StructType, cells: geo.EdgeCells,
-                  sink: str, checkpoint: str | None = None, fmt: str = "parquet",
+                  sink: str, checkpoint: str, fmt: str = "parquet",
                   available_now: bool = False) -> StreamingQuery:
     """Start writing tagged rows to ``sink`` (parquet, append).
 
-    The checkpoint goes under the shared work folder unless given, so a
-    restarted driver or lost executor resumes where the stream stopped.
+    ``checkpoint`` is a folder of this stream's own on the shared file system,
+    so a restarted driver or lost executor resumes where the stream stopped.
     """
     df = tagged_stream(spark, source, schema, cells, fmt).drop("zones_in")
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("path", sink)
-           .option("checkpointLocation", checkpoint or work_path(spark, "streams", "tagging")))
+           .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()

@@ -8,7 +8,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from fleetzone.operators import geo
-from fleetzone.sources.zones import TEST_ZONES, zones_from_rows
+from fleetzone.session import work_path
+from fleetzone.sources.zones import TEST_ZONES, zone_names, zones_from_rows
 
 ZONE_A = TEST_ZONES[0]
 
@@ -150,10 +151,55 @@ def test_in_zone_implies_within(spark):
         assert within or not zones_in
 
 
-def test_cells_fall_back_to_shuffle_joins_when_large(spark):
-    pts = [(-67.5, 40.5), (-60.0, 30.0)]
-    got = classify_points(spark, pts, broadcast_limit=0, local_limit=0)
-    assert got == [(["A"], True), ([], False)]
+def test_shuffled_cells_give_the_same_as_broadcast_ones(spark):
+    rnd = random.Random(11)
+    pts = [(round(rnd.uniform(-70, -63), 3), round(rnd.uniform(37.5, 42), 3)) for _ in range(400)]
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    small = classify_points(spark, pts)
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        large = classify_points(spark, pts)
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    assert small == large == [brute(lo, la, TEST_ZONES) for lo, la in pts]
+
+
+def test_parts_and_holes_share_a_zone_id(spark):
+    outer = [(-68.0, 40.0), (-66.0, 40.0), (-66.0, 42.0), (-68.0, 42.0)]
+    hole = [(-67.5, 40.5), (-66.5, 40.5), (-66.5, 41.5), (-67.5, 41.5)]
+    part = [(-64.0, 40.0), (-63.0, 40.0), (-63.0, 41.0), (-64.0, 41.0)]
+    rows = [("A", "zone A", outer), ("A", "zone A", hole), ("A", "zone A", part)]
+    got = classify_points(spark, [(-67.8, 41.0), (-67.0, 41.0), (-63.5, 40.5), (-65.0, 40.5)], zones=rows)
+    assert [z for z, _ in got] == [["A"], [], ["A"], []]
+    zones = zones_from_rows(spark, rows)
+    assert [tuple(r) for r in zone_names(zones).collect()] == [("A", "zone A")]
+
+
+def test_read_zones(spark):
+    from fleetzone.sources.zones import read_zones
+    path = work_path(spark, "zones-file")
+    zones_from_rows(spark).write.mode("overwrite").parquet(path)
+    assert sorted(r.zone_id for r in read_zones(spark, path).collect()) == ["A", "B"]
+    zones_from_rows(spark).write.mode("overwrite").json(path + "-json")
+    back = read_zones(spark, path + "-json", "json")
+    assert sorted(map(str, back.collect())) == sorted(map(str, zones_from_rows(spark).collect()))
+
+
+def test_detailed_zone_matches_brute_force(spark):
+    """Thousands of vertices: cells inside the buffer hold no edges at all,
+    and the others only the edges that can be nearest."""
+    n = 4000
+    ring = [(-66.0 + (1 + 0.05 * math.sin(40 * math.pi * 2 * i / n)) * math.cos(2 * math.pi * i / n),
+             40.0 + (1 + 0.05 * math.sin(40 * math.pi * 2 * i / n)) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    rnd = random.Random(5)
+    pts = [(round(rnd.uniform(-69, -63), 3), round(rnd.uniform(37.5, 42.5), 3)) for _ in range(60)]
+    assert classify_points(spark, pts, zones=[("D", "detailed", ring)]) == [
+        brute(lo, la, [("D", "detailed", ring)]) for lo, la in pts]
+    cells = geo.edge_cells(geo.zone_edges(zones_from_rows(spark, [("D", "detailed", ring)])))
+    assert cells.dist_cells.where("all_within and size(d_edges) > 0").count() == 0
+    assert cells.dist_cells.agg(F.max(F.size("d_edges"))).first()[0] < n / 2
 
 
 def test_classify_plan_has_no_nested_loop_or_cartesian(spark):
@@ -163,7 +209,7 @@ def test_classify_plan_has_no_nested_loop_or_cartesian(spark):
                                 (F.lit(40.5) + F.col("id") / 100).alias("lat"))
     plan = geo.classify(df, "lon", "lat", cells)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan      # small written tables: Spark's own size check
 
 
 def test_hot_position_and_key_give_whole_results(spark):
@@ -187,3 +233,32 @@ def test_hot_position_and_key_give_whole_results(spark):
     total_sets = rep.agg(F.sum("n_sets")).first()[0]
     want = df.select("VESSEL_ID", "SET").distinct().count()
     assert total_sets == want
+
+
+def test_missing_and_shared_set_keys_without_a_window(spark):
+    """30% of rows without a set key, one key shared by many vessels: as computed plainly."""
+    from collections import defaultdict
+    from fleetzone.operators import rollup
+    rows = []
+    rnd = random.Random(2)
+    for i in range(2000):
+        s = None if i % 10 < 3 else "SHARED" if i % 10 == 3 else f"s{i % 300}"
+        rows.append((f"v{i % 40}", "2020-01-01" if i % 2 else "2021-05-05", f"t{i % 500}", s, rnd.random() < 0.02))
+    df = spark.createDataFrame(rows, "VESSEL_ID string, LANDING_DATE string, SCHEDULE_NUMBER string, k string, within boolean")
+    for hit_null in (False, True):
+        data = [r[:4] + ((r[4] and r[3] is not None) or (hit_null and r[3] is None and r[2] == "t1"),) for r in rows]
+        df = spark.createDataFrame(data, df.schema)
+        rep = rollup.trips_sets_report_from_rows(df, set_key="k")
+        plan = rep._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "NestedLoop" not in plan
+        hits = {r[3] for r in data if r[4]}
+        groups = defaultdict(lambda: [set(), set(), set(), set()])
+        for v, d, t, s, _ in data:
+            g = groups[v, d[:4]]
+            g[0].add(t)
+            g[1].add(s)
+            if s in hits:
+                g[2].add(t)
+                g[3].add(s)
+        want = sorted((v, y, *map(len, g)) for (v, y), g in groups.items())
+        assert sorted(tuple(r)[:6] for r in rep.collect()) == want

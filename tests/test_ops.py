@@ -49,6 +49,47 @@ def test_override_with_null_trip(spark):
     assert got == {"7": dt.date(2021, 8, 30), "8": dt.date(2020, 1, 2), None: None}
 
 
+def test_conflicting_overrides_keep_one_row(spark):
+    keys = spark.createDataFrame([("7", dt.date(2020, 1, 1))], "SCHEDULE_NUMBER string, LANDING_DATE date")
+    ov = spark.createDataFrame([("7", dt.date(2021, 8, 30)), ("7", dt.date(2021, 9, 1)), (None, dt.date(2022, 1, 1))],
+                               "SCHEDULE_NUMBER string, d date")
+    assert [r.dealer_date for r in jobs.with_dealer_date(keys, ov).collect()] == [dt.date(2021, 9, 1)]
+
+
+def test_pivot_keeps_every_given_year(spark):
+    counts = spark.createDataFrame([("v", "1996", 1), ("v", "2002", 5), ("w", None, 2)],
+                                   "VESSEL_ID string, YEAR string, n int")
+    got = {r.VESSEL_ID: r.asDict() for r in jobs.wide_by_year(counts, "n", ["1996", "2002"]).collect()}
+    assert got["v"]["2002"] == 5 and got["v"]["1996"] == 1 and got["w"]["2002"] is None
+
+
+def test_work_folder_must_be_set_off_a_local_master(monkeypatch):
+    import pytest
+    from fleetzone import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(RuntimeError):
+        session.ensure_work_dir(Fake)
+
+
+def test_match_tally(spark):
+    audit = spark.createDataFrame([("x", None, "x"), (None, None, "x")],
+                                  "sch_in_edlr string, ves_date_in_edlr string, ves_date_in_bft string")
+    assert sorted(tuple(r) for r in jobs.match_tally(audit).collect()) == [
+        ("sch_in_edlr", False, 1), ("sch_in_edlr", True, 1), ("ves_date_in_bft", True, 2), ("ves_date_in_edlr", False, 2)]
+
+
 def test_left_join_isnull_cases(spark):
     trips = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "k string")
     qc = spark.createDataFrame([("b", None), ("c", "x"), ("d", None), ("d", "x")], "k string, deleted string")
@@ -59,14 +100,14 @@ def test_left_join_isnull_cases(spark):
 
 
 def test_string_ids_side_by_side(spark):
-    df = spark.createDataFrame([("NJ0746GN",), ("1026595",), ("42",)], "VESSEL_ID string")
-    assert sorted(r.VESSEL_ID for r in extract.keep_ids(df, "VESSEL_ID", ["NJ0746GN", 1026595]).collect()) == \
-        ["1026595", "NJ0746GN"]
-    ids = spark.createDataFrame([("NJ0746GN",)], "x string")
-    assert [r.VESSEL_ID for r in extract.keep_ids(df, "VESSEL_ID", ids).collect()] == ["NJ0746GN"]
-    u = reshape.union_by_name(df, spark.createDataFrame([(1026595,)], "VESSEL_ID long"),
+    df = spark.createDataFrame([("QX0001ZZ",), ("1000001",), ("42",)], "VESSEL_ID string")
+    assert sorted(r.VESSEL_ID for r in extract.keep_ids(df, "VESSEL_ID", ["QX0001ZZ", 1000001]).collect()) == \
+        ["1000001", "QX0001ZZ"]
+    ids = spark.createDataFrame([("QX0001ZZ",)], "x string")
+    assert [r.VESSEL_ID for r in extract.keep_ids(df, "VESSEL_ID", ids).collect()] == ["QX0001ZZ"]
+    u = reshape.union_by_name(df, spark.createDataFrame([(1000001,)], "VESSEL_ID long"),
                               string_cols=["VESSEL_ID"])
-    assert sorted(r.VESSEL_ID for r in u.collect()) == ["1026595", "1026595", "42", "NJ0746GN"]
+    assert sorted(r.VESSEL_ID for r in u.collect()) == ["1000001", "1000001", "42", "QX0001ZZ"]
 
 
 def test_semi_join_plans_as_left_semi(spark):
