@@ -45,7 +45,7 @@ from fleetzone.llm.common import columns, written
 MARGIN = 0.18
 BLOCK = 2048
 #: Texts hashed together: bounds a task's arrays.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _SKETCH = ("doc_id long, n_shingles long, sig1 long, sig2 long, regs binary, keys array<long>")
 

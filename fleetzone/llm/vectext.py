@@ -17,7 +17,7 @@ _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_VALUE = np.random.RandomState(7).randint(1, 1 << 62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 _POW: list[np.ndarray] = []
 
 
