@@ -115,19 +115,20 @@ def _likely(threshold: float):
     return run
 
 
+def _runs(gid: np.ndarray) -> list[tuple[int, int]]:
+    """(start, stop) of every run of equal values."""
+    edges = [0, *(np.flatnonzero(gid[1:] != gid[:-1]) + 1).tolist(), len(gid)]
+    return list(zip(edges[:-1], edges[1:]))
+
+
 def _compare(threshold: float):
-    """Candidate partners inside one bucket block (members of different components)."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("doc_id", ignore_index=True)
-        regs, n = _registers(f["regs"]), f["n_shingles"].to_numpy(float)
+    """Candidate partners inside each bucket block of a bin (members of different components)."""
+    def block(regs, n, comp, ids, left, right, key):
         keys = sketch.band_keys(regs)
-        comp, ids = f["comp"].to_numpy(), f["doc_id"].to_numpy()
-        left, right = f["left"].to_numpy(), f["right"].to_numpy()
-        band = int(np.flatnonzero(keys[0] == f["key"].iloc[0])[0])
-        gid = f["gid"].iloc[0]
-        partners, used = {}, np.zeros(len(f), bool)
-        for a in range(len(f) - 1):
-            b = np.arange(a + 1, len(f))
+        band = int(np.flatnonzero(keys[0] == key)[0])
+        partners, used = {}, np.zeros(len(ids), bool)
+        for a in range(len(ids) - 1):
+            b = np.arange(a + 1, len(ids))
             ok = (comp[b] != comp[a]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-9)
             ok &= (left[a] & right[b]) | (right[a] & left[b])
             b = b[ok]
@@ -141,26 +142,34 @@ def _compare(threshold: float):
                                       np.full(len(b), n[a]), n[b])
                 b = b[est >= threshold - MARGIN]
             if len(b):
-                partners[a] = ids[b].tolist()
+                partners[a] = ids[b]
                 used[a] = used[b] = True
-        at = np.flatnonzero(used)
-        return pd.DataFrame({"gid": np.full(len(at), gid), "doc_id": ids[at], "comp": comp[at],
-                             "others": pd.Series([partners.get(a, []) for a in at], dtype=object)})
+        return np.flatnonzero(used), partners
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["gid", "doc_id"], ignore_index=True)
+        gid, ids, comp, key = (f[c].to_numpy() for c in ("gid", "doc_id", "comp", "key"))
+        n, left, right = f["n_shingles"].to_numpy(float), f["left"].to_numpy(), f["right"].to_numpy()
+        regs = _registers(f["regs"])
+        rows, others, none = [], [], np.zeros(0, np.int64)
+        for s, e in _runs(gid):
+            at, partners = block(regs[s:e], n[s:e], comp[s:e], ids[s:e], left[s:e], right[s:e], key[s])
+            rows.append(at + s)
+            others += [partners.get(a, none) for a in at.tolist()]
+        at = np.concatenate(rows)
+        return pd.DataFrame({"gid": gid[at], "doc_id": ids[at], "comp": comp[at],
+                             "others": pd.Series(others, dtype=object)})
     return run
 
 
 def _verify(percent: int):
-    """Exact links among the listed pairs of one group; one per newly joined pair of components."""
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates("doc_id", ignore_index=True) if f["others"].map(len).max() == 0 else \
-            f.sort_values("others", key=lambda s: -s.map(len), ignore_index=True)
-        ids = f["doc_id"].to_numpy()
-        place = {d: i for i, d in reversed(list(enumerate(ids)))}
-        sets = [np.frombuffer(s, np.uint64) for s in f["shingles"]]
+    """Exact links among the listed pairs of each group of a bin; one per newly joined pair of components."""
+    def group(ids, comp, sets, partners, links):
+        place = {d: i for i, d in enumerate(ids.tolist())}
         size = np.array([len(s) for s in sets])
         codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
         start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        root = {c: c for c in f["comp"]}
+        root = {c: c for c in comp.tolist()}
 
         def find(c):
             while root[c] != c:
@@ -168,11 +177,9 @@ def _verify(percent: int):
                 c = root[c]
             return c
 
-        comp = f["comp"].to_numpy()
-        mark = np.zeros(codes.max() + 1, bool)
-        links = []
-        for a, others in enumerate(f["others"]):
-            b = np.array([place[o] for o in others if find(comp[place[o]]) != find(comp[a])], np.int64)
+        mark = np.zeros(len(codes) + 1, bool)
+        for a, others in enumerate(partners):
+            b = np.array([i for i in map(place.__getitem__, others) if find(comp[i]) != find(comp[a])], np.int64)
             if not len(b):
                 continue
             own = codes[start[a]:start[a] + size[a]]
@@ -185,6 +192,17 @@ def _verify(percent: int):
                 if x != y:
                     root[max(x, y)] = min(x, y)
                     links.append((int(comp[a]), int(comp[i])))
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        # A document may stand twice in a group, with and without partners: the one with comes first.
+        f = f.assign(n=-f["others"].map(len)).sort_values(["gid", "doc_id", "n"], ignore_index=True) \
+            .drop_duplicates(["gid", "doc_id"], ignore_index=True)
+        gid, ids, comp = (f[c].to_numpy() for c in ("gid", "doc_id", "comp"))
+        sets = [np.frombuffer(s, np.uint64) for s in f["shingles"]]
+        others = f["others"].tolist()
+        links = []
+        for s, e in _runs(gid):
+            group(ids[s:e], comp[s:e], sets[s:e], others[s:e], links)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     return run
 
@@ -192,6 +210,8 @@ def _verify(percent: int):
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, comp) of the undirected ``links`` (a, b): comp is the smallest node reachable.
 
+    The smallest node of a component has no row of its own.
+
     Alternates large-star and small-star steps (each a grouped minimum over
     the edges) until the edge set no longer changes; then every node points
     at its smallest.  Each round is written, so lineage stays short.  A hub
@@ -241,8 +261,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = written(src.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
                    .mapInArrow(_set_rows(words), "doc_id long, shingles binary"), "sets")
 
+    # Groups (buckets, pivots with their documents) are worked through in bins of about BLOCK rows.
+    bins = members.count() // BLOCK + 1
+    bin_of = F.pmod(F.xxhash64("gid"), F.lit(bins)).alias("bin")
+
     def links_of(groups: DataFrame) -> DataFrame:
-        return groups.join(sets, "doc_id").groupBy("gid").applyInPandas(_verify(percent), "a long, b long")
+        return groups.join(sets, "doc_id").groupBy(bin_of).applyInPandas(_verify(percent), "a long, b long")
 
     a = small.select("doc_id", F.col("n_shingles").alias("n_a"), F.col("regs").alias("regs_a"))
     b = small.select(F.col("doc_id").alias("pivot"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b"))
@@ -268,7 +292,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("gid"), "key", "doc_id",
         "comp", "n_shingles", "regs", (F.col("block") <= F.col("other")).alias("left"),
         (F.col("block") >= F.col("other")).alias("right"))
-    candidates = written(paired.groupBy("gid").applyInPandas(
+    candidates = written(paired.groupBy(bin_of).applyInPandas(
         _compare(threshold), "gid long, doc_id long, comp long, others array<long>"), "candidates")
     second = links_of(candidates)
     comps = components(first.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(second), "all")
