@@ -14,6 +14,11 @@ The text's log-likelihood is tempered to at most ``EVIDENCE`` trigrams, since
 neighbouring trigrams are not independent.  The posterior gives the language,
 its confidence and whether the document is kept.
 
+Every document weighs at most ``DOC_WEIGHT`` trigrams in its language's
+counts, so a few very long texts do not become the language.  A declared value
+is taken for a language only if at least half of its documents read as it
+(a filler such as "xx" reads as the languages it covers and drops out).
+
 All counts are sums combined before their shuffle, so a hot host or language
 is no hot task; the tables joined back have one row per host or declared
 value.  Only the trigram tables (languages x buckets) reach the driver; a
@@ -41,6 +46,8 @@ BUCKETS = 1 << 14
 EVIDENCE = 60.0
 MIN_SHARE = 0.005
 SMOOTHING = 20.0
+#: Trigrams that a document weighs at most in its language's counts.
+DOC_WEIGHT = 1000.0
 UND = "und"
 _CHUNK = 2 << 20
 
@@ -93,10 +100,14 @@ def _count_rows(languages: list[str]):
         counts = np.zeros(len(languages) * BUCKETS, np.int64)
         for part, texts in _parts(batches, 0):
             declared = part.column(1).to_pylist()
-            known = [(p, place[d]) for t, d in zip(texts, declared) if d in place for p in _pieces(t)]
+            known = [(p, place[d], i) for i, (t, d) in enumerate(zip(texts, declared)) if d in place for p in _pieces(t)]
             if known:
-                codes, owner = trigrams([t for t, _ in known])
-                counts += np.bincount(codes + np.array([i for _, i in known])[owner] * BUCKETS, minlength=len(counts))
+                codes, owner = trigrams([t for t, _, _ in known])
+                language, doc = (np.array(x)[owner] for x in list(zip(*known))[1:])
+                size = np.bincount(doc, minlength=len(texts))
+                weight = np.maximum(np.round(1024 * np.minimum(1, DOC_WEIGHT / np.maximum(size, 1))), 1)
+                counts += np.bincount(codes + language * BUCKETS, weights=weight[doc],
+                                      minlength=len(counts)).astype(np.int64)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
     return run
@@ -130,7 +141,7 @@ def text_model(rows: DataFrame) -> tuple[list[str], np.ndarray]:
         cells = rows.select("text", "declared").mapInArrow(_count_rows(languages), "cell long, n long") \
             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    counts = counts.reshape(-1, BUCKETS)[:len(languages)] + 0.1
+    counts = counts.reshape(-1, BUCKETS)[:len(languages)] / 1024 + 0.1
     return languages, np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
@@ -178,10 +189,18 @@ def identify(rows: DataFrame, id_: str = "doc_id", text: str = "text", declared:
         .withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
     languages, table = text_model(src)
     table = np.vstack([table, np.full((1, BUCKETS), -np.log(BUCKETS))])
-    n = len(languages) + 1
+    reads = F.array_position("fit", F.array_max("fit")).cast("int") - 1
     scored = written(src.select("id", "text", "declared", "host").mapInArrow(
-        _score_rows(table), "id long, declared string, host string, n long, fit array<double>")
-        .withColumn("reads", F.array_position("fit", F.array_max("fit")).cast("int") - 1), "language")
+        _score_rows(table), "id long, declared string, host string, n long, fit array<double>"), "language")
+    # Declared values that are languages: half of their documents read as them.
+    read = {r[0]: r[1] for r in scored.where("n > 0").withColumn("as", F.get(F.array(
+        *[F.lit(x) for x in [*languages, UND]]), reads)).where(F.col("declared").isin(languages))
+        .groupBy("declared").agg(F.avg((F.col("as") == F.col("declared")).cast("double"))).collect()}
+    valid = [i for i, x in enumerate(languages) if read.get(x, 0) >= 0.5]
+    fit = F.array(*[F.col("fit")[i] for i in [*valid, len(languages)]])
+    languages = [languages[i] for i in valid]
+    n = len(languages) + 1
+    scored = scored.withColumn("fit", fit).withColumn("reads", reads)
     readable = scored.where("n > 0")
 
     # P(declared | language of the text), smoothed.
