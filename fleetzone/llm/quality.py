@@ -36,8 +36,8 @@ from fleetzone.llm import vectext
 from fleetzone.llm.common import columns
 
 BUCKETS = 1 << 18
-FIT_ROWS = 12_000
-POOL_ROWS = 6_000
+FIT_ROWS = 8_000
+POOL_ROWS = 4_000
 ROUNDS = 3
 SURE = 0.97
 _CHUNK = 2 << 20
