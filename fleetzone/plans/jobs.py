@@ -63,7 +63,8 @@ TRIP_SET_COLUMNS = EXTRACT_COLUMNS[:EXTRACT_COLUMNS.index("AREA_FISHED")]
 # --------------------------------------------------------------------------
 
 def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
-                 date_format: str = "dd-MMM-yyyy", level: str = "catches") -> DataFrame:
+                 date_format: str = "dd-MMM-yyyy", level: str = "catches",
+                 keep_gear_key: bool = False) -> DataFrame:
     """The logbook extract before its DISTINCT and ORDER BY.
 
     trips LEFT JOIN activities LEFT JOIN gears fished (with gear codes) LEFT
@@ -77,7 +78,8 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     join only repeats rows, so consumers that take distinct rows, count
     distinct values or test "any row" of upper columns need no lower table.
     The gear description and parameter tables add no output column and are
-    never joined.  The QC condition ("left join QC, keep QC.DELETED_DATE IS
+    never joined (``keep_gear_key`` leaves the key by which they could be).
+    The QC condition ("left join QC, keep QC.DELETED_DATE IS
     NULL") is an anti join on the trips whose QC rows are all deleted, which
     gives the same rows once the caller takes DISTINCT (see
     ``extract.drop_all_flagged``).
@@ -96,7 +98,7 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     j = (j.join(tables["catches"], "GEAR_FISHED_KEY", "left")
           .join(tables["species_codes"], "SPECIES_CODE_NMFS", "left")
           .join(tables["catch_details"], "CATCH_KEY", "left"))
-    return j.select(*EXTRACT_COLUMNS)
+    return j.select(*EXTRACT_COLUMNS, *(["GEAR_FISHED_KEY"] if keep_gear_key else []))
 
 
 def extract_logbook(tables: dict[str, DataFrame], landed_after: str, fleet=None,

@@ -4,8 +4,9 @@ Usage: python tools/bench_variants.py [sf_dir]
 
 1. trips-and-sets report: fused aggregate vs four aggregates + three merges
 2. zone tagging of every logbook set row: 2 / 100 / 1,000 zones, cells
-   broadcast vs shuffle-joined
+   broadcast vs shuffle-joined; longest edge array of a cell
 3. either-key flag: two existence joins vs one join on ``a OR b``
+4. the logbook extract without and with the two unused joins
 
 Prints one line per measurement (best of two warm runs, ``noop`` sink).
 """
@@ -57,17 +58,30 @@ def main() -> None:
     print("report fused (final_trips_sets)", timed(qs["final_trips_sets"](spark, sf_dir)), "s")
     print("report literal merges (merge_full_outer)", timed(qs["merge_full_outer"](spark, sf_dir)), "s")
 
-    rows = jobs.with_positions(c.narrow_rows())
+    rows = jobs.with_positions(c.logbook_rows("sets"))
     n_rows = rows.count()
     for n in (2, 100, 1000):
         edges = geo.zone_edges(zones_from_rows(spark, grid_zones(n)))
-        for label, kw in (("broadcast", {}), ("shuffle", {"broadcast_limit": 0, "local_limit": 0})):
-            t0 = time.perf_counter()
-            cells = geo.edge_cells(edges, **kw)
-            build = time.perf_counter() - t0
+        t0 = time.perf_counter()
+        cells = geo.edge_cells(edges)
+        build = time.perf_counter() - t0
+        longest = cells.dist_cells.agg(F.max(F.size("d_edges"))).first()[0]
+        for label, limit in (("by size", None), ("shuffled", "-1")):
+            names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+            before = {k: spark.conf.get(k) for k in names}
+            for k in names:
+                spark.conf.set(k, limit or before[k])
             flagged = geo.classify(rows, "lon_dd", "lat_dd", cells).select("within", "zones_in")
-            print(f"tagging {n_rows} rows, {n} zones, cells {label}: build {build:.2f} s, "
-                  f"run {timed(flagged)} s")
+            print(f"tagging {n_rows} rows, {n} zones, cells joined {label}: build {build:.2f} s, "
+                  f"run {timed(flagged)} s, longest distance array {longest}")
+            for k in names:
+                spark.conf.set(k, before[k])
+
+    rows9 = c.logbook_rows().distinct()
+    extra = (c.logbook_rows(keep_gear_key=True).join(c.tb.gear_descriptions(), "GEAR_FISHED_KEY", "left")
+             .join(c.tb.gear_parameters(), "GEAR_PARAMETER_CODE", "left").select(*rows9.columns).distinct())
+    print("logbook extract without the two unused joins", timed(rows9), "s")
+    print("logbook extract with the two unused joins", timed(extra), "s")
 
     dealer, keys = c.dealer(), c.trip_keys()
     two = match.either_flag(dealer, keys.select("VESSEL_ID", "LANDING_DATE"),
