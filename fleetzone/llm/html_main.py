@@ -51,7 +51,9 @@ navigation newsletter notice notices outbrain pager pagination paywall popup pro
 respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola tags toc toolbar tooltip
 topbar widget widgets alert warning-banner replies reply reader-comments infobar""".split())
 ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar alertdialog".split())
-HEADER_WORDS = {"header", "site-header", "pageheader"}
+HEADER_WORDS = {"site", "page", "top", "global", "main", "masthead"}
+#: A name with one of these words describes a layout, not furniture ("no-sidebar").
+LAYOUT_WORDS = {"no", "has", "with", "without"}
 _PROTECTED = {"html", "body", "main", "article"}
 
 _TAG = re.compile(r"<(?:!--(?:.*?(?:-->|--!>)|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
@@ -66,7 +68,7 @@ class Node:
     def __init__(self, tag: str, attrs: dict, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.items, self.score, self.words = [], 0.0, None
-        self.drop = False
+        self.drop = ""
 
 
 def parse(page: str) -> Node:
@@ -103,6 +105,10 @@ def parse(page: str) -> Node:
         attrs = {k.lower(): html_lib.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[3])} if m[3].strip(" /\n") else {}
         child = Node(tag, attrs, node)
         child.drop = _furniture(child)
+        if tag in ("article", "main", "h1") and not child.drop:
+            # A wrapper that holds the article is no furniture, whatever its layout class says.
+            for x in _up(node):
+                x.drop = "" if x.drop == "names" else x.drop
         node.items.append(child)
         if tag in VOID or m[3].endswith("/") and tag in RAW:
             continue
@@ -132,28 +138,35 @@ def _close(node: Node, tags: set, limits: set) -> Node:
     return node
 
 
-def _furniture(x: Node) -> bool:
-    """Page furniture by element, role, visibility, or whole words of class and id."""
+def _furniture(x: Node) -> str:
+    """Why an element is page furniture: its element, role or visibility ("kind"), or its names; else empty."""
     if x.tag in DROPPED:
-        return True
+        return "kind"
     a = x.attrs
     if x.tag == "header":
-        return not any(p.tag in ("article", "main") for p in _up(x.parent))
+        return "" if any(p.tag in ("article", "main") for p in _up(x.parent)) else "kind"
     if not a:
-        return False
+        return ""
     if a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
-        return True
+        return "kind"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
-        return True
-    names = f"{a.get('class', '')} {a.get('id', '')}".lower().split()
+        return "kind"
+    return "names" if _named_furniture(x) else ""
+
+
+def _named_furniture(x: Node) -> bool:
+    """Whether whole words of the class or id mark page furniture."""
+    names = f"{x.attrs.get('class', '')} {x.attrs.get('id', '')}".lower().split()
     if x.tag in _PROTECTED:
         return x.tag == "article" and any(w in ("comment", "comments", "reply", "ad", "advert") for w in names)
+    inside = any(p.tag in ("article", "main") for p in _up(x.parent))
     for name in names:
         words = _WORD.findall(name)
-        if name in FURNITURE or words and (words[0] in FURNITURE or words[-1] in FURNITURE) \
-                and not {"content", "article", "body", "main", "no", "has", "with", "without"} & set(words):
+        if not words or LAYOUT_WORDS & set(words):
+            continue
+        if name in FURNITURE or words[0] in FURNITURE or words[-1] in FURNITURE:
             return True
-        if name in HEADER_WORDS and not any(p.tag in ("article", "main") for p in _up(x.parent)):
+        if words[-1] == "header" and not inside and (len(words) == 1 or words[0] in HEADER_WORDS):
             return True
     return False
 

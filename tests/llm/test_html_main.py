@@ -31,6 +31,14 @@ def test_scored_container_without_article():
     assert H.extract(page) == "Title\nShort one, yes.\nA longer paragraph, with commas, and words, to win."
 
 
+def test_layout_classes_and_named_furniture():
+    page = """<body><div id=page class="layout sidebar-right"><div class="page-header">Site name</div>
+    <article><div class="article-body"><p>Kept, text.</p></div><div class="post-comments"><div class="comment-body">no, no</div>
+    </div><div class="no-sidebar"><p>Kept too.</p></div><p class="cookie-notice">no</p></article>
+    <div class="sidebar-content"><p>side, side, side, side, side, side, side, side</p></div></div></body>"""
+    assert H.extract(page) == "Kept, text.\nKept too."
+
+
 def test_link_density_discounts():
     page = """<body><div><p><a href=1>link, link, link, link, link, link, link, link, link</a></p></div>
     <div><p>The real text, here.</p><p>And more of it.</p></div></body>"""
