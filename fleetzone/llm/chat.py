@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetzone.llm.common import columns
+from fleetzone.llm.common import columns, partitions
 
 HEAD, END = "### ", "</turn>"
 BUDGET, HISTORY = 1024, 256
@@ -60,32 +60,42 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
+def _windows_of(size: np.ndarray, system: int, budget: int, history: int) -> list[tuple[int, int, bool]]:
+    """(window, turn index, repeated) of one conversation, from the prefix sums of its turns' tokens."""
+    n = len(size)
+    prefix = np.concatenate(([0], np.cumsum(size)))
+    fixed = int(prefix[system])
+    rows, at, window = [], 0, 0
+    while at < n or window == 0:
+        start = max(at, system)
+        # Earlier whole turns that fit the history share.
+        back = int(np.searchsorted(prefix, prefix[start] - history, side="left")) if window else start
+        back = min(max(back, system), start)
+        if start < n and fixed + prefix[start + 1] - prefix[back] > budget:
+            back = start
+        stop = int(np.searchsorted(prefix, prefix[back] + budget - fixed, side="right")) - 1
+        stop = min(max(stop, start + 1), n)
+        rows += [(window, i, window > 0) for i in range(system)]
+        rows += [(window, i, i < start) for i in range(back, stop)]
+        at, window = stop, window + 1
+    return rows
+
+
 def _spans(budget: int, history: int):
-    """Window membership of one conversation's turns from their prefix sums."""
+    """Window membership of the turns of a bin of conversations."""
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("turn_no", ignore_index=True)
-        number, size = f["turn_no"].to_numpy(), f["tokens"].to_numpy()
-        n = len(f)
-        system = 1 if f["is_system"].iloc[0] else 0
-        prefix = np.concatenate(([0], np.cumsum(size)))
-        fixed = int(prefix[system])
-        rows, at, window = [], 0, 0
-        while at < n or window == 0:
-            start = max(at, system)
-            # Earlier whole turns that fit the history share.
-            back = int(np.searchsorted(prefix, prefix[start] - history, side="left")) if window else start
-            back = min(max(back, system), start)
-            if start < n and fixed + prefix[start + 1] - prefix[back] > budget:
-                back = start
-            stop = int(np.searchsorted(prefix, prefix[back] + budget - fixed, side="right")) - 1
-            stop = min(max(stop, start + 1), n)
-            take = [(i, window > 0) for i in range(system)] + [(i, True) for i in range(back, start)] + \
-                   [(i, False) for i in range(start, stop)]
-            rows += [(window, int(number[i]), again) for i, again in take]
-            at, window = stop, window + 1
-        out = pd.DataFrame(rows, columns=["window", "turn_no", "repeated"])
-        out.insert(0, "conversation", f["conversation"].iloc[0])
-        return out
+        f = f.sort_values(["conversation", "turn_no"], ignore_index=True)
+        name, size = f["conversation"].to_numpy(), f["tokens"].to_numpy()
+        system = f["is_system"].to_numpy().astype(int)
+        edges = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1], [True])))
+        at, window, again = [], [], []
+        for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            for w, i, r in _windows_of(size[s:e], system[s], budget, history):
+                at.append(s + i)
+                window.append(w)
+                again.append(r)
+        return pd.DataFrame({"conversation": name[at], "window": window,
+                             "turn_no": f["turn_no"].to_numpy()[at], "repeated": again})
     return run
 
 
@@ -105,9 +115,11 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     head = F.concat(F.lit(HEAD), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
     rows = rows.withColumn("head", head).withColumn("body", escape(F.col("text"))) \
         .withColumn("tokens", (F.regexp_count("body", F.lit(r"\S+")) + 3).cast("long"))
+    # Many small conversations share a task: bins of whole conversations, two integers a turn.
+    bins = 4 * partitions(turns.sparkSession)
     spans = rows.select("conversation", "turn_no", "tokens",
                         ((F.col("turn_no") == 1) & (F.col("role") == "system")).alias("is_system")) \
-        .groupBy("conversation").applyInPandas(
+        .groupBy(F.pmod(F.xxhash64("conversation"), F.lit(bins)).alias("bin")).applyInPandas(
             _spans(budget, history), "conversation string, window long, turn_no int, repeated boolean")
     placed = spans.join(rows, ["conversation", "turn_no"])
     turn = F.struct("turn_no", "repeated", "tokens", "head", "body",
