@@ -73,8 +73,11 @@ class Ctx:
         DISTINCT, which no distinct count or "any row" needs."""
         return jobs.classify_sets(self.logbook_rows("sets"), self.cells())
 
-    def tagged(self) -> DataFrame:
-        return jobs.tag_by_key(self.classified(), self.narrow())
+    def tagged(self, columns: list[str]) -> DataFrame:
+        """Classified sets tagged by key; written once, since the hit keys
+        come from the same rows."""
+        rows = write_table(self.classified().select(*columns, "within"), "classified")
+        return jobs.tag_by_key(rows, rows)
 
     def years(self) -> list[str]:
         """Landing years of the extracted trips (narrow columns of the trips
@@ -225,8 +228,8 @@ def q_points_outside(c: Ctx) -> DataFrame:
 
 
 def q_tag_sets(c: Ctx) -> DataFrame:
-    return c.tagged().select(jobs.SET_KEY, "SCHEDULE_NUMBER", "VESSEL_ID", "LANDING_DATE",
-                             "lon_dd", "lat_dd", "in_buffer")
+    columns = [jobs.SET_KEY, "SCHEDULE_NUMBER", "VESSEL_ID", "LANDING_DATE", "lon_dd", "lat_dd"]
+    return c.tagged(columns).drop("within")
 
 
 def q_map_markers(c: Ctx) -> DataFrame:
