@@ -36,8 +36,8 @@ from fleetzone.llm import vectext
 from fleetzone.llm.common import columns
 
 BUCKETS = 1 << 18
-FIT_ROWS = 8_000
-POOL_ROWS = 4_000
+FIT_ROWS = 5_000
+POOL_ROWS = 2_500
 ROUNDS = 3
 SURE = 0.97
 _CHUNK = 2 << 20
@@ -303,10 +303,12 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], fit_rows: int = FI
         _sample_rows, "doc_id long, label array<int>, words binary, shape binary, meta binary") \
         .toPandas().drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
     label = np.stack(rows["label"].to_numpy()) if len(rows) else np.zeros((0, len(names)), int)
+    both = _unpacked(rows)
+    del rows
     out = {}
     for k, name in enumerate(names):
         has = label[:, k] >= 0
-        out[name] = co_train(_unpacked(rows[has]), label[has, k].astype(float), _unpacked(rows[~has]))
+        out[name] = co_train(both.take(np.flatnonzero(has)), label[has, k].astype(float), both.take(np.flatnonzero(~has)))
     return out
 
 
