@@ -3,14 +3,17 @@
 The content view sees a document's words (log-odds of hashed words) and its
 shape (shares of symbols, capitals, digits, repeated words).  The metadata
 view sees language, source and stated length only.  Each view starts from the
-labelled rows, then for some rounds hands the unlabelled documents it is
-surest of, with its label, to the other view's training set.  Views are
-calibrated on held-out labelled rows and combined into one probability, which
-scores all documents.
-
-Fitting uses at most ``FIT_ROWS`` labelled and ``POOL_ROWS`` unlabelled rows,
-chosen by a hash of the id (documented bounds; the fitted state is a fixed
-number of floats).  Scoring is one pass over all rows without a shuffle.
+labelled rows, then for some rounds hands the documents it is surest of, with
+its label, to the other view's training set.  Views are calibrated on held-out
+labelled rows and combined into one probability, which scores all documents.
+
+At most ``FIT_ROWS`` labelled rows, chosen by a hash of the id, are used as
+labelled (a documented bound).  The exchange has no bound: every round scores
+all other rows in the tasks, and the sure ones enter the other view's log-odds
+as sums per (bucket, label), of which a fixed number reaches the driver.  The
+few regression weights over the log-odds are fitted on the labelled rows.  A
+labelled row outside the sample takes part like an unlabelled one.  A round
+and the scoring are one pass over all rows each, without a shuffle of rows.
 
 The same fit runs for any 0/1 label column: :func:`score_documents` gives a
 quality and, where labelled, a toxicity probability.
@@ -29,6 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +40,8 @@ from fleetzone.llm import vectext
 from fleetzone.llm.common import columns
 
 BUCKETS = 1 << 18
+META = 1 << 12
 FIT_ROWS = 5_000
-POOL_ROWS = 2_500
 ROUNDS = 3
 SURE = 0.97
 _CHUNK = 2 << 20
@@ -76,7 +80,7 @@ def _meta_buckets(lang: list, source: list, n_chars: list) -> np.ndarray:
             for ch in v.encode():
                 h = (h ^ ch) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
             out[i, k] = h
-    return (vectext.mix(out) & np.uint64(4095)).astype(np.int64)
+    return (vectext.mix(out) & np.uint64(META - 1)).astype(np.int64)
 
 
 def features(texts: list[bytes], lang: list, source: list, n_chars: list) -> Features:
@@ -121,6 +125,23 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _distinct(buckets: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every document's buckets once, and their offsets."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    seen = np.unique(owner * size + buckets)
+    return seen % size, np.searchsorted(seen, np.arange(len(offsets)) * size)
+
+
+def _counts(seen: tuple[np.ndarray, np.ndarray], rows: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """Documents labelled 0 and 1 (rows) with every bucket; the last column counts all of them."""
+    n = np.diff(seen[1])[rows]
+    buckets = vectext.gather(seen[0], seen[1][rows], n)
+    one = y.astype(np.int64)
+    out = np.bincount(buckets + np.repeat(one, n) * (size + 1), minlength=2 * (size + 1)).reshape(2, -1)
+    out[:, size] = np.bincount(one, minlength=2)
+    return out
+
+
 @dataclass
 class View:
     """One view's classifier: log-odds per bucket and a logistic regression over a few numbers."""
@@ -128,17 +149,38 @@ class View:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(1))
 
     @staticmethod
-    def log_odds(buckets: np.ndarray, owner: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-        """Smoothed log-odds of a bucket's presence among documents labelled 1 and 0."""
-        seen = np.unique(buckets.astype(np.int64) * len(y) + owner)
-        b, d = seen // len(y), seen % len(y)
-        one = np.bincount(b, weights=y[d], minlength=size)
-        all_ = np.bincount(b, minlength=size)
-        n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
-        return (np.log((one + 1) / (n1 + 2)) - np.log((all_ - one + 1) / (n0 + 2))) * (all_ > 0)
+    def log_odds(counts: np.ndarray) -> np.ndarray:
+        """Log-odds of a bucket's presence among documents labelled 1 and 0, smoothed towards 0.
+
+        The two added documents are split by the labels' shares: with many
+        more documents of one label, a rare bucket still says little.
+        """
+        n0, n1 = np.maximum(counts[:, -1], 1).astype(float)
+        share = n1 / (n0 + n1)
+        return np.log((counts[1, :-1] + 2 * share) / (counts[0, :-1] + 2 * (1 - share))) - np.log(n1 / n0)
+
+    @classmethod
+    def fit(cls, f: Features, y: np.ndarray, given: np.ndarray):
+        """A view of the labelled documents and of ``given``, the counts of the pseudo-labelled ones."""
+        # Log-odds and regression on different halves: a document must not vouch for its own words.
+        half = [np.arange(h, len(y), 2) for h in (0, 1)]
+        seen = cls.seen(f)
+        own = [_counts(seen, rows, y[rows], cls.size) for rows in half]
+        parts = [cls(cls.log_odds(own[h] + given)).inputs(f.take(half[1 - h])) for h in (0, 1)]
+        weights = _logistic(np.concatenate(parts), y[np.concatenate([half[1], half[0]])])
+        return cls(cls.log_odds(own[0] + own[1] + given), weights)
+
+    def score(self, f: Features) -> np.ndarray:
+        return np.column_stack([self.inputs(f), np.ones(len(f.shape))]) @ self.weights
 
 
 class Content(View):
+    size = BUCKETS
+
+    @staticmethod
+    def seen(f: Features) -> tuple[np.ndarray, np.ndarray]:
+        return _distinct(f.words, f.offsets, BUCKETS)
+
     def inputs(self, f: Features) -> np.ndarray:
         n = np.diff(f.offsets)
         v = self.odds[f.words]
@@ -153,38 +195,38 @@ class Content(View):
             out[full, 4] = np.log1p(np.add.reduceat((v < -2.5).astype(float), at))
         return np.column_stack([out, f.shape, f.shape ** 2])
 
-    @classmethod
-    def fit(cls, f: Features, y: np.ndarray) -> Content:
-        owner = np.repeat(np.arange(len(y)), np.diff(f.offsets))
-        # Log-odds and regression on different halves: a document must not vouch for its own words.
-        half = np.arange(len(y)) % 2
-        rows, parts = [], []
-        for h in (0, 1):
-            own = half[owner] == h
-            renumber = np.cumsum(half == h) - 1
-            part = cls(cls.log_odds(f.words[own], renumber[owner[own]], y[half == h], BUCKETS))
-            rows.append(np.flatnonzero(half != h))
-            parts.append(part.inputs(f.take(rows[-1])))
-        weights = _logistic(np.concatenate(parts), y[np.concatenate(rows)])
-        return cls(cls.log_odds(f.words, owner, y, BUCKETS), weights)
 
-    def score(self, f: Features) -> np.ndarray:
-        return np.column_stack([self.inputs(f), np.ones(len(f.shape))]) @ self.weights
+class Meta(View):
+    size = META
 
+    @staticmethod
+    def seen(f: Features) -> tuple[np.ndarray, np.ndarray]:
+        return _distinct(f.meta.ravel(), np.arange(len(f.meta) + 1) * f.meta.shape[1], META)
 
-class Meta(View):
     def inputs(self, f: Features) -> np.ndarray:
         return self.odds[f.meta]
 
-    @classmethod
-    def fit(cls, f: Features, y: np.ndarray) -> Meta:
-        owner = np.repeat(np.arange(len(y)), f.meta.shape[1])
-        view = cls(cls.log_odds(f.meta.ravel(), owner, y, 4096))
-        view.weights = _logistic(view.inputs(f), y)
-        return view
 
-    def score(self, f: Features) -> np.ndarray:
-        return np.column_stack([self.inputs(f), np.ones(len(f.meta))]) @ self.weights
+VIEWS = (Content, Meta)
+#: Cells of the counts that one label's views hand each other.
+CELLS = sum(2 * (v.size + 1) for v in VIEWS)
+
+
+@dataclass
+class Pair:
+    """Both views of one label, each with its calibration on held-out labelled rows."""
+    views: list
+    calibration: list
+
+    def counts(self, f: Features, seen: list, free: np.ndarray) -> np.ndarray:
+        """The ``CELLS`` counts that the views gain from each other's sure documents among ``free``."""
+        out = []
+        for k, view in enumerate(VIEWS):
+            giver, w = self.views[1 - k], self.calibration[1 - k]
+            p = _sigmoid(np.clip(giver.score(f), -15, 15) * w[0] + w[1])
+            rows = np.flatnonzero(free & ((p >= SURE) | (p <= 1 - SURE)))
+            out.append(_counts(seen[k], rows, p[rows] > 0.5, view.size).ravel())
+        return np.concatenate(out)
 
 
 @dataclass
@@ -203,45 +245,49 @@ class Model:
         return _sigmoid(np.column_stack([x, np.ones(len(x))]) @ self.combine)
 
 
+class CoTraining:
+    """Co-training of one label: labelled rows here, the unlabelled ones as counts of each round."""
+
+    def __init__(self, labelled: Features, y: np.ndarray):
+        self.share = float(y.mean()) if len(y) else 0.5
+        self.rounds, self.pair = [], None
+        if len(y) < 20 or y.min() == y.max():
+            return
+        held = np.arange(len(y)) % 4 == 3
+        self.train, self.y_train = labelled.take(np.flatnonzero(~held)), y[~held]
+        self.test, self.y_test = labelled.take(np.flatnonzero(held)), y[held]
+        self._fit(np.zeros(CELLS, np.int64))
+
+    def _fit(self, given: np.ndarray) -> list[int]:
+        views, sizes, at = [], [], 0
+        for view in VIEWS:
+            table = given[at:at + 2 * (view.size + 1)].reshape(2, -1)
+            at += table.size
+            views.append(view.fit(self.train, self.y_train, table))
+            sizes.append(int(table[:, -1].sum()))
+        self.pair = Pair(views, [_logistic(np.clip(v.score(self.test), -15, 15)[:, None], self.y_test) for v in views])
+        return sizes
+
+    def exchange(self, given: np.ndarray) -> None:
+        """One round: both views fitted again with what the other one was sure of."""
+        to_content, to_meta = self._fit(given)
+        self.rounds.append((to_meta, to_content))
+
+    def model(self) -> Model:
+        if self.pair is None:
+            return Model(None, None, np.zeros(3), self.share, [])
+        content, meta = self.pair.views
+        x = np.column_stack([content.score(self.test), meta.score(self.test)])
+        return Model(content, meta, _logistic(np.clip(x, -15, 15), self.y_test), self.share, self.rounds)
+
+
 def co_train(labelled: Features, y: np.ndarray, pool: Features, rounds: int = ROUNDS) -> Model:
-    """Fits both views by exchanging confident pseudo-labels on the unlabelled ``pool``."""
-    share = float(y.mean()) if len(y) else 0.5
-    if len(y) < 20 or y.min() == y.max():
-        return Model(None, None, np.zeros(3), share, [])
-    n = len(y)
-    held = np.arange(n) % 4 == 3
-    train, y_train = np.flatnonzero(~held), y[~held]
-    given = {"content": (np.zeros(0, np.int64), np.zeros(0)), "meta": (np.zeros(0, np.int64), np.zeros(0))}
-    joined = _join(labelled, pool)
-    report = []
-
-    def fit(name, cls):
-        rows, labels = given[name]
-        at = np.concatenate([train, rows + n])
-        return cls.fit(joined.take(at), np.concatenate([y_train, labels]))
-
-    def calibrated(view):
-        w = _logistic(np.clip(view.score(labelled.take(np.flatnonzero(held))), -15, 15)[:, None], y[held])
-        return _sigmoid(np.column_stack([np.clip(view.score(pool), -15, 15), np.ones(len(pool.meta))]) @ w)
-
-    content, meta = fit("content", Content), fit("meta", Meta)
-    for _ in range(rounds if len(pool.meta) else 0):
-        sure = {}
-        for name, view in (("content", content), ("meta", meta)):
-            p = calibrated(view)
-            rows = np.flatnonzero((p >= SURE) | (p <= 1 - SURE))
-            sure[name] = (rows, (p[rows] > 0.5).astype(float))
-        given["meta"], given["content"] = sure["content"], sure["meta"]
-        report.append((len(sure["content"][0]), len(sure["meta"][0])))
-        content, meta = fit("content", Content), fit("meta", Meta)
-    test = labelled.take(np.flatnonzero(held))
-    combine = _logistic(np.clip(np.column_stack([content.score(test), meta.score(test)]), -15, 15), y[held])
-    return Model(content, meta, combine, share, report)
-
-
-def _join(a: Features, b: Features) -> Features:
-    return Features(np.concatenate([a.words, b.words]), np.concatenate([a.offsets, b.offsets[1:] + a.offsets[-1]]),
-                    np.concatenate([a.shape, b.shape]), np.concatenate([a.meta, b.meta]))
+    """Fits both views by exchanging confident pseudo-labels on the unlabelled ``pool``, all in one place."""
+    training = CoTraining(labelled, y)
+    seen = [v.seen(pool) for v in VIEWS]
+    for _ in range(rounds if training.pair else 0):
+        training.exchange(training.pair.counts(pool, seen, np.ones(len(pool.meta), bool)))
+    return training.model()
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,35 +327,60 @@ def _unpacked(rows: pd.DataFrame) -> Features:
 _INPUT = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
 
+def _gathered(src: DataFrame, pairs: dict[str, Pair], taken: dict[str, pa.Array]) -> dict[str, np.ndarray]:
+    """Per label, the counts its views hand each other from all rows of ``src`` but the ``taken`` ids."""
+    state = src.sparkSession.sparkContext.broadcast((list(pairs.items()), taken))
+
+    def run(batches):
+        models, labelled = state.value
+        counts = np.zeros((len(models), CELLS), np.int64)
+        for part in _parts(batches):
+            f = _of(part)
+            seen = [v.seen(f) for v in VIEWS]
+            for k, (name, pair) in enumerate(models):
+                free = ~pc.is_in(part.column(0), value_set=labelled[name]).to_numpy(zero_copy_only=False)
+                counts[k] += pair.counts(f, seen, free)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.ravel()[at])], names=["cell", "n"])
+
+    cells = src.select(*_INPUT).mapInArrow(run, "cell long, n long") \
+        .groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(pairs) * CELLS, np.int64)
+    counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    state.unpersist()
+    return dict(zip(pairs, counts.reshape(-1, CELLS)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, names: list[str], fit_rows: int = FIT_ROWS,
-        pool_rows: int = POOL_ROWS) -> dict[str, Model]:
+        rounds: int = ROUNDS) -> dict[str, Model]:
     """A model per 0/1 label column of ``labels`` (doc_id, ...).
 
-    Takes the ``fit_rows`` labelled and ``pool_rows`` unlabelled documents of
-    smallest id hash; only their ids are ranked, their texts become features
-    in the tasks, and the packed features reach the driver.
+    Takes the ``fit_rows`` labelled documents of smallest id hash; only their
+    ids are ranked, their texts become features in the tasks, and the packed
+    features reach the driver.  All other documents are the pool of every
+    round.
     """
     src = columns(docs, **_INPUT)
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("int") for c in names]) \
         .where("doc_id is not null").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in names])
     ids = src.select("doc_id").where("doc_id is not null").distinct()
-    order = F.xxhash64("doc_id")
     code = F.array(*[F.coalesce(c, F.lit(-1)) for c in names])
-    known = ids.join(labels, "doc_id").orderBy(order).limit(fit_rows).select("doc_id", code.alias("label"))
-    unknown = ids.join(labels, "doc_id", "left_anti").orderBy(order).limit(pool_rows) \
-        .select("doc_id", F.array(*[F.lit(-1)] * len(names)).alias("label"))
-    chosen = known.union(unknown)     # at most fit_rows + pool_rows short rows: bounded, so broadcast
+    chosen = ids.join(labels, "doc_id").orderBy(F.xxhash64("doc_id")).limit(fit_rows) \
+        .select("doc_id", code.alias("label"))     # at most fit_rows short rows: bounded, so broadcast
     rows = src.join(F.broadcast(chosen), "doc_id").select(*_INPUT, "label").mapInArrow(
         _sample_rows, "doc_id long, label array<int>, words binary, shape binary, meta binary") \
-        .toPandas().drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
+        .toArrow().to_pandas().drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
     label = np.stack(rows["label"].to_numpy()) if len(rows) else np.zeros((0, len(names)), int)
-    both = _unpacked(rows)
+    doc_ids, both = rows["doc_id"].to_numpy(np.int64), _unpacked(rows)
     del rows
-    out = {}
-    for k, name in enumerate(names):
-        has = label[:, k] >= 0
-        out[name] = co_train(both.take(np.flatnonzero(has)), label[has, k].astype(float), both.take(np.flatnonzero(~has)))
-    return out
+    has = {name: np.flatnonzero(label[:, k] >= 0) for k, name in enumerate(names)}
+    training = {name: CoTraining(both.take(has[name]), label[has[name], k].astype(float)) for k, name in enumerate(names)}
+    del both
+    taken = {name: pa.array(doc_ids[has[name]], pa.int64()) for name in names}
+    for _ in range(rounds if any(t.pair for t in training.values()) else 0):
+        for name, given in _gathered(src, {k: t.pair for k, t in training.items() if t.pair}, taken).items():
+            training[name].exchange(given)
+    return {name: t.model() for name, t in training.items()}
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, min_quality: float = 0.5, max_toxic: float = 0.5) -> DataFrame:

@@ -51,3 +51,30 @@ def test_edge_rows(spark):
         out = quality.score_documents(docs, labels).collect()
         assert len(out) == 5 and all(0 <= r.quality <= 1 and 0 <= r.toxic <= 1 for r in out)
     assert quality.score_documents(docs.limit(0), labels).collect() == []
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    """A round hands over the sure ones of all other rows, far more than any sample of the fit."""
+    rng = np.random.RandomState(4)
+    rows, truth = [], {}
+    for i in range(9000):
+        good = bool(rng.random_sample() < 0.5)
+        late = i >= 200 and i % 2
+        words = ["good", "fine", "nice"] if good else ["bad", "poor", "junk"]
+        text = " ".join(rng.choice(words, 6)) + (f" late{good:d}" if late else "")
+        rows.append((i, text, "en", f"s{good:d}", 100, "x"))
+        truth[i] = int(good)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    labels = spark.createDataFrame([(i, truth[i]) for i in range(200)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, ["quality"])["quality"]
+    assert [min(r) for r in model.rounds] == [8800] * quality.ROUNDS
+    new = quality.features([b"late1", b"late0"], ["en"] * 2, ["s9"] * 2, [100] * 2)
+    assert model.content.odds[new.words[0]] > 5 and model.content.odds[new.words[1]] < -5
+    spread = quality.co_train(*sample(rows[:200], truth), sample(rows[200:], truth)[0])
+    assert np.array_equal(spread.content.odds, model.content.odds) and np.allclose(spread.combine, model.combine)
+
+
+def sample(rows, truth):
+    _, text, lang, source, n_chars, _ = zip(*rows)
+    f = quality.features([t.encode() for t in text], list(lang), list(source), list(n_chars))
+    return f, np.array([float(truth[r[0]]) for r in rows])
