@@ -39,8 +39,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Winnowed fingerprints of all documents and of their edited texts."""
-    return winnow.report(table(spark, sf_dir, "documents"))
+    """Winnowed fingerprints of all documents and of their edited texts, rolled over runs without spaces."""
+    return winnow.report(table(spark, sf_dir, "documents"), rolled=True)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

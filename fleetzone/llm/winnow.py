@@ -1,8 +1,11 @@
 """Operator 6: document fingerprints by winnowing (DataFrame functions only).
 
-The text is cut into pieces, its white-space separated words (a word of more
-than ``PIECE`` characters gives several pieces, so texts without spaces work
-too).  Every ``GRAM`` consecutive pieces get one 32-bit hash, built by
+The text is cut into pieces, its white-space separated words.  With ``rolled``
+(the registered query) a run of more than ``PIECE`` characters gives a piece
+of ``PIECE`` characters from every position, so a passage without spaces is
+found at whatever offset it stands.  Without ``rolled`` such a run is cut
+every ``PIECE`` characters from its start: cheaper, but a passage inside a run
+is only found at offsets that agree modulo ``PIECE``.  Every ``GRAM`` consecutive pieces get one 32-bit hash, built by
 doubling from the pieces' hashes.  Every window of ``WINDOW`` consecutive
 grams selects its smallest hash, the rightmost on ties; the fingerprint is
 the set of selected (position, hash).  Any ``GRAM + WINDOW - 1`` consecutive
@@ -31,7 +34,10 @@ PIECE = 8
 GRAM = 4     # a power of two
 WINDOW = 8   # a power of two
 _MAX = (1 << 31) - 1
-_PATTERN = r"[^\x20\x09-\x0D]{1,%d}" % PIECE
+_INK = r"[^\x20\x09-\x0D]"
+_PATTERN = r"(%s{1,%d})" % (_INK, PIECE)
+#: Looks at up to PIECE characters; goes on by one while more than PIECE are left of the run, else to its end.
+_ROLLED = r"(?=(%s{1,%d}))(?:%s(?=%s{%d})|%s{1,%d})" % (_INK, PIECE, _INK, _INK, PIECE, _INK, PIECE)
 
 
 def _let(value: Column, body) -> Column:
@@ -39,9 +45,13 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def pieces(text: Column) -> Column:
-    """The text's words, long ones cut every ``PIECE`` characters."""
-    return F.regexp_extract_all(text, F.lit(_PATTERN), F.lit(0))
+def _pattern(rolled: bool) -> Column:
+    return F.lit(_ROLLED if rolled else _PATTERN)
+
+
+def pieces(text: Column, rolled: bool = False) -> Column:
+    """The text's words, long ones as pieces from every position (``rolled``) or cut every ``PIECE`` characters."""
+    return F.regexp_extract_all(text, _pattern(rolled), F.lit(1))
 
 
 def n_windows(n: Column) -> Column:
@@ -101,10 +111,10 @@ def likeness(a: Column, b: Column) -> Column:
         .otherwise(c / (F.size(s["a"]) + F.size(s["b"]) - c))))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, rolled: bool = False) -> DataFrame:
     """doc_id and ``fingerprint`` (array<struct<position, hash>>) for every row of ``docs``."""
     rows = columns(docs, doc_id="long", text="string").select(
-        "doc_id", pieces(F.coalesce("text", F.lit(""))).alias("parts"))
+        "doc_id", pieces(F.coalesce("text", F.lit("")), rolled).alias("parts"))
     return rows.select("doc_id", entries(
         winnow(F.col("parts"), F.lit(0), n_windows(F.size("parts")))).alias("fingerprint"))
 
@@ -136,7 +146,7 @@ def _from(parts: str, start: str) -> Column:
     return F.slice(parts, F.col(start) + 1, F.size(parts))
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, rolled: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edited text, with likenesses.
 
     The edited text has the last quarter (``floor(n_chars / 4)`` code points)
@@ -148,9 +158,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = columns(docs, doc_id="long", text="string").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("place"))
-    rows = rows.withColumn("n_chars", F.char_length("text")).withColumn("parts", pieces(F.col("text")))
+    rows = rows.withColumn("n_chars", F.char_length("text")).withColumn("parts", pieces(F.col("text"), rolled))
     # Pieces before the last kept one are equal in both texts, and so are the windows over them.
-    kept = F.regexp_count(F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), F.lit(_PATTERN)) - 1
+    kept = F.regexp_count(F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), _pattern(rolled)) - 1
     rows = rows.withColumn("shared", F.greatest(kept - (GRAM + WINDOW - 2), F.lit(0)))
     front = F.slice("parts", 1, F.col("shared") + (GRAM + WINDOW - 2))
     rows = rows.select(
@@ -162,7 +172,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = with_next(rows, "place", ["text", "selected"])
     edited = F.expr("concat(left(text, cast(n_chars - floor(n_chars / 4) as int)),"
                     " left(next_text, cast(floor(n_chars / 4) as int)))")
-    rows = rows.withColumn("edited", edited).drop("text", "next_text").withColumn("parts", pieces(F.col("edited")))
+    rows = rows.withColumn("edited", edited).drop("text", "next_text").withColumn("parts", pieces(F.col("edited"), rolled))
     rows = rows.withColumn("changed", F.array_union("front", winnow(
         _from("parts", "shared"), F.col("shared"), n_windows(F.size("parts")) - F.col("shared")))).drop("parts")
     return rows.select(
@@ -172,7 +182,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         likeness(F.col("selected"), F.col("next_selected")).alias("near_next"))
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, rolled: bool = False) -> DataFrame:
     """:func:`edited_fingerprints` with the fingerprints as strings."""
-    return edited_fingerprints(docs).withColumn("fingerprint", as_string(F.col("fingerprint"))) \
+    return edited_fingerprints(docs, rolled).withColumn("fingerprint", as_string(F.col("fingerprint"))) \
         .withColumn("edited_fingerprint", as_string(F.col("edited_fingerprint")))

@@ -113,3 +113,55 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([("a b", 1, "x")], SCHEMA)
     plan = W.report(df)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def rolled(t):
+    return [run[i:i + 8] for run in re.findall(r"[^\x20\x09-\x0D]+", t) for i in range(max(len(run) - 7, 1))]
+
+
+def test_rolled_pieces(spark):
+    data = texts() + ["a bcdefghi jklmnopq r", "\U00020000" * 20 + " z", "abcdefghijk " * 30]
+    df = spark.createDataFrame([(t, i, "x") for i, t in enumerate(data)], SCHEMA)
+    got = {r.doc_id: list(r.parts) for r in df.select("doc_id", W.pieces(df.text, True).alias("parts")).collect()}
+    assert got == {i: rolled(t) for i, t in enumerate(data)}
+
+
+def test_query_finds_unspaced_passages_at_any_offset(spark, tmp_path):
+    """A passage without spaces shifted by 1 to 8 characters, through the registered query."""
+    from fleetzone.llm import queries
+    rnd = random.Random(8)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2000)]
+    passage = "".join(rnd.choices(letters, k=400))
+    rows = [("".join(rnd.choices(letters, k=i)) + passage, i, "x") for i in range(9)]
+    spark.createDataFrame(rows, SCHEMA).select("text", "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r for r in queries.op6_fingerprints(spark, str(tmp_path)).collect()}
+    hashes = {i: {e.split(":")[1] for e in r.fingerprint.split()} for i, r in out.items()}
+    for i in range(1, 9):
+        assert len(hashes[0] & hashes[i]) / len(hashes[0] | hashes[i]) > 0.8
+        assert out[i - 1].near_next > 0.8
+
+
+def test_rolled_shared_passage_of_18_characters(spark):
+    rnd = random.Random(12)
+    run = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    rows = []
+    for i in range(0, 40, 2):
+        passage = run(W.PIECE + W.GRAM + W.WINDOW - 2)
+        rows += [(run(rnd.randrange(30)) + passage + run(rnd.randrange(30)), i + j, "x") for j in (0, 1)]
+    got = {r.doc_id: {e.hash for e in r.fingerprint}
+           for r in W.fingerprints(spark.createDataFrame(rows, SCHEMA), rolled=True).collect()}
+    assert all(got[i] & got[i + 1] for i in range(0, 40, 2))
+
+
+def test_rolled_edited_texts(spark):
+    """The windows computed once for both texts are those of the whole edited text."""
+    rnd = random.Random(2)
+    data = texts(7) + ["".join(rnd.choices("abcdefg漢字", k=k)) for k in (7, 8, 9, 17, 30, 31, 32, 33, 90, 400)]
+    rows = [(t, i, "x") for i, t in enumerate(data)]
+    out = {r.doc_id: r for r in W.edited_fingerprints(spark.createDataFrame(rows, SCHEMA), rolled=True).collect()}
+    edited = [t[:len(t) - len(t) // 4] + data[(i + 1) % len(data)][:len(t) // 4] for i, t in enumerate(data)]
+    whole = spark.createDataFrame([(t, i, "x") for i, t in enumerate(data + edited)], SCHEMA)
+    fp = {r.doc_id: sorted((e.position, e.hash) for e in r.fingerprint) for r in W.fingerprints(whole, rolled=True).collect()}
+    decoded = lambda entries: sorted((2 ** 31 - 1 - (v & (2 ** 31 - 1)), v >> 31) for v in entries)
+    for i in range(len(data)):
+        assert decoded(out[i].fingerprint) == fp[i] and decoded(out[i].edited_fingerprint) == fp[len(data) + i]
