@@ -17,13 +17,16 @@ its confidence and whether the document is kept.
 Every document weighs at most ``DOC_WEIGHT`` trigrams in its language's
 counts, so a few very long texts do not become the language.  A declared value
 is taken for a language only if at least half of its documents read as it
-(a filler such as "xx" reads as the languages it covers and drops out).
+(a filler such as "xx" reads as the languages it covers and drops out); under
+a rare value, a document is read without its own trigrams, or it would vouch
+for itself.
 
 All counts are sums combined before their shuffle, so a hot host or language
 is no hot task; the tables joined back have one row per host or declared
-value.  Only the trigram tables (languages x buckets) reach the driver; a
-language is one that at least ``MIN_SHARE`` of the declared rows name, which
-bounds their number to 1 / MIN_SHARE.
+value.  A language is a value that ``MIN_ROWS`` rows declare, however large the
+input, or ``MIN_SHARE`` of the declared rows in a small one.  The trigram
+counts are a written table; of it, only the tables of log-probabilities (128 KB
+a language) reach the driver, a block of languages at a time.
 
 Defined cases: text without letters is "und" with confidence 0; a null or
 unknown declared language or host adds no evidence of its own kind; repeated
@@ -45,6 +48,9 @@ from fleetzone.llm.common import written
 BUCKETS = 1 << 14
 EVIDENCE = 60.0
 MIN_SHARE = 0.005
+MIN_ROWS = 50
+#: Languages whose counts a task or the driver holds at once.
+BLOCK = 128
 SMOOTHING = 20.0
 #: Trigrams that a document weighs at most in its language's counts.
 DOC_WEIGHT = 1000.0
@@ -96,25 +102,52 @@ def _count_rows(languages: list[str]):
     """Trigram counts by declared language of one task."""
     place = {x: i for i, x in enumerate(languages)}
 
+    def batch(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        at = {i: np.flatnonzero(row) for i, row in held.items()}
+        cells = [a + i * BUCKETS for i, a in at.items()] or [np.zeros(0, np.int64)]
+        n = [held[i][a] for i, a in at.items()] or [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(n))], names=["cell", "n"])
+
     def run(batches):
-        counts = np.zeros(len(languages) * BUCKETS, np.int64)
+        held = {}
         for part, texts in _parts(batches, 0):
             declared = part.column(1).to_pylist()
-            known = [(p, place[d], i) for i, (t, d) in enumerate(zip(texts, declared)) if d in place for p in _pieces(t)]
-            if known:
-                codes, owner = trigrams([t for t, _, _ in known])
-                language, doc = (np.array(x)[owner] for x in list(zip(*known))[1:])
-                size = np.bincount(doc, minlength=len(texts))
-                weight = np.maximum(np.round(1024 * np.minimum(1, DOC_WEIGHT / np.maximum(size, 1))), 1)
-                counts += np.bincount(codes + language * BUCKETS, weights=weight[doc],
-                                      minlength=len(counts)).astype(np.int64)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
+            by_language = {}
+            for t, d in zip(texts, declared):
+                if d in place:
+                    by_language.setdefault(place[d], []).append(t)
+            for language, own in by_language.items():
+                if language not in held and len(held) == BLOCK:
+                    yield batch(held)
+                    held = {}
+                pieces = [(p, i) for i, t in enumerate(own) for p in _pieces(t)]
+                codes, owner = trigrams([p for p, _ in pieces])
+                if len(codes):
+                    doc = np.array([i for _, i in pieces])[owner]
+                    size = np.bincount(doc, minlength=len(own))
+                    weight = np.maximum(np.round(1024 * np.minimum(1, DOC_WEIGHT / np.maximum(size, 1))), 1)
+                    held[language] = held.get(language, 0) + np.bincount(
+                        codes, weights=weight[doc], minlength=BUCKETS).astype(np.int64)
+        yield batch(held)
     return run
 
 
-def _score_rows(table: np.ndarray):
-    """Mean log-likelihood per trigram under every language, and the number of trigrams."""
+def _score_rows(table: np.ndarray, rare: dict[str, tuple[int, float]]):
+    """Mean log-likelihood per trigram under every language, and the number of trigrams.
+
+    ``own`` is the one of a ``rare`` declared value (its row and sum of
+    counts) without the document's own share of the counts.
+    """
+    def without(text: bytes, declared: str) -> float | None:
+        row, total = rare[declared]
+        codes = np.concatenate([trigrams([p])[0] for p in _pieces(text)])
+        if not len(codes):
+            return None
+        at, n = np.unique(codes, return_counts=True)
+        weight = min(1, DOC_WEIGHT / len(codes))
+        left = np.maximum(np.exp(table[row, at]) * total - weight * n, 0.1)
+        return float((n * np.log(left / (total - weight * len(codes)))).sum() / len(codes))
+
     def run(batches):
         for part, texts in _parts(batches, 1):
             pieces = [(p, i) for i, t in enumerate(texts) for p in _pieces(t)]
@@ -123,26 +156,37 @@ def _score_rows(table: np.ndarray):
             n = np.bincount(owner, minlength=len(texts))
             sums = np.stack([np.bincount(owner, weights=row[codes], minlength=len(texts)) for row in table], axis=1)
             mean = sums / np.maximum(n, 1)[:, None]
+            own = [without(t, d) if d in rare else None for t, d in zip(texts, part.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()),
+                [part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()), pa.array(own, pa.float64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(table), pa.int32()),
                                           pa.array(mean.ravel()))],
-                names=["id", "declared", "host", "n", "fit"])
+                names=["id", "declared", "host", "n", "own", "fit"])
     return run
 
 
-def text_model(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probability per language and bucket) from rows of text and declared language."""
+def text_model(rows: DataFrame) -> tuple[list[str], np.ndarray, dict[str, tuple[int, float]]]:
+    """(languages, log-probability per language and bucket) from rows of text and declared language.
+
+    The last part names the languages under ``MIN_SHARE``, each with its row
+    and the sum of its counts.
+    """
     declared = rows.where("declared is not null").groupBy("declared").count()
     total = declared.agg(F.sum("count")).first()[0] or 0
-    languages = sorted(r[0] for r in declared.where(F.col("count") >= MIN_SHARE * total).collect()) if total else []
-    counts = np.zeros(max(len(languages), 1) * BUCKETS)
+    least = min(MIN_SHARE * total, MIN_ROWS)
+    support = {r[0]: r[1] for r in declared.where(F.col("count") >= least).collect()} if total else {}
+    languages, sums = sorted(support), []
+    table = np.zeros((len(languages), BUCKETS))
     if languages:
-        cells = rows.select("text", "declared").mapInArrow(_count_rows(languages), "cell long, n long") \
-            .groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    counts = counts.reshape(-1, BUCKETS)[:len(languages)] / 1024 + 0.1
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True))
+        cells = written(rows.select("text", "declared").mapInArrow(_count_rows(languages), "cell long, n long")
+                        .groupBy("cell").agg(F.sum("n").alias("n")), "trigrams")
+    for a in range(0, len(languages), BLOCK):
+        block = cells.where((F.col("cell") >= a * BUCKETS) & (F.col("cell") < (a + BLOCK) * BUCKETS)).toArrow()
+        table.reshape(-1)[block.column("cell").to_numpy()] = block.column("n").to_numpy()
+        counts = table[a:a + BLOCK] / 1024 + 0.1
+        sums += counts.sum(axis=1).tolist()
+        table[a:a + BLOCK] = np.log(counts / counts.sum(axis=1, keepdims=True))
+    return languages, table, {x: (i, sums[i]) for i, x in enumerate(languages) if support[x] < MIN_SHARE * total}
 
 
 def _normal(x: Column) -> Column:
@@ -150,6 +194,14 @@ def _normal(x: Column) -> Column:
     return F.transform(x, lambda v: v / total)
 
 
+def _seen(rows: DataFrame, by: list[str], n: int, count: Column) -> DataFrame:
+    """Per group, the array ``seen`` of the sums of ``count`` by ``reads`` (0 to n - 1)."""
+    cells = rows.groupBy(*by, "reads").agg(count.cast("double").alias("v")) \
+        .groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("reads", "v"))).alias("m"))
+    return cells.select(*by, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(
+        F.try_element_at("m", i), F.lit(0.0))).alias("seen"))
+
+
 def host_priors(scored: DataFrame, n: int) -> DataFrame:
     """(host, prior): a distribution over the ``n`` languages per host.
 
@@ -157,20 +209,19 @@ def host_priors(scored: DataFrame, n: int) -> DataFrame:
     labels), its suffix (last label) and all; each level is smoothed towards
     the one above.
     """
-    hits = lambda: F.array(*[F.sum((F.col("reads") == i).cast("double")) for i in range(n)])
-    by_host = scored.where("host is not null").groupBy("host").agg(hits().alias("seen"))
     labels = F.split("host", r"\.")
-    by_host = by_host.withColumn("suffix", F.when(F.size(labels) > 1, F.element_at(labels, -1))) \
+    hits = scored.where("host is not null").groupBy("host", "reads").agg(F.count("*").alias("hits")) \
+        .withColumn("suffix", F.when(F.size(labels) > 1, F.element_at(labels, -1))) \
         .withColumn("domain", F.when(F.size(labels) > 1, F.concat_ws(".", F.slice(labels, -2, 2))))
-    add = lambda: F.array(*[F.sum(F.col("seen")[i]) for i in range(n)])
-    smooth = lambda seen, above: _normal(F.zip_with(seen, above, lambda a, b: F.coalesce(a, F.lit(0.0)) + b * SMOOTHING))
-    everything = scored.agg(hits().alias("all_seen")).select(_normal(F.transform("all_seen", lambda v: F.coalesce(v, F.lit(0.0)) + 1.0)).alias("base"))
-    base = F.array(*[F.lit(float(v)) for v in everything.first()[0]])
-    suffixes = by_host.where("suffix is not null").groupBy("suffix").agg(add().alias("s")) \
-        .select("suffix", smooth(F.col("s"), base).alias("suffix_prior"))
-    domains = by_host.where("domain is not null").groupBy("domain", "suffix").agg(add().alias("s")).join(suffixes, "suffix") \
-        .select("domain", smooth(F.col("s"), F.col("suffix_prior")).alias("domain_prior"))
-    return by_host.join(domains, "domain", "left") \
+    smooth = lambda seen, above: _normal(F.zip_with(seen, above, lambda a, b: a + b * SMOOTHING))
+    every = {r[0]: r[1] for r in scored.groupBy("reads").count().collect()}
+    total = sum(every.values()) + n
+    base = F.lit([(every.get(i, 0) + 1.0) / total for i in range(n)])
+    suffixes = _seen(hits.where("suffix is not null"), ["suffix"], n, F.sum("hits")) \
+        .select("suffix", smooth(F.col("seen"), base).alias("suffix_prior"))
+    domains = _seen(hits.where("domain is not null"), ["domain", "suffix"], n, F.sum("hits")).join(suffixes, "suffix") \
+        .select("domain", smooth(F.col("seen"), F.col("suffix_prior")).alias("domain_prior"))
+    return _seen(hits, ["host", "domain"], n, F.sum("hits")).join(domains, "domain", "left") \
         .select("host", smooth(F.col("seen"), F.coalesce("domain_prior", base)).alias("prior"))
 
 
@@ -187,40 +238,40 @@ def identify(rows: DataFrame, id_: str = "doc_id", text: str = "text", declared:
                       F.lower(F.regexp_extract(column(declared), "^[A-Za-z]+", 0)).alias("declared"),
                       F.lower(column(host)).alias("host")) \
         .withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
-    languages, table = text_model(src)
+    languages, table, rare = text_model(src)
     table = np.vstack([table, np.full((1, BUCKETS), -np.log(BUCKETS))])
     reads = F.array_position("fit", F.array_max("fit")).cast("int") - 1
     scored = written(src.select("id", "text", "declared", "host").mapInArrow(
-        _score_rows(table), "id long, declared string, host string, n long, fit array<double>"), "language")
+        _score_rows(table, rare), "id long, declared string, host string, n long, own double, fit array<double>"), "language")
     # Declared values that are languages: half of their documents read as them.
-    read = {r[0]: r[1] for r in scored.where("n > 0").withColumn("as", F.get(F.array(
-        *[F.lit(x) for x in [*languages, UND]]), reads)).where(F.col("declared").isin(languages))
-        .groupBy("declared").agg(F.avg((F.col("as") == F.col("declared")).cast("double"))).collect()}
+    place = F.array_position(F.lit([*languages, UND]), F.col("declared")).cast("int") - 1
+    others = F.array_max(F.transform("fit", lambda v, i: F.when(i != F.col("place"), v)))
+    read = {r[0]: r[1] for r in scored.where("n > 0").where(F.col("declared").isin(languages)).withColumn("place", place)
+            .groupBy("declared").agg(F.avg((F.coalesce("own", F.get("fit", F.col("place"))) >= others).cast("double"))).collect()}
     valid = [i for i, x in enumerate(languages) if read.get(x, 0) >= 0.5]
-    fit = F.array(*[F.col("fit")[i] for i in [*valid, len(languages)]])
+    fit = F.transform(F.lit([*valid, len(languages)]), lambda i: F.get("fit", i))
     languages = [languages[i] for i in valid]
     n = len(languages) + 1
     scored = scored.withColumn("fit", fit).withColumn("reads", reads)
     readable = scored.where("n > 0")
 
     # P(declared | language of the text), smoothed.
-    by_declared = readable.where("declared is not null").groupBy("declared").agg(
-        F.array(*[F.sum((F.col("reads") == i).cast("double")) for i in range(n)]).alias("seen"))
-    totals = by_declared.agg(F.count("*"), *[F.sum(F.col("seen")[i]) for i in range(n)]).first()
-    kinds, per = totals[0] or 1, [t or 0.0 for t in totals[1:]]
-    said = by_declared.select("declared", F.array(*[
-        F.log((F.col("seen")[i] + 0.5) / (per[i] + 0.5 * kinds)) for i in range(n)]).alias("said"))
+    by_declared = _seen(readable.where("declared is not null"), ["declared"], n, F.count("*"))
+    totals = {r[0]: (r[1], r[2]) for r in by_declared.select(F.posexplode("seen")).groupBy("pos")
+              .agg(F.count("*"), F.sum("col")).collect()}
+    kinds = totals[0][0] if totals else 1
+    per = F.lit([totals[i][1] + 0.5 * kinds if totals else 0.5 for i in range(n)])
+    said = by_declared.select("declared", F.zip_with("seen", per, lambda a, b: F.log((a + 0.5) / b)).alias("said"))
     priors = host_priors(readable, n)
 
-    flat = F.array(*[F.lit(0.0)] * n)
-    even = F.array(*[F.lit(1.0 / n)] * n)
+    flat, even = F.lit([0.0] * n), F.lit([1.0 / n] * n)
     joined = scored.join(said, "declared", "left").join(priors, "host", "left")
     fused = joined.withColumn("prior", F.coalesce("prior", even)).withColumn("said", F.coalesce("said", flat)) \
         .withColumn("evidence", F.least(F.col("n").cast("double"), F.lit(EVIDENCE)))
-    log_post = F.array(*[F.col("fit")[i] * F.col("evidence") + F.col("said")[i] + F.log(F.col("prior")[i]) for i in range(n)])
+    log_post = F.zip_with(F.zip_with("fit", "said", lambda a, b: a * F.col("evidence") + b), "prior", lambda a, b: a + F.log(b))
     fused = fused.withColumn("log_post", log_post).withColumn("best", F.array_max("log_post")) \
         .withColumn("confidence", 1 / F.aggregate("log_post", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("best"))))
-    names = F.array(*[F.lit(x) for x in [*languages, UND]])
+    names = F.lit([*languages, UND])
     readable = F.col("n") > 0
     lang = F.when(readable, F.get(names, F.array_position("log_post", F.col("best")).cast("int") - 1)).otherwise(F.lit(UND))
     confidence = F.when(readable, F.col("confidence")).otherwise(F.lit(0.0))

@@ -61,3 +61,35 @@ def test_host_priors_are_smoothed_down_the_hierarchy(spark):
         spark.createDataFrame(data, "host string, reads int"), 2).collect()}
     assert all(abs(sum(p) - 1) < 1e-9 for p in got.values())
     assert got["a.x.de"][0] > got["b.x.de"][0] > 0.5 > got["c.y.fr"][0]     # b leans on its domain
+
+
+def test_a_language_of_a_thousandth_is_found(spark):
+    """60 of 60,000 rows, correctly declared and on one host."""
+    rnd = random.Random(3)
+    cs = "který jsou nebo také podle protože mezi během však ještě první může".split()
+    data = [(i, " ".join(rnd.choices(WORDS[x], k=12)), x, "h", "c") for i in range(59940) for x in [["en", "de", "fr"][i % 3]]]
+    data += [(100_000 + i, " ".join(rnd.choices(cs, k=12)), "cs", "a.example.cz", "c") for i in range(60)]
+    out = language.identify(spark.createDataFrame(data, SCHEMA).repartition(4)).where("doc_id >= 100000").collect()
+    assert [(r.lang, r.kept) for r in out] == [("cs", True)] * 60
+
+
+def test_a_rare_filler_does_not_vouch_for_itself(spark):
+    """60 rows of 30,060 declare "xx"; their words have never been seen under it but in themselves."""
+    rnd = random.Random(6)
+    names = ["".join(rnd.choices("aeioubdfglmnrst", k=7)) for _ in range(3000)]
+    text = lambda x: " ".join(rnd.choices(WORDS[x], k=8) + rnd.choices(names, k=8))
+    data = [(i, text(x), x, "h", "c") for i in range(30_000) for x in [["en", "de", "fr"][i % 3]]]
+    data += [(100_000 + i, text("en"), "xx", "h", "c") for i in range(60)]
+    out = language.identify(spark.createDataFrame(data, SCHEMA).repartition(4)).where("doc_id >= 100000").collect()
+    assert [r.lang for r in out] == ["en"] * 60
+
+
+def test_more_languages_than_a_block(spark):
+    """Every language keeps its own counts when a task sees more of them than it holds at once."""
+    rnd = random.Random(4)
+    codes = [a + b for a in "abcdefghijklm" for b in "abcdefghijk"]
+    assert len(codes) > language.BLOCK
+    words = {c: ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(8)] for c in codes}
+    data = [(i, " ".join(rnd.choices(words[c], k=20)), c, None, c) for i, c in enumerate(codes * 4)]
+    got = {r.doc_id: r.lang for r in language.identify(spark.createDataFrame(data, SCHEMA).coalesce(1)).collect()}
+    assert sum(got[i] == c for i, _, _, _, c in data) > 0.99 * len(data)
