@@ -43,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetzone.llm.common import written
+from fleetzone.llm import html_main
+from fleetzone.llm.common import columns, written
 
 BUCKETS = 1 << 14
 EVIDENCE = 60.0
@@ -277,3 +278,37 @@ def identify(rows: DataFrame, id_: str = "doc_id", text: str = "text", declared:
     confidence = F.when(readable, F.col("confidence")).otherwise(F.lit(0.0))
     return fused.select(F.col("id").alias(id_), lang.alias("lang"), confidence.alias("confidence"), "declared",
                         ((lang != UND) & (confidence >= min_confidence)).alias("kept"))
+
+
+def host_of(url: Column) -> Column:
+    """The host of a url in lower case, without user, port and final dot; null if it has none."""
+    host = F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:\s]+)", 1)
+    host = F.lower(F.regexp_replace(host, r"\.+$", ""))
+    return F.when(host != "", host)
+
+
+def markup_language(html: Column) -> Column:
+    """The language that the ``html`` element declares (``lang`` or ``xml:lang``), as written; null if none."""
+    lang = F.regexp_extract(html, r"(?i)<html(?=\s)[^>]*?\s(?:xml:)?lang\s*=\s*[\x22']?\s*([A-Za-z][A-Za-z0-9_-]*)", 1)
+    return F.when(lang != "", lang)
+
+
+def _main_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 256):
+            part = batch.slice(a, 256)
+            texts = [html_main.extract(x) for x in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(texts, pa.string())],
+                                             names=["page_id", "declared", "host", "text"])
+
+
+def identify_pages(pages: DataFrame, min_confidence: float = 0.5) -> DataFrame:
+    """:func:`identify` for every row of ``pages`` (page_id, url, html).
+
+    The text is the page's main text, the declaration that of its markup and
+    the address the host of its url, so every kind of evidence takes part.
+    """
+    rows = columns(pages, page_id="long", url="string", html="string").select(
+        "page_id", markup_language(F.col("html")).alias("declared"), host_of(F.col("url")).alias("host"), "html")
+    rows = written(rows.mapInArrow(_main_texts, "page_id long, declared string, host string, text string"), "pages")
+    return identify(rows, "page_id", "text", "declared", "host", min_confidence)

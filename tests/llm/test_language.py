@@ -93,3 +93,28 @@ def test_more_languages_than_a_block(spark):
     data = [(i, " ".join(rnd.choices(words[c], k=20)), c, None, c) for i, c in enumerate(codes * 4)]
     got = {r.doc_id: r.lang for r in language.identify(spark.createDataFrame(data, SCHEMA).coalesce(1)).collect()}
     assert sum(got[i] == c for i, _, _, _, c in data) > 0.99 * len(data)
+
+
+def test_host_and_markup_language(spark):
+    rows = [("https://user:p@M.News.Example.ORG.:8080/a?b=//c.de/#x", '<!DOCTYPE html>\n<HTML class="a" xml:lang=\'de-AT\'>'),
+            ("net/en/7817?utm_source=feed", '<html data-lang="fr"><p lang="en">'), ("//x.de", "<html\nlang = pt_BR>"),
+            ("http://[::1]:80/", ""), (None, None)]
+    df = spark.createDataFrame(rows, "url string, html string")
+    out = df.select(language.host_of(df.url), language.markup_language(df.html)).collect()
+    assert [tuple(r) for r in out] == [("m.news.example.org", "de-AT"), (None, None), ("x.de", "pt_BR"), ("[::1]", None), (None, None)]
+
+
+def test_pages_give_their_address_and_markup(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in language.identify_pages(pages).collect()}
+    rows = pages.collect()
+    assert len(got) == len(rows)
+    assert {r.declared for r in got.values()} == {"en", "de", "fr", "es"}
+    assert sum(got[r.page_id].lang == got[r.page_id].declared for r in rows) > 0.8 * len(rows)
+    # A word of both languages: the suffix decides.
+    html = lambda lang, text: f"<html lang={lang!r}><body><article><p>{text}</p></article></body></html>"
+    data = [(i, f"http://h{i % 7}.example.{x}/p", html(x, " ".join(WORDS[x] * 3 + ["hotel"] * 10))) for i in range(300) for x in [["de", "fr"][i % 2]]]
+    data += [(1000 + k, f"http://new.site.{x}/", html("", "hotel")) for k, x in enumerate(["de", "fr"])]
+    priors = {r.page_id: r.lang for r in language.identify_pages(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert [priors[1000], priors[1001]] == ["de", "fr"]
