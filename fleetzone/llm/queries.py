@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetzone.llm import bpe, chat, html_main, language, mixing, near_dedup, quality, token_counts, topk, winnow
+from fleetzone.llm import (bpe, chat, html_main, importance, language, mixing, near_dedup, quality, quality_rules,
+                           repair, token_counts, topk, winnow)
 from fleetzone.llm.common import table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_windows(turns))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged by a checksum, then repaired with an audit of every edit."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.digests(turns, repair.repair(repair.damage(turns)))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark; a quarter of those with 20 words and more drawn and ranked."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by base rules and an isolation forest, its threshold calibrated on the quality labels."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     """Every opN query of this subpackage by name."""
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
@@ -78,4 +95,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op3_top_k": topk.ORACLE, "op7_mixing": mixing.ORACLE}
+    return {"op3_top_k": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op12_importance": importance.ORACLE}

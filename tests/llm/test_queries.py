@@ -13,11 +13,11 @@ from fleetzone.llm import queries  # noqa: E402
 from oracle_check import duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-TABLE = {"op2_main_text": "pages", "op3_top_k": None, "op10_chat": None}
+TABLE = {"op2_main_text": "pages", "op3_top_k": None, "op10_chat": None, "op11_repair": None}
 
 
 def test_names():
-    assert [int(q[2:].split("_")[0]) for q in queries.queries()] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in queries.queries()] == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
