@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetzone.operators import geo
 from fleetzone.session import work_path
-from fleetzone.sources.zones import TEST_ZONES, zone_names, zones_from_rows
+from fleetzone.sources.zones import TEST_ZONES, ZONE_SCHEMA, zone_names, zones_from_rows
 
 ZONE_A = TEST_ZONES[0]
 
@@ -79,14 +79,19 @@ def brute(lon, lat, zones, d=geo.BUFFER_M):
     return sorted(inside), bool(inside) or best <= d
 
 
-def classify_points(spark, pts, zones=TEST_ZONES, **kw):
-    z = zones_from_rows(spark, zones)
-    cells = geo.edge_cells(geo.zone_edges(z), **kw)
+def classify_points(spark, pts, zones=TEST_ZONES, cells=None, **kw):
+    cells = cells or geo.edge_cells(geo.zone_edges(zones_from_rows(spark, zones)), **kw)
     df = spark.createDataFrame([(i, lo, la) for i, (lo, la) in enumerate(pts)], "i int, lon double, lat double")
     out = geo.classify(df, "lon", "lat", cells).orderBy("i").collect()
     return [(list(r.zones_in), r.within) for r in out]
 
 
+def longest_lists(cells):
+    """Longest edge list of the distance cells and of the ray cells."""
+    return (cells.dist_cells.agg(F.max(F.size("d_edges"))).first()[0],
+            cells.ray_cells.agg(F.max(F.aggregate("r_zones", F.lit(0), lambda n, z: n + F.size(z["edges"])))).first()[0])
+
+
 # ---------------------------------------------------------------- tests
 def test_projection_check_point():
     x, y = proj(-67.0, 40.0)
@@ -187,19 +192,67 @@ def test_read_zones(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, zones_from_rows(spark).collect()))
 
 
-def test_detailed_zone_matches_brute_force(spark):
-    """Thousands of vertices: cells inside the buffer hold no edges at all,
-    and the others only the edges that can be nearest."""
-    n = 4000
+@pytest.mark.parametrize("n", [4000, 20000])
+def test_detailed_zone_matches_brute_force(spark, n):
+    """However detailed an outline, no cell lists more than MAX_EDGES edges,
+    and cells inside the buffer none."""
     ring = [(-66.0 + (1 + 0.05 * math.sin(40 * math.pi * 2 * i / n)) * math.cos(2 * math.pi * i / n),
              40.0 + (1 + 0.05 * math.sin(40 * math.pi * 2 * i / n)) * math.sin(2 * math.pi * i / n)) for i in range(n)]
-    rnd = random.Random(5)
-    pts = [(round(rnd.uniform(-69, -63), 3), round(rnd.uniform(37.5, 42.5), 3)) for _ in range(60)]
-    assert classify_points(spark, pts, zones=[("D", "detailed", ring)]) == [
-        brute(lo, la, [("D", "detailed", ring)]) for lo, la in pts]
-    cells = geo.edge_cells(geo.zone_edges(zones_from_rows(spark, [("D", "detailed", ring)])))
+    zones = [("D", "detailed", ring)]
+    cells = geo.edge_cells(geo.zone_edges(spark.createDataFrame(zones, ZONE_SCHEMA)))
+    assert max(longest_lists(cells)) <= geo.MAX_EDGES and cells.dist_levels is not None and cells.ray_levels is not None
     assert cells.dist_cells.where("all_within and size(d_edges) > 0").count() == 0
-    assert cells.dist_cells.agg(F.max(F.size("d_edges"))).first()[0] < n / 2
+    rnd = random.Random(5)
+    pts = [(round(rnd.uniform(-69, -63), 3), round(rnd.uniform(37.5, 42.5), 3)) for _ in range(40)]
+    pts += [ring[k] for k in range(0, n, n // 5)]                                   # vertices
+    for k in range(0, n, n // 40):                                                  # close to the outline and to the rim
+        (x, y), turn = ring[k], 2 * math.pi * k / n
+        pts += [(x + s * math.cos(turn), y + s * math.sin(turn)) for s in (-1e-4, 1e-4)]
+        px, py = proj(x, y)
+        pts.append(unproj(px + rnd.uniform(79000, 82000) * math.cos(turn), py + rnd.uniform(0.9, 1) * 80467 * math.sin(turn)))
+    assert classify_points(spark, pts, cells=cells) == [brute(lo, la, zones) for lo, la in pts]
+
+
+def test_divided_cells_with_vertices_and_edges_on_their_borders(spark, monkeypatch):
+    """Vertices on quarter degrees, spikes, shared borders, holes and repeated
+    vertices, cells divided as far as they go, points on the same grid."""
+    monkeypatch.setattr(geo, "MAX_EDGES", 2)
+    monkeypatch.setattr(geo, "MAX_LEVEL", 3)
+    rnd = random.Random(8)
+
+    def q(low, high):
+        return rnd.randint(int(low * 4), int(high * 4)) / 4
+    star = []
+    for k in range(24):
+        turn, far = 2 * math.pi * k / 24, 2.0 if k % 2 else 0.6
+        star.append((round((-66 + far * math.cos(turn)) * 4) / 4, round((40 + far * math.sin(turn)) * 4) / 4))
+    zones = [("A", "box", [(-68.0, 40.0), (-66.0, 40.0), (-66.0, 42.0), (-68.0, 42.0), (-68.0, 40.0)]),
+             ("A", "hole", [(-67.5, 40.5), (-66.5, 40.5), (-66.5, 41.5), (-67.5, 41.5)]),
+             ("B", "neighbour", [(-66.0, 40.0), (-64.5, 40.25), (-65.0, 41.0), (-65.5, 40.5), (-66.0, 42.0)]),
+             ("S", "star", star),
+             ("T", "random", [(q(-68, -64), q(38, 42)) for _ in range(9)])]
+    rings = {}
+    for z, _, ring in zones:
+        rings.setdefault(z, []).append(ring)
+
+    def want(lo, la):
+        inside, within = [], False
+        for z, parts in rings.items():
+            found = [brute(lo, la, [(z, "", r)]) for r in parts]
+            on = any(brute_on(lo, la, r) for r in parts)
+            odd = sum(bool(f[0]) and not brute_on(lo, la, r) for f, r in zip(found, parts)) % 2
+            inside += [z] if on or odd else []
+            within |= any(f[1] for f in found)
+        return sorted(inside), within
+
+    def brute_on(lo, la, r):
+        return any((x2 - x1) * (la - y1) == (y2 - y1) * (lo - x1) and min(x1, x2) <= lo <= max(x1, x2)
+                   and min(y1, y2) <= la <= max(y1, y2) for (x1, y1), (x2, y2) in zip(r, r[1:] + r[:1]))
+    pts = [(x / 8, y / 8) for x in range(-69 * 8, -63 * 8, 3) for y in range(37 * 8, 43 * 8, 3)]
+    pts += [(x / 4, y / 4) for x in range(-69 * 4, -63 * 4, 2) for y in range(37 * 4, 43 * 4, 2)]
+    pts += [(rnd.uniform(-69, -63), rnd.uniform(37, 43)) for _ in range(400)]
+    got = classify_points(spark, pts, zones=zones)
+    assert got == [want(lo, la) for lo, la in pts]
 
 
 def test_classify_plan_has_no_nested_loop_or_cartesian(spark):
