@@ -36,9 +36,9 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -347,25 +347,29 @@ _DECIDED = ("conversation string, id long, edits string, place long, has_system
             "blank long, duplicate long, truncated long, illegal long, cost long, audit string")
 
 
-def _decide(f: pd.DataFrame) -> pd.DataFrame:
+_DECISION = pa.schema([(c.split()[0], {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}[c.split()[1]])
+                       for c in _DECIDED.split(", ")])
+
+
+def _decide(bin_: pa.Table) -> pa.Table:
     """A bin of whole conversations: one row per segment with its edits, the first with the totals."""
+    segments = bin_.select(_SEGMENT.names).sort_by([("conversation", "ascending"), ("id", "ascending")]).to_pylist()
     out = []
-    for name, part in f.sort_values(["conversation", "id"]).groupby("conversation", sort=False):
-        rows = part.to_dict("records")
+    for name, part in groupby(segments, lambda r: r["conversation"]):
+        rows = list(part)
         cost, audits = chain([r["moves"] for r in rows])
         numbered = [r for r in rows if r["turns"]]
         meet = sum(a["high"] == b["low"] for a, b in zip(numbered, numbered[1:]))
-        gaps = int(numbered[-1]["high"]) - int(numbered[0]["low"]) + 1 - sum(r["turns"] for r in numbered) + meet if numbered else 0
+        gaps = numbered[-1]["high"] - numbered[0]["low"] + 1 - sum(r["turns"] for r in numbered) + meet if numbered else 0
         illegal = sum(r["illegal"] for r in rows) + sum((a["tail"] + b["head"]).encode() not in _LEGAL for a, b in zip(rows, rows[1:]))
         totals = {k: sum(r[k] for r in rows) for k in ("blank", "duplicate", "truncated")} | {
-            "gaps": min(gaps, _LONG), "illegal": illegal, "cost": cost, "audit": "".join(audits)}
+            "first": True, "gaps": min(gaps, _LONG), "illegal": illegal, "cost": cost, "audit": "".join(audits)}
         place, has_system = 0, (len(totals["audit"]) - totals["audit"].count("D")) % 2 == 1
         for r, edits in zip(rows, audits):
-            out.append({"conversation": name, "id": r["id"], "edits": edits, "place": place, "has_system": has_system,
-                        "first": r is rows[0]} | (totals if r is rows[0] else {}))
+            out.append({"conversation": name, "id": r["id"], "edits": edits, "place": place, "has_system": has_system}
+                       | (totals if r is rows[0] else {"first": False}))
             place += len(edits) - edits.count("D")
-    wanted = [c.split()[0] for c in _DECIDED.split(", ")]
-    return pd.DataFrame(out, columns=wanted).astype({k: "Int64" for k in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")})
+    return pa.Table.from_pylist(out, _DECISION)
 
 
 _EDIT = pa.schema([("conversation", pa.string()), ("place", pa.int64()), ("id", pa.int64()), ("edit", pa.string()),
@@ -379,18 +383,27 @@ def _edits(batches):
     nothing in the join and are spread over its tasks.
     """
     for batch in batches:
-        for r in batch.to_pylist():
-            letter = np.frombuffer(r["edits"].encode(), np.uint8)
-            row = r["id"] + np.cumsum(letter != ord("I")) - 1
-            stays = letter != ord("D")
-            letter, row = letter[stays], row[stays]
-            place = r["place"] + np.arange(len(letter))
-            role = np.where((place - r["has_system"]) % 2 == 0, "user", "assistant").astype(object)
-            role[letter == ord("K")] = None
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r["conversation"]] * len(letter), pa.string()), pa.array(place, pa.int64()),
-                pa.array(np.where(letter == ord("I"), -1 - row - place, row), pa.int64()),
-                pa.array(list(letter.tobytes().decode()), pa.string()), pa.array(role, pa.string())], schema=_EDIT)
+        edits = batch.column("edits").to_pylist()
+        size = np.array([len(e) for e in edits], np.int64)
+        letter = np.frombuffer("".join(edits).encode(), np.uint8)
+        segment = np.repeat(np.arange(len(edits)), size)
+        start = (np.cumsum(size) - size)[segment]
+        of = lambda name: batch.column(name).to_numpy(zero_copy_only=False)[segment]
+
+        def within(flags: np.ndarray) -> np.ndarray:
+            """Flags up to and with each letter, counted in its segment."""
+            total = np.concatenate(([0], np.cumsum(flags)))
+            return total[1:] - total[start]
+
+        stays, inserted, kept = (letter != ord("D")), (letter == ord("I")), (letter == ord("K"))
+        row = of("id") + within(~inserted) - 1
+        place = of("place") + within(stays) - 1
+        role = np.where((place - of("has_system")) % 2 == 0, "user", "assistant")
+        yield pa.RecordBatch.from_arrays([
+            batch.column("conversation").take(pa.array(segment[stays])), pa.array(place[stays]),
+            pa.array(np.where(inserted, -1 - row - place, row)[stays]),
+            pa.array([chr(x) for x in letter[stays].tolist()], pa.string()),
+            pa.array(role[stays], pa.string(), mask=kept[stays])], schema=_EDIT)
 
 
 @dataclass
@@ -414,7 +427,7 @@ def repair(turns: DataFrame) -> Repaired:
     segments = _faults(ordered).mapInArrow(_segments, _SEGMENT_DDL)
     bins = 4 * partitions(turns.sparkSession)
     decided = written(segments.groupBy(F.pmod(F.xxhash64("conversation"), F.lit(bins)).alias("bin"))
-                      .applyInPandas(_decide, _DECIDED), "repair-edits")
+                      .applyInArrow(_decide, _DECIDED), "repair-edits")
     conv_id = F.when(F.col("conversation") != "null", F.col("conversation")).cast("long").alias("conv_id")
     whole = decided.where("first").select(conv_id, "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
     edits = decided.select("conversation", "id", "edits", "place", "has_system").mapInArrow(
