@@ -104,30 +104,59 @@ def trips_sets_report_from_rows(rows: DataFrame, vessel: str = "VESSEL_ID",
                              date="YEAR", trip="__t", set_key="__s", flag="in_buffer")
 
 
-def landings_summary(df: DataFrame, keys: dict[str, str], flag: str, dw: Column,
-                     revenue: Column) -> DataFrame:
-    """Sum pounds and revenue by keys and in/out flag, pivoted with fill 0.
-
-    ``keys`` maps output names (VESSEL_ID, YEAR, COMMON_NAME) to input
-    columns.  ``dw`` and ``revenue`` are aggregate-producing callables
-    ``f(test) -> Column`` so each flag level gets its own conditional sum
-    in a single aggregate.  A (keys, flag) cell with no rows becomes 0; a
-    cell whose sum is missing stays NULL.
+# Partial sums of pounds and dollars: wide enough for any table, three decimals.
+PARTIAL = "decimal(28,3)"
+MEASURES = ["dw", "revenue"]
+# The landings report's sheets and their keys.
+GRAINS = {"VesselYearSpecies": ["VESSEL_ID", "YEAR", "COMMON_NAME"], "VesselYear": ["VESSEL_ID", "YEAR"],
+          "Vessel": ["VESSEL_ID"]}
+
+
+def partial_sums(rows: DataFrame, keys: dict[str, Column], dw: Column, revenue: Column,
+                 skip_revenue: bool = False) -> DataFrame:
+    """Mergeable sums by ``keys``: per measure the sum of the present amounts
+    and how many are missing (``dw``, ``dw_missing``, ``revenue``, ...).
+
+    Merging is plain addition, so these can be split, flagged and summed again
+    to any coarser keys; ``skip_revenue`` leaves missing dollars uncounted.
     """
-    gcols = [F.col(src).alias(dst) for dst, src in keys.items()]
-    out_t, in_t = F.col(flag) == 0, F.col(flag) == 1
-    g = df.groupBy(*gcols).agg(
-        F.max(F.when(out_t, F.lit(1))).alias("__has_out"),
-        F.max(F.when(in_t, F.lit(1))).alias("__has_in"),
-        dw(out_t).alias("DW_LBS_OUT"), dw(in_t).alias("DW_LBS_IN"),
-        revenue(out_t).alias("REVENUE_OUT"), revenue(in_t).alias("REVENUE_IN"))
+    def missing(c: Column, skip: bool) -> Column:
+        return F.lit(0).cast("long") if skip else F.count(F.when(c.isNull(), F.lit(1)))
+
+    return rows.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
+        F.sum(dw).cast(PARTIAL).alias("dw"), missing(dw, False).alias("dw_missing"),
+        F.sum(revenue).cast(PARTIAL).alias("revenue"), missing(revenue, skip_revenue).alias("revenue_missing"))
+
 
-    def fill(c, has):
-        return F.when(F.col(has).isNull(), F.lit(0)).otherwise(F.col(c)).alias(c)
+def merged(measure: str, test: Column) -> Column:
+    """A measure's sum over the partial rows where ``test`` holds: 0 without
+    rows, NULL when an amount is missing."""
+    missing = F.coalesce(F.sum(F.when(test, F.col(f"{measure}_missing"))), F.lit(0))
+    return F.when(missing == 0, F.coalesce(F.sum(F.when(test, F.col(measure))), F.lit(0)))
 
-    return g.select(*keys.keys(),
-                    fill("DW_LBS_OUT", "__has_out"), fill("DW_LBS_IN", "__has_in"),
-                    fill("REVENUE_OUT", "__has_out"), fill("REVENUE_IN", "__has_in"))
+
+def _sides() -> list[Column]:
+    return [merged(m, F.col("in_area") == level).alias(f"{name}_{side}")
+            for m, name in zip(MEASURES, ("DW_LBS", "REVENUE")) for level, side in enumerate(("OUT", "IN"))]
+
+
+def landings(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Flagged partial sums to one row per ``keys``: pounds and dollars out and in."""
+    return parts.groupBy(*keys).agg(*_sides()).select(*keys, "DW_LBS_OUT", "DW_LBS_IN", "REVENUE_OUT", "REVENUE_IN")
+
+
+def landings_grains(parts: DataFrame) -> DataFrame:
+    """All ``GRAINS`` in one pass (grouping sets, told apart by their id): ``sheet``, keys and measures.
+
+    Within the finest grain rows of the two ledgers stay apart, as in an append
+    of their summaries.
+    """
+    finest = [*GRAINS["VesselYearSpecies"], "ledger"]
+    sets = [[F.col(c) for c in (finest if len(keys) == 3 else keys)] for keys in GRAINS.values()]
+    out = parts.groupingSets(sets, *finest).agg(F.grouping_id().alias("gid"), *_sides())
+    # A key that a grain sums over has its bit set in the id, the last key the lowest one.
+    sheet = F.when(F.col("gid") == 0, F.lit("VesselYearSpecies")).when(F.col("gid") == 3, F.lit("VesselYear")).otherwise(F.lit("Vessel"))
+    return out.select(sheet.alias("sheet"), *GRAINS["VesselYearSpecies"], "DW_LBS_OUT", "DW_LBS_IN", "REVENUE_OUT", "REVENUE_IN")
 
 
 def with_shares(df: DataFrame) -> DataFrame:
@@ -140,22 +169,6 @@ def with_shares(df: DataFrame) -> DataFrame:
         share("REVENUE_IN", F.col("REVENUE_IN") + F.col("REVENUE_OUT"), scale=3).alias("REVENUE_IN_PERC"))
 
 
-def rollup(df_sp: DataFrame, keys: list[str]) -> DataFrame:
-    """Collapse a per-species summary (with totals) to coarser keys.
-
-    Sums are strict (a missing value makes the group's sum missing), then
-    shares are recomputed from the summed parts.
-    """
-    g = df_sp.groupBy(*keys).agg(
-        sum_strict("DW_LBS_OUT").alias("DW_LBS_OUT"), sum_strict("DW_LBS_IN").alias("DW_LBS_IN"),
-        sum_strict("REVENUE_IN").alias("REVENUE_IN"), sum_strict("REVENUE_OUT").alias("REVENUE_OUT"),
-        sum_strict("TOT_DW_LBS").alias("TOT_DW_LBS"), sum_strict("TOT_REV").alias("TOT_REV"))
-    return g.select(
-        "*",
-        share("DW_LBS_IN", F.col("DW_LBS_OUT") + F.col("DW_LBS_IN"), scale=3).alias("DW_LBS_IN_PERC"),
-        share("REVENUE_IN", F.col("REVENUE_IN") + F.col("REVENUE_OUT"), scale=3).alias("REVENUE_IN_PERC"))
-
-
 def money_to_double(df: DataFrame) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE (report edge only)."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name)

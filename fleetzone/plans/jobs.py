@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coords import lat_dd, lon_dd
-from ..functions.na import if_else, n_distinct_where, sum_skip_where, sum_strict, sum_strict_where
+from ..functions.na import if_else, n_distinct_where, sum_strict
 from ..functions.text import first_part, label, year_text
 from ..operators import extract, geo, match, reshape, rollup
 
@@ -276,33 +276,39 @@ def second_ledger_since(second: DataFrame, after_year: int) -> DataFrame:
     return second.where(F.col("LANDING_YEAR") > after_year)
 
 
-def dealer_summary(dealer_flagged: DataFrame) -> DataFrame:
-    """Dealer pounds (strict sum) and dollars (missing skipped) by vessel,
-    year, species, pivoted over the in/out flag; rows marked as duplicates
-    (``not_included`` present) are left out."""
-    d = dealer_flagged.where(F.col("not_included").isNull())
-    return rollup.landings_summary(
-        d, {"VESSEL_ID": "SUPPLIER_VESSEL_ID", "YEAR": "YEAR_OF_LANDING",
-            "COMMON_NAME": "COMMON_NAME_AS_REPORTED"}, "in_area",
-        dw=lambda t: sum_strict_where(t, "converted_dw"),
-        revenue=lambda t: sum_skip_where(t, "TOTAL_DOLLARS"))
+def dealer_parts(dealer: DataFrame) -> DataFrame:
+    """Dealer pounds (strict) and dollars (missing skipped) as partial sums by
+    vessel, date landed, year and species; rows marked as duplicates
+    (``not_included`` present) are left out.
 
+    This is the only shuffle of the ledger's rows: everything after it works on
+    these sums, of which a trip has a few.
+    """
+    keys = {"VESSEL_ID": F.col("SUPPLIER_VESSEL_ID"), "LANDED": F.col("DATE_LANDED"), "YEAR": F.col("YEAR_OF_LANDING"),
+            "COMMON_NAME": F.col("COMMON_NAME_AS_REPORTED")}
+    d = dealer.where(F.col("not_included").isNull())
+    return rollup.partial_sums(d, keys, F.col("converted_dw"), F.col("TOTAL_DOLLARS"), skip_revenue=True) \
+                 .withColumn("ledger", F.lit(1))
+
+
+def second_parts(second: DataFrame, species: str = "Bluefin") -> DataFrame:
+    """Second-ledger dressed pounds and dollars (both strict) as partial sums,
+    under one species name."""
+    keys = {"VESSEL_ID": F.col("COAST_GUARD_NBR").cast("string"), "LANDED": F.col("LANDING_DATE"),
+            "YEAR": F.col("LANDING_YEAR"), "COMMON_NAME": F.lit(species)}
+    return rollup.partial_sums(second, keys, dressed_weight(), F.col("DOLLARS")).withColumn("ledger", F.lit(2))
 
-def second_summary(second_flagged: DataFrame, species: str = "Bluefin") -> DataFrame:
-    """Second-ledger dressed pounds and dollars (strict sums) by vessel and
-    year under one species name, pivoted over the in/out flag."""
-    s = second_flagged.withColumns({"COMMON_NAME": F.lit(species), "dw_lb": dressed_weight()})
-    return rollup.landings_summary(
-        s, {"VESSEL_ID": "COAST_GUARD_NBR", "YEAR": "LANDING_YEAR", "COMMON_NAME": "COMMON_NAME"},
-        "in_area",
-        dw=lambda t: sum_strict_where(t, "dw_lb"),
-        revenue=lambda t: sum_strict_where(t, "DOLLARS"))
 
+def attributed(parts: DataFrame, dated_keys: DataFrame) -> DataFrame:
+    """Partial sums with ``in_area``: the (vessel, date) is a tagged trip's."""
+    return area_flag(parts, "VESSEL_ID", "LANDED", dated_keys)
 
-def landings_union(dealer_sum: DataFrame, second_sum: DataFrame) -> DataFrame:
-    """Both summaries appended by name, ordered by vessel, year, species."""
-    u = reshape.union_by_name(dealer_sum, second_sum, string_cols=["VESSEL_ID"])
-    return u.orderBy(*[F.col(c).asc_nulls_last() for c in ("VESSEL_ID", "YEAR", "COMMON_NAME")])
+
+def landings_union(parts: DataFrame) -> DataFrame:
+    """Both ledgers' landings by vessel, year and species, in and out of the
+    area, one below the other, ordered by vessel, year, species."""
+    keys = rollup.GRAINS["VesselYearSpecies"]
+    return rollup.landings(parts, [*keys, "ledger"]).drop("ledger").orderBy(*[F.col(c).asc_nulls_last() for c in keys])
 
 
 def dealer_totals(dealer: DataFrame) -> DataFrame:
@@ -405,6 +411,14 @@ def map_markers(classified: DataFrame) -> DataFrame:
         label("Vessel ID:", F.col("VESSEL_ID"), "; Set Date:", F.col("SET_DATE"), sep=" ").alias("label"))
 
 
+def write_sheets(rows: DataFrame, base: str, run_date: str | None = None) -> str:
+    """Write a report whose sheets are told apart by the column ``sheet`` in
+    one job, one folder per sheet: ``{base}/run_date={d}/sheet={name}``."""
+    path = f"{base}/run_date={run_date or dt.date.today().isoformat()}"
+    rows.write.mode("overwrite").partitionBy("sheet").parquet(path)
+    return path
+
+
 def write_report(tables: dict[str, DataFrame], base: str, run_date: str | None = None,
                  fmt: str = "parquet") -> dict[str, str]:
     """Write each table as its own dataset ``{base}/{name}/run_date={d}``."""

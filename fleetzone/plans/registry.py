@@ -44,7 +44,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.tb = StandIns(spark, sf_dir)
-        self._keys = self._dated = None
+        self._keys = None
 
     # zones -----------------------------------------------------------
     def zones(self) -> DataFrame:
@@ -107,12 +107,6 @@ class Ctx:
         """In-zone trips with their ledger date."""
         return jobs.with_dealer_date(self.trip_keys(), self.overrides())
 
-    def written_dated_keys(self) -> DataFrame:
-        """``dated_keys`` written once, for the queries over both ledgers."""
-        if self._dated is None:
-            self._dated = write_table(self.dated_keys(), "dated-keys")
-        return self._dated
-
     # ledgers -----------------------------------------------------------
     def dealer(self) -> DataFrame:
         return self.tb.dealer_ledger()
@@ -120,19 +114,13 @@ class Ctx:
     def second(self) -> DataFrame:
         return jobs.second_ledger_since(self.tb.second_ledger(), SECOND_AFTER_YEAR)
 
-    def dealer_summary(self) -> DataFrame:
-        return jobs.dealer_summary(jobs.area_flag(self.dealer(), "SUPPLIER_VESSEL_ID",
-                                                      "DATE_LANDED", self.written_dated_keys()))
-
-    def second_summary(self) -> DataFrame:
-        return jobs.second_summary(jobs.area_flag(self.second(), "COAST_GUARD_NBR",
-                                                      "LANDING_DATE", self.written_dated_keys()))
-
-    def landings(self) -> DataFrame:
-        return jobs.landings_union(self.dealer_summary(), self.second_summary())
+    def landing_parts(self) -> DataFrame:
+        """Both ledgers as partial sums, flagged by one match against the trip keys."""
+        parts = jobs.dealer_parts(self.dealer()).unionByName(jobs.second_parts(self.second()))
+        return jobs.attributed(parts, self.dated_keys())
 
     def landings_sp(self) -> DataFrame:
-        return rollup.with_shares(self.landings())
+        return rollup.with_shares(jobs.landings_union(self.landing_parts()))
 
     # observer ----------------------------------------------------------
     def observer(self) -> dict[str, DataFrame]:
@@ -334,20 +322,23 @@ def q_trip_lookup(c: Ctx) -> DataFrame:
     return _money(extract.semi_join(d, o, "TRIP_ID"))
 
 
+def _dealer_parts(c: Ctx) -> DataFrame:
+    return jobs.attributed(jobs.dealer_parts(c.dealer()), c.dated_keys())
+
+
 def q_landings_dealer(c: Ctx) -> DataFrame:
-    d = jobs.area_flag(c.dealer(), "SUPPLIER_VESSEL_ID", "DATE_LANDED", c.dated_keys())
-    d = d.where(F.col("not_included").isNull())
-    g = d.groupBy("SUPPLIER_VESSEL_ID", "YEAR_OF_LANDING", "COMMON_NAME_AS_REPORTED", "in_area").agg(
-        na.sum_strict("converted_dw").alias("dw_lb"), na.sum_skip("TOTAL_DOLLARS").alias("revenue"))
+    g = _dealer_parts(c).groupBy(F.col("VESSEL_ID").alias("SUPPLIER_VESSEL_ID"), F.col("YEAR").alias("YEAR_OF_LANDING"),
+                                 F.col("COMMON_NAME").alias("COMMON_NAME_AS_REPORTED"), "in_area").agg(
+        rollup.merged("dw", F.lit(True)).alias("dw_lb"), rollup.merged("revenue", F.lit(True)).alias("revenue"))
     return _money(g)
 
 
 def q_pivot_in_out(c: Ctx) -> DataFrame:
-    return _money(c.dealer_summary())
+    return _money(rollup.landings(_dealer_parts(c), rollup.GRAINS["VesselYearSpecies"]))
 
 
 def q_landings_union(c: Ctx) -> DataFrame:
-    return _money(c.landings())
+    return _money(jobs.landings_union(c.landing_parts()))
 
 
 def q_rollup_vessel_year_species(c: Ctx) -> DataFrame:
@@ -355,11 +346,11 @@ def q_rollup_vessel_year_species(c: Ctx) -> DataFrame:
 
 
 def q_rollup_vessel_year(c: Ctx) -> DataFrame:
-    return _money(rollup.rollup(c.landings_sp(), ["VESSEL_ID", "YEAR"]))
+    return _money(rollup.with_shares(rollup.landings(c.landing_parts(), rollup.GRAINS["VesselYear"])))
 
 
 def q_rollup_vessel(c: Ctx) -> DataFrame:
-    return _money(rollup.rollup(c.landings_sp(), ["VESSEL_ID"]))
+    return _money(rollup.with_shares(rollup.landings(c.landing_parts(), rollup.GRAINS["Vessel"])))
 
 
 def q_dealer_totals(c: Ctx) -> DataFrame:
@@ -461,25 +452,14 @@ def q_clean_column_names(c: Ctx) -> DataFrame:
     return clean_column_names(files.read_csv(c.spark, path, raw.schema))
 
 
+def _sheets(c: Ctx, rows: DataFrame, name: str) -> DataFrame:
+    """A report written in one job and read back."""
+    return c.spark.read.parquet(jobs.write_sheets(rows, _scratch(c, name), run_date="2022-12-05"))
+
+
 def q_report_tables(c: Ctx) -> DataFrame:
-    base = _scratch(c, "report")
-    # The per-species summary is computed once and written to the shared
-    # folder; all three sheets are derived from that written table, so the
-    # landings pipeline runs once and the lineage is cut there.
-    stage = f"{base}/_stage/VesselYearSpecies"
-    c.landings_sp().write.mode("overwrite").parquet(stage)
-    sp = c.spark.read.parquet(stage)
-    tables = {"VesselYearSpecies": _money(sp),
-              "VesselYear": _money(rollup.rollup(sp, ["VESSEL_ID", "YEAR"])),
-              "Vessel": _money(rollup.rollup(sp, ["VESSEL_ID"]))}
-    paths = jobs.write_report(tables, base, run_date="2022-12-05")
-    return _read_back(c, paths)
-
-
-def _read_back(c: Ctx, paths: dict[str, str]) -> DataFrame:
-    """All rows of the written sheets, one ``sheet`` column and the union of their columns."""
-    sheets = [c.spark.read.parquet(p).withColumn("sheet", F.lit(n)) for n, p in paths.items()]
-    return reshape.union_by_name(*sheets)
+    """The landings report: the three grains of one pass, written as sheets and read back."""
+    return _sheets(c, _money(rollup.with_shares(rollup.landings_grains(c.landing_parts()))), "report")
 
 
 def q_report_totals(c: Ctx) -> DataFrame:
@@ -488,17 +468,20 @@ def q_report_totals(c: Ctx) -> DataFrame:
         {"SUPPLIER_VESSEL_ID": "VESSEL_ID", "COMMON_NAME_AS_REPORTED": "COMMON_NAME", "Dealer_Landings": "Landings"})
     s = jobs.second_totals(c.second()).withColumnsRenamed(
         {"COAST_GUARD_NBR": "VESSEL_ID", "LANDING_YEAR": "YEAR", "BFT_Landings": "Landings"})
-    tables = {"Dealer Landings": _money(d), "BFT Landings": _money(s)}
-    return _read_back(c, jobs.write_report(tables, _scratch(c, "report_totals"), run_date="2022-12-05"))
+    # The sheet names of the report.
+    rows = reshape.union_by_name(_money(d).withColumn("sheet", F.lit("Dealer Landings")),
+                                 _money(s).withColumn("sheet", F.lit("BFT Landings")))
+    return _sheets(c, rows, "report_totals")
 
 
 def q_report_wide(c: Ctx) -> DataFrame:
-    """The wide totals report: trips and sets by year written as sheets and read back."""
-    years = c.years()
-    rows = c.logbook_rows("sets")
-    tables = {"TotTrips": jobs.wide_by_year(jobs.counts_by_year(rows, "SCHEDULE_NUMBER", "n"), "n", years),
-              "TotSets": jobs.wide_by_year(jobs.counts_by_year(rows, jobs.SET_KEY, "n"), "n", years)}
-    return _read_back(c, jobs.write_report(tables, _scratch(c, "report_wide"), run_date="2022-12-05"))
+    """The wide totals report: trips and sets by year, counted in one pass over
+    the logbook, written as sheets and read back."""
+    counts = rollup.trips_sets_counts(c.logbook_rows("sets"), "VESSEL_ID", "LANDING_DATE", "SCHEDULE_NUMBER", jobs.SET_KEY)
+    # The sheet names of the report.
+    rows = counts.select("VESSEL_ID", "YEAR", F.stack(F.lit(2), F.lit("TotTrips"), F.col("n_trips"), F.lit("TotSets"),
+                                                      F.col("n_sets")).alias("sheet", "n"))
+    return _sheets(c, reshape.pivot_wide(rows, ["sheet", "VESSEL_ID"], "YEAR", "n", c.years()), "report_wide")
 
 
 QUERIES: dict[str, Callable[[Ctx], DataFrame]] = {

@@ -1,6 +1,7 @@
 """Matching, extracts, reshaping, files (fixture rows with NULLs)."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -117,27 +118,60 @@ def test_semi_join_plans_as_left_semi(spark):
     assert "LeftSemi" in plan
 
 
+LEDGER = "v string, d string, y int, sp string, f int, dw decimal(18,2), rev decimal(18,2)"
+
+
+def _parts(spark, rows, skip):
+    """Partial sums of ledger rows; the flag follows from the date, as after a match."""
+    df = spark.createDataFrame(rows, LEDGER)
+    keys = {"VESSEL_ID": F.col("v"), "LANDED": F.col("d"), "YEAR": F.col("y"), "COMMON_NAME": F.col("sp"), "in_area": F.col("f")}
+    return rollup.partial_sums(df, keys, F.col("dw"), F.col("rev"), skip_revenue=skip).withColumn("ledger", F.lit(1))
+
+
 def test_pivot_fill_absent_zero_present_null_stays(spark):
-    rows = [("v1", 1, Decimal("5.00"), Decimal("1.00")),      # only flag 1 present
-            ("v2", 0, None, Decimal("2.00")), ("v2", 1, Decimal("3.00"), Decimal("4.00"))]
-    df = spark.createDataFrame(rows, "v string, f int, dw decimal(18,2), rev decimal(18,2)")
-    from fleetzone.functions.na import sum_skip_where, sum_strict_where
-    out = rollup.landings_summary(df, {"VESSEL_ID": "v"}, "f",
-                                  dw=lambda t: sum_strict_where(t, "dw"),
-                                  revenue=lambda t: sum_skip_where(t, "rev"))
-    got = {r.VESSEL_ID: (r.DW_LBS_OUT, r.DW_LBS_IN, r.REVENUE_OUT, r.REVENUE_IN) for r in out.collect()}
-    assert got["v1"] == (0, Decimal("5.00"), 0, Decimal("1.00"))
-    assert got["v2"] == (None, Decimal("3.00"), Decimal("2.00"), Decimal("4.00"))
+    rows = [("v1", "a", 1, "s", 1, Decimal("5.00"), Decimal("1.00")),      # only flag 1 present
+            ("v2", "a", 1, "s", 0, None, Decimal("2.00")), ("v2", "b", 1, "s", 1, Decimal("3.00"), Decimal("4.00")),
+            ("v3", "a", 1, "s", 0, None, None), ("v3", "b", 1, "s", 0, Decimal("1.00"), Decimal("7.00"))]
+    for skip in (True, False):
+        out = rollup.landings(_parts(spark, rows, skip), ["VESSEL_ID"]).collect()
+        got = {r.VESSEL_ID: (r.DW_LBS_OUT, r.DW_LBS_IN, r.REVENUE_OUT, r.REVENUE_IN) for r in out}
+        assert got["v1"] == (0, Decimal("5.00"), 0, Decimal("1.00"))
+        assert got["v2"] == (None, Decimal("3.00"), Decimal("2.00"), Decimal("4.00"))
+        assert got["v3"] == (None, 0, Decimal("7.00") if skip else None, 0)
+
+
+def test_landings_grains_equal_their_single_passes(spark):
+    """NULL keys, missing amounts, two ledgers under one species name."""
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["v1", "v2", None]), rnd.choice("abcd"), rnd.choice([2019, 2020, None]), rnd.choice(["s", "t", None]),
+             rnd.randint(0, 1), rnd.choice([None] + [Decimal(k) for k in range(9)]), Decimal(rnd.randint(0, 99))) for _ in range(300)]
+    parts = _parts(spark, rows[:200], True).unionByName(_parts(spark, rows[200:], False).withColumn("ledger", F.lit(2)))
+    sheets = {}
+    for r in rollup.landings_grains(parts).collect():
+        sheets.setdefault(r.sheet, []).append(tuple(r)[1:])
+    for name, keys in rollup.GRAINS.items():
+        single = rollup.landings(parts, [*keys, "ledger"] if len(keys) == 3 else keys)
+        blank = [F.lit(None).alias(c) for c in ("YEAR", "COMMON_NAME") if c not in keys]
+        want = single.select("*", *blank).select("VESSEL_ID", "YEAR", "COMMON_NAME", "DW_LBS_OUT", "DW_LBS_IN", "REVENUE_OUT", "REVENUE_IN")
+        assert sorted(map(repr, sheets[name])) == sorted(repr(tuple(r)) for r in want.collect())
+    total = sum(r[6] for r in rows)
+    assert sum(r[5] + r[6] for r in sheets["Vessel"]) == total
+
+
+def test_ledger_rows_meet_the_match_as_partial_sums(spark):
+    """Below the join against the trip keys the ledger is aggregated before its one exchange."""
+    d = spark.createDataFrame([], "SUPPLIER_VESSEL_ID string, DATE_LANDED date, YEAR_OF_LANDING int, COMMON_NAME_AS_REPORTED string, "
+                                  "converted_dw decimal(18,2), TOTAL_DOLLARS decimal(18,2), not_included string")
+    plan = jobs.dealer_parts(d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert plan.index("Exchange") < plan.index("partial_sum")        # printed from the top: summed below the exchange
 
 
 def test_pivot_then_sum_equals_plain_sum(spark):
-    df = spark.range(200).select((F.col("id") % 7).cast("string").alias("v"), (F.col("id") % 2).cast("int").alias("f"),
-                                 (F.col("id") * 3).cast("decimal(18,2)").alias("x"))
-    from fleetzone.functions.na import sum_strict_where
-    p = rollup.landings_summary(df, {"VESSEL_ID": "v"}, "f", dw=lambda t: sum_strict_where(t, "x"),
-                                revenue=lambda t: sum_strict_where(t, "x"))
+    rows = [(str(i % 7), "abc"[i % 3], 2020, "s", i % 2, Decimal(i * 3), Decimal(i)) for i in range(200)]
+    p = rollup.landings(_parts(spark, rows, False), ["VESSEL_ID"])
     total = p.agg(F.sum(F.col("DW_LBS_OUT") + F.col("DW_LBS_IN"))).first()[0]
-    assert total == df.agg(F.sum("x")).first()[0]
+    assert total == sum(i * 3 for i in range(200))
 
 
 def test_unpivot_drops_incomplete_pairs(spark):
