@@ -66,7 +66,7 @@ def distinct_keys(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def left_join_split(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+def left_join_split(left: DataFrame, right: DataFrame, on: str, right_keys: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (on)`` written so a hot key can be split.
 
     Spark's adaptive skew handling can split either side of an inner join
@@ -78,8 +78,26 @@ def left_join_split(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
     where the second part is an anti join against the right side's distinct
     keys (a map-side-combined aggregate, small even for a hot key).
+    ``right_keys`` is any frame with the same ``on`` values that is cheaper to
+    read than ``right``.
     """
     inner = left.join(right, on, "inner")
-    keys = right.select(on).distinct()
+    keys = (right if right_keys is None else right_keys).select(on).distinct()
     lonely = left.join(keys, on, "left_anti")
     return inner.unionByName(lonely, allowMissingColumns=True)
+
+
+def left_chain(tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    """``tables[0] LEFT JOIN tables[1] USING (keys[0]) LEFT JOIN ...``, joined from the lowest table up.
+
+    Left joins whose keys are columns of the two neighbours can be grouped
+    either way.  From the top, every row that found no match carries a NULL key
+    through all lower joins, where the NULLs of all such rows meet in one task.
+    From the bottom a table is joined while its keys are its own, and a row
+    without a match leaves at its level (``left_join_split``): no NULL stands in
+    for a missing match in any join.
+    """
+    out = tables[-1]
+    for table, below, key in reversed(list(zip(tables, tables[1:], keys))):
+        out = left_join_split(table, out, key, below)
+    return out

@@ -2,7 +2,8 @@
 
 Each function takes DataFrames with the reference-shaped columns (see
 ``fleetzone.sources.testbed`` for how the test tables provide them) and
-returns a lazy DataFrame: nothing runs until the caller acts on it.
+returns a lazy DataFrame: nothing runs until the caller acts on it (the
+registered queries may run jobs while they are built, for written tables).
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ TRIP_SET_COLUMNS = EXTRACT_COLUMNS[:EXTRACT_COLUMNS.index("AREA_FISHED")]
 
 def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
                  date_format: str = "dd-MMM-yyyy", level: str = "catches",
-                 keep_gear_key: bool = False) -> DataFrame:
+                 keep_gear_key: bool = False, few_trips: bool = False) -> DataFrame:
     """The logbook extract before its DISTINCT and ORDER BY.
 
     trips LEFT JOIN activities LEFT JOIN gears fished (with gear codes) LEFT
@@ -77,6 +78,9 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     activities, "gears" at the gears, "catches" takes everything.  A left
     join only repeats rows, so consumers that take distinct rows, count
     distinct values or test "any row" of upper columns need no lower table.
+    ``few_trips`` (always with a ``fleet``) first reduces each lower table to
+    the rows of the trips, by semi joins from the top; without it the chain is
+    joined from the bottom over whole tables (``extract.left_chain``).
     The gear description and parameter tables add no output column and are
     never joined (``keep_gear_key`` leaves the key by which they could be).
     The QC condition ("left join QC, keep QC.DELETED_DATE IS
@@ -88,16 +92,20 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     if fleet is not None:
         t = extract.keep_ids(t, "VESSEL_ID", fleet)
     t = extract.drop_all_flagged(t, tables["trip_qc"], "SCHEDULE_NUMBER", "DELETED_DATE")
-    j = extract.left_join_split(t, tables["activities"], "LOGBOOK_KEY")
+    keys = ["LOGBOOK_KEY", "FISHING_ACTIVITY_KEY", "GEAR_FISHED_KEY", "CATCH_KEY"]
+    names = ["activities", "gears", "catches", "catch_details"][:{"sets": 1, "gears": 2, "catches": 4}[level]]
+    chain = [t]
+    for name, key in zip(names, keys):
+        few = few_trips or fleet is not None
+        chain.append(extract.semi_join(tables[name], chain[-1], key) if few else tables[name])
+    # The code tables only add columns to a gear or a catch.
+    codes = {2: ("gear_codes", "GEAR_CODE_NMFS"), 3: ("species_codes", "SPECIES_CODE_NMFS")}
+    chain = [c.join(tables[codes[i][0]], codes[i][1], "left") if i in codes else c for i, c in enumerate(chain)]
+    j = extract.left_chain(chain, keys)
     if level == "sets":
         return j.select(*TRIP_SET_COLUMNS)
-    j = (j.join(tables["gears"], "FISHING_ACTIVITY_KEY", "left")
-          .join(tables["gear_codes"], "GEAR_CODE_NMFS", "left"))
     if level == "gears":
         return j.select(*[c for c in EXTRACT_COLUMNS if c not in CATCH_COLUMNS])
-    j = (j.join(tables["catches"], "GEAR_FISHED_KEY", "left")
-          .join(tables["species_codes"], "SPECIES_CODE_NMFS", "left")
-          .join(tables["catch_details"], "CATCH_KEY", "left"))
     return j.select(*EXTRACT_COLUMNS, *(["GEAR_FISHED_KEY"] if keep_gear_key else []))
 
 

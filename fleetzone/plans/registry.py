@@ -384,7 +384,7 @@ def q_animals_by_disposition(c: Ctx) -> DataFrame:
     picked = write_table(jobs.unmatched_trips(c.trip_keys(), c.second()), "unmatched-trips")
     tables = c.tb.logbook_tables()
     tables["trips"] = jobs.trips_of(tables["trips"], picked)
-    return jobs.catch_by_disposition(jobs.logbook_rows(tables, LANDED_AFTER))
+    return jobs.catch_by_disposition(jobs.logbook_rows(tables, LANDED_AFTER, few_trips=True))
 
 
 def q_haul_key(c: Ctx) -> DataFrame:

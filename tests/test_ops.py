@@ -225,3 +225,65 @@ def test_literal_table_is_jvm_side(spark):
     assert [tuple(r) for r in df.collect()] == [("a", dt.date(2020, 1, 2), [1.0, 2.0]), (None, None, None)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PythonRDD" not in plan and "ExistingRDD" not in plan
+
+
+def _chain_tables(spark):
+    """3,000 trips of which 30% are lonely, sets without gears, gears without catches, one set with a third of all gears."""
+    n, hot = 3000, 4000
+    trips = spark.range(n).select(F.col("id").cast("string").alias("LOGBOOK_KEY"), (F.col("id") % 7).cast("string").alias("VESSEL_ID"))
+    acts = spark.range(n).where("id % 10 >= 3").select(F.col("id").cast("string").alias("LOGBOOK_KEY"),
+                                                       F.concat(F.lit("a"), "id").alias("FISHING_ACTIVITY_KEY"))
+    gears = spark.range(2 * n + hot).where("id % 5 > 0 or id >= 6000").select(
+        F.when(F.col("id") >= 2 * n, F.lit("a13")).otherwise(F.concat(F.lit("a"), (F.col("id") % n).cast("string"))).alias("FISHING_ACTIVITY_KEY"),
+        F.concat(F.lit("g"), "id").alias("GEAR_FISHED_KEY"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    catches = spark.range(2 * n + hot).where("id % 4 > 0").select(F.concat(F.lit("g"), "id").alias("GEAR_FISHED_KEY"),
+                                                                  F.col("id").alias("pounds"))
+    return [trips, acts, gears, catches], ["LOGBOOK_KEY", "FISHING_ACTIVITY_KEY", "GEAR_FISHED_KEY"]
+
+
+def test_left_chain_equals_left_joins_from_the_top(spark):
+    tables, keys = _chain_tables(spark)
+    nulls = [t.unionByName(spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema]))
+             for t in tables]                                                                    # NULL keys match nothing
+    want = nulls[0]
+    for t, k in zip(nulls[1:], keys):
+        want = want.join(t, k, "left")
+    got = extract.left_chain(nulls, keys).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_left_chain_is_balanced(spark):
+    """Neither the rows without a match nor the hot set meet in one task."""
+    tables, keys = _chain_tables(spark)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    kept = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    # Written in many files, so that a hot partition has many map outputs to be split by.
+    tables = [spark.read.parquet(_saved(t.repartition(8), f"chain-{i}", spark)) for i, t in enumerate(tables)]
+    try:
+        rows = extract.left_chain(tables, keys)
+        sizes = _rows_a_task(rows)
+        below = extract.left_join_split(tables[2], tables[3], keys[2])
+        from_top = tables[0].join(tables[1], keys[0], "left").join(below, keys[1], "left")
+        before = _rows_a_task(from_top)
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == sum(before)
+    assert max(before) > 4000 and max(sizes) < 2000
+
+
+def _rows_a_task(df):
+    """Rows of each task, all columns read (pruned rows would be too small to be split)."""
+    rows = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*df.columns))).collect()
+    return [r.n for r in rows]
+
+
+def _saved(df, name, spark):
+    path = work_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return path
