@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.na import (fill_missing, n_distinct, n_distinct_where, share,
                             sum_strict)
 from ..functions.text import year_text
+from ..session import write_table
 
 # Join keys that rows without a set key are spread over.
 NULL_SPREAD = 64
@@ -66,7 +67,8 @@ def flagged_sets(rows: DataFrame, vessel: str = "VESSEL_ID", date: str = "LANDIN
     on every row of that key; a missing key is one key.
 
     1. "any row within" per (vessel, year, trip, set): partial aggregation
-       collapses repeated rows, hot keys included, before the shuffle;
+       collapses repeated rows, hot keys included, before the shuffle; written,
+       since both later steps read it, so the logbook is read once;
     2. the hit keys: a map-side-combined maximum per set key over step 1,
        of which only the keys with a hit are kept;
     3. step 1 left-joined to the hit keys, null-safely.  A set key shared by
@@ -77,6 +79,7 @@ def flagged_sets(rows: DataFrame, vessel: str = "VESSEL_ID", date: str = "LANDIN
     g1 = rows.groupBy(F.col(vessel).alias("VESSEL_ID"), year_text(date).alias("YEAR"),
                       F.col(trip).alias("__t"), F.col(set_key).alias("__s")).agg(
         F.max(F.coalesce(F.col(within), F.lit(False)).cast("int")).alias("__w"))
+    g1 = write_table(g1, "set-rows")
     hits = (g1.groupBy("__s").agg(F.max("__w").alias("__w")).where("__w = 1")
               .select(F.col("__s").alias("__k"), F.explode(
                   F.when(F.col("__s").isNull(), F.sequence(F.lit(0), F.lit(NULL_SPREAD - 1)))

@@ -237,20 +237,18 @@ def with_dealer_date(keys: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 def match_audit(keys: DataFrame, dealer: DataFrame, second: DataFrame) -> DataFrame:
-    """Per trip: "x" where the dealer ledger has the trip id, where it has
-    the (vessel, date), where the second ledger has the (vessel, date)."""
-    d_trip = dealer.select(F.col("TRIP_ID").alias("SCHEDULE_NUMBER"))
-    d_vd = dealer.select(F.col("SUPPLIER_VESSEL_ID").alias("VESSEL_ID"),
-                         F.col("DATE_LANDED").alias("LANDING_DATE"))
-    s_vd = second.select(F.col("COAST_GUARD_NBR").alias("VESSEL_ID"),
-                         F.col("LANDING_DATE").alias("LANDING_DATE"))
-    out = match.exists_flag(keys, d_trip, "SCHEDULE_NUMBER", "__a")
-    out = match.exists_flag(out, d_vd, ["VESSEL_ID", "LANDING_DATE"], "__b")
-    out = match.exists_flag(out, s_vd, ["VESSEL_ID", "LANDING_DATE"], "__c")
+    """Per distinct trip: "x" where the dealer ledger has the trip id, where it
+    has the (vessel, date), where the second ledger has the (vessel, date).
+    Each ledger is read once (``match.flags_by_keys``)."""
+    out = match.flags_by_keys(
+        keys.select("VESSEL_ID", "LANDING_DATE", "SCHEDULE_NUMBER"),
+        {"trip": ["SCHEDULE_NUMBER"], "landing": ["VESSEL_ID", "LANDING_DATE"]},
+        {"dealer": (dealer, {"trip": ["TRIP_ID"], "landing": ["SUPPLIER_VESSEL_ID", "DATE_LANDED"]}),
+         "second": (second, {"landing": ["COAST_GUARD_NBR", "LANDING_DATE"]})})
     return out.select("VESSEL_ID", "LANDING_DATE", "SCHEDULE_NUMBER",
-                      match.marker("__a").alias("sch_in_edlr"),
-                      match.marker("__b").alias("ves_date_in_edlr"),
-                      match.marker("__c").alias("ves_date_in_bft"))
+                      match.marker("dealer_trip").alias("sch_in_edlr"),
+                      match.marker("dealer_landing").alias("ves_date_in_edlr"),
+                      match.marker("second_landing").alias("ves_date_in_bft"))
 
 
 def dealer_activity_flag(dealer: DataFrame, keys: DataFrame) -> DataFrame:

@@ -287,3 +287,41 @@ def _saved(df, name, spark):
     path = work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def test_match_audit_reads_each_ledger_once_and_spreads_missing_keys(spark):
+    """A third of the trips without an id; NULL keys match NULL keys; repeated ledger rows."""
+    d = dt.date
+    trips = [("v1", d(2020, 1, 1), "t1"), ("v2", d(2020, 1, 2), "t2"), (None, d(2020, 1, 3), "t3"), ("v4", None, "t4")]
+    trips += [(f"v{i % 9}", d(2020, 2, 1 + i % 28), None if i % 3 == 0 else f"s{i}") for i in range(300)]
+    dealer = [("t1", "x", d(2020, 1, 1)), ("t1", "v2", d(2020, 1, 2)), ("q", None, d(2020, 1, 3)), (None, "v1", d(2020, 2, 3))] * 3
+    dealer += [(f"s{i}", f"v{i % 5}", d(2020, 2, 1 + i % 14)) for i in range(0, 300, 7)]
+    second = [("v4", None), (None, d(2020, 1, 3)), ("t1", d(2020, 1, 1))] + [(f"v{i % 4}", d(2020, 2, 1 + i % 28)) for i in range(40)]
+    t = spark.createDataFrame(trips, "VESSEL_ID string, LANDING_DATE date, SCHEDULE_NUMBER string").distinct()
+    dl = spark.createDataFrame(dealer, "TRIP_ID string, SUPPLIER_VESSEL_ID string, DATE_LANDED date")
+    sl = spark.createDataFrame(second, "COAST_GUARD_NBR string, LANDING_DATE date")
+    ids, pairs, spairs = {r[0] for r in dealer}, {r[1:] for r in dealer}, set(second)
+    for ledger in (dl, dl.where("TRIP_ID is not null")):            # with and without a NULL id to match
+        known = ids if ledger is dl else ids - {None}
+        seen = pairs if ledger is dl else {r[1:] for r in dealer if r[0] is not None}
+        out = jobs.match_audit(t, ledger, sl)
+        want = {(v, x, s): (s in known, (v, x) in seen, (v, x) in spairs) for v, x, s in trips}
+        got = {tuple(r)[:3]: tuple(c is not None for c in tuple(r)[3:]) for r in out.collect()}
+        assert got == want
+    for name, frame in (("d", dl), ("s", sl)):
+        path = _saved(frame, f"audit-{name}", spark)
+        frame = spark.read.parquet(path)
+        dl, sl = (frame, sl) if name == "d" else (dl, frame)
+    plan = jobs.match_audit(t, dl, sl)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "NestedLoop" not in plan
+
+
+def test_exists_flag_spreads_missing_keys(spark):
+    """Half the rows have no key: they are flagged alike and spread over the join's tasks."""
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("n"))
+    for keys, hit in (([("4",), (None,)], True), ([("4",)], False)):
+        rows = match.exists_flag(df, spark.createDataFrame(keys, "k string"), "k", "f").collect()
+        assert len(rows) == 2000
+        assert all(r.f == (hit if r.k is None else r.k == "4") for r in rows)
+    salts = df.where("k is null").select(match._row_salt(match._missing(["k"]), df.columns).alias("p")).distinct().count()
+    assert salts == match.NULL_SPREAD
