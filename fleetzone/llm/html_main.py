@@ -3,19 +3,25 @@
 A page is read into a light tree.  Markup that is never article text
 (scripts, styles, navigation, headers and footers of the page, sidebars,
 forms, adverts, notices, reader comments) is left out by element, role and
-whole words of class and id.  Every paragraph then passes points for its
-length and commas to its ancestors, all of it to the parent and less with
-distance; a container's points are discounted by the share of its text that
+class or id.  A form, or a name of which only one word says furniture
+("share-price"), is left out only where the points agree: it stays if it
+holds most of the page's and no article lies outside.  Every paragraph passes points for its length and
+commas to its ancestors, all of it to the parent and half as much with every
+step up; a container's points are discounted by the share of its text that
 lies in links.  The best container is widened to the ``article`` or ``main``
 element around it if there is one; otherwise those of its siblings that score
 well or read like paragraphs are kept with it.  All blocks of what is kept
 come out in page order; nothing else is dropped or capped.
 
 Rows are independent: one pass over the table, no shuffle, one page in memory
-at a time.
+at a time.  The time for a page grows with its length, however its tags are
+nested, unclosed or quoted: a tag ends at the first ``>`` outside a quoted
+attribute value, sizes and points are summed once from the leaves up, and what
+an open element needs to know of those around it is carried on the way down.
 
 Defined cases: null, empty or text-free html gives an empty text; unclosed or
-stray tags are repaired (a block ends an open paragraph); a page without any
+stray tags are repaired (a block ends an open paragraph; an unclosed frame or
+drawing is left out alone, an unclosed script or style with all that follows); a page without any
 paragraph keeps its body's blocks; repeated rows are kept; other input
 columns are ignored.
 """
@@ -54,146 +60,276 @@ ROLES = set("navigation banner contentinfo complementary search form alert dialo
 HEADER_WORDS = {"site", "page", "top", "global", "main", "masthead"}
 #: A name with one of these words describes a layout, not furniture ("no-sidebar").
 LAYOUT_WORDS = {"no", "has", "with", "without"}
+#: Names of reader comments, but of a section where they stand inside an article.
+DISCUSSION = {"discussion", "discussions"}
+#: Elements whose unclosed start leaves out the rest of the page.
+_TO_THE_END = {"script", "style", "xmp"}
+#: Share of the page's points above which a form or a one-word name is no furniture.
+MOST = 0.5
+_COMMENTS = {"comment", "comments", "commentlist", "reply", "replies", "respond"}
 _PROTECTED = {"html", "body", "main", "article"}
 
-_TAG = re.compile(r"<(?:!--(?:.*?(?:-->|--!>)|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*>)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_SKIP = re.compile(r"[\s/]*")
+_KEY = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    """An element; ``items`` holds child nodes and text in page order."""
-    __slots__ = ("tag", "attrs", "parent", "items", "score", "drop", "words")
+    """An element; ``items`` holds child nodes and text in page order.
+
+    ``block`` is the nearest block element around it (or itself), ``open``
+    that block's count of open inline elements by tag, ``near`` the nearest
+    element that ends or limits each kind of ``SIBLINGS``, ``article`` whether
+    it lies in an article; ``size``, ``linked``, ``commas``, ``points`` and
+    ``score`` are summed by :func:`_sum_up`.
+    """
+    __slots__ = ("tag", "attrs", "parent", "items", "drop", "block", "open", "near", "article", "safe",
+                 "size", "linked", "commas", "points", "score", "scored")
 
     def __init__(self, tag: str, attrs: dict, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.items, self.score, self.words = [], 0.0, None
-        self.drop = ""
+        self.items, self.drop, self.safe = [], "", False
+        own = tag in BLOCKS or parent is None
+        self.block = self if own else parent.block
+        self.open = {} if own else None
+        self.near = parent.near if parent else {}
+        if tag in _LIMITS:
+            self.near = self.near | {kind: self for kind in _LIMITS[tag]}
+        self.article = tag in ("article", "main") or bool(parent and parent.article)
+
+
+#: Kinds of ``SIBLINGS`` that an element ends or limits.
+_LIMITS: dict[str, list[str]] = {}
+for _kind, (_ends, _bounds) in SIBLINGS.items():
+    for _tag in _ends | _bounds:
+        _LIMITS.setdefault(_tag, []).append(_kind)
+
+
+_COMMENT_ENDS = ("-->", "--!>")
+
+
+class _Tags:
+    """The tags of a page: (start, end, closing, name, attributes) one after the other."""
+
+    def __init__(self, page: str):
+        self.page = page
+        # Behind these nothing is ever closed.
+        self.last = {q: page.rfind(q) for q in ('"', "'", *_COMMENT_ENDS)}
+
+    def next(self, at: int):
+        """The next tag or comment from ``at`` on; name empty for what is no element; None at the end."""
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                return None
+            if page.startswith("<!--", start):
+                ends = [page.find(c, start + 4) + len(c) for c in _COMMENT_ENDS if self.last[c] >= start + 4]
+                return start, min(ends, default=len(page)), False, "", {}
+            closing = page.startswith("/", start + 1)
+            name = _NAME.match(page, start + 1 + closing)
+            if name:
+                end, attrs = self._attributes(name.end())
+                if end < 0:
+                    return None                              # no tag ends any more
+                return start, end, closing, name[0].lower(), attrs
+            if page[start + 1:start + 2] in ("!", "?", "/"):
+                end = page.find(">", start)
+                return None if end < 0 else (start, end + 1, False, "", {})
+            at = start + 1
+
+    def _attributes(self, at: int) -> tuple[int, dict]:
+        """End of the tag (-1 if there is none) and its attributes."""
+        page, out = self.page, {}
+        while True:
+            at = _SKIP.match(page, at).end()
+            if at >= len(page):
+                return -1, out
+            if page[at] == ">":
+                return at + 1, out
+            key = _KEY.match(page, at)
+            at = key.end()
+            value, equals = "", _EQUALS.match(page, at)
+            if equals:
+                at = equals.end()
+                quote = page[at:at + 1]
+                if quote and quote in "\"'" and self.last[quote] > at:
+                    stop = page.find(quote, at + 1)
+                    value, at = page[at + 1:stop], stop + 1
+                else:
+                    bare = _BARE.match(page, at)
+                    value, at = bare[0], bare.end()
+            out.setdefault(key[0].lower(), html_lib.unescape(value))
 
 
 def parse(page: str) -> Node:
     """The page's tree, with furniture marked ``drop``."""
     root = node = Node("html", {}, None)
-    at, n = 0, len(page)
+    tags, at, n = _Tags(page), 0, len(page)
+    opened: dict[str, int] = {}             # open elements by tag
+    unclosed: set[str] = set()              # raw elements that are closed nowhere in the rest of the page
+    seen_body = False
+
+    def leave(to: Node) -> Node:
+        x = node
+        while x is not to:
+            opened[x.tag] -= 1
+            if x.open is None:
+                x.block.open[x.tag] -= 1
+            x = x.parent
+        return to
+
     while at < n:
-        m = _TAG.search(page, at)
-        if not m:
+        found = tags.next(at)
+        if not found:
             node.items.append(page[at:])
             break
-        if m.start() > at:
-            node.items.append(page[at:m.start()])
-        at = m.end()
-        if not m[2]:
+        start, end, closing, tag, attrs = found
+        if start > at:
+            node.items.append(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            end = node
-            while end is not None and end.tag != tag:
-                # An end tag never closes past the cell or list item around it, except for blocks.
-                end = end.parent if tag in BLOCKS or end.tag not in BLOCKS else None
-            if end is not None and end.parent is not None:
-                node = end.parent
+        if closing:
+            # An end tag of an inline element never closes past the block around it.
+            if (opened if tag in BLOCKS else node.block.open).get(tag):
+                x = node
+                while x.tag != tag:
+                    x = x.parent
+                node = leave(x.parent)
             continue
-        if tag == "html" or tag == "body" and any(x.tag == "body" for x in _up(node)):
+        if tag == "html" or tag == "body" and seen_body:
             continue
-        if tag in CLOSES_P:
-            node = _close(node, {"p"}, BLOCKS - {"p"})
+        seen_body |= tag == "body"
+        if tag in CLOSES_P and node.block.tag == "p":
+            node = leave(node.block.parent)
         if tag in HEADINGS and node.tag in HEADINGS:
-            node = node.parent
-        if tag in SIBLINGS:
-            node = _close(node, *SIBLINGS[tag])
-        attrs = {k.lower(): html_lib.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[3])} if m[3].strip(" /\n") else {}
+            node = leave(node.parent)
+        limit = node.near.get(tag)
+        if limit is not None and limit.tag in SIBLINGS[tag][0] and limit.parent is not None:
+            node = leave(limit.parent)
         child = Node(tag, attrs, node)
         child.drop = _furniture(child)
         if tag in ("article", "main", "h1") and not child.drop:
             # A wrapper that holds the article is no furniture, whatever its layout class says.
-            for x in _up(node):
-                x.drop = "" if x.drop == "names" else x.drop
+            x = node
+            while x is not None and not x.safe:
+                x.safe, x.drop = True, "" if x.drop in ("names", "weak") else x.drop
+                x = x.parent
         node.items.append(child)
-        if tag in VOID or m[3].endswith("/") and tag in RAW:
+        if tag in VOID or page.endswith("/>", start, end) and tag in RAW:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else n
+            close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if close:
+                at = close.end()
+            else:
+                unclosed.add(tag)
+                at = n if tag in _TO_THE_END else at
             continue
         if tag == "plaintext":
             break
         node = child
+        opened[tag] = opened.get(tag, 0) + 1
+        if child.open is None:
+            child.block.open[tag] = child.block.open.get(tag, 0) + 1
     return root
 
 
-def _up(node) -> Iterator[Node]:
-    while node is not None:
-        yield node
-        node = node.parent
-
-
-def _close(node: Node, tags: set, limits: set) -> Node:
-    """The insertion point after ending an open element of ``tags`` below the nearest of ``limits``."""
-    for x in _up(node):
-        if x.tag in tags and x.parent is not None:
-            return x.parent
-        if x.tag in limits:
-            break
-    return node
-
-
 def _furniture(x: Node) -> str:
-    """Why an element is page furniture: its element, role or visibility ("kind"), or its names; else empty."""
+    """Why an element is page furniture: its element, role or visibility ("kind"), its names, or only
+    a form or one word of a name ("weak"); else empty."""
+    if x.tag == "form":
+        return "weak"
     if x.tag in DROPPED:
         return "kind"
     a = x.attrs
+    inside = bool(x.parent and x.parent.article)
     if x.tag == "header":
-        return "" if any(p.tag in ("article", "main") for p in _up(x.parent)) else "kind"
+        return "" if inside else "kind"
     if not a:
         return ""
     if a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
         return "kind"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
         return "kind"
-    return "names" if _named_furniture(x) else ""
+    return _named_furniture(x, inside)
 
 
-def _named_furniture(x: Node) -> bool:
-    """Whether whole words of the class or id mark page furniture."""
+def _named_furniture(x: Node, inside: bool) -> str:
+    """Whether the class or id marks page furniture: as a whole ("names") or by its first or last word ("weak")."""
     names = f"{x.attrs.get('class', '')} {x.attrs.get('id', '')}".lower().split()
     if x.tag in _PROTECTED:
-        return x.tag == "article" and any(w in ("comment", "comments", "reply", "ad", "advert") for w in names)
-    inside = any(p.tag in ("article", "main") for p in _up(x.parent))
+        return "names" if x.tag == "article" and any(w in ("comment", "comments", "reply", "ad", "advert") for w in names) else ""
+    found = ""
     for name in names:
         words = _WORD.findall(name)
         if not words or LAYOUT_WORDS & set(words):
             continue
-        if name in FURNITURE or words[0] in FURNITURE or words[-1] in FURNITURE:
-            return True
+        if name in FURNITURE or {words[0], words[-1]} & _COMMENTS or not inside and set(words) & DISCUSSION:
+            return "names"
         if words[-1] == "header" and not inside and (len(words) == 1 or words[0] in HEADER_WORDS):
-            return True
-    return False
+            return "names"
+        if words[0] in FURNITURE or words[-1] in FURNITURE:
+            found = "weak"
+    return found
+
+
+_PARAGRAPHS = {"p", "pre", "blockquote"}
 
 
-def _text(node: Node) -> Iterator[tuple[str, bool]]:
-    """(text, inside a link) below a node."""
-    stack = [(iter(node.items), node.tag == "a")]
+def _holds_text(x: Node) -> bool:
+    return x.tag in ("div", "section", "article", "td") and any(isinstance(c, str) and c.strip() for c in x.items)
+
+
+def _own_points(x: Node) -> float:
+    """Points of a paragraph (or a container with text of its own) for its length and commas, less its links."""
+    if not x.size or x.tag not in _PARAGRAPHS and not _holds_text(x):
+        return 0.0
+    return (1 + x.commas + min(x.size / 100, 30)) * (1 - min(1.0, x.linked / x.size))
+
+
+def _sum_up(root: Node, dropped: set) -> list[Node]:
+    """All elements but the ``dropped`` ones in page order, their sizes and points summed from the leaves up."""
+    order, stack = [], [(root, False)]
     while stack:
-        items, link = stack[-1]
-        for x in items:
-            if isinstance(x, str):
-                yield x, link
-            elif not x.drop:
-                stack.append((iter(x.items), link or x.tag == "a"))
-                break
-        else:
-            stack.pop()
-
-
-def _measure(node: Node) -> tuple[str, float]:
-    """Collapsed text of a node and the share of it in links."""
-    all_, linked = [], 0
-    for t, link in _text(node):
-        all_.append(t)
-        linked += len(t.strip()) if link else 0
-    text = " ".join("".join(all_).split())
-    return text, min(1.0, linked / max(len(text), 1))
+        x, link = stack.pop()
+        link = link or x.tag == "a"
+        x.size = x.linked = x.commas = 0
+        x.points = x.score = 0.0
+        x.scored = False
+        order.append(x)
+        for c in reversed(x.items):
+            if isinstance(c, str):
+                size = len(" ".join(c.split()))
+                x.size += size
+                x.linked += size if link else 0
+                x.commas += c.count(",") + c.count("，")
+            elif c.drop not in dropped:
+                stack.append((c, link))
+    for x in reversed(order):
+        own = _own_points(x)
+        if own:
+            holder = x if x.tag not in _PARAGRAPHS else x.parent
+            holder.score += own
+            holder.scored = True
+        x.points += own
+        up = x.parent
+        if up is not None:
+            up.size, up.linked, up.commas = up.size + x.size, up.linked + x.linked, up.commas + x.commas
+            up.points += x.points
+    for x in reversed(order):
+        if x.parent is not None and x.scored:
+            x.parent.score += x.score / 2
+            x.parent.scored = True
+    return order
+
+
+def _links(x: Node) -> float:
+    return min(1.0, x.linked / max(x.size, 1))
 
 
 def blocks(nodes: list[Node]) -> list[str]:
@@ -233,41 +369,24 @@ def blocks(nodes: list[Node]) -> list[str]:
     return out
 
 
-def _elements(root: Node) -> list[Node]:
-    """All kept elements in page order."""
-    out, stack = [], [root]
-    while stack:
-        x = stack.pop()
-        out.append(x)
-        stack.extend(c for c in reversed(x.items) if not isinstance(c, str) and not c.drop)
-    return out
-
-
 def main_nodes(root: Node) -> list[Node]:
     """The best container with the siblings that belong to it."""
-    elements = _elements(root)
-    scored = {}
+    elements = _sum_up(root, {"kind", "names"})
+    marked = any(x.tag in ("article", "main") and x.points for x in elements)
     for x in elements:
-        inline_text = x.tag in ("div", "section", "article", "td") and any(
-            isinstance(c, str) and c.strip() for c in x.items)
-        if x.tag not in ("p", "pre", "blockquote") and not inline_text:
-            continue
-        text, link = _measure(x)
-        if not text:
-            continue
-        points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 30)) * (1 - link)
-        holder, share = (x if inline_text else x.parent), 1.0
-        while holder is not None and holder.tag != "html":
-            holder.score += points * share
-            scored[id(holder)] = holder
-            holder, share = holder.parent, share * 0.5
+        if x.drop == "weak" and x.points > MOST * root.points and (x.article or not marked):
+            x.drop = ""
+    elements = _sum_up(root, {"kind", "names", "weak"})
+    scored = [x for x in elements if x.scored and x.tag != "html"]
     body = next((x for x in elements if x.tag == "body"), root)
     if not scored:
         return [next((x for x in elements if x.tag in ("article", "main")), body)]
-    best = max(scored.values(), key=lambda x: x.score * (1 - _measure(x)[1]))
-    for x in _up(best):
-        if x.tag in ("article", "main"):
-            best = x
+    best = max(scored, key=lambda x: x.score * (1 - _links(x)))
+    around = best
+    while around is not None:
+        if around.tag in ("article", "main"):
+            best = around
+        around = around.parent
     if best.tag in ("article", "main", "body") or best.parent is None:
         return [best]
     floor = best.score * 0.2
@@ -277,9 +396,9 @@ def main_nodes(root: Node) -> list[Node]:
             continue
         if x is best or x.score >= floor:
             kept.append(x)
-        elif x.tag in HEADINGS | {"p", "pre", "blockquote"}:
-            text, link = _measure(x)
-            if link < 0.25 and (x.tag in HEADINGS or len(text) > 80 or re.search(r"[.!?]\s|[.!?]$", text)):
+        elif x.tag in HEADINGS | _PARAGRAPHS and _links(x) < 0.25:
+            if x.tag in HEADINGS or x.size > 80 or any(
+                    re.search(r"[.!?]\s|[.!?]$", line) for line in blocks([x])):
                 kept.append(x)
     return kept
 

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import duckdb
 
@@ -73,3 +74,42 @@ def test_nulls_extra_columns_and_empty_table(spark):
     got = sorted(((r.page_id or -1), r.url, r.text, r.n_chars) for r in H.main_text(df).collect())
     assert got == [(-1, "u", "a, b", 4), (1, None, "", 0), (1, None, "", 0)]
     assert H.main_text(df.limit(0)).collect() == []
+
+
+BODY = "<p>" + "The article has a sentence, and another one follows here. " * 5 + "</p>"
+
+
+def test_no_text_is_lost():
+    """Stray signs, pages wrapped in a form, names judged by one word, unclosed frames."""
+    assert H.extract("<p>When a<b it's small, fine.</p><p>Middle</p><p>That's the end") == "When a\nMiddle\nThat's the end"
+    want = H.extract(f"<body>{BODY * 3}</body>")
+    assert len(want) > 800
+    for page in (f"<body><form id=f><div>{BODY * 3}</div><input></form></body>",
+                 f"<body><section class='share-price'>{BODY * 3}</section><div class='footer-links'><p>Less</p></div></body>",
+                 f"<body><div class='legal-analysis'>{BODY * 3}</div></body>",
+                 f"<body><iframe src=x><div>{BODY * 3}</div></body>", f"<body><svg><div>{BODY * 3}</div></body>",
+                 f"<body><div title='a > b, c' data-x=\"1>2\">{BODY * 3}</div></body>"):
+        assert H.extract(page) == want, page[:60]
+
+
+def test_furniture_goes():
+    """Small forms, shared links and reader comments, however long these are."""
+    comments = "<section class=discussion>" + "<p>Reader remark, with many words, and more of them than the article.</p>" * 40 + "</section>"
+    for extra in ("<form class=x><p>Your name, please.</p></form>", "<div class='share-bar'><p>Tell it, share it.</p></div>",
+                  comments, comments.replace("discussion", "comments"), comments.replace("discussion", "reader-replies")):
+        assert H.extract(f"<body><div>{BODY * 3}</div>{extra}</body>") == H.extract(f"<body><div>{BODY * 3}</div></body>")
+    inside = H.extract(f"<body><article>{BODY}<section class=discussion><p>Results, discussed.</p></section></article></body>")
+    assert inside.endswith("Results, discussed.")
+
+
+def test_hostile_pages_take_linear_time():
+    """100,000 nested, unclosed, stray or half quoted tags."""
+    n = 100_000
+    pages = ["<div>" * n + "text, here", "<span class=a>" * n + "x", "<a b='c>t" * n, "<a b=\"c>t" * (n + 1), "<div>a, b" * n,
+             "<li><ul>" + "<div>" * (n // 2) + "<li></li>" * (n // 2), "<b><div>" + "<span>" * (n // 2) + "</b>" * (n // 2),
+             "<span>" * (n // 2) + "<hr>" * (n // 2), "<div class=nav-x>" * (n // 2) + "<h1>a</h1>" * (n // 2), "<iframe>" * n,
+             "<!--" * n, "<!-- a -->b" * n, "<" * n, "<blockquote>a, b c" * n, "<!x" * n, "<a " + "=" * n, "<body>" * n]
+    for page in pages:
+        began = time.process_time()
+        H.extract(page)
+        assert time.process_time() - began < 8, page[:20]         # the squares took minutes
