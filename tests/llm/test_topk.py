@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from fleetzone.llm import topk
 
@@ -60,3 +61,29 @@ def test_reading_stops_early_and_keeps_every_tie():
         kth = np.sort(scores[a])[-10]
         assert set(np.flatnonzero(scores[a] >= kth)) <= set(j[i == a])
     assert len(i) < 5 * 2000
+
+
+def test_large_values_are_exact(spark, monkeypatch):
+    """Scores far beyond what a float holds, with differences in their last digits."""
+    monkeypatch.setattr(topk, "GROUP_ROWS", 100)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 32)
+    for size, seed in ((1e4, 5), (1e6, 6), (5e5, 7), (1e8, 8)):
+        rnd = random.Random(seed)
+        near = [size + rnd.randint(-3, 3) / 1024 for _ in range(6)]
+        rows = [(0, [rnd.choice(near) if n % 3 else rnd.gauss(0, size / 8) for _ in range(3 if size > 1e7 else 7)], n, "x") for n in range(180)]
+        rows = [(a, [float(x) for x in v], i, t) for a, v, i, t in rows]
+        df = spark.createDataFrame(rows, "label int, embedding array<double>, vec_id long, score string")
+        want, fine = set(), [(i, [math.floor(1024 * x) for x in v]) for _, v, i, _ in rows]
+        for q, a in fine[::10]:
+            s = sorted(((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q))[:5]
+            want |= {(q, n + 1, i, -x) for n, (x, i) in enumerate(s)}
+        if max(x for *_, x in want) < 2 ** 63:
+            assert {tuple(r) for r in topk.top_k(df, k=5, every=10).collect()} == want
+        else:
+            assert size == 1e8
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0], i, "x") for i in range(4)], "label int, embedding array<double>, vec_id long, score string")
+    with pytest.raises(Exception, match="64-bit"):
+        topk.top_k(df, k=2, every=2).collect()
