@@ -147,7 +147,7 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
         own = int(pd.Series(cid).value_counts().max())
         i, j, score = _pairs_to_resolve(q, c, min(len(c), k + own), floor)
         keep = ids[i] != cid[j]
-        new = pd.DataFrame({"q": i[keep], "vec_id": cid[j[keep]], "score": score[keep]})
+        new = pd.DataFrame({"q": i[keep], "vec_id": cid[j[keep]], "score": pd.Series(score[keep], dtype=object)})
         best = pd.concat([best, new]).sort_values(["q", "score", "vec_id"], ascending=[True, False, True])
         best = best[best.groupby("q").cumcount() < k]
         full = best.groupby("q")["score"].agg(["size", "min"])
