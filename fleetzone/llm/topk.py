@@ -49,6 +49,7 @@ DEPTHS = (0.125, 0.25, 0.5)
 
 #: Below this every sum of products is exact in a 64-bit float.
 EXACT = 2.0 ** 53
+_LONG = 2 ** 63 - 1
 
 
 def search_block(q: np.ndarray, c: np.ndarray, k: int, floor: np.ndarray, slack: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
@@ -147,13 +148,14 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
         own = int(pd.Series(cid).value_counts().max())
         i, j, score = _pairs_to_resolve(q, c, min(len(c), k + own), floor)
         keep = ids[i] != cid[j]
-        new = pd.DataFrame({"q": i[keep], "vec_id": cid[j[keep]], "score": pd.Series(score[keep], dtype=object)})
+        new = pd.DataFrame({"q": i[keep], "vec_id": cid[j[keep]], "score": pd.Series(
+            [max(min(x, _LONG + 1), -_LONG - 2) for x in score[keep]], dtype=object)})    # what no long holds stays beyond
         best = pd.concat([best, new]).sort_values(["q", "score", "vec_id"], ascending=[True, False, True])
         best = best[best.groupby("q").cumcount() < k]
         full = best.groupby("q")["score"].agg(["size", "min"])
         full = full[full["size"] == k]
-        floor[full.index.to_numpy()] = [float(max(min(x, 2 ** 70), -2 ** 70)) for x in full["min"]]
-    if any(abs(x) >= 2 ** 63 for x in best["score"]):
+        floor[full.index.to_numpy()] = full["min"].to_numpy(float)
+    if any(not -_LONG - 1 <= x <= _LONG for x in best["score"]):
         raise OverflowError("an inner product does not fit a 64-bit integer")
     return pd.DataFrame({"query_id": ids[best["q"].to_numpy()], "vec_id": best["vec_id"].to_numpy(),
                          "score": best["score"].to_numpy(np.int64)})
