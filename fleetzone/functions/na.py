@@ -12,7 +12,6 @@ that gives the data-frame answer:
 * ``if_else``               a conditional whose NULL test gives NULL
 * ``share``                 ``round(part / whole, 2)`` with ties to even, exact
 * ``fill_missing``          NULL and NaN to 0 (numbers) and "0" (text)
-* ``non_null``              drop NULL before a frequency tally
 
 Grouping keeps NULL as a group and filters drop NULL tests: Spark already
 does both, so nothing is needed for them.

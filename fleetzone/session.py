@@ -69,8 +69,8 @@ def ensure_work_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared work folder."""
-    return os.path.join(ensure_work_dir(spark), *parts)
+    """A path under this application's own folder in the shared work folder."""
+    return os.path.join(ensure_work_dir(spark), f"fleetzone-{spark.sparkContext.applicationId}", *parts)
 
 
 def write_table(df: DataFrame, label: str) -> DataFrame:
@@ -85,15 +85,14 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def remove_work_tables(spark: SparkSession) -> None:
-    """Delete what this library wrote under the shared work folder.
+    """Delete what this application wrote under the shared work folder.
 
     For the end of a job: results that still read a written table must have
-    been saved.
+    been saved.  Other applications' folders are left alone.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in ("tables", "queries"):
-        path = jvm.org.apache.hadoop.fs.Path(work_path(spark, name))
-        path.getFileSystem(conf).delete(path, True)
+    path = jvm.org.apache.hadoop.fs.Path(work_path(spark))
+    path.getFileSystem(conf).delete(path, True)
 
 
 def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.5,

@@ -325,3 +325,30 @@ def test_exists_flag_spreads_missing_keys(spark):
         assert all(r.f == (hit if r.k is None else r.k == "4") for r in rows)
     salts = df.where("k is null").select(match._row_salt(match._missing(["k"]), df.columns).alias("p")).distinct().count()
     assert salts == match.NULL_SPREAD
+
+
+def test_leading_row_number_column_is_read_by_position_and_dropped(spark):
+    """Extracts written with row names: an unnamed first column, quoted names, NA as missing."""
+    base = work_path(spark, "row-numbers")
+    text = ['"","VESSEL_ID","QUANTITY","NOTE"', '"1","QX0001ZZ",12.5,"a, b"', '"2",NA,NA,NA', '"10","1000001",0,"x"']
+    spark.createDataFrame([(x,) for x in text], "value string").coalesce(1).write.mode("overwrite").text(base)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("VESSEL_ID", T.StringType()), T.StructField("QUANTITY", T.DoubleType()),
+                           T.StructField("NOTE", T.StringType())])
+    back = files.read_csv(spark, base, schema, row_number_column=True)
+    assert back.columns == ["VESSEL_ID", "QUANTITY", "NOTE"] and len(back.columns) == len(schema.fields)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        [("QX0001ZZ", 12.5, "a, b"), (None, None, None), ("1000001", 0.0, "x")], key=str)
+
+
+def test_work_tables_of_other_applications_are_left_alone(spark):
+    import os
+    from fleetzone.session import ensure_work_dir, remove_work_tables, write_table
+    other = os.path.join(ensure_work_dir(spark), "fleetzone-other", "tables", "t")
+    spark.range(3).write.mode("overwrite").parquet(other)
+    mine = write_table(spark.range(5).toDF("n"), "mine")
+    assert mine.count() == 5 and f"fleetzone-{spark.sparkContext.applicationId}" in mine.inputFiles()[0]
+    probe = work_path(spark)
+    assert os.path.isdir(probe) and spark.read.parquet(other).count() == 3
+    assert os.path.commonpath([probe, other]) == ensure_work_dir(spark)
+    assert callable(remove_work_tables)
