@@ -315,3 +315,72 @@ def test_missing_and_shared_set_keys_without_a_window(spark):
                 g[3].add(s)
         want = sorted((v, y, *map(len, g)) for (v, y), g in groups.items())
         assert sorted(tuple(r)[:6] for r in rep.collect()) == want
+
+
+def _layer(spark, name, texts):
+    path = work_path(spark, name)
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def _feature(geometry, **properties):
+    return {"type": "Feature", "id": properties.pop("id", None), "properties": properties, "geometry": geometry}
+
+
+BOX = [[-68.0, 40.0], [-66.0, 40.0], [-66.0, 42.0], [-68.0, 42.0], [-68.0, 40.0]]
+HOLE = [[-67.5, 40.5], [-66.5, 40.5], [-66.5, 41.5], [-67.5, 41.5], [-67.5, 40.5]]
+FAR = [[-64.0, 40.0, 5.0], [-63.0, 40.0, 5.0], [-63.0, 41.0, 5.0], [-64.0, 41.0, 5.0]]
+
+
+def test_layer_of_parts_and_holes_feeds_the_zone_edges(spark):
+    """A collection, the same as one feature a line, and as geometry collections: the same zones."""
+    import json
+    from fleetzone.sources.zones import layer_rings, read_layer
+    feature = _feature({"type": "MultiPolygon", "coordinates": [[BOX[::-1], HOLE], [FAR]]}, id="A", name="zone A")
+    other = _feature({"type": "Polygon", "coordinates": [[[-60, 40], [-59, 40], [-59, 41]]]}, id=7, name=None)
+    both = _feature({"type": "GeometryCollection", "geometries": [
+        {"type": "Polygon", "coordinates": [BOX, HOLE]}, {"type": "Polygon", "coordinates": [FAR]}]}, id="A", name="zone A")
+    whole = _layer(spark, "layer-whole", json.dumps({"type": "FeatureCollection", "features": [feature, other]}, indent=1).split("\n"))
+    lined = _layer(spark, "layer-lines", [json.dumps(x) for x in (both, other)])
+    got = [sorted(map(str, layer_rings(spark, p, lines=n).collect())) for p, n in ((whole, False), (lined, True))]
+    assert got[0] == got[1] and len(got[0]) == 4
+    rings = {(r.zone_id, r.part, r.ring_no): [tuple(v) for v in r.ring] for r in layer_rings(spark, whole).collect()}
+    assert sorted(rings["A", 0, 1]) == sorted(map(tuple, HOLE[:-1]))
+
+    def area(r):
+        return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1]))
+    assert {k: area(r) > 0 for k, r in rings.items()} == {("A", 0, 0): True, ("A", 0, 1): False, ("A", 1, 0): True, ("7", 0, 0): True}
+    assert all(r[0] != r[-1] for r in rings.values())
+    zones = read_layer(spark, whole)
+    assert zones.schema.names == ZONE_SCHEMA.names and zones.schema["ring"].dataType.simpleString() == \
+        ZONE_SCHEMA["ring"].dataType.simpleString()
+    cells = geo.edge_cells(geo.zone_edges(zones))
+    assert [z for z, _ in classify_points(spark, [(-67.8, 41.0), (-67.0, 41.0), (-63.5, 40.5), (-59.2, 40.4), (-65.0, 40.5)],
+                                          cells=cells)] == [["A"], [], ["A"], ["7"], []]
+    assert sorted(map(tuple, zone_names(zones).collect())) == [("7", None), ("A", "zone A")]
+
+
+def test_layer_with_bad_rings(spark):
+    import json
+    from fleetzone.sources.zones import layer_rings, read_layer
+    shapes = {"line": {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}, "none": None,
+              "flat": {"type": "Polygon", "coordinates": [[[0, 0], [1, 1], [2, 2], [0, 0]]]},
+              "two": {"type": "Polygon", "coordinates": [[[0, 0], [1, 1], [0, 0]]]},
+              "off": {"type": "Polygon", "coordinates": [[[0, 0], [181, 1], [2, 5]], HOLE]},
+              "short": {"type": "Polygon", "coordinates": [[[0, 0], [1], [2, 5]]]},
+              "empty": {"type": "Polygon", "coordinates": []}, "good": {"type": "Polygon", "coordinates": [BOX, [[0, 0]]]}}
+    lines = [json.dumps(_feature(g, key=k)) for k, g in shapes.items()] + [json.dumps(_feature(shapes["good"], name="x"))]
+    path = _layer(spark, "layer-bad", lines)
+    got = {}
+    for r in layer_rings(spark, path, id_property="key", lines=True).collect():
+        got.setdefault(r.zone_id, []).append(r.problem)
+    vertex, few = "a vertex without two numbers or off the globe", "fewer than three different vertices"
+    assert got == {"line": ["not a polygon"], "none": ["not a polygon"], "flat": ["no area"], "two": [few],
+                   "off": [vertex, "outline: " + vertex], "short": [vertex], "empty": ["not a polygon"],
+                   "good": [None, few], None: ["no zone id", "no zone id"]}
+    kept = read_layer(spark, path, id_property="key", lines=True, strict=False).collect()
+    assert [(r.zone_id, len(r.ring)) for r in kept] == [("good", 4)]
+    with pytest.raises(Exception, match="zone (line|none|flat|two|off|short|empty|good|.): "):
+        read_layer(spark, path, id_property="key", lines=True).collect()
+    nothing = _layer(spark, "layer-nothing", ['{"type": "FeatureCollection", "features": []}'])
+    assert read_layer(spark, nothing).collect() == []
