@@ -9,6 +9,8 @@ rather than repeating them.
 
 from __future__ import annotations
 
+import math
+
 from ..operators import geo
 from ..sources import testbed
 from ..sources.zones import TEST_ZONES
@@ -28,6 +30,34 @@ def sql_project(lon: str, lat: str) -> tuple[str, str]:
     return f"({rho} * sin({theta}))", f"({_d(geo.RHO0)} - {rho} * cos({theta}))"
 
 
+def _unproject(points: str) -> str:
+    """Degrees of projected metres, the slow way: the cone's constants anew
+    from its definition, the latitude by six Newton steps from the origin's."""
+    a, f = 6378137.0, 1 / 298.257222101
+    e = f * (2 - f)
+    series = [1 - e / 4 - 3 * e ** 2 / 64 - 5 * e ** 3 / 256, -(3 * e / 8 + 3 * e ** 2 / 32 + 45 * e ** 3 / 1024),
+              15 * e ** 2 / 256 + 45 * e ** 3 / 1024, -35 * e ** 3 / 3072]
+
+    def arc(phi):
+        return a * (series[0] * phi + sum(series[k] * math.sin(2 * k * phi) for k in (1, 2, 3)))
+
+    def radius(phi):
+        return a * math.cos(phi) / math.sqrt(1 - e * math.sin(phi) ** 2)
+    low, high, origin = (math.radians(d) for d in (33.0, 45.0, 39.0))
+    cone = (radius(low) - radius(high)) / (arc(high) - arc(low))
+    apex = arc(low) + radius(low) / cone
+    sql_arc = f"{_d(a)} * ({_d(series[0])} * phi" + "".join(
+        f" + {_d(series[k])} * sin({2 * k} * phi)" for k in (1, 2, 3)) + ")"
+    sql_slope = f"{_d(a)} * ({_d(series[0])}" + "".join(
+        f" + {_d(2 * k * series[k])} * cos({2 * k} * phi)" for k in (1, 2, 3)) + ")"
+    out = (f"SELECT x_m, y_m, {_d(apex)} - sqrt(x_m::DOUBLE * x_m + ({_d(apex - arc(origin))} - y_m) * "
+           f"({_d(apex - arc(origin))} - y_m)) AS arc, {_d(origin)} AS phi FROM {points}")
+    for _ in range(6):
+        out = f"SELECT x_m, y_m, arc, phi - ({sql_arc} - arc) / ({sql_slope}) AS phi FROM ({out})"
+    return (f"SELECT x_m, y_m, round(-96.0::DOUBLE + degrees(atan2(x_m::DOUBLE, {_d(apex - arc(origin))} - y_m) / {_d(cone)}), 6) "
+            f"AS lon_dd, round(degrees(phi), 6) AS lat_dd FROM ({out})")
+
+
 def sql_share(m: str, n: str, scale: int = 0) -> str:
     """round(m / n, 2) half-even, exact; NULL when n is 0 or NULL."""
     unit = 10 ** scale
@@ -477,6 +507,8 @@ SQL: dict[str, str] = {
         {dms('LONGITUDE_DEGREES', 'LONGITUDE_MINUTES', 'LONGITUDE_HEMISPHERE', 'lon')} AS lon_dd FROM activities""",
     "project_points": "SELECT lon AS lon_dd, lat AS lat_dd, CAST(round(px, 0) AS BIGINT) AS x_m, "
                       "CAST(round(py, 0) AS BIGINT) AS y_m FROM a_p",
+    "unproject_points": _unproject("(SELECT DISTINCT CAST(round(px, 0) AS BIGINT) AS x_m, "
+                                   "CAST(round(py, 0) AS BIGINT) AS y_m FROM a_p)"),
     "points_in_zone": """SELECT p.ORIGINAL_BATCH_SEQUENCE_NUMBER, p.lon_dd, p.lat_dd, z.zone_id, e.name
         FROM setpos p JOIN g_pz z ON p.lon_dd = z.lon AND p.lat_dd = z.lat AND z.inside
         JOIN (SELECT DISTINCT zone_id, name FROM g_e0) e ON e.zone_id = z.zone_id""",
@@ -560,6 +592,9 @@ SQL: dict[str, str] = {
         f"{c} ASC NULLS LAST" for c in ["ORIGINAL_BATCH_SEQUENCE_NUMBER"] +
         [c for c in SET_COLS if c != "ORIGINAL_BATCH_SEQUENCE_NUMBER"]) + " LIMIT 6",
     "csv_roundtrip": "SELECT * FROM sets",
+    "extract_by_year": f"""SELECT *, year(LANDING_DATE) AS LANDING_YEAR FROM sets
+        WHERE year(LANDING_DATE) >= {R.REREAD_FROM_YEAR} AND EXISTS (SELECT 1 FROM ledger2 s
+            WHERE s.LANDING_YEAR = year(sets.LANDING_DATE) AND month(s.LANDING_DATE) = 12)""",
     "latest_extract": "SELECT HAUL_LOG_KEY, TRIP_NUMBER, HAUL_NUMBER, GEAR_CODE FROM obs_hauls",
     "clean_column_names": """SELECT CAST(o_custkey AS VARCHAR) AS COAST_GUARD_NBR, CAST(o_orderdate AS DATE) AS LANDING_DATE,
         year(o_orderdate) AS LANDING_YEAR, o_orderpriority AS DEALER_NAME, o_totalprice AS X1ST_PRICE,
@@ -610,6 +645,7 @@ _A_POS.update({k: v for k, v in geo_ctes("a_pos", "a").items() if k == "a_p"})
 DATE_OUTPUTS = {
     "clean_column_names": ["LANDING_DATE"],
     "csv_roundtrip": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
+    "extract_by_year": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
     "date_override": ["LANDING_DATE", "dealer_date"],
     "extract_logbook": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],
     "extract_logbook_fleet": ["LANDING_DATE", "SET_DATE", "HAULBACK_DATE"],

@@ -30,6 +30,7 @@ from . import jobs
 LANDED_AFTER = "31-DEC-1995"
 VIEW_AFTER_YEAR = 1995
 SECOND_AFTER_YEAR = 1995
+REREAD_FROM_YEAR = 1997
 FLEET = ["11", "23", "37", "101", "233", "997", "QX0001ZZ"]
 OBS_VESSEL = "BUILDING"
 OVERRIDES = [("7", "1996-02-01"), ("100", "1997-03-04"), ("2021", "1999-09-09")]
@@ -194,6 +195,13 @@ def q_project_points(c: Ctx) -> DataFrame:
                     F.round(y, 0).cast("bigint").alias("y_m"))
 
 
+def q_unproject_points(c: Ctx) -> DataFrame:
+    """Projected positions in whole metres back to degrees."""
+    p = q_project_points(c).select("x_m", "y_m").distinct()
+    lon, lat = geo.unproject(F.col("x_m").cast("double"), F.col("y_m").cast("double"))
+    return p.select("x_m", "y_m", F.round(lon, 6).alias("lon_dd"), F.round(lat, 6).alias("lat_dd"))
+
+
 def _set_points(c: Ctx) -> DataFrame:
     return c.classified().select(jobs.SET_KEY, "VESSEL_ID", "SET_DATE", "lon_dd", "lat_dd",
                                  "zones_in", "in_zone", "within")
@@ -431,12 +439,22 @@ def q_csv_roundtrip(c: Ctx) -> DataFrame:
 def q_latest_extract(c: Ctx) -> DataFrame:
     base = _scratch(c, "latest_extract")
     h = c.tb.obs_hauls().select("HAUL_LOG_KEY", "TRIP_NUMBER", "HAUL_NUMBER", "GEAR_CODE")
-    files.write_csv(h.withColumn("HAUL_NUMBER", F.col("HAUL_NUMBER") + 1), base, "obs_hauls",
-                    run_date="2022-12-01")
-    files.write_csv(h, base, "obs_hauls", run_date="2022-12-05")
+    for days, stamp in ((2, "2022-11-30"), (1, "2022-12-01"), (0, "2022-12-05")):
+        files.write_csv(h.withColumn("HAUL_NUMBER", F.col("HAUL_NUMBER") + days), base, "obs_hauls", run_date=stamp)
     files.write_csv(c.tb.obs_trip_log(), base, "obs_trips", run_date="2022-12-07")
-    found = files.latest_datasets(c.spark, base, pattern=r"^obs_")
-    return files.read_csv(c.spark, found["obs_hauls"], h.schema)
+    return files.read_latest(c.spark, base, "obs_hauls", h.schema)
+
+
+def q_extract_by_year(c: Ctx) -> DataFrame:
+    """The set extract written by landing year and read back: only years from
+    ``REREAD_FROM_YEAR`` on that the second ledger covers to December."""
+    base = _scratch(c, "extract_by_year")
+    sets = c.sets().withColumn("LANDING_YEAR", F.year("LANDING_DATE"))
+    path = files.write_csv(sets, base, "logbook_sets", run_date="2022-12-05", partition_by=["LANDING_YEAR"])
+    back = files.read_csv(c.spark, path, sets.schema, partitions="LANDING_YEAR INT")
+    covered = c.second().groupBy("LANDING_YEAR").agg(F.max(F.month("LANDING_DATE")).alias("last_month"))
+    return files.keep_partitions(back.where(F.col("LANDING_YEAR") >= REREAD_FROM_YEAR), "LANDING_YEAR",
+                                 covered, "last_month = 12")
 
 
 def q_clean_column_names(c: Ctx) -> DataFrame:

@@ -352,3 +352,72 @@ def test_work_tables_of_other_applications_are_left_alone(spark):
     assert os.path.isdir(probe) and spark.read.parquet(other).count() == 3
     assert os.path.commonpath([probe, other]) == ensure_work_dir(spark)
     assert callable(remove_work_tables)
+
+
+def test_newest_run_is_chosen_in_the_scan(spark):
+    """Three stamps, two datasets, a spoilt stamp and an empty folder: only the newest run's files are opened."""
+    import os
+    base = work_path(spark, "t-newest")
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    for n, stamp in enumerate(["2022-12-05", "2021-01-09", "2022-11-30"]):
+        files.write_csv(df.withColumn("n", F.lit(n)), base, "obs hauls", stamp)
+    files.write_csv(df, base, "obs_trips", "2022-12-09")
+    files.write_csv(df, base, "obs_trips", "2022-13-40")
+    os.makedirs(f"{base}/obs_trips/run_date=2023-01-01")
+    got = {r.dataset: (str(r.run_date), r.path.split("/t-newest/")[1]) for r in files.latest_runs(spark, base).collect()}
+    assert got == {"obs hauls": ("2022-12-05", "obs hauls/run_date=2022-12-05"),
+                   "obs_trips": ("2022-12-09", "obs_trips/run_date=2022-12-09")}
+    assert list(files.latest_datasets(spark, base, "hauls")) == ["obs hauls"]
+    back = files.read_latest(spark, base, "obs hauls", df.schema)
+    assert [tuple(r) for r in back.collect()] == [("a", 0)]
+    plan = back._jdf.queryExecution().explainString(back._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "subquery" in plan.split("PartitionFilters")[1].split("\n")[0].lower()
+    nothing = work_path(spark, "t-newest-none")
+    os.makedirs(nothing)
+    assert files.latest_datasets(spark, nothing) == {}
+
+
+def _metrics(df, name):
+    """Sum of a metric over the scans of the run plan."""
+    def walk(node):
+        out = [node]
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return out + walk(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return out + walk(node.plan())
+        for i in range(node.children().size()):
+            out += walk(node.children().apply(i))
+        return out
+    return [n.metrics().apply(name).value() for n in walk(df._jdf.queryExecution().executedPlan())
+            if n.nodeName().startswith("Scan csv")]
+
+
+def test_extract_by_year_reads_only_the_folders_it_needs(spark):
+    """Filters on the year prune folders when planned; a semi join with a small written table while running."""
+    base = work_path(spark, "t-by-year")
+    df = spark.range(600).select(F.col("id").cast("string").alias("k"), (F.col("id") % 6 + 1990).cast("int").alias("YEAR"),
+                                 F.lit(2.5).alias("x"))
+    df = df.unionByName(spark.createDataFrame([("none", None, None)], "k string, YEAR int, x double"))
+    path = files.write_csv(df, base, "sets", "2022-12-05", partition_by=["YEAR"])
+    back = files.read_csv(spark, path, df.schema, partitions="YEAR INT")
+    assert back.columns == df.columns
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    static = back.where("YEAR >= 1993")
+    assert static.count() == 300
+    static.collect()
+    assert _metrics(static, "numPartitions") == [3]
+    keys = spark.createDataFrame([(1991, 12), (1993, 8), (1994, 12), (1995, 3), (None, 12)], "YEAR int, last int")
+    dynamic = files.keep_partitions(static, "YEAR", keys, "last = 12")
+    assert {r.YEAR for r in dynamic.collect()} == {1994} and dynamic.columns == df.columns
+    assert _metrics(dynamic, "numPartitions") == [1]
+
+
+def test_unproject_is_the_inverse_of_project(spark):
+    from fleetzone.operators import geo
+    p = spark.range(0, 4000).select((F.lit(-130.0) + F.col("id") % 80 * 0.91).alias("lon"),
+                                    (F.lit(18.0) + F.floor(F.col("id") / 80) * 0.77).alias("lat"))
+    x, y = geo.project("lon", "lat")
+    lon, lat = geo.unproject("x", "y")
+    worst = p.withColumns({"x": x, "y": y}).agg(F.max(F.abs(lon - F.col("lon"))).alias("a"), F.max(F.abs(lat - F.col("lat"))).alias("b")).first()
+    assert worst.a < 1e-9 and worst.b < 1e-9
+    assert spark.range(1).select(*geo.unproject(F.lit(None).cast("double"), F.lit(1.0))).first()[1] is None
