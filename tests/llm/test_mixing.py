@@ -62,3 +62,39 @@ def test_empty_and_no_python(spark):
     df = spark.createDataFrame(rows()[:50], SCHEMA)
     assert mixing.mix(df.limit(0)).collect() == []
     assert not re.search("Python|Pandas|Arrow", mixing.mix(df)._jdf.queryExecution().executedPlan().toString())
+
+
+def test_scale_of_the_inclusion_odds(spark):
+    """Expected words are the rest, and only the largest measures are certain."""
+    cases = {"a": ([(1, 10), (3, 90), (6, 400)], 250.0), "b": ([(1, 500), (9, 40)], 480.0), None: ([(2, 7)], 0.0),
+             "none": ([(1, 0)], 0.0)}
+    data = [(s, float(m), w, rest) for s, (parts, rest) in cases.items() for m, w in parts]
+    got = {r.s: r.scale for r in mixing.inclusion_scales(
+        spark.createDataFrame(data, "source string, measure double, words long, rest double")).collect()}
+    for s, (parts, rest) in cases.items():
+        if s != "none":
+            assert abs(sum(w * min(1, got[s] * m) for m, w in parts) - rest) < 1e-9
+    assert got["none"] is None and got["b"] * 9 > 1 > got["b"]
+
+
+def test_long_documents_have_the_better_odds(spark):
+    """Inside one source: shares taken by size agree with the inclusion probabilities."""
+    sizes = [1, 3, 15, 200]
+    data = [(i, " ".join(["w"] * sizes[i % 4]), "s", "x") for i in range(12000)]
+    got = mixing.mix(spark.createDataFrame(data, SCHEMA), weights=[1], share=0.4, cap=2.0).collect()
+    digits = {n: n.bit_length() for n in sizes}
+    total = sum(sizes) * 3000
+    scale = 0.4 * total / sum(digits[n] * n * 3000 for n in sizes)
+    for n in sizes:
+        share = sum(r.copies for r in got if r.size == n) / 3000
+        assert abs(share - scale * digits[n]) < 0.05
+    assert abs(sum(r.taken for r in got) - 0.4 * total) <= 200
+
+
+def test_certain_documents_are_taken_first(spark):
+    """Where the rest is nearly the whole source, the long documents are certain."""
+    data = [(i, " ".join(["w"] * (900 if i % 10 == 0 else 2)), "s", "x") for i in range(2000)]
+    got = mixing.mix(spark.createDataFrame(data, SCHEMA), weights=[1], share=0.999, cap=2.0).collect()
+    assert all(r.copies == 1 for r in got if r.size == 900)
+    assert 0 < sum(r.copies for r in got if r.size == 2) < 1800
+    assert abs(sum(r.taken for r in got) - 0.999 * (200 * 900 + 1800 * 2)) <= 2
