@@ -15,18 +15,20 @@ neighbouring trigrams are not independent.  The posterior gives the language,
 its confidence and whether the document is kept.
 
 Every document weighs at most ``DOC_WEIGHT`` trigrams in its language's
-counts, so a few very long texts do not become the language.  A declared value
-is taken for a language only if at least half of its documents read as it
-(a filler such as "xx" reads as the languages it covers and drops out); under
-a rare value, a document is read without its own trigrams, or it would vouch
-for itself.
+counts, so a few very long texts do not become the language.  Every document is
+read under its declared language without its own trigrams, or it would vouch
+for itself.  A declared value is taken for a language if two documents or more
+declare it and at least half of those read as it (a filler such as "xx" reads as
+the languages it covers and drops out).  The rule is the same for every value
+and input size.
 
 All counts are sums combined before their shuffle, so a hot host or language
 is no hot task; the tables joined back have one row per host or declared
-value.  A language is a value that ``MIN_ROWS`` rows declare, however large the
-input, or ``MIN_SHARE`` of the declared rows in a small one.  The trigram
-counts are a written table; of it, only the tables of log-probabilities (128 KB
-a language) reach the driver, a block of languages at a time.
+value.  The ``BLOCK`` values declared most are counted first.  The others, of
+which bad data may hold thousands, are tested against these a block at a time,
+on a written table of their own rows; only those that pass are scored with the
+rest.  So the driver and a task hold log-probabilities (128 KB a language) of
+``BLOCK`` values, one block more and the passing ones.
 
 Defined cases: text without letters is "und" with confidence 0; a null or
 unknown declared language or host adds no evidence of its own kind; repeated
@@ -42,15 +44,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetzone.llm import html_main
-from fleetzone.llm.common import columns, written
+from fleetzone.llm.common import columns, work_folder, written
 
 BUCKETS = 1 << 14
 EVIDENCE = 60.0
-MIN_SHARE = 0.005
-MIN_ROWS = 50
-#: Languages whose counts a task or the driver holds at once.
+#: Documents that must declare a value: alone, a document has no other to be read by.
+MIN_ROWS = 2
+#: Declared values that are counted and tested at once.
 BLOCK = 128
 SMOOTHING = 20.0
 #: Trigrams that a document weighs at most in its language's counts.
@@ -133,21 +136,13 @@ def _count_rows(languages: list[str]):
     return run
 
 
-def _score_rows(table: np.ndarray, rare: dict[str, tuple[int, float]]):
+def _score_rows(languages: list[str], table: np.ndarray, totals: np.ndarray):
     """Mean log-likelihood per trigram under every language, and the number of trigrams.
 
-    ``own`` is the one of a ``rare`` declared value (its row and sum of
-    counts) without the document's own share of the counts.
+    Under its declared language a document is read without its own share of
+    the counts, of which ``totals`` are the sums per language.
     """
-    def without(text: bytes, declared: str) -> float | None:
-        row, total = rare[declared]
-        codes = np.concatenate([trigrams([p])[0] for p in _pieces(text)])
-        if not len(codes):
-            return None
-        at, n = np.unique(codes, return_counts=True)
-        weight = min(1, DOC_WEIGHT / len(codes))
-        left = np.maximum(np.exp(table[row, at]) * total - weight * n, 0.1)
-        return float((n * np.log(left / (total - weight * len(codes)))).sum() / len(codes))
+    place = {x: i for i, x in enumerate(languages)}
 
     def run(batches):
         for part, texts in _parts(batches, 1):
@@ -156,38 +151,78 @@ def _score_rows(table: np.ndarray, rare: dict[str, tuple[int, float]]):
             owner = np.array([i for _, i in pieces])[owner] if len(owner) else owner
             n = np.bincount(owner, minlength=len(texts))
             sums = np.stack([np.bincount(owner, weights=row[codes], minlength=len(texts)) for row in table], axis=1)
+            row = np.array([place.get(d, -1) for d in part.column(2).to_pylist()], np.int64)
+            own = row[owner] >= 0
+            at, hits = np.unique(owner[own] * BUCKETS + codes[own], return_counts=True)
+            doc, code = at // BUCKETS, at % BUCKETS
+            weight = np.minimum(1, DOC_WEIGHT / np.maximum(n, 1))[doc]
+            total = totals[row[doc]]
+            left = np.maximum(np.exp(table[row[doc], code]) * total - weight * hits, 0.1)
+            without = np.bincount(doc, weights=hits * np.log(left / (total - weight * n[doc])), minlength=len(texts))
+            told = np.flatnonzero((row >= 0) & (n > 0))
+            sums[told, row[told]] = without[told]
             mean = sums / np.maximum(n, 1)[:, None]
-            own = [without(t, d) if d in rare else None for t, d in zip(texts, part.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()), pa.array(own, pa.float64()),
+                [part.column(0), part.column(2), part.column(3), pa.array(n, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(table), pa.int32()),
                                           pa.array(mean.ravel()))],
-                names=["id", "declared", "host", "n", "own", "fit"])
+                names=["id", "declared", "host", "n", "fit"])
     return run
 
 
-def text_model(rows: DataFrame) -> tuple[list[str], np.ndarray, dict[str, tuple[int, float]]]:
-    """(languages, log-probability per language and bucket) from rows of text and declared language.
+_SCORES = "id long, declared string, host string, n long, fit array<double>"
+_UNIFORM = np.full((1, BUCKETS), -np.log(BUCKETS))
 
-    The last part names the languages under ``MIN_SHARE``, each with its row
-    and the sum of its counts.
-    """
-    declared = rows.where("declared is not null").groupBy("declared").count()
-    total = declared.agg(F.sum("count")).first()[0] or 0
-    least = min(MIN_SHARE * total, MIN_ROWS)
-    support = {r[0]: r[1] for r in declared.where(F.col("count") >= least).collect()} if total else {}
-    languages, sums = sorted(support), []
-    table = np.zeros((len(languages), BUCKETS))
+
+def _counted(rows: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities per language and bucket, and the sums of counts, from rows of text and declared value."""
+    counts = np.zeros((len(languages), BUCKETS))
     if languages:
-        cells = written(rows.select("text", "declared").mapInArrow(_count_rows(languages), "cell long, n long")
-                        .groupBy("cell").agg(F.sum("n").alias("n")), "trigrams")
-    for a in range(0, len(languages), BLOCK):
-        block = cells.where((F.col("cell") >= a * BUCKETS) & (F.col("cell") < (a + BLOCK) * BUCKETS)).toArrow()
-        table.reshape(-1)[block.column("cell").to_numpy()] = block.column("n").to_numpy()
-        counts = table[a:a + BLOCK] / 1024 + 0.1
-        sums += counts.sum(axis=1).tolist()
-        table[a:a + BLOCK] = np.log(counts / counts.sum(axis=1, keepdims=True))
-    return languages, table, {x: (i, sums[i]) for i, x in enumerate(languages) if support[x] < MIN_SHARE * total}
+        cells = rows.select("text", "declared").mapInArrow(_count_rows(languages), "cell long, n long") \
+            .groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        counts.reshape(-1)[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    counts = counts / 1024 + 0.1
+    totals = counts.sum(axis=1)
+    return np.log(counts / totals[:, None]), totals
+
+
+def _read_as(scored: DataFrame, languages: list[str], rivals: list[int]) -> list[int]:
+    """The languages that at least half of the readable documents declaring them read as, against the ``rivals``."""
+    place = F.array_position(F.lit(languages), F.col("declared")).cast("int") - 1
+    others = F.array_max(F.transform(F.lit(rivals), lambda i: F.when(i != F.col("place"), F.get("fit", i))))
+    share = scored.where("n > 0").withColumn("place", place).where("place >= 0").groupBy("place") \
+        .agg(F.avg((F.get("fit", F.col("place")) >= others).cast("double")).alias("v"))
+    return sorted(r[0] for r in share.where("v >= 0.5").select("place").collect())
+
+
+def text_model(src: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(values, log-probabilities per value and bucket, sums of counts) from the rows of :func:`identify`.
+
+    The values declared most, and of the others those that their documents
+    read as rather than as one of these.
+    """
+    values = written(src.where("declared is not null").groupBy("declared").count().where(F.col("count") >= MIN_ROWS), "values")
+    languages = [r[0] for r in values.orderBy(F.col("count").desc(), "declared").limit(BLOCK).collect()]
+    table, totals = _counted(src.where(F.col("declared").isin(languages)), languages)
+    main = len(languages)
+    others = values.join(src.sparkSession.createDataFrame([(x,) for x in languages], "declared string"), "declared", "left_anti")
+    blocks = -(-others.count() // BLOCK) if main == BLOCK else 0
+    if blocks:
+        others = written(others.select("declared", F.pmod(F.xxhash64("declared"), F.lit(blocks)).alias("block")), "values")
+        rows = work_folder(src.sparkSession, "rare")
+        src.join(others, "declared").select(*src.columns, "block").write.partitionBy("block").parquet(rows)
+        rows = src.sparkSession.read.schema(T.StructType([*src.schema.fields, T.StructField("block", T.LongType())])).parquet(rows)
+    for k in range(blocks):
+        own = rows.where(F.col("block") == k)
+        names = sorted(r[0] for r in others.where(F.col("block") == k).select("declared").collect())
+        logs, sums = _counted(own, names)
+        both, rivals = [*languages[:main], *names], [*range(main), main + len(names)]
+        scored = own.select("id", "text", "declared", "host").mapInArrow(
+            _score_rows(both, np.vstack([table[:main], logs, _UNIFORM]), np.concatenate([totals[:main], sums])), _SCORES)
+        passing = [i - main for i in _read_as(scored, both, rivals) if i >= main]
+        languages += [names[i] for i in passing]
+        table, totals = np.vstack([table, logs[passing]]), np.concatenate([totals, sums[passing]])
+    return languages, table, totals
 
 
 def _normal(x: Column) -> Column:
@@ -239,17 +274,11 @@ def identify(rows: DataFrame, id_: str = "doc_id", text: str = "text", declared:
                       F.lower(F.regexp_extract(column(declared), "^[A-Za-z]+", 0)).alias("declared"),
                       F.lower(column(host)).alias("host")) \
         .withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
-    languages, table, rare = text_model(src)
-    table = np.vstack([table, np.full((1, BUCKETS), -np.log(BUCKETS))])
+    languages, table, totals = text_model(src)
     reads = F.array_position("fit", F.array_max("fit")).cast("int") - 1
     scored = written(src.select("id", "text", "declared", "host").mapInArrow(
-        _score_rows(table, rare), "id long, declared string, host string, n long, own double, fit array<double>"), "language")
-    # Declared values that are languages: half of their documents read as them.
-    place = F.array_position(F.lit([*languages, UND]), F.col("declared")).cast("int") - 1
-    others = F.array_max(F.transform("fit", lambda v, i: F.when(i != F.col("place"), v)))
-    read = {r[0]: r[1] for r in scored.where("n > 0").where(F.col("declared").isin(languages)).withColumn("place", place)
-            .groupBy("declared").agg(F.avg((F.coalesce("own", F.get("fit", F.col("place"))) >= others).cast("double"))).collect()}
-    valid = [i for i, x in enumerate(languages) if read.get(x, 0) >= 0.5]
+        _score_rows(languages, np.vstack([table, _UNIFORM]), totals), _SCORES), "language")
+    valid = _read_as(scored, languages, [*range(len(languages) + 1)])
     fit = F.transform(F.lit([*valid, len(languages)]), lambda i: F.get("fit", i))
     languages = [languages[i] for i in valid]
     n = len(languages) + 1

@@ -118,3 +118,68 @@ def test_pages_give_their_address_and_markup(spark):
     priors = {r.page_id: r.lang for r in language.identify_pages(
         spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
     assert [priors[1000], priors[1001]] == ["de", "fr"]
+
+
+def plain_fit(texts, declared, language_names):
+    """Mean log-likelihood per trigram, own trigrams left out, with dictionaries and one document at a time."""
+    import math
+    from collections import Counter
+    grams = []
+    for x in texts:
+        codes, _ = language.trigrams([(x or "").encode()])
+        grams.append(Counter(codes.tolist()))
+    counts = {x: Counter() for x in language_names}
+    for g, d in zip(grams, declared):
+        if d in counts:
+            weight = min(1, language.DOC_WEIGHT / max(sum(g.values()), 1))
+            counts[d].update({c: n * weight for c, n in g.items()})
+    out = []
+    for g, d in zip(grams, declared):
+        size, row = sum(g.values()), []
+        for x in language_names:
+            own = min(1, language.DOC_WEIGHT / max(size, 1)) if x == d else 0
+            total = sum(counts[x].values()) + 0.1 * language.BUCKETS - own * size
+            row.append(sum(n * math.log(max(counts[x][c] + 0.1 - own * n, 0.1) / total) for c, n in g.items()) / max(size, 1))
+        out.append(row)
+    return out
+
+
+def test_likelihoods_against_a_plain_version(spark):
+    data = rows()[:300] + [(5000, None, "en", "h", "c"), (5003, "the of " * 2000, "en", "h", "c"), (5004, "der die", "de", "h", "c")]
+    src = spark.createDataFrame([(i, x, d, s) for i, x, d, s, _ in data], "id long, text string, declared string, host string")
+    names, table, totals = language.text_model(src)
+    import numpy as np
+    got = {r.id: r.fit for r in src.repartition(3).mapInArrow(language._score_rows(names, table, totals), language._SCORES).collect()}
+    want = plain_fit([d[1] for d in data], [d[2] for d in data], names)
+    for (i, text, *_), row in zip(data, want):
+        if text:
+            assert np.allclose(got[i], row, atol=0.01), (i, got[i], row)
+
+
+def test_a_language_of_three_documents_is_found_at_any_size(spark):
+    rnd = random.Random(12)
+    cs = "který jsou nebo také podle protože mezi během však ještě první může".split()
+    for n in (60, 30_000):
+        data = [(i, " ".join(rnd.choices(WORDS[x], k=12)), x, "h", "c") for i in range(n) for x in [["en", "de", "fr"][i % 3]]]
+        data += [(100_000 + i, " ".join(rnd.choices(cs, k=40)), "cs", "a.example.cz", "c") for i in range(3)]
+        data += [(200_000, " ".join(rnd.choices(WORDS["en"], k=40)), "once", "h", "c")]
+        out = {r.doc_id: (r.lang, r.kept) for r in language.identify(
+            spark.createDataFrame(data, SCHEMA).repartition(4)).where("doc_id >= 100000").collect()}
+        assert out == {**{100_000 + i: ("cs", True) for i in range(3)}, 200_000: ("en", True)}
+
+
+def test_thousands_of_wrong_values_drop_out_in_blocks(spark, monkeypatch):
+    """Three languages, two rare ones and 90 junk values over English texts, tested four values at a time."""
+    monkeypatch.setattr(language, "BLOCK", 4)
+    rnd = random.Random(15)
+    rare = {"cs": "který jsou nebo také podle protože mezi během však ještě první může".split(),
+            "pl": "który jest oraz także według ponieważ między podczas jednak jeszcze pierwszy może".split()}
+    data = [(i, " ".join(rnd.choices(WORDS[x], k=12)), x, "h", "c") for i in range(1500) for x in [["en", "de", "fr"][i % 3]]]
+    data += [(10_000 + i, " ".join(rnd.choices(WORDS["en"], k=12)), "j" + chr(97 + i % 15) + chr(97 + i // 15 % 6), "h", "c")
+             for i in range(270)]
+    data += [(20_000 + i, " ".join(rnd.choices(rare[x], k=20)), x, None, "c") for i in range(20) for x in [["cs", "pl"][i % 2]]]
+    src = spark.createDataFrame(data, SCHEMA).repartition(4)
+    got = {r.doc_id: r.lang for r in language.identify(src).collect()}
+    assert all(got[i] == "en" for i in range(10_000, 10_270))
+    assert all(got[20_000 + i] == ["cs", "pl"][i % 2] for i in range(20))
+    assert sum(got[i] == ["en", "de", "fr"][i % 3] for i in range(1500)) == 1500
