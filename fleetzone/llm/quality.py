@@ -19,8 +19,9 @@ The same fit runs for any 0/1 label column: :func:`score_documents` gives a
 quality and, where labelled, a toxicity probability.
 
 Defined cases: null text is empty, null metadata is a value of its own; a
-label of null is unlabelled; with labels of one kind only, every score is that
-label's share; repeated rows are scored alike; an empty table gives an empty
+label of null is unlabelled; with labels of one kind only, or fewer than 20
+labelled documents, nothing is fitted and every score is the share of 1 among
+them (0.5 without any); repeated rows are scored alike; an empty table gives an empty
 result; other input columns are ignored.
 """
 
