@@ -59,7 +59,9 @@ SMOOTHING = 20.0
 #: Trigrams that a document weighs at most in its language's counts.
 DOC_WEIGHT = 1000.0
 UND = "und"
-_CHUNK = 2 << 20
+#: Text bytes, and trigrams counted by document, that a task handles at once.
+_CHUNK = 1 << 20
+_SPAN = 1 << 17
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
@@ -136,6 +138,25 @@ def _count_rows(languages: list[str]):
     return run
 
 
+def _spans(n: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of documents of up to ``_SPAN`` trigrams, or of one document."""
+    a = 0
+    while a < len(n):
+        b = max(a + 1, a + int(np.searchsorted(np.cumsum(n[a:]), _SPAN, side="right")))
+        yield a, b
+        a = b
+
+
+def _hits(codes: np.ndarray, owner: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, bucket, number) of the different trigrams of documents ``a`` to ``b``."""
+    if b == a + 1:
+        count = np.bincount(codes, minlength=BUCKETS)
+        code = np.flatnonzero(count)
+        return np.full(len(code), a), code, count[code]
+    at, hits = np.unique(owner * BUCKETS + codes, return_counts=True)
+    return at // BUCKETS, at % BUCKETS, hits
+
+
 def _score_rows(languages: list[str], table: np.ndarray, totals: np.ndarray):
     """Mean log-likelihood per trigram under every language, and the number of trigrams.
 
@@ -152,13 +173,16 @@ def _score_rows(languages: list[str], table: np.ndarray, totals: np.ndarray):
             n = np.bincount(owner, minlength=len(texts))
             sums = np.stack([np.bincount(owner, weights=row[codes], minlength=len(texts)) for row in table], axis=1)
             row = np.array([place.get(d, -1) for d in part.column(2).to_pylist()], np.int64)
-            own = row[owner] >= 0
-            at, hits = np.unique(owner[own] * BUCKETS + codes[own], return_counts=True)
-            doc, code = at // BUCKETS, at % BUCKETS
-            weight = np.minimum(1, DOC_WEIGHT / np.maximum(n, 1))[doc]
-            total = totals[row[doc]]
-            left = np.maximum(np.exp(table[row[doc], code]) * total - weight * hits, 0.1)
-            without = np.bincount(doc, weights=hits * np.log(left / (total - weight * n[doc])), minlength=len(texts))
+            without = np.zeros(len(texts))
+            for a, b in _spans(n):
+                if row[a:b].max() >= 0:
+                    lo, hi = np.searchsorted(owner, [a, b])
+                    doc, code, hits = _hits(codes[lo:hi], owner[lo:hi], a, b)
+                    doc, code, hits = (x[row[doc] >= 0] for x in (doc, code, hits))
+                    weight = np.minimum(1, DOC_WEIGHT / n[doc])
+                    total = totals[row[doc]]
+                    left = np.maximum(np.exp(table[row[doc], code]) * total - weight * hits, 0.1)
+                    without += np.bincount(doc, weights=hits * np.log(left / (total - weight * n[doc])), minlength=len(texts))
             told = np.flatnonzero((row >= 0) & (n > 0))
             sums[told, row[told]] = without[told]
             mean = sums / np.maximum(n, 1)[:, None]
