@@ -303,12 +303,15 @@ def q_flag_composite_key(c: Ctx) -> DataFrame:
 
 
 def q_flag_either_key(c: Ctx) -> DataFrame:
-    out = jobs.dealer_activity_flag(c.dealer(), c.written_keys())
-    return out.select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID", "area_activity")
+    # Only the named columns go through the matches (rows without a key are spread by a hash of all columns they have).
+    rows = c.dealer().select("unique_report_no", "SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID")
+    return jobs.dealer_activity_flag(rows, c.written_keys())
 
 
 def q_flagged_trip_ids(c: Ctx) -> DataFrame:
-    out = jobs.dealer_activity_flag(c.dealer(), c.written_keys())
+    # Rows alike in all three keys are alike in their flag: one of them is matched.
+    rows = c.dealer().select("SUPPLIER_VESSEL_ID", "DATE_LANDED", "TRIP_ID").distinct()
+    out = jobs.dealer_activity_flag(rows, c.written_keys())
     return out.where(F.col("area_activity") == 1).select("TRIP_ID").distinct()
 
 
