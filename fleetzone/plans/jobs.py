@@ -117,7 +117,7 @@ def extract_logbook(tables: dict[str, DataFrame], landed_after: str, fleet=None,
 
 
 def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFrame,
-                     animals: DataFrame, vessel: str) -> dict[str, DataFrame]:
+                     animals: DataFrame, vessel: str, write_keys: bool = False) -> dict[str, DataFrame]:
     """Trips, hauls and animals of one vessel's observed trips.
 
     Trip and haul rows are kept by a semi join on the vessel's trip numbers;
@@ -128,12 +128,16 @@ def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFr
     keys = trip_summary.where(F.col("VESSEL_ID") == vessel).select("TRIP_NUMBER")
     t = extract.semi_join(trip_log, keys, "TRIP_NUMBER")
     h = extract.semi_join(hauls.select(*HAUL_COLUMNS), keys, "TRIP_NUMBER")
-    a = extract.semi_join(animals.select(*ANIMAL_COLUMNS), extract.distinct_keys(h, "HAUL_LOG_KEY"), "HAUL_LOG_KEY")
+    haul_keys = extract.distinct_keys(h, "HAUL_LOG_KEY")
+    haul_keys = write_table(haul_keys, "haul-keys") if write_keys else haul_keys
+    a = extract.semi_join(animals.select(*ANIMAL_COLUMNS), haul_keys, "HAUL_LOG_KEY")
     return {"trip": t, "haul": h, "animal": a}
 
 
 # --------------------------------------------------------------------------
 # M3: set tagging
+    ``write_keys`` writes the hauls' keys first: while that table is under the
+    broadcast threshold the animals are then not shuffled.
 # --------------------------------------------------------------------------
 
 def with_positions(df: DataFrame) -> DataFrame:

@@ -124,10 +124,10 @@ class Ctx:
         return rollup.with_shares(jobs.landings_union(self.landing_parts()))
 
     # observer ----------------------------------------------------------
-    def observer(self) -> dict[str, DataFrame]:
+    def observer(self, write_keys: bool = False) -> dict[str, DataFrame]:
         tb = self.tb
         return jobs.extract_observer(tb.obs_trip_log(), tb.obs_trip_summary(), tb.obs_hauls(),
-                                     tb.obs_animals(), OBS_VESSEL)
+                                     tb.obs_animals(), OBS_VESSEL, write_keys)
 
 
 def _money(df: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def q_extract_hauls(c: Ctx) -> DataFrame:
 
 
 def q_extract_animals(c: Ctx) -> DataFrame:
-    return c.observer()["animal"]
+    return c.observer(write_keys=True)["animal"]
 
 
 def q_key_list(c: Ctx) -> DataFrame:
