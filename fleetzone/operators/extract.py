@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -101,3 +101,29 @@ def left_chain(tables: list[DataFrame], keys: list[str]) -> DataFrame:
     for table, below, key in reversed(list(zip(tables, tables[1:], keys))):
         out = left_join_split(table, out, key, below)
     return out
+
+
+def left_join_under(left: DataFrame, right: DataFrame, on: str, owner: str, codes: DataFrame, code: str) -> DataFrame:
+    """``left LEFT JOIN right USING (on)`` up to repeated rows, for the rows with an ``owner``, all lying by ``owner``.
+
+    For a wide ``left`` that is joined to its owners next: its rows are shuffled
+    once, by ``owner``, and not by ``on`` before.  The narrow ``right`` reaches them
+    by way of the pairs (owner, on), as further rows of one shuffle, and is spread
+    by a window over both keys, which Spark lets lie by ``owner`` alone (a join on
+    both keys would shuffle by both).  The join to the owners and a DISTINCT with
+    the owner among its columns then shuffle none of these rows again.  ``codes``
+    are left-joined to ``right`` by ``code``, after its shuffle by ``on``.
+
+    Only for use under DISTINCT: a window holds the distinct rows of ``right`` of
+    one key, so these must be few (a set's gears, of which there are at most as
+    many as gear codes).
+    """
+    left = left.where(F.col(owner).isNotNull())
+    pairs = left.select(owner, on).where(F.col(on).isNotNull()).repartition(on).distinct()
+    owned = pairs.join(right, on, "inner").join(codes, code, "left")
+    added = [c for c in owned.columns if c not in (owner, on)]
+    owned = owned.select(owner, on, F.struct(*added).alias("__one"))
+    rows = left.withColumn("__left", F.lit(True)).unionByName(owned, allowMissingColumns=True).repartition(owner)
+    found = rows.withColumn("__all", F.collect_set("__one").over(Window.partitionBy(owner, on)))
+    found = found.where("__left").select(*left.columns, F.explode_outer("__all").alias("__one"))
+    return found.select(*left.columns, *[F.col("__one")[c].alias(c) for c in added])

@@ -17,6 +17,7 @@ from ..functions.coords import lat_dd, lon_dd
 from ..functions.na import if_else, n_distinct_where, sum_strict
 from ..functions.text import first_part, label, year_text
 from ..operators import extract, geo, match, reshape, rollup
+from ..session import write_table
 
 SET_KEY = "ORIGINAL_BATCH_SEQUENCE_NUMBER"
 
@@ -79,8 +80,13 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     join only repeats rows, so consumers that take distinct rows, count
     distinct values or test "any row" of upper columns need no lower table.
     ``few_trips`` (always with a ``fleet``) first reduces each lower table to
-    the rows of the trips, by semi joins from the top; without it the chain is
-    joined from the bottom over whole tables (``extract.left_chain``).
+    the rows of the trips, by semi joins from the top.  Each reduced table is
+    written: the next level reads it instead of working it out again, and its
+    known size lets Spark broadcast the keys of a few trips, so the lower table
+    is not shuffled.  Without it the chain is joined from the bottom over whole
+    tables (``extract.left_chain``); for "gears", whose rows always go through a
+    DISTINCT, the wide activities are shuffled once, by their trip
+    (``extract.left_join_under``).
     The gear description and parameter tables add no output column and are
     never joined (``keep_gear_key`` leaves the key by which they could be).
     The QC condition ("left join QC, keep QC.DELETED_DATE IS
@@ -94,14 +100,18 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     t = extract.drop_all_flagged(t, tables["trip_qc"], "SCHEDULE_NUMBER", "DELETED_DATE")
     keys = ["LOGBOOK_KEY", "FISHING_ACTIVITY_KEY", "GEAR_FISHED_KEY", "CATCH_KEY"]
     names = ["activities", "gears", "catches", "catch_details"][:{"sets": 1, "gears": 2, "catches": 4}[level]]
-    chain = [t]
+    few = few_trips or fleet is not None
+    chain = [write_table(t, "few-trips") if few else t]
     for name, key in zip(names, keys):
-        few = few_trips or fleet is not None
-        chain.append(extract.semi_join(tables[name], chain[-1], key) if few else tables[name])
+        chain.append(write_table(extract.semi_join(tables[name], chain[-1], key), f"few-{name}") if few else tables[name])
     # The code tables only add columns to a gear or a catch.
     codes = {2: ("gear_codes", "GEAR_CODE_NMFS"), 3: ("species_codes", "SPECIES_CODE_NMFS")}
-    chain = [c.join(tables[codes[i][0]], codes[i][1], "left") if i in codes else c for i, c in enumerate(chain)]
-    j = extract.left_chain(chain, keys)
+    if level == "gears":
+        under = extract.left_join_under(chain[1], chain[2], keys[1], keys[0], tables[codes[2][0]], codes[2][1])
+        j = chain[0].join(under, keys[0], "left")
+    else:
+        chain = [c.join(tables[codes[i][0]], codes[i][1], "left") if i in codes else c for i, c in enumerate(chain)]
+        j = extract.left_chain(chain, keys)
     if level == "sets":
         return j.select(*TRIP_SET_COLUMNS)
     if level == "gears":
@@ -124,6 +134,8 @@ def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFr
     animals by a semi join on the extracted hauls' keys (the key set stays on
     the cluster, however many keys there are).  Hauls and animals come out
     with their named columns, so a wide source is pruned at the scan.
+    ``write_keys`` writes the hauls' keys first: while that table is under the
+    broadcast threshold the animals are then not shuffled.
     """
     keys = trip_summary.where(F.col("VESSEL_ID") == vessel).select("TRIP_NUMBER")
     t = extract.semi_join(trip_log, keys, "TRIP_NUMBER")
@@ -136,8 +148,6 @@ def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFr
 
 # --------------------------------------------------------------------------
 # M3: set tagging
-    ``write_keys`` writes the hauls' keys first: while that table is under the
-    broadcast threshold the animals are then not shuffled.
 # --------------------------------------------------------------------------
 
 def with_positions(df: DataFrame) -> DataFrame:
