@@ -17,22 +17,32 @@ from pyspark.sql import types as T
 from ..session import write_table
 
 NA = "NA"
+#: Rows of a compressed file at most.
+FILE_ROWS = 1_000_000
 
 
 def write_csv(df: DataFrame, base: str, name: str, run_date: str,
-              mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
+              mode: str = "overwrite", partition_by: list[str] | None = None, rebalance: bool = True,
+              compression: str | None = None) -> str:
     """Write ``df`` as header CSV (missing values as ``NA``) under
     ``{base}/{name}/run_date={run_date}`` and return that path.
 
     With ``partition_by`` there is one folder per value below it; the columns
     are kept in the folder names only.  The rows are first rebalanced by them:
     few files per folder, and the rows of a large value over several tasks.
+    Without ``rebalance`` every task writes a file for each value it has, and the
+    rows are not shuffled.
+
+    ``compression`` (``"gzip"``) is for extracts that count in disk space.  Such a
+    file is read by one task, so each ends after ``FILE_ROWS`` rows.
     """
     path = f"{base}/{name}/run_date={run_date}"
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    (df.write.mode(mode).partitionBy(*partition_by or []).option("header", True).option("nullValue", NA)
-       .option("emptyValue", "").csv(path))
+    writer = df.write.mode(mode).partitionBy(*partition_by or []).option("header", True).option("nullValue", NA)
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", FILE_ROWS)
+    writer.option("emptyValue", "").csv(path)
     return path
 
 
