@@ -41,7 +41,8 @@ from fleetzone.llm import vectext
 from fleetzone.llm.common import columns, partitions
 
 BLOCK_BYTES = 12 << 20
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
+ROWS_AT_ONCE = 256
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
 
 
@@ -149,41 +150,57 @@ class Block:
     """
 
     def __init__(self, texts: list[str]):
-        bufs, starts, ends, hashes, base = [], [], [], [], 0
+        # A chunk's pre-tokens become codes before the next chunk is split: only distinct words and codes are kept.
         self.counts = np.zeros(len(texts), np.int64)
+        name = hashlib.blake2b(digest_size=8)
+        self.hashes, rank = np.zeros(0, np.uint64), np.zeros(0, np.uint32)      # sorted hashes, their words' order of appearance
+        words, codes = [], []
         for group, owners in self._chunks(texts):
-            joined = "".join(group)
-            cp = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-            buf = np.frombuffer(joined.encode(), np.uint8)
-            s, e = _spans(cp, np.cumsum([0] + [len(g) for g in group]))
-            width = 1 + (cp >= 0x80).astype(np.int64) + (cp >= 0x800) + (cp >= 0x10000)
-            place = np.concatenate(([0], np.cumsum(width)))
-            limits = np.cumsum([len(g) for g in group])
-            np.add.at(self.counts, np.array(owners)[np.searchsorted(limits, s, side="right")], 1)
+            buf, s, e, owner = self._split(group, owners)
+            np.add.at(self.counts, owner, 1)
+            name.update(buf)
+            hashes, at, code = np.unique(vectext.span_hashes(buf, s, e), return_index=True, return_inverse=True)
+            size = e - s
+            # Equal hash must mean equal bytes: rebuild the chunk from its words, and compare those seen before.
+            for a in range(0, len(code), 1 << 16):
+                c = at[code[a:a + (1 << 16)]]
+                if not np.array_equal(vectext.gather(buf, s[c], size[c]), buf[s[a]:e[min(a + (1 << 16), len(code)) - 1]]):
+                    raise ValueError("two different words of a block have the same hash")
+            data = buf.tobytes()
+            place = np.searchsorted(self.hashes, hashes)
+            seen = np.zeros(len(hashes), bool)
+            inside = place < len(self.hashes)
+            seen[inside] = self.hashes[place[inside]] == hashes[inside]
+            order = np.zeros(len(hashes), np.uint32)
+            order[seen] = rank[place[seen]]
+            for k, f, n in zip(order[seen].tolist(), s[at[seen]].tolist(), size[at[seen]].tolist()):
+                if words[k] != data[f:f + n]:
+                    raise ValueError("two different words of a block have the same hash")
+            order[~seen] = np.arange(len(words), len(words) + np.count_nonzero(~seen), dtype=np.uint32)
+            words += [data[f:f + n] for f, n in zip(s[at[~seen]].tolist(), size[at[~seen]].tolist())]
+            self.hashes = np.insert(self.hashes, place[~seen], hashes[~seen])
+            rank = np.insert(rank, place[~seen], order[~seen])
+            codes.append(order[code])
+        self.words = [words[k] for k in rank.tolist()]
+        back = np.zeros(len(words), np.uint32)
+        back[rank] = np.arange(len(words), dtype=np.uint32)
+        self.codes = np.concatenate([back[c] for c in codes] or [back])
+        self.name = int.from_bytes(name.digest(), "little", signed=True)
+
+    @staticmethod
+    def _split(group: list[str], owners: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The UTF-8 bytes of a chunk, the byte spans of its pre-tokens and the text of each."""
+        joined = "".join(group)
+        cp = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        buf = np.frombuffer(joined.encode(), np.uint8)
+        limits = np.cumsum([len(g) for g in group])
+        s, e = _spans(cp, np.concatenate(([0], limits)))
+        owner = np.array(owners)[np.searchsorted(limits, s, side="right")]
+        if len(buf) > len(cp):
+            place = np.zeros(len(cp) + 1, np.int64)
+            np.cumsum(1 + (cp >= 0x80).view(np.uint8) + (cp >= 0x800) + (cp >= 0x10000), out=place[1:])
             s, e = place[s], place[e]
-            hashes.append(vectext.span_hashes(buf, s, e))
-            bufs.append(buf)
-            starts.append(s + base)
-            ends.append(e + base)
-            base += len(buf)
-        none = [np.zeros(0, np.int64)]
-        buf = np.concatenate(bufs) if bufs else np.zeros(0, np.uint8)
-        start, size = np.concatenate(starts or none), np.concatenate(ends or none) - np.concatenate(starts or none)
-        self.hashes, at, codes = np.unique(np.concatenate(hashes or [np.zeros(0, np.uint64)]),
-                                           return_index=True, return_inverse=True)
-        self.codes = codes.astype(np.uint32)
-        data = buf.tobytes()
-        self.words = [data[a:a + n] for a, n in zip(start[at].tolist(), size[at].tolist())]
-        # Equal hash must mean equal bytes: rebuild the texts from the words.
-        lengths = size[at]
-        flat = np.frombuffer(b"".join(self.words), np.uint8)
-        first = np.cumsum(lengths) - lengths
-        for a in range(0, len(codes), 1 << 18):
-            c = codes[a:a + (1 << 18)]
-            if not np.array_equal(vectext.gather(flat, first[c], lengths[c]),
-                                  buf[start[a]:start[a] + int(lengths[c].sum())]):
-                raise ValueError("two different words of a block have the same hash")
-        self.name = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+        return buf, s, e, owner
 
     @staticmethod
     def _chunks(texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
@@ -325,8 +342,8 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of about ``limit`` characters each, in row order; null text is empty."""
     ids, texts, size = [], [], 0
-    for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    for part in (b.slice(a, ROWS_AT_ONCE) for b in batches for a in range(0, b.num_rows, ROWS_AT_ONCE)):
+        for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
             ids.append(i)
             texts.append(t or "")
             size += len(texts[-1]) + 16
@@ -434,15 +451,14 @@ def _rebuild(path: str, emit: Emit):
             ids, known, counts, n_words, *planes = _unpack(blob, "<i8", "u1", "<i8", "<i8", "u1", "u1", "u1", "u1")
             if n_words[0] != len(size):
                 raise ValueError("a block's words are missing: the documents must be read in a fixed order")
-            codes = sum(p.astype(np.int64) << (8 * k) for k, p in enumerate(planes))
             ends = np.concatenate(([0], np.cumsum(counts)))
             doc_ids = pd.array(ids, dtype="Int64")
             doc_ids[known == 0] = pd.NA
             # Some documents at a time: bounded token arrays.
             i, n = 0, len(ids)
             while i < n:
-                j = max(i + 1, int(np.searchsorted(ends, ends[i] + (1 << 20), side="right")) - 1)
-                c = codes[ends[i]:ends[j]]
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_CHARS, side="right")) - 1)
+                c = sum(p[ends[i]:ends[j]].astype(np.int64) << (8 * k) for k, p in enumerate(planes))
                 tokens = vectext.gather(flat, first[c], size[c])
                 edge = np.concatenate(([0], np.cumsum(size[c])))[ends[i:j + 1] - ends[i]]
                 out.append(emit(doc_ids[i:j], tokens, edge, path))

@@ -1,6 +1,7 @@
 """Splitting, merging and round trips of the BPE operator against the reference libraries."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
@@ -48,6 +49,34 @@ def test_split_of_a_long_text_in_pieces(monkeypatch):
     assert split([text, "b", text]) == [SPLIT.findall(t) for t in (text, "b", text)]
 
 
+def test_repeats_over_many_chunks_share_their_words(monkeypatch):
+    """A word seen in an earlier chunk keeps its code; the words stay in the order of their hashes."""
+    texts = ["the cat sat on the mat", "", "the dog é sat", "mat the 😀 cat " * 9, "new words", "the"]
+    whole = bpe.Block(texts)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 7)
+    parts = bpe.Block(texts)
+    assert parts.words == whole.words and len(set(parts.words)) == len(parts.words)
+    assert parts.hashes.tolist() == sorted(parts.hashes.tolist()) == whole.hashes.tolist()
+    assert parts.codes.tolist() == whole.codes.tolist() and parts.counts.tolist() == whole.counts.tolist()
+    assert parts.name == whole.name and split(texts) == [SPLIT.findall(t) for t in texts]
+
+
+def test_memory_of_a_block():
+    """A block needs a few times its own text, not its pre-tokens' offsets and hashes all at once."""
+    rng = np.random.RandomState(5)
+    words = np.array(["w%x" % i for i in range(20_000)])
+    texts = [" ".join(words[rng.randint(0, len(words), 400)]) for _ in range(3000)]
+    size = sum(map(len, texts))
+    bpe.Block(texts[:10])                                    # tables that stay
+    tracemalloc.start()
+    try:
+        bpe.Block(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10 * size, (peak, size)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(min_size=1, max_size=80))
 def test_merge_equals_library(word):
