@@ -103,6 +103,37 @@ def left_chain(tables: list[DataFrame], keys: list[str]) -> DataFrame:
     return out
 
 
+def left_join_once(left: DataFrame, right: DataFrame, on: str, left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
+    """``left_join_split`` for wide rows: those of ``left`` are shuffled once, by ``on``.
+
+    Built as ``left INNER JOIN (right UNION ALL one row of NULLs for each key that
+    only left has)``: only the narrow keys of both sides are shuffled for the anti
+    join, and a hot key can be split on either side.  Left rows without a key match
+    nothing and are added as they are.  ``right_keys`` has the ``on`` values of
+    ``right``, ``left_keys`` at least those of ``left``.
+    """
+    lacking = left_keys.select(on).where(F.col(on).isNotNull()).distinct().join(right_keys.select(on).distinct(), on, "left_anti")
+    matched = left.join(right.unionByName(lacking, allowMissingColumns=True), on, "inner")
+    return matched.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
+
+
+def left_chain_filtered(tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    """``left_chain`` for a first table that a filter has made smaller and a wide second one.
+
+    The first two are joined before the rest, so that only the second table's
+    rows of the first are shuffled by the next key, and rows of all tables together
+    are never shuffled for the first join.  Rows without a match leave at their
+    level, as in ``left_chain``.
+    """
+    first, second = tables[:2]
+    lonely = first.join(second.select(keys[0]).distinct(), keys[0], "left_anti")
+    below = tables[-1]
+    for table, under, key in reversed(list(zip(tables[2:], tables[3:], keys[2:]))):
+        below = left_join_once(table, below, key, table, under)
+    out = left_join_once(first.join(second, keys[0], "inner"), below, keys[1], second, tables[2])
+    return out.unionByName(lonely, allowMissingColumns=True)
+
+
 def left_join_under(left: DataFrame, right: DataFrame, on: str, owner: str, codes: DataFrame, code: str) -> DataFrame:
     """``left LEFT JOIN right USING (on)`` up to repeated rows, for the rows with an ``owner``, all lying by ``owner``.
 

@@ -83,8 +83,8 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     the rows of the trips, by semi joins from the top.  Each reduced table is
     written: the next level reads it instead of working it out again, and its
     known size lets Spark broadcast the keys of a few trips, so the lower table
-    is not shuffled.  Without it the chain is joined from the bottom over whole
-    tables (``extract.left_chain``); for "gears", whose rows always go through a
+    is not shuffled.  Without it the whole tables are joined, the trips'
+    activities first (``extract.left_chain_filtered``); for "gears", whose rows always go through a
     DISTINCT, the wide activities are shuffled once, by their trip
     (``extract.left_join_under``).
     The gear description and parameter tables add no output column and are
@@ -111,7 +111,8 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
         j = chain[0].join(under, keys[0], "left")
     else:
         chain = [c.join(tables[codes[i][0]], codes[i][1], "left") if i in codes else c for i, c in enumerate(chain)]
-        j = extract.left_chain(chain, keys)
+        # Reduced tables hold no other trips' rows: joined from the bottom.  Whole ones: first the trips' activities.
+        j = (extract.left_chain if few or level == "sets" else extract.left_chain_filtered)(chain, keys)
     if level == "sets":
         return j.select(*TRIP_SET_COLUMNS)
     if level == "gears":
@@ -121,9 +122,14 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
 
 def extract_logbook(tables: dict[str, DataFrame], landed_after: str, fleet=None,
                     order: bool = True) -> DataFrame:
-    """The logbook extract: distinct rows, ordered by batch and schedule."""
-    out = logbook_rows(tables, landed_after, fleet).distinct()
-    return out.orderBy("BATCH_NUMBER", "SCHEDULE_NUMBER") if order else out
+    """The logbook extract: distinct rows, ordered by batch and schedule.
+
+    Equal rows are equal in the order's columns: ranges of these serve the
+    DISTINCT and the ORDER BY with one shuffle of the wide rows.
+    """
+    by = ["BATCH_NUMBER", "SCHEDULE_NUMBER"]
+    rows = logbook_rows(tables, landed_after, fleet)
+    return rows.repartitionByRange(*by).distinct().orderBy(*by) if order else rows.distinct()
 
 
 def extract_observer(trip_log: DataFrame, trip_summary: DataFrame, hauls: DataFrame,

@@ -105,3 +105,39 @@ def test_compressed_csv_without_rebalance(spark):
     back = files.read_csv(spark, path, df.schema, partitions="y INT")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+
+
+def test_left_chain_filtered_equals_left_joins_from_the_top(spark):
+    """Repeated, missing and unmatched keys on every level."""
+    trips, acts, gears, codes = _chain(spark)
+    tables, keys = [trips, acts, gears, codes], ["o", "k", "code"]
+    want = trips.join(acts.join(gears.join(codes, "code", "left"), "k", "left"), "o", "left")
+    got = extract.left_chain_filtered(tables, keys).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_ordered_extract_shuffles_whole_rows_once_for_distinct_and_order(spark, monkeypatch):
+    """Equal rows meet in the ranges of the order: no range shuffle after one for the DISTINCT, same rows in order."""
+    rows = spark.range(300).selectExpr("cast(id % 7 as string) BATCH_NUMBER", "if(id % 5 = 0, null, cast(id % 11 as string)) SCHEDULE_NUMBER",
+                                       "id % 3 x")
+    monkeypatch.setattr(jobs, "logbook_rows", lambda *a, **k: rows)
+    kept = _set(spark, NO_BROADCAST | {"spark.sql.shuffle.partitions": "4"})
+    try:
+        out = jobs.extract_logbook({}, "31-DEC-1995")
+        assert _exchanges(out) == 0
+        got = [tuple(r) for r in out.collect()]
+    finally:
+        _set(spark, kept)
+    order = [(r[0], r[1] is not None, r[1] or "") for r in got]
+    assert order == sorted(order)
+    assert len(got) == len(set(got)) and set(got) == {tuple(r) for r in rows.collect()}
+
+
+def test_wide_rows_of_a_left_join_once_are_shuffled_once(spark):
+    _, acts, gears, _ = _chain(spark)
+    kept = _set(spark, NO_BROADCAST | {"spark.sql.adaptive.enabled": "false"})
+    try:
+        plan = extract.left_join_once(acts.repartition(3), gears, "k", acts, gears)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _set(spark, kept)
+    assert len(re.findall(r"Exchange hashpartitioning\(k#", plan)) == 4      # both sides' rows and both sides' keys
