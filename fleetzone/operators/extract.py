@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import passing_tables, write_table
+
+#: Parts in which the widest rows are shuffled for a written table: each is one more scan of what it reads.
+PARTS = 4
+
 
 def keep_ids(df: DataFrame, col: str, ids) -> DataFrame:
     """Keep rows whose ``col`` is one of ``ids``.
@@ -117,21 +122,46 @@ def left_join_once(left: DataFrame, right: DataFrame, on: str, left_keys: DataFr
     return matched.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
 
 
-def left_chain_filtered(tables: list[DataFrame], keys: list[str]) -> DataFrame:
-    """``left_chain`` for a first table that a filter has made smaller and a wide second one.
+def part_of(df: DataFrame, key: str, n: int, parts: int) -> DataFrame:
+    """Part ``n`` of ``parts`` of the rows, by ``key``: every row, with or without a key, is in one part.
+
+    Not by the hash that shuffles use: the rows of a part go to all tasks.
+    """
+    return df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == n)
+
+
+def left_chain_filtered(tables: list[DataFrame], keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """``left_chain`` for a first table that a filter has made smaller and a wide second one, as a written table.
 
     The first two are joined before the rest, so that only the second table's
     rows of the first are shuffled by the next key, and rows of all tables together
     are never shuffled for the first join.  Rows without a match leave at their
     level, as in ``left_chain``.
+
+    Every level is written before the next one reads it (columns and rows pressed
+    by Parquet are a fraction of what their shuffles take), and the last one in
+    ``PARTS`` parts: on disk are the shuffles of one level, or of a part, and not those of
+    the whole chain.  ``columns`` are those to keep, by default all.
     """
     first, second = tables[:2]
-    lonely = first.join(second.select(keys[0]).distinct(), keys[0], "left_anti")
-    below = tables[-1]
-    for table, under, key in reversed(list(zip(tables[2:], tables[3:], keys[2:]))):
-        below = left_join_once(table, below, key, table, under)
-    out = left_join_once(first.join(second, keys[0], "inner"), below, keys[1], second, tables[2])
-    return out.unionByName(lonely, allowMissingColumns=True)
+    with passing_tables(first.sparkSession) as folder:
+        def write(df, above):
+            kept = [c for c in df.columns if columns is None or c in columns or c in above]
+            return write_table(df.select(*kept), "chain", folder)
+
+        below = tables[-1]
+        for i in range(len(tables) - 2, 1, -1):
+            below = write(left_join_once(tables[i], below, keys[i], tables[i], below), keys[:i])
+        first = write_table(first, "chain", folder)
+        upper = write(first.join(second, keys[0], "inner"), keys[:2])
+        lonely = first.join(upper.select(keys[0]).distinct(), keys[0], "left_anti")
+        out = []
+        for n in range(PARTS):
+            mine, under = part_of(upper, keys[1], n, PARTS), part_of(below, keys[1], n, PARTS)
+            out.append(left_join_once(mine, under, keys[1], mine, under))
+        out.append(lonely.unionByName(out[0].limit(0), allowMissingColumns=True))
+        kept = [c for c in out[0].columns if columns is None or c in columns]
+        return write_table([part.select(*kept) for part in out], "chain")
 
 
 def left_join_under(left: DataFrame, right: DataFrame, on: str, owner: str, codes: DataFrame, code: str) -> DataFrame:
@@ -149,11 +179,21 @@ def left_join_under(left: DataFrame, right: DataFrame, on: str, owner: str, code
     one key, so these must be few (a set's gears, of which there are at most as
     many as gear codes).
     """
-    left = left.where(F.col(owner).isNotNull())
-    pairs = left.select(owner, on).where(F.col(on).isNotNull()).repartition(on).distinct()
+    return spread_under(left, owned_rows(left, right, on, owner, codes, code), on, owner)
+
+
+def owned_rows(left: DataFrame, right: DataFrame, on: str, owner: str, codes: DataFrame, code: str) -> DataFrame:
+    """First step of ``left_join_under``: the rows of ``right`` (as ``__one``) by ``owner`` and ``on``."""
+    pairs = left.select(owner, on).where(F.col(owner).isNotNull() & F.col(on).isNotNull()).repartition(on).distinct()
     owned = pairs.join(right, on, "inner").join(codes, code, "left")
     added = [c for c in owned.columns if c not in (owner, on)]
-    owned = owned.select(owner, on, F.struct(*added).alias("__one"))
+    return owned.select(owner, on, F.struct(*added).alias("__one"))
+
+
+def spread_under(left: DataFrame, owned: DataFrame, on: str, owner: str) -> DataFrame:
+    """Second step of ``left_join_under``: the ``owned_rows`` spread over the rows of ``left``, all lying by ``owner``."""
+    left = left.where(F.col(owner).isNotNull())
+    added = owned.schema["__one"].dataType.names
     rows = left.withColumn("__left", F.lit(True)).unionByName(owned, allowMissingColumns=True).repartition(owner)
     found = rows.withColumn("__all", F.collect_set("__one").over(Window.partitionBy(owner, on)))
     found = found.where("__left").select(*left.columns, F.explode_outer("__all").alias("__one"))

@@ -37,6 +37,9 @@ CATCH_COLUMNS = ["NMFS_COMMON", "SPECIES_CODE_NMFS", "SCIENTIFIC_NAME", "SPECIES
                  "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS", "DISPOSITION_STATUS",
                  "AREA_FISHED"]
 
+# Columns of a set record, in their order.
+SET_COLUMNS = [c for c in EXTRACT_COLUMNS if c not in CATCH_COLUMNS]
+
 # The observer haul extract's columns, in their order.
 HAUL_COLUMNS = """HAUL_LOG_KEY GEAR_LOG_KEY HAUL_NUMBER GEAR_CODE WAS_HAUL_OBSERVED WAS_CATCH GEAR_CONDITION
 GEAR_CONDITION_DESC MAINLINE_LENGTH BOTTOM_DEPTH_MINIMUM BOTTOM_DEPTH_MAXIMUM HOOK_DEPTH_MINIMUM
@@ -84,7 +87,7 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     written: the next level reads it instead of working it out again, and its
     known size lets Spark broadcast the keys of a few trips, so the lower table
     is not shuffled.  Without it the whole tables are joined, the trips'
-    activities first (``extract.left_chain_filtered``); for "gears", whose rows always go through a
+    activities first, level by level into written tables (``extract.left_chain_filtered``); for "gears", whose rows always go through a
     DISTINCT, the wide activities are shuffled once, by their trip
     (``extract.left_join_under``).
     The gear description and parameter tables add no output column and are
@@ -94,10 +97,7 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     gives the same rows once the caller takes DISTINCT (see
     ``extract.drop_all_flagged``).
     """
-    t = tables["trips"].where(F.col("LANDING_DATE") > F.to_date(F.lit(landed_after), date_format))
-    if fleet is not None:
-        t = extract.keep_ids(t, "VESSEL_ID", fleet)
-    t = extract.drop_all_flagged(t, tables["trip_qc"], "SCHEDULE_NUMBER", "DELETED_DATE")
+    t = kept_trips(tables, landed_after, fleet, date_format)
     keys = ["LOGBOOK_KEY", "FISHING_ACTIVITY_KEY", "GEAR_FISHED_KEY", "CATCH_KEY"]
     names = ["activities", "gears", "catches", "catch_details"][:{"sets": 1, "gears": 2, "catches": 4}[level]]
     few = few_trips or fleet is not None
@@ -112,12 +112,19 @@ def logbook_rows(tables: dict[str, DataFrame], landed_after: str, fleet=None,
     else:
         chain = [c.join(tables[codes[i][0]], codes[i][1], "left") if i in codes else c for i, c in enumerate(chain)]
         # Reduced tables hold no other trips' rows: joined from the bottom.  Whole ones: first the trips' activities.
-        j = (extract.left_chain if few or level == "sets" else extract.left_chain_filtered)(chain, keys)
+        columns = EXTRACT_COLUMNS + (["GEAR_FISHED_KEY"] if keep_gear_key else [])
+        j = extract.left_chain(chain, keys) if few or level == "sets" else extract.left_chain_filtered(chain, keys, columns)
     if level == "sets":
         return j.select(*TRIP_SET_COLUMNS)
-    if level == "gears":
-        return j.select(*[c for c in EXTRACT_COLUMNS if c not in CATCH_COLUMNS])
-    return j.select(*EXTRACT_COLUMNS, *(["GEAR_FISHED_KEY"] if keep_gear_key else []))
+    return j.select(*(SET_COLUMNS if level == "gears" else columns))
+
+
+def kept_trips(tables: dict[str, DataFrame], landed_after: str, fleet=None, date_format: str = "dd-MMM-yyyy") -> DataFrame:
+    """The trips of ``logbook_rows``."""
+    t = tables["trips"].where(F.col("LANDING_DATE") > F.to_date(F.lit(landed_after), date_format))
+    if fleet is not None:
+        t = extract.keep_ids(t, "VESSEL_ID", fleet)
+    return extract.drop_all_flagged(t, tables["trip_qc"], "SCHEDULE_NUMBER", "DELETED_DATE")
 
 
 def extract_logbook(tables: dict[str, DataFrame], landed_after: str, fleet=None,

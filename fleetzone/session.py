@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,9 @@ _SESSION_DEFAULTS = {
 }
 
 
+# Spark's own setting for ``shuffles_dropped``.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Largest table Spark may broadcast, on a cluster and in the benchmark alike.
 BROADCAST_BYTES = "1m"
 
@@ -73,15 +78,53 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_work_dir(spark), f"fleetzone-{spark.sparkContext.applicationId}", *parts)
 
 
-def write_table(df: DataFrame, label: str) -> DataFrame:
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Jobs that write something inside the block delete their shuffle files as they end.
+
+    Without it the files stay until the driver happens to collect its garbage,
+    those of one written table beside those of the next.
+    """
+    kept = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if kept is None else spark.conf.set(_DROP_SHUFFLES, kept)
+
+
+def write_table(df: DataFrame | list[DataFrame], label: str, folder: str | None = None) -> DataFrame:
     """``df`` written under the shared work folder and read back.
 
     Cuts the lineage; later plans know the table's size, and its files
-    outlive a lost executor.  ``remove_work_tables`` deletes them.
+    outlive a lost executor.  ``remove_work_tables`` deletes them.  Parts of a
+    table (a list of frames with the same columns) are written one after another, so
+    that only one part's shuffle files are on disk at a time.  ``folder`` is one of
+    ``passing_tables``.
     """
-    path = work_path(df.sparkSession, "tables", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    parts = df if isinstance(df, list) else [df]
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    path = os.path.join(folder or work_path(spark, "tables"), f"{label}-{uuid.uuid4().hex}")
+    with shuffles_dropped(spark):
+        for part in parts:
+            part.select(*[f"`{c}`" for c in schema.names]).write.mode("append").option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(conf).delete(path, True)
+
+
+@contextlib.contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[str]:
+    """A folder for written tables that only the block reads; deleted at its end."""
+    path = work_path(spark, "tables", f"passing-{uuid.uuid4().hex}")
+    try:
+        yield path
+    finally:
+        _delete(spark, path)
 
 
 def remove_work_tables(spark: SparkSession) -> None:
@@ -90,9 +133,7 @@ def remove_work_tables(spark: SparkSession) -> None:
     For the end of a job: results that still read a written table must have
     been saved.  Other applications' folders are left alone.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(work_path(spark))
-    path.getFileSystem(conf).delete(path, True)
+    _delete(spark, work_path(spark))
 
 
 def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.5,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import write_table
+from ..session import shuffles_dropped, write_table
 
 NA = "NA"
 #: Rows of a compressed file at most.
@@ -42,7 +42,8 @@ def write_csv(df: DataFrame, base: str, name: str, run_date: str,
     writer = df.write.mode(mode).partitionBy(*partition_by or []).option("header", True).option("nullValue", NA)
     if compression:
         writer = writer.option("compression", compression).option("maxRecordsPerFile", FILE_ROWS)
-    writer.option("emptyValue", "").csv(path)
+    with shuffles_dropped(df.sparkSession):
+        writer.option("emptyValue", "").csv(path)
     return path
 
 

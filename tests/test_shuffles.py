@@ -1,12 +1,14 @@
 """What the set, ledger and extract queries shuffle and write, on rows built here."""
 
+import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from fleetzone.operators import extract, rollup
 from fleetzone.plans import jobs
-from fleetzone.session import work_path
+from fleetzone.session import work_path, write_table
 from fleetzone.sources import files
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -141,3 +143,43 @@ def test_wide_rows_of_a_left_join_once_are_shuffled_once(spark):
     finally:
         _set(spark, kept)
     assert len(re.findall(r"Exchange hashpartitioning\(k#", plan)) == 4      # both sides' rows and both sides' keys
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", blocks.getAllFiles().mkString(" ")))
+
+
+def _passing(spark):
+    tables = work_path(spark, "tables")
+    return [d for d in os.listdir(tables) if d.startswith("passing-")] if os.path.isdir(tables) else []
+
+
+def _left_over(spark, before):
+    """Shuffle files since ``before``, once Spark had time to delete them."""
+    for _ in range(50):
+        if not (now := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return now
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = _shuffle_files(spark)
+    out = write_table([df.where("k < 3"), df.where("k >= 3").select("count", "k")], "t-parts")
+    path = files.write_csv(df, work_path(spark, "t-dropped"), "counts", "2022-12-05")
+    assert not _left_over(spark, before)
+    want = sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, files.read_csv(spark, path, df.schema).collect())) == want
+
+
+def test_left_chain_filtered_writes_level_by_level(spark):
+    """What is left to do is to read the result: the levels' tables and shuffles are gone; only named columns are kept."""
+    trips, acts, gears, codes = _chain(spark)
+    before = _shuffle_files(spark)
+    got = extract.left_chain_filtered([trips, acts, gears, codes], ["o", "k", "code"], ["o", "v", "x", "name"])
+    assert sorted(got.columns) == ["name", "o", "v", "x"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan, plan
+    assert not _left_over(spark, before) and not _passing(spark)
