@@ -37,6 +37,9 @@ CATCH_COLUMNS = ["NMFS_COMMON", "SPECIES_CODE_NMFS", "SCIENTIFIC_NAME", "SPECIES
                  "NUMBER_OF_INDIVIDUALS", "TOTAL_WHOLE_POUNDS", "DISPOSITION_STATUS",
                  "AREA_FISHED"]
 
+# Parts in which set rows are shuffled and written (each scans the activities again).
+SET_PARTS = 2
+
 # Columns of a set record, in their order.
 SET_COLUMNS = [c for c in EXTRACT_COLUMNS if c not in CATCH_COLUMNS]
 
@@ -179,6 +182,23 @@ def set_level(extract_rows: DataFrame) -> DataFrame:
     return extract_rows.drop(*CATCH_COLUMNS).distinct()
 
 
+def set_parts(tables: dict[str, DataFrame], landed_after: str, folder: str) -> list[DataFrame]:
+    """``set_level`` of ``logbook_rows(level="gears")`` in parts by trip key, for writing one after another.
+
+    Equal sets are of one trip key, so the parts' rows are all distinct.  The trips
+    and the gears by trip are written first, to ``folder`` (``passing_tables``): a part shuffles its
+    share of the wide activities and of these, and nothing else.
+    """
+    acts, (key, owner) = tables["activities"], ("FISHING_ACTIVITY_KEY", "LOGBOOK_KEY")
+    trips = write_table(kept_trips(tables, landed_after), "trips", folder)
+    owned = write_table(extract.owned_rows(acts, tables["gears"], key, owner, tables["gear_codes"], "GEAR_CODE_NMFS"), "owned-gears", folder)
+    parts = []
+    for n in range(SET_PARTS):
+        t, a, g = (extract.part_of(df, owner, n, SET_PARTS) for df in (trips, acts, owned))
+        parts.append(set_level(t.join(extract.spread_under(a, g, key, owner), owner, "left").select(*SET_COLUMNS)))
+    return parts
+
+
 def classify_sets(sets: DataFrame, cells: geo.EdgeCells) -> DataFrame:
     """Set rows with positions and per-row zone flags."""
     return geo.classify(with_positions(sets), "lon_dd", "lat_dd", cells)

@@ -19,7 +19,7 @@ from ..functions import na
 from ..functions.coords import lat_dd, lon_dd
 from ..functions.text import clean_column_names, first_part, label, year_text
 from ..operators import extract, geo, match, profile, reshape, rollup
-from ..session import work_path, write_table
+from ..session import passing_tables, work_path, write_table
 from ..sources import files
 from ..sources.literal import literal_table
 from ..sources.testbed import StandIns
@@ -66,6 +66,10 @@ class Ctx:
     def sets(self) -> DataFrame:
         return jobs.set_level(self.logbook_rows("gears"))
 
+    def set_parts(self, folder: str) -> list[DataFrame]:
+        """``sets`` in parts, for queries that write them."""
+        return jobs.set_parts(self.tb.logbook_tables(), LANDED_AFTER, folder)
+
     def classified(self) -> DataFrame:
         return jobs.classify_sets(self.sets(), self.cells())
 
@@ -77,7 +81,9 @@ class Ctx:
     def tagged(self, columns: list[str]) -> DataFrame:
         """Classified sets tagged by key; written once, since the hit keys
         come from the same rows."""
-        rows = write_table(self.classified().select(*columns, "within"), "classified")
+        with passing_tables(self.spark) as folder:
+            parts = [jobs.classify_sets(p, self.cells()).select(*columns, "within") for p in self.set_parts(folder)]
+            rows = write_table(parts, "classified")
         return jobs.tag_by_key(rows, rows)
 
     def years(self) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetzone.operators import extract, rollup
 from fleetzone.plans import jobs
-from fleetzone.session import work_path, write_table
+from fleetzone.session import passing_tables, work_path, write_table
 from fleetzone.sources import files
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -183,3 +183,21 @@ def test_left_chain_filtered_writes_level_by_level(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan, plan
     assert not _left_over(spark, before) and not _passing(spark)
+
+
+def test_set_parts_are_the_sets(spark):
+    """Every distinct set in one part: repeated rows, trips without a set or without a key, sets without a gear."""
+    tables = _logbook(spark)
+    date = "DATE'2020-01-01'"
+    tables["trips"] = tables["trips"].unionByName(tables["trips"].limit(9)).unionByName(
+        spark.sql(f"SELECT k LOGBOOK_KEY, '1' BATCH_NUMBER, 's' SCHEDULE_NUMBER, 'v' VESSEL_ID, {date} LANDING_DATE FROM VALUES ('lone'), (null) t(k)"))
+    acts = tables["activities"]
+    tables["activities"] = acts.unionByName(acts.limit(9)).unionByName(acts.limit(5).withColumns(
+        {"FISHING_ACTIVITY_KEY": F.lit(None).cast("string"), "ORIGINAL_BATCH_SEQUENCE_NUMBER": F.lit("no gear")}))
+    want = jobs.set_level(jobs.logbook_rows(tables, "01-JAN-2000", level="gears"))
+    with passing_tables(spark) as folder:
+        parts = jobs.set_parts(tables, "01-JAN-2000", folder)
+        assert len(parts) > 1 and all(0 < p.count() < want.count() for p in parts)
+        got = write_table(parts, "t-sets")
+    assert got.columns == want.columns and got.count() == want.count() == 307
+    assert got.exceptAll(want).isEmpty() and not _passing(spark)
