@@ -440,8 +440,10 @@ def _scratch(c: Ctx, name: str) -> str:
 
 def q_csv_roundtrip(c: Ctx) -> DataFrame:
     base = _scratch(c, "csv_roundtrip")
-    sets = c.sets()
-    path = files.write_csv(sets, base, "logbook_sets", run_date="2022-12-05", compression="gzip")
+    with passing_tables(c.spark) as folder:
+        for n, sets in enumerate(c.set_parts(folder)):
+            path = files.write_csv(sets, base, "logbook_sets", run_date="2022-12-05", mode="append" if n else "overwrite",
+                                   compression="gzip")
     return files.read_csv(c.spark, path, sets.schema)
 
 
@@ -459,9 +461,11 @@ def q_extract_by_year(c: Ctx) -> DataFrame:
     ``REREAD_FROM_YEAR`` on that the second ledger covers to December."""
     base = _scratch(c, "extract_by_year")
     # Written from the tasks of the DISTINCT, a file per task and year: no second shuffle of whole set rows.
-    sets = c.sets().withColumn("LANDING_YEAR", F.year("LANDING_DATE"))
-    path = files.write_csv(sets, base, "logbook_sets", run_date="2022-12-05", partition_by=["LANDING_YEAR"],
-                           rebalance=False, compression="gzip")
+    with passing_tables(c.spark) as folder:
+        for n, part in enumerate(c.set_parts(folder)):
+            sets = part.withColumn("LANDING_YEAR", F.year("LANDING_DATE"))
+            path = files.write_csv(sets, base, "logbook_sets", run_date="2022-12-05", mode="append" if n else "overwrite",
+                                   partition_by=["LANDING_YEAR"], rebalance=False, compression="gzip")
     back = files.read_csv(c.spark, path, sets.schema, partitions="LANDING_YEAR INT")
     covered = c.second().groupBy("LANDING_YEAR").agg(F.max(F.month("LANDING_DATE")).alias("last_month"))
     return files.keep_partitions(back.where(F.col("LANDING_YEAR") >= REREAD_FROM_YEAR), "LANDING_YEAR",

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from fleetzone.operators import extract, rollup
-from fleetzone.plans import jobs
+from fleetzone.plans import jobs, registry
 from fleetzone.session import passing_tables, work_path, write_table
 from fleetzone.sources import files
 
@@ -201,3 +201,16 @@ def test_set_parts_are_the_sets(spark):
         got = write_table(parts, "t-sets")
     assert got.columns == want.columns and got.count() == want.count() == 307
     assert got.exceptAll(want).isEmpty() and not _passing(spark)
+
+
+def test_queries_write_sets_in_parts(spark, tmp_path):
+    """csv_roundtrip, extract_by_year and tag_sets write part after part and keep all of them."""
+    tables, seen = _logbook(spark), []
+    tables["activities"] = tables["activities"].withColumns(
+        {f"{x}_{y}": F.lit(40.0) for x in ("LATITUDE", "LONGITUDE") for y in ("DEGREES", "MINUTES")})
+    c = registry.Ctx(spark, str(tmp_path))
+    c.set_parts = lambda folder: seen.append(folder) or jobs.set_parts(tables, "01-JAN-2000", folder)
+    c.sets = c.classified = None
+    c.second = lambda: spark.sql("SELECT 2020 LANDING_YEAR, DATE'2020-12-31' LANDING_DATE")
+    assert registry.q_csv_roundtrip(c).count() == registry.q_extract_by_year(c).count() == registry.q_tag_sets(c).count() == 300
+    assert len(seen) == 3 and not _passing(spark)
